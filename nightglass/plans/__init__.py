@@ -1,0 +1,6 @@
+"""Importing this package registers every query."""
+
+from nightglass.plans import detection  # noqa: F401
+from nightglass.plans.registry import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
