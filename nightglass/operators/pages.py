@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from nightglass.functions.text import stem
-from nightglass.operators.validate import part, text
+from nightglass.operators.validate import part
 
 
 def with_meta(rules: DataFrame, meta: DataFrame) -> DataFrame:
@@ -20,13 +20,19 @@ def _bullets(items: Column) -> Column:
     return F.array_join(F.transform(F.coalesce(items, F.array().cast("array<string>")), lambda i: F.concat(F.lit("- "), i, F.lit("\n"))), "")
 
 
+def _rendered(value: Column) -> Column:
+    """Text of a scalar as the template prints it: a JSON null is None, a boolean True or False."""
+    kind, shown = F.schema_of_variant(value), value.try_cast("string")
+    return F.when(kind == "VOID", "None").when(kind == "BOOLEAN", F.initcap(shown)).otherwise(shown)
+
+
 def detection_page(path: Column, doc: Column, owner: Column) -> Column:
     """The Markdown page of one rule. Missing scalars are empty, missing log source parts are n/a."""
-    blank = lambda name: F.coalesce(text(doc, name), F.lit(""))
-    source = lambda name: F.coalesce(F.try_variant_get(doc, f"$.logsource.{name}", "string"), F.lit("n/a"))
+    blank = lambda name: F.coalesce(_rendered(part(doc, name)), F.lit(""))
+    source = lambda name: F.coalesce(_rendered(F.try_variant_get(doc, f"$.logsource.{name}", "variant")), F.lit("n/a"))
     items = lambda name: _bullets(part(doc, name).try_cast("array<string>"))
     return F.concat(
-        F.lit("# "), F.coalesce(text(doc, "title"), stem(path)),
+        F.lit("# "), F.coalesce(_rendered(part(doc, "title")), stem(path)),
         F.lit("\n\n**Rule ID:** "), blank("id"),
         F.lit("  \n**Status:** "), blank("status"),
         F.lit("  \n**Version:** "), blank("version"),

@@ -211,7 +211,10 @@ def _shown(value: Column) -> Column:
 
 
 def contract_errors(doc: Column, contract=RULE_CONTRACT) -> Column:
-    """Required keys in contract order, then types, least lengths and list items by field name."""
+    """Required keys in contract order, then types, least lengths and list items by field name.
+
+    A file that could not be read counts as None.
+    """
     none = F.array().cast("array<string>")
     off = lambda value, wanted: F.concat(_shown(value), F.lit(f" is not of type '{wanted}'"))
     groups = [
@@ -231,7 +234,7 @@ def contract_errors(doc: Column, contract=RULE_CONTRACT) -> Column:
             if least
             else collect_errors((k.isNotNull() & ~right, off(value, wanted)))
         )
-    return F.when(is_object(F.schema_of_variant(doc)), F.concat(*groups)).otherwise(F.array(off(doc, "object")))
+    return F.when(is_object(F.schema_of_variant(doc)), F.concat(*groups)).otherwise(F.array(F.concat(F.coalesce(_shown(doc), F.lit("None")), F.lit(" is not of type 'object'"))))
 
 
 def validate(rules: DataFrame) -> DataFrame:

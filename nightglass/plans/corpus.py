@@ -241,7 +241,7 @@ def contract_part(name: str) -> list[tuple[str, str]]:
     return [off] + ([(f"{jt(name)} = 'VARCHAR' AND length({js(name)}) < {least}", f"({shown(value)}) || ' is too short'")] if least else [])
 
 
-SQL_CONTRACT = f"SELECT doc_id, path, CASE WHEN coalesce(json_type(j), 'x') <> 'OBJECT' THEN ({shown('j')}) || ' is not of type ''object''' ELSE " + errs(
+SQL_CONTRACT = f"SELECT doc_id, path, CASE WHEN coalesce(json_type(j), 'x') <> 'OBJECT' THEN coalesce({shown('j')}, 'None') || ' is not of type ''object''' ELSE " + errs(
     *[(f"{jt(n)} IS NULL", f"'''{n}'' is a required property'") for n in CONTRACT],
     *[pair for n in sorted([*CONTRACT, *LISTS]) for pair in contract_part(n)],
 ) + f" END AS errors FROM {st.SQL_RULES}"

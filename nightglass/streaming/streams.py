@@ -115,17 +115,20 @@ def run_updated(spark: SparkSession, stream: DataFrame, name: str, *key: str) ->
     folder = run_folder(spark, name)
     schema = stream.schema
     updates_to(stream, f"{folder}/out", f"{folder}/checkpoint")
-    return latest(spark.read.schema(schema.add("batch", "bigint")).parquet(f"{folder}/out"), *key)
+    return latest(spark.read.schema(schema.add("batch", "long")).parquet(f"{folder}/out"), *key)
 
 
-def ingest(lines: DataFrame, schema: str, good: str, bad: str, checkpoint: str) -> None:
-    """Parse a stream of lines; documents go to one Parquet table and refused lines to another."""
+def ingest(lines: DataFrame, schema: str, good: str, bad: str, checkpoint: str, tags: list[str] = []) -> None:
+    """Parse a stream of lines; documents go to one Parquet table and refused lines to another.
+
+    `tags` are columns of the input, such as the file, that a refused line keeps.
+    """
     parsed = parse_events(lines, schema)
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
         batch.where("ok").drop("ok", "_corrupt_record").write.mode("overwrite").parquet(f"{good}/batch={number}")
-        batch.where("not ok").select("_corrupt_record").write.mode("overwrite").parquet(f"{bad}/batch={number}")
+        batch.where("not ok").select(*tags, "_corrupt_record").write.mode("overwrite").parquet(f"{bad}/batch={number}")
         batch.unpersist()
 
     query = (
