@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The characters that Python's str.strip and str.splitlines act on, since the rule
 # tooling this replaces is defined by them. Java's \s and \R cover fewer.
@@ -10,8 +12,21 @@ SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u30
 LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c-\x1e\x85\u2028\u2029]"
 
 
+SPACE_CHARACTERS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """use(c) with c evaluated a single time however often `use` names it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+def with_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns through a generator: a later filter on them does not evaluate them a second time."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.trim(c, F.lit(SPACE_CHARACTERS))
 
 
 def is_blank(c: Column) -> Column:
@@ -50,8 +65,7 @@ def unescape(c: Column) -> Column:
 
 
 def slug(c: Column) -> Column:
-    runs = F.regexp_replace(F.lower(strip(c)), r"[^a-zA-Z0-9_]+", "_")
-    return F.regexp_replace(F.regexp_replace(runs, r"_+", "_"), r"^_|_\z", "")
+    return F.trim(F.regexp_replace(F.lower(strip(c)), r"[^a-zA-Z0-9]+", "_"), F.lit("_"))
 
 
 def capitalise(c: Column) -> Column:

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from nightglass.functions.text import SPACE, file_name, parent_path
+from nightglass.functions.text import SPACE, file_name, once, parent_path
 from nightglass.functions.times import bucket_end, bucket_start
 from nightglass.session import salted_join
 
@@ -27,7 +27,7 @@ KEY_LABELS = (
 )
 UNLABELLED = "Misc rule metadata updated"
 HEADINGS = ("Created", "Modified", "Deleted", "Moved", "Renamed", "Other")
-RULE_PATH = r"^sigma-rules/(.*/)?[^/]+\.(yml|yaml)$"
+RULE_ROOT = "sigma-rules/"
 
 
 def parse_commits(lines: DataFrame) -> DataFrame:
@@ -52,7 +52,9 @@ def parse_file_changes(lines: DataFrame) -> DataFrame:
 
 
 def is_rule_path(path: Column) -> Column:
-    return path.rlike(RULE_PATH)
+    """A .yml or .yaml file in a folder below the rule root."""
+    below = F.substring(path, F.lit(len(RULE_ROOT) + 1), F.length(path)).contains("/")
+    return path.startswith(RULE_ROOT) & (path.endswith(".yml") | path.endswith(".yaml")) & below
 
 
 def status_label(code: Column) -> Column:
@@ -65,9 +67,10 @@ def diff_labels(diff: Column) -> Column:
     """Labels of the rule keys that a diff touches, in reporting order. One pass over the text."""
     names = "|".join(k for k, _ in KEY_LABELS)
     found = F.regexp_extract_all(diff, F.lit(rf"(?md)^{SPACE}*[+-]{SPACE}*({names}){SPACE}*:"), F.lit(1))
-    table = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("label")) for k, v in KEY_LABELS])
-    labels = F.transform(F.filter(table, lambda t: F.array_contains(found, t["key"])), lambda t: t["label"])
-    return F.when(F.size(labels) > 0, labels).otherwise(F.array(F.lit(UNLABELLED)))
+    table = F.create_map(*[x for i, (k, v) in enumerate(KEY_LABELS) for x in (F.lit(k), F.struct(F.lit(i).alias("no"), F.lit(v).alias("label")))])
+    ranked = F.array_sort(F.array_distinct(F.transform(found, lambda k: table[k])))
+    labels = F.transform(ranked, lambda t: t["label"])
+    return once(labels, lambda names: F.when(F.size(names) > 0, names).otherwise(F.array(F.lit(UNLABELLED))))
 
 
 def is_move(old: Column, new: Column) -> Column:
@@ -138,7 +141,7 @@ def changelog_lines(changes: DataFrame, bucket: str, repo_url: str = "", time: s
     key = ["bucket_start", "status_rank"]
     blank = [F.lit("").alias("file"), F.lit("").alias("commit"), F.lit(0).alias("position")]
     entries = rows.select(*key, F.lit(1).alias("part"), "file", "commit", "position", entry.alias("line"))
-    groups = rows.groupBy(*key).agg(F.min("heading").alias("heading"))
+    groups = rows.groupBy(*key, "bucket_end", "heading").agg(F.count("*").alias("n"))
     status_lines = groups.select(
         *key,
         F.explode(F.array(F.struct(F.lit(0).alias("part"), F.concat(F.lit("### "), "heading").alias("line")), F.struct(F.lit(2).alias("part"), F.lit("").alias("line")))).alias("l"),
@@ -146,14 +149,14 @@ def changelog_lines(changes: DataFrame, bucket: str, repo_url: str = "", time: s
     ).select(*key, "l.part", "file", "commit", "position", "l.line")
     day = lambda c: F.date_format(c, "yyyy-MM-dd")
     title = F.concat(F.lit("## "), day("bucket_start"), F.lit(" to "), day("bucket_end"))
-    buckets = rows.groupBy("bucket_start", "bucket_end").agg(F.lit(-1).alias("status_rank"))
+    buckets = groups.groupBy("bucket_start", "bucket_end").agg(F.lit(-1).alias("status_rank"))
     bucket_lines = buckets.select(
         *key,
         F.explode(F.array(F.struct(F.lit(0).alias("part"), title.alias("line")), F.struct(F.lit(1).alias("part"), F.lit("").alias("line")))).alias("l"),
         *blank,
     ).select(*key, "l.part", "file", "commit", "position", "l.line")
     none = F.lit("No Sigma rule changes found for the requested time range.")
-    counted = rows.agg(F.count("*").alias("n"))
+    counted = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     parts = F.array(F.lit("# Rule Changelog"), F.lit(""))
     opening = F.when(F.col("n") == 0, F.concat(parts, F.array(none))).otherwise(parts)
     start = counted.select(

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from nightglass.operators.rules import CompiledRule
+from nightglass.session import local_table
 
 # Up to this many rules on this few columns, "any rule matches" also goes to the scan as a filter of
 # its own. Catalyst derives one constraint per subset of the renamed columns in a filter, so a
@@ -42,7 +43,7 @@ def detect(events: DataFrame, rules: list[CompiledRule], keep: list[str]) -> Dat
 
 
 def rule_names(matches: DataFrame, rules: list[CompiledRule]) -> DataFrame:
-    return matches.sparkSession.createDataFrame([(r.rule_id,) for r in rules], "rule_id string")
+    return local_table(matches.sparkSession, [(r.rule_id,) for r in rules], "rule_id string")
 
 
 def count_matches(matches: DataFrame, rules: list[CompiledRule]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from nightglass.functions.text import file_name, present
 from nightglass.operators.detect import count_matches, row_counts
 from nightglass.operators.rules import CompiledRule
-from nightglass.session import CONFIG_ROWS, fits
+from nightglass.session import CONFIG_ROWS, fits, local_table
 
 MODES = ("compile", "execute", "both")
 
@@ -52,7 +52,7 @@ def run_rules(events: DataFrame, rules: list[CompiledRule], keep: list[str], mod
     from nightglass.operators.detect import detect
 
     spark = events.sparkSession
-    compiled = spark.createDataFrame([(r.rule_id, r.error) for r in rules], "rule_id string, compile_error string")
+    compiled = local_table(spark, [(r.rule_id, r.error) for r in rules], "rule_id string, compile_error string")
     if mode == "compile":
         counts = compiled.select("rule_id", F.lit(0).cast("bigint").alias("total_hits"))
     else:

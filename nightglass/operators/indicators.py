@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from nightglass.session import BROADCAST_ROWS, fits, salted_join
+from nightglass.session import fits, salted_join
 
-# Patterns are looked up by pieces of this many characters; shorter patterns by their own length.
+# Patterns without an inner word are looked up by pieces of this many characters.
 PIECE = 4
 
 
@@ -25,24 +25,40 @@ def match_equal(values: DataFrame, indicators: DataFrame, key: list[str]) -> Dat
     return salted_join(values, indicators.select("indicator_id", "field", "value"), ["field", "value"], "inner", key)
 
 
-def _pieces(text, size: int):
-    """All pieces of `size` characters, overlapping, in one pass over the text."""
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+# Span 0 stands for whole words, other spans for pieces of that many characters.
+WORDS = 0
+WORD = r"[\p{L}\p{N}]+"
+# A word with something else on both sides, so that a text holding the pattern holds it as a whole word.
+INNER_WORD = r"(?<=[^\p{L}\p{N}])[\p{L}\p{N}]+(?=[^\p{L}\p{N}])"
+
+
+def _pieces(text, span: int):
+    """All pieces of a span, in one pass over the text; pieces of a fixed size overlap."""
+    if span == WORDS:
+        return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{span}}}))"), F.lit(1))
+
+
+def _listed(text, span: int):
+    """The different pieces of a text as {span, piece}."""
+    return F.transform(F.array_distinct(_pieces(text, span)), lambda p: F.struct(F.lit(span).alias("span"), p.alias("piece")))
 
 
 def anchored(indicators: DataFrame) -> DataFrame:
-    """Adds to (indicator_id, field, pattern) the piece of the pattern that the fewest patterns hold.
+    """Adds to (indicator_id, field, pattern) the piece of the pattern that the fewest patterns hold, and its span.
 
-    A pattern of fewer than PIECE characters is its own piece. Empty patterns never match and drop out.
+    A pattern with an inner word is found by that word, others by PIECE characters, and one shorter
+    than that is its own piece. Empty patterns never match and drop out.
     """
-    short = indicators.where((F.length("pattern") < PIECE) & (F.length("pattern") > 0)).withColumn("piece", F.col("pattern"))
-    long = indicators.where(F.length("pattern") >= PIECE).select(
-        "*", F.explode(F.array_distinct(_pieces(F.col("pattern"), PIECE))).alias("piece")
-    )
-    spread = long.groupBy("field", "piece").agg(F.count("*").alias("holders"))
-    ranked = salted_join(long, spread, ["field", "piece"], "inner", ["indicator_id"])
-    rarest = ranked.groupBy("indicator_id", "field", "pattern").agg(F.min_by("piece", F.struct("holders", "piece")).alias("piece"))
-    return rarest.unionByName(short)
+    pattern, size = F.col("pattern"), F.length("pattern")
+    inner = F.regexp_extract_all(pattern, F.lit(INNER_WORD), F.lit(0))
+    span = F.when(F.size(inner) > 0, WORDS).otherwise(F.least(size, F.lit(PIECE)))
+    pieces = F.when(F.size(inner) > 0, inner).when(size >= PIECE, _pieces(pattern, PIECE)).otherwise(F.array(pattern))
+    held = indicators.where(size > 0).select("*", span.alias("span"), F.explode(F.array_distinct(pieces)).alias("piece"))
+    holders = held.groupBy("field", "span", "piece").agg(F.count("*").alias("holders"))
+    ranked = salted_join(held, holders, ["field", "span", "piece"], "inner", ["indicator_id"])
+    best = F.min_by("piece", F.struct("holders", "piece")).alias("piece")
+    return ranked.groupBy("indicator_id", "field", "pattern", "span").agg(best)
 
 
 def match_contained(values: DataFrame, indicators: DataFrame, key: list[str], case: str = "insensitive") -> DataFrame:
@@ -52,18 +68,21 @@ def match_contained(values: DataFrame, indicators: DataFrame, key: list[str], ca
     event meets a pattern with which it shares no piece, and nothing is left out.
     """
     fold = F.lower if case == "insensitive" else (lambda c: c)
-    patterns = indicators.select("indicator_id", "field", fold(F.col("pattern")).alias("pattern"))
-    side = anchored(patterns)
-    lengths = [r[0] for r in side.select(F.length("piece").alias("n")).distinct().collect()]  # at most PIECE rows
-    if not lengths:
-        return values.where(F.lit(False)).select(*key, "field", F.lit(None).cast(patterns.schema["indicator_id"].dataType).alias("indicator_id"))
+    side = anchored(indicators.select("indicator_id", "field", fold(F.col("pattern")).alias("pattern")))
+    small = fits(side)
+    spans = [r[0] for r in side.select("span").distinct().collect()]  # at most PIECE + 1 rows
     folded = values.select(*key, "field", fold(F.col("value")).alias("value"))
-    found = F.array_distinct(F.flatten(F.array(*[_pieces(F.col("value"), n) for n in sorted(lengths)])))
-    if fits(side, BROADCAST_ROWS):
-        hits = folded.withColumn("piece", F.explode(found)).join(F.broadcast(side), ["field", "piece"])
+    if not spans:
+        return folded.join(side, ["field"], "inner").where(F.lit(False)).select(*key, "field", "indicator_id")
+    # Words and pieces of a text are told apart by their span; each is listed once per text.
+    found = F.explode(F.concat(*[_listed(F.col("value"), span) for span in sorted(spans)])).alias("p")
+    on = ["field", "span", "piece"]
+    if small:
+        pieces = folded.select(*key, "field", "value", found).select(*key, "field", "value", "p.span", "p.piece")
+        hits = pieces.join(F.broadcast(side), on)
     else:
         # The text itself is not repeated per piece: pieces find candidates, then each text is joined once.
-        pieces = folded.select(*key, "field", F.explode(found).alias("piece"))
-        candidates = salted_join(pieces, side, ["field", "piece"], "inner", key).drop("piece")
+        pieces = folded.select(*key, "field", found).select(*key, "field", "p.span", "p.piece")
+        candidates = salted_join(pieces, side, on, "inner", key).drop("span", "piece")
         hits = candidates.join(folded, [*key, "field"])
     return hits.where(F.contains("value", "pattern")).select(*key, "field", "indicator_id")

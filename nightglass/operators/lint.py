@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from nightglass.functions.text import collect_errors, count_of, is_blank, strip_markup_comments, strip_slash_comments
+from nightglass.functions.text import (
+    collect_errors, count_of, is_blank, once, strip_markup_comments, strip_slash_comments, with_once,
+)
 
 # Bracket pairs and the message for each, in reporting order.
 PAIRS = (
@@ -31,14 +33,13 @@ def balance_errors(text: Column) -> Column:
 def lint(queries: DataFrame) -> DataFrame:
     """queries(path, backend, query_text) with `errors` and `is_valid`. An unreadable query has NULL text."""
     backend, raw = F.col("backend"), F.col("query_text")
-    cleaned = queries.withColumn("_clean", without_comments(backend, raw))
+    judge = lambda clean: F.when(is_blank(clean), F.array(F.lit("Query is empty"))).otherwise(balance_errors(clean))
     errors = (
         F.when(~backend.isin(*BACKENDS), F.array(F.concat(F.lit("Unknown query type: "), backend)))
         .when(raw.isNull(), F.array(F.lit("Error reading file")))
-        .when(is_blank(F.col("_clean")), F.array(F.lit("Query is empty")))
-        .otherwise(balance_errors(F.col("_clean")))
+        .otherwise(once(without_comments(backend, raw), judge))
     )
-    return cleaned.withColumn("errors", errors).withColumn("is_valid", F.size("errors") == 0).drop("_clean")
+    return with_once(queries, errors=errors).withColumn("is_valid", F.size("errors") == 0)
 
 
 def lint_summary(linted: DataFrame, *by: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from nightglass.functions.text import stem
 from nightglass.operators.validate import part
+from nightglass.session import local_table
 
 
 def with_meta(rules: DataFrame, meta: DataFrame) -> DataFrame:
@@ -53,8 +54,8 @@ def page_name(path: Column) -> Column:
 
 def index_lines(rules: DataFrame, folder: str = "documentation/detections") -> DataFrame:
     """The index as ordered lines (section, key, line): one per page, in path order."""
-    heads = rules.sparkSession.createDataFrame(
-        [(0, "", "# Documentation Index"), (1, "", ""), (2, "", "## Detections")], "section int, key string, line string"
+    heads = local_table(
+        rules.sparkSession, [(0, "", "# Documentation Index"), (1, "", ""), (2, "", "## Detections")], "section int, key string, line string"
     )
     pages = rules.where(~F.col("path").endswith(".meta.yml")).select(
         F.lit(3).alias("section"), F.col("path").alias("key"), F.concat(F.lit(f"- {folder}/"), page_name(F.col("path"))).alias("line")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from nightglass.functions.text import capitalise, file_name
+from nightglass.session import local_table
 
 
 def category_of(path: Column, root: str = "sigma-rules") -> Column:
@@ -23,7 +24,7 @@ def converted_counts(spark, queries: DataFrame, backends=("splunk", "kql", "elas
     name = file_name(F.col("path"))
     real = queries.where(~name.endswith(".meta") & ~name.endswith(".error"))
     counts = real.groupBy("backend").agg(F.count("*").alias("n"))
-    wanted = spark.createDataFrame([(b,) for b in backends], "backend string")
+    wanted = local_table(spark, [(b,) for b in backends], "backend string")
     return wanted.join(counts, "backend", "left").select("backend", F.coalesce("n", F.lit(0).cast("bigint")).alias("converted"))
 
 
@@ -51,7 +52,7 @@ def report_lines(categories: DataFrame, covered: DataFrame) -> DataFrame:
         (0, "# Detection Coverage Report"), (1, ""), (2, "## Summary"), (3, ""),
         (6, ""), (7, "## Rules by Category"), (8, ""), (10, ""), (11, "## Conversion Status"), (12, ""),
     ]
-    fixed = spark.createDataFrame(heads, "section int, line string").select("section", F.lit("").alias("key"), "line")
+    fixed = local_table(spark, heads, "section int, line string").select("section", F.lit("").alias("key"), "line")
     summary = fixed.where("section = 0").select(
         F.lit(4).alias("section"), F.lit("").alias("key"), F.concat(F.lit("- **Total Rules**: "), total).alias("line")
     )

@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NumericType, StringType, StructType
 
-from nightglass.session import CONFIG_ROWS, collect_config, fits
+from nightglass.session import CONFIG_ROWS, collect_config, fits, local_table
 
 # Keys of a detection map that are not selections.
 RESERVED = ("condition", "timeframe")
@@ -55,7 +55,7 @@ class CompiledRule:
 def rules_table(spark: SparkSession, rules: Iterable[dict]) -> DataFrame:
     """Rules given as mappings, as (rule_id, rule_json)."""
     rows = [(str(r.get("id") or r.get("title")), json.dumps(r, default=str)) for r in rules]
-    return spark.createDataFrame(rows, "rule_id string, rule_json string")
+    return local_table(spark, rows, "rule_id string, rule_json string")
 
 
 def rule_predicates(rules: DataFrame) -> DataFrame:
@@ -320,6 +320,5 @@ def conversion_results(spark: SparkSession, compiled: list[CompiledRule], backen
             rows.append((rule.rule_id, backend, "skipped", "", "", "target not selected"))
         else:
             rows.append((rule.rule_id, backend, "success", rule.sql, "", ""))
-    return spark.createDataFrame(
-        rows, "rule_id string, backend string, status string, query string, error string, skipped_reason string"
-    )
+    schema = "rule_id string, backend string, status string, query string, error string, skipped_reason string"
+    return local_table(spark, rows, schema)

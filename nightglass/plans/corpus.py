@@ -8,7 +8,7 @@ from nightglass.functions.text import normalise_query, strip_markup_comments, st
 from nightglass.operators import conversion, lint, report, validate
 from nightglass.operators.indicators import field_values, match_contained
 from nightglass.plans import standins as st
-from nightglass.plans.registry import query, table
+from nightglass.plans.registry import query, spread_table, table
 from nightglass.sources.files import queries_of_run
 
 SP = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -24,7 +24,7 @@ def sql_lines(text: str, extra: str = "TRUE") -> str:
 
 
 def documents(spark, folder):
-    return table(spark, folder, "documents")
+    return spread_table(spark, folder, "documents")
 
 
 def joined(name: str, separator: str = " | "):
@@ -52,7 +52,7 @@ def query_normalise(spark, folder):
         md5(regexp_replace(regexp_replace(html || ' /* ' || url || ' */', '(?m)//.*?$', '', 'g'), '(?s)/\*.*?\*/', '', 'g')) AS slashes FROM pages""",
 )
 def lint_strip(spark, folder):
-    pages = table(spark, folder, "pages")
+    pages = spread_table(spark, folder, "pages")
     both = F.concat("html", F.lit(" /* "), "url", F.lit(" */"))
     return pages.select(
         "page_id", F.md5(strip_markup_comments(F.col("html"))).alias("markup"), F.md5(strip_slash_comments(both)).alias("slashes")

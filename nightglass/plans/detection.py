@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nightglass.functions.text import unescape
+from nightglass.functions.text import unescape, with_once
 from nightglass.operators import detect as d
 from nightglass.operators import expect, indicators
 from nightglass.operators.rules import Profile, compile_rules, conversion_results, rules_table
 from nightglass.plans.registry import query, table
+from nightglass.session import local_table
 
 
 def event_view(spark: SparkSession, folder: str) -> DataFrame:
     """Driver events under event field names. Only the columns a query uses are read."""
-    port = F.get_json_object("props", "$.k").try_cast("int")
-    return table(spark, folder, "events").select(
+    events = with_once(table(spark, folder, "events"), port=F.get_json_object("props", "$.k").try_cast("int"))
+    port = F.col("port")
+    return events.select(
         "event_id",
         "ts",
         F.col("event_type").alias("event.action"),
@@ -178,7 +180,7 @@ FIELD_MAP = [("named", "EventAction", "event.action"), ("named", "DstPort", "des
 )
 def detect_field_map(spark, folder):
     events = event_view(spark, folder)
-    field_map = spark.createDataFrame(FIELD_MAP, "profile string, rule_field string, event_field string")
+    field_map = local_table(spark, FIELD_MAP, "profile string, rule_field string, event_field string")
     docs = [rule("mapped", selection={"EventAction": "view", "DstPort": 12})]
     parts = []
     for profile in (Profile("named"), Profile("none")):
@@ -282,7 +284,7 @@ SQL_CHECK = f"""SELECT query_path, total_hits, error, error IS NULL AS passed FR
 def checked(spark, folder) -> DataFrame:
     counts = d.count_matches(*many(spark, folder))
     results = counts.select(F.concat(F.lit("output/spark/"), "rule_id", F.lit(".sql")).alias("query_path"), "total_hits")
-    expected = spark.createDataFrame(EXPECTED, "backend string, query_key string, min_rows bigint, max_rows bigint")
+    expected = local_table(spark, EXPECTED, "backend string, query_key string, min_rows bigint, max_rows bigint")
     return expect.check(results, expected)
 
 

@@ -8,12 +8,12 @@ from nightglass.functions.text import slug, snippet, text_lines
 from nightglass.operators import catalog, forms, pages
 from nightglass.plans import standins as st
 from nightglass.plans.corpus import is_list, js, jt, rules, sql_lines, sql_strip
-from nightglass.plans.registry import query, table
+from nightglass.plans.registry import query, spread_table, table
 from nightglass.sources import events as ev
 
 
 def documents(spark, folder):
-    return table(spark, folder, "documents")
+    return spread_table(spark, folder, "documents")
 
 
 # ---- pages ---------------------------------------------------------------------------------------

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from nightglass.functions.text import with_once
 from nightglass.functions.times import parse_offset_time
 from nightglass.operators import changelog as ch
 from nightglass.operators.pages import release_notes
 from nightglass.plans import standins as st
-from nightglass.plans.registry import query, table
+from nightglass.plans.registry import query, spread_table, table
 
 COMMIT_SHA = st.SHA.format("o_orderkey")
 SQL_AT = f"o_orderdate + CASE {st.OFFSET} WHEN '-04:00' THEN INTERVAL 240 MINUTE WHEN '+05:30' THEN INTERVAL (-330) MINUTE ELSE INTERVAL 0 MINUTE END"
@@ -32,16 +33,16 @@ def commit_scan(spark, folder):
     return ch.parse_commits(commits(spark, folder).select(line.alias("line")))
 
 
-FILES = f"""SELECT {st.SHA.format('l_orderkey')} AS commit, {st.FILE_CODE} AS code, {st.FILE_OLD} AS file, {st.FILE_NEW} AS new_file,
-  {st.FILE_DIFF} AS diff FROM lineitem"""
-RULE_FILE = "^sigma-rules/(.*/)?[^/]+[.](yml|yaml)$"
+FILE_COLUMNS = {"commit": st.SHA.format("l_orderkey"), "code": st.FILE_CODE, "file": st.FILE_OLD, "new_file": st.FILE_NEW, "diff": st.FILE_DIFF}
+FILES = "SELECT " + ", ".join(f"{v} AS {k}" for k, v in FILE_COLUMNS.items()) + " FROM lineitem"
+RULE_FILE = "^sigma-rules/.*/.*[.](yml|yaml)$"
 SQL_FILES = f"""SELECT commit, code, file, CASE WHEN starts_with(code, 'R') THEN new_file END AS new_file, diff FROM ({FILES})
   WHERE regexp_matches(file, '{RULE_FILE}') OR (starts_with(code, 'R') AND regexp_matches(new_file, '{RULE_FILE}'))"""
 
 
 def all_files(spark, folder):
-    table(spark, folder, "lineitem").createOrReplaceTempView("_lineitem_for_files")
-    return spark.sql(FILES.replace("FROM lineitem", "FROM _lineitem_for_files"))
+    columns = {name: F.expr(text) for name, text in FILE_COLUMNS.items()}
+    return with_once(spread_table(spark, folder, "lineitem"), **columns).select(*columns)
 
 
 def files(spark, folder):
@@ -76,7 +77,7 @@ DOC_DIFF = f"text || ({st.cases('doc_id', LINES + ['chr(10)'])}) || ({st.cases('
 
 @query("diff_classify", f"SELECT doc_id, array_to_string({sql_labels('diff')}, '; ') AS labels FROM (SELECT doc_id, {DOC_DIFF} AS diff FROM documents)")
 def diff_classify(spark, folder):
-    diffs = table(spark, folder, "documents").selectExpr("doc_id", f"{DOC_DIFF} AS diff")
+    diffs = spread_table(spark, folder, "documents").selectExpr("doc_id", f"{DOC_DIFF} AS diff")
     return diffs.select("doc_id", F.array_join(ch.diff_labels(F.col("diff")), "; ").alias("labels"))
 
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from nightglass.session import spread_out
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -25,3 +27,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table for queries that work long on each row: dealt over the cores if it is one small file."""
+    return spread_out(table(spark, folder, name))

@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from nightglass.functions.text import file_name, is_blank
-from nightglass.session import collect_config
+from nightglass.session import collect_config, local_table
 
 try:
     import yaml
@@ -115,7 +115,7 @@ def expectations_table(spark: SparkSession, document: object) -> DataFrame:
         for key, entry in (entries if isinstance(entries, dict) else {}).items():
             if entry:
                 rows.append((backend, key, entry.get("min"), entry.get("max"), entry.get("description")))
-    return spark.createDataFrame(rows, EXPECTATION_SCHEMA)
+    return local_table(spark, rows, EXPECTATION_SCHEMA)
 
 
 def read_expectations(spark: SparkSession, path: str) -> DataFrame:
@@ -123,7 +123,7 @@ def read_expectations(spark: SparkSession, path: str) -> DataFrame:
     try:
         parsed = parse_yaml(spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "text"))
     except AnalysisException:
-        return spark.createDataFrame([], EXPECTATION_SCHEMA)
+        return local_table(spark, [], EXPECTATION_SCHEMA)
     found = collect_config(parsed.select("rule_json"), "expectation files", 1)
     return expectations_table(spark, json.loads(found[0][0] or "null") if found else None)
 
