@@ -24,9 +24,24 @@ EXPECTATION_SCHEMA = "backend string, query_key string, min_rows bigint, max_row
 
 
 def read_texts(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """Whole files below a path whose names match a glob, as (path, text)."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    return reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    """Whole files below a path whose names match a glob, as (path, text). Empty files have the text ''."""
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    found = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    empty = _empty_files(spark, path, glob)
+    return found.unionByName(local_table(spark, empty, "path string, text string")) if empty else found
+
+
+def _empty_files(spark: SparkSession, path: str, glob: str) -> list[tuple]:
+    """Files of length 0, which Spark's file scans leave out, from the same kind of listing."""
+    fs_package = spark._jvm.org.apache.hadoop.fs
+    root, wanted = fs_package.Path(path), fs_package.GlobFilter(glob)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+    empty = []
+    while files.hasNext():
+        status = files.next()
+        if status.getLen() == 0 and wanted.accept(status.getPath()):
+            empty.append((status.getPath().toString(), ""))
+    return empty
 
 
 def relative_to(df: DataFrame, anchor: str) -> DataFrame:
@@ -100,7 +115,7 @@ def queries_of_run(manifests: DataFrame, listing: DataFrame, backend: str) -> Da
 def choose_queries(spark, *, query=None, manifests=None, folder=None, backend: str) -> DataFrame:
     """An explicit query file comes first, then a manifest, then the folder."""
     if query:
-        one = spark.read.option("wholetext", True).text(query)
+        one = spark.read.text(query, wholetext=True)
         return one.select(
             F.col("_metadata.file_path").alias("path"), F.lit(backend).alias("backend"), F.col("value").alias("query_text")
         )
@@ -121,7 +136,7 @@ def expectations_table(spark: SparkSession, document: object) -> DataFrame:
 def read_expectations(spark: SparkSession, path: str) -> DataFrame:
     """Expectations of a YAML file; a file that is not there gives none."""
     try:
-        parsed = parse_yaml(spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "text"))
+        parsed = parse_yaml(spark.read.text(path, wholetext=True).withColumnRenamed("value", "text"))
     except AnalysisException:
         return local_table(spark, [], EXPECTATION_SCHEMA)
     found = collect_config(parsed.select("rule_json"), "expectation files", 1)
