@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from nightglass.operators.rules import CompiledRule
+from nightglass.operators.rules import LOWERED, CompiledRule, all_text_sql, column
 from nightglass.session import local_table
 
 # Up to this many rules on this few columns, "any rule matches" also goes to the scan as a filter of
@@ -37,7 +37,12 @@ def detect(events: DataFrame, rules: list[CompiledRule], keep: list[str]) -> Dat
     if len(usable) <= PREFILTER_RULES and len({f for r in usable for f in r.fields}) <= PREFILTER_COLUMNS:
         events = events.where(any_of([F.expr(r.sql) for r in usable]))
     chunks = [usable[i : i + RULES_PER_ARRAY] for i in range(0, len(usable), RULES_PER_ARRAY)]
-    arrays = [F.array_compact(F.array(*[F.when(F.expr(r.sql), F.lit(r.rule_id)) for r in chunk])) for chunk in chunks]
+    schema = events.schema
+    shared = {f for r in usable for f in r.lowered}
+    lower = {LOWERED + f: F.lower(F.col(column(f)).cast("string")) if f else F.expr(all_text_sql(schema)) for f in sorted(shared)}
+    events = events.withColumns(lower) if lower else events
+    test = lambda r: F.expr(r.scan_sql or r.sql)
+    arrays = [F.array_compact(F.array(*[F.when(test(r), F.lit(r.rule_id)) for r in chunk])) for chunk in chunks]
     hits = arrays[0] if len(arrays) == 1 else F.concat(*arrays)
     return events.select(*kept, F.explode(hits).alias("rule_id"))
 

@@ -11,7 +11,7 @@ import ipaddress
 import json
 import re
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -34,20 +34,31 @@ class Profile:
     already hold lower-case text, so only the rule value is lowered and the test reaches the file scan.
     missing: `null` makes an absent field never match; `error` fails the rule.
     route: logsource part to (event column, {rule value: column value}); empty means no routing.
+    shared: set while compiling, to test helper columns instead of lowering each field in each rule.
     """
 
     name: str = "none"
     case: str = "insensitive"
     missing: str = "null"
     route: dict = field(default_factory=dict)
+    shared: bool = False
+
+
+# Prefix of the helper columns that hold an event field in lower case; the bare prefix holds all text.
+LOWERED = "_lower:"
 
 
 @dataclass(frozen=True)
 class CompiledRule:
+    """`sql` stands alone. `scan_sql` is the same test over helper columns that `lowered` names, so
+    that many rules share one lower-cased copy of a field."""
+
     rule_id: str
     sql: str
     error: str = ""
     fields: tuple = ()
+    scan_sql: str = ""
+    lowered: tuple = ()
     timeframe: str = ""
     targets: tuple | None = None
 
@@ -158,7 +169,8 @@ def _value_sql(name: str, kind, modifiers: list[str], value, profile: Profile) -
     exact = profile.case == "exact" or "cased" in modifiers
     if not exact:
         text = text.lower()
-        source = source if profile.case == "lowered" else f"lower({source})"
+        if profile.case != "lowered":
+            source = column(LOWERED + name) if profile.shared and kind is not None else f"lower({source})"
     match = next((m for m in TEXT_MATCHES if m in modifiers), "equals")
     if has_wildcard(text):
         pattern = like_pattern(text)
@@ -178,6 +190,12 @@ def _cidr_sql(source: str, text: str) -> str:
     return f"({shape} and {octets} between {int(net.network_address)} and {int(net.broadcast_address)})"
 
 
+def all_text_sql(schema: StructType) -> str:
+    """All text columns of an event in lower case, kept apart by a character that no keyword holds."""
+    texts = ", ".join(f"coalesce({column(f.name)}, '')" for f in schema.fields if isinstance(f.dataType, StringType))
+    return f"lower(concat_ws('\\u0001', {texts}))"
+
+
 def _item_sql(row, schema: StructType, profile: Profile) -> str:
     modifiers = [m.lower() for m in row["modifiers"]]
     unknown = [m for m in modifiers if m not in KNOWN_MODIFIERS]
@@ -185,8 +203,7 @@ def _item_sql(row, schema: StructType, profile: Profile) -> str:
         raise ValueError(f"unsupported modifier: {', '.join(unknown)}")
     kinds = {f.name: f.dataType for f in schema.fields}
     if row["field"] == "":
-        texts = ", ".join(f"coalesce({column(n)}, '')" for n, k in kinds.items() if isinstance(k, StringType))
-        haystack = f"lower(concat_ws('\\u0001', {texts}))"
+        haystack = column(LOWERED) if profile.shared else all_text_sql(schema)
         tests = [f"contains({haystack}, {quote(plain(v['text'] or '').lower())})" for v in row["values"]]
     else:
         kind = kinds.get(row["field"])
@@ -293,12 +310,13 @@ def compile_rules(rules: DataFrame, events: DataFrame, profile: Profile = Profil
     compiled = []
     for rule_id, text in sorted(tuple(r) for r in collect_config(rules.select("rule_id", "rule_json"), "rules")):
         rows = by_rule.get(rule_id, [])
-        sql, error, targets, timeframe = "", "", None, ""
+        sql, scan_sql, error, targets, timeframe = "", "", "", None, ""
         try:
             rule = json.loads(text) or {}
             targets = _targets(rule.get("conversion_targets"))
             timeframe = str((rule.get("detection") or {}).get("timeframe") or "")
             sql = _rule_sql(rule, rows, events.schema, profile)
+            scan_sql = _rule_sql(rule, rows, events.schema, replace(profile, shared=True))
             empty.where(F.expr(sql)).schema
         except AnalysisException as exc:
             sql, error = "", str(exc).strip().split("\n")[0]
@@ -306,7 +324,8 @@ def compile_rules(rules: DataFrame, events: DataFrame, profile: Profile = Profil
             sql, error = "", str(exc)
         named = {r["field"] for r in rows}
         used = tuple(c for c in events.columns if c in named or "" in named)
-        compiled.append(CompiledRule(rule_id, sql, error, used, timeframe, targets))
+        lowered = tuple(c for c in ("", *events.columns) if column(LOWERED + c) in scan_sql)
+        compiled.append(CompiledRule(rule_id, sql, error, used, scan_sql if sql else "", lowered, timeframe, targets))
     return compiled
 
 
