@@ -115,6 +115,11 @@ def in_range(commits: DataFrame, time: str, start: str | None = None, end: str |
     return commits
 
 
+def touching(commits: DataFrame, files: DataFrame) -> DataFrame:
+    """Commits that change a file of `files`. The commits of the files are made distinct map-side first."""
+    return commits.join(files.select("commit").distinct(), "commit", "left_semi")
+
+
 def with_bucket(changes: DataFrame, time: str, bucket: str) -> DataFrame:
     start = bucket_start(F.col(time), bucket)
     return changes.withColumn("bucket_start", start).withColumn("bucket_end", bucket_end(F.col("bucket_start"), bucket))

@@ -281,11 +281,16 @@ def is_changed_rule(path: Column, root: str = "sigma-rules/") -> Column:
     return path.startswith(root) & F.lower(path).rlike(r"\.(yml|yaml)$") & ~path.endswith(".meta.yml")
 
 
-def version_changes(base: DataFrame, current: DataFrame) -> DataFrame:
+def version_changes(base: DataFrame | None, current: DataFrame) -> DataFrame:
     """base(path, version) against current(path, version): state and, if wrong, a message.
 
     A version that is not given counts as 0.0.0. States: new, deleted, bumped, not bumped, unreadable.
+    Without a base to compare with, every rule is skipped.
     """
+    if base is None:
+        none = F.lit(None).cast("string")
+        version = F.coalesce("version", F.lit("0.0.0")).alias("current_version")
+        return current.select("path", none.alias("base_version"), version, F.lit("skipped").alias("state"), none.alias("error"))
     b = base.select("path", F.struct(F.coalesce("version", F.lit("0.0.0")).alias("v")).alias("b"))
     c = current.select("path", F.struct(F.coalesce("version", F.lit("0.0.0")).alias("v")).alias("c"))
     old, new = F.col("b.v"), F.col("c.v")

@@ -142,8 +142,7 @@ for _bucket in STEPS:
 def history_range(spark, folder):
     """Commits of a date range that touch a rule, newest first."""
     chosen = ch.in_range(commits(spark, folder), "at", "1996-01-01", "1997-12-31")
-    touching = chosen.join(files(spark, folder).select("commit"), "commit", "left_semi")
-    return touching.orderBy(F.col("at").desc(), "commit").select("commit", "datetime")
+    return ch.touching(chosen, files(spark, folder)).orderBy(F.col("at").desc(), "commit").select("commit", "datetime")
 
 
 URL = "https://git.example.org/rules"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from nightglass.functions.text import is_blank
+from nightglass.functions.text import is_blank, once, with_once
 
 CORRUPT = "_corrupt_record"
 
@@ -24,9 +24,8 @@ def stream_event_lines(spark: SparkSession, folder: str) -> DataFrame:
 def is_document(line: Column) -> Column:
     """True for a line that is exactly one JSON object."""
     wrapped = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]"))).try_cast("array<variant>")
-    one = F.size(wrapped) == 1
-    shape = F.schema_of_variant(F.get(wrapped, F.lit(0)))
-    return F.coalesce(one & shape.startswith("OBJECT"), F.lit(False)) & line.rlike(r"\}\s*\z")
+    single = lambda w: (F.size(w) == 1) & F.schema_of_variant(F.get(w, F.lit(0))).startswith("OBJECT")
+    return F.coalesce(once(wrapped, single), F.lit(False)) & line.rlike(r"\}\s*\z")
 
 
 def parse_events(lines: DataFrame, schema: str) -> DataFrame:
@@ -56,11 +55,9 @@ def read_events(spark: SparkSession, folder: str, schema: str) -> DataFrame:
 def parse_open_events(lines: DataFrame) -> DataFrame:
     """Without a schema: each document is one VARIANT column `doc`, and unknown fields are kept."""
     kept = [F.col(c) for c in lines.columns if c != "line"]
-    ok = is_document(F.col("line"))
-    doc = F.when(ok, F.try_parse_json("line"))
-    return lines.where(~is_blank(F.col("line"))).select(
-        *kept, ok.alias("ok"), doc.alias("doc"), F.when(~ok, F.col("line")).alias(CORRUPT)
-    )
+    judged = with_once(lines.where(~is_blank(F.col("line"))), ok=is_document(F.col("line")))
+    doc = F.when(F.col("ok"), F.try_parse_json("line"))
+    return judged.select(*kept, "ok", doc.alias("doc"), F.when(~F.col("ok"), F.col("line")).alias(CORRUPT))
 
 
 def field_of(doc: Column, name: str, kind: str = "string") -> Column:

@@ -109,7 +109,12 @@ def manifest_outputs(manifests: DataFrame, backend: str) -> DataFrame:
 
 def queries_of_run(manifests: DataFrame, listing: DataFrame, backend: str) -> DataFrame:
     """The listed queries that a run produced. Outputs that no longer exist drop out by themselves."""
-    return listing.join(manifest_outputs(manifests, backend), "path", "left_semi")
+    return listing.join(manifest_outputs(manifests, backend).distinct(), "path", "left_semi")
+
+
+def read_manifests(spark: SparkSession, path: str) -> DataFrame:
+    """Schema manifest files *.json below a path, as (path, text) for catalog.parse_manifests."""
+    return read_texts(spark, path, "*.json")
 
 
 def choose_queries(spark, *, query=None, manifests=None, folder=None, backend: str) -> DataFrame:

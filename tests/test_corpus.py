@@ -134,6 +134,11 @@ def test_versions(spark):
     }
 
 
+def test_versions_without_a_base(spark, rows):
+    now = spark.createDataFrame([("a", None), ("b", "1.0.0")], "path string, version string")
+    assert rows(validate.version_changes(None, now)) == [("a", None, "0.0.0", "skipped", None), ("b", None, "1.0.0", "skipped", None)]
+
+
 @pytest.mark.parametrize("path, want", [("sigma-rules/a/b.yml", True), ("sigma-rules/a/b.YAML", True), ("sigma-rules/a/b.meta.yml", False), ("docs/b.yml", False), ("sigma-rules/b.txt", False)])
 def test_changed_rule(value, path, want):
     assert value(validate.is_changed_rule(F.lit(path))) is want
