@@ -28,6 +28,38 @@ TECHNIQUE_PATTERN = r"^attack\.t\p{Nd}{4}(\.\p{Nd}{3})?$"
 WORD_PATTERN = r"[\p{L}\p{N}_'’-]+"
 TRANSIENT = (429, 503)
 
+# The texts that the checks report.
+SAY = {
+    "logsource_not_map": "logsource must be a dictionary",
+    "logsource_no_key": "logsource must have either 'category' or 'product'",
+    "detection_not_map": "detection must be a dictionary",
+    "no_condition_key": "detection must have 'condition'",
+    "no_selection": "detection must include at least one selection block",
+    "id_not_text": "id must be a string",
+    "id_not_uuid": "id should be a UUID format: ",
+    "yaml": "YAML parsing error: ",
+    "empty": "Rule file is empty",
+    "not_map": "Rule file must deserialize to a YAML mapping/object",
+    "missing": "Missing required metadata field: ",
+    "date": "date must be in YYYY/MM/DD or YYYY-MM-DD format",
+    "references_not_list": "references must be a list",
+    "tags_not_list": "tags must be a list",
+    "no_tactic": "tags must include at least one attack.* tag",
+    "no_technique": "tags must include at least one ATT&CK technique tag (attack.t####)",
+    "falsepositives_not_list": "falsepositives must be a list",
+    "version": "version must follow semantic versioning (e.g., 1.2.3)",
+    "targets_not_list": "conversion_targets must be a list",
+    "targets_unknown": "conversion_targets entries must be 'kql', 'splunk', and/or 'elasticsearch'",
+    "no_source": "logsource must include product, category, or service",
+    "no_condition": "detection must include a condition",
+    "no_falsepositives": "falsepositives must be populated with known benign scenarios",
+    "no_tags": "tags must include ATT&CK mappings and detection context",
+    "short_name": "Descriptive name must be at least 3 characters long",
+    "edge_underscore": "Descriptive name cannot start or end with underscore",
+    "double_underscore": "Descriptive name cannot contain consecutive underscores",
+    "name_pattern": "' does not match pattern: <category>_<descriptive_name>.yml\n  Example: endpoint_suspicious_powershell.yml",
+}
+
 # Fixed values: (field, required, type, least length) of the two document contracts.
 RULE_CONTRACT = (
     ("title", True, "string", 3),
@@ -113,7 +145,7 @@ def naming_errors(path: Column) -> Column:
     rest = F.regexp_extract(name, NAME_PATTERN, 2)
     off = F.concat(
         F.lit("Filename '"), name,
-        F.lit("' does not match pattern: <category>_<descriptive_name>.yml\n  Example: endpoint_suspicious_powershell.yml"),
+        F.lit(SAY["name_pattern"]),
     )
     folder = parent_name(path)
     wrong_folder = F.concat(F.lit("Category '"), category, F.lit("' in filename does not match directory '"), folder, F.lit("'"))
@@ -121,9 +153,9 @@ def naming_errors(path: Column) -> Column:
     found = collect_errors(
         (category != folder, wrong_folder),
         (~category.isin(*CATEGORIES), wrong_category),
-        (F.length(rest) < 3, "Descriptive name must be at least 3 characters long"),
-        (rest.startswith("_") | rest.endswith("_"), "Descriptive name cannot start or end with underscore"),
-        (rest.contains("__"), "Descriptive name cannot contain consecutive underscores"),
+        (F.length(rest) < 3, SAY["short_name"]),
+        (rest.startswith("_") | rest.endswith("_"), SAY["edge_underscore"]),
+        (rest.contains("__"), SAY["double_underscore"]),
     )
     return F.when(~name.rlike(NAME_PATTERN), F.array(off)).otherwise(found)
 
@@ -138,18 +170,18 @@ def structure_errors(doc: Column, error: Column) -> Column:
     no_key = ~(_has(log_keys, "category") | _has(log_keys, "product") | _has(log_keys, "service"))
     bad_id = (F.length(rule_id) != 36) | (F.regexp_count(rule_id, F.lit("-")) != 4)
     found = collect_errors(
-        (log_kind.isNotNull() & ~is_object(log_kind), "logsource must be a dictionary"),
-        (is_object(log_kind) & no_key, "logsource must have either 'category' or 'product'"),
-        (det_kind.isNotNull() & ~is_object(det_kind), "detection must be a dictionary"),
-        (is_object(det_kind) & ~_has(det_keys, "condition"), "detection must have 'condition'"),
-        (is_object(det_kind) & (F.size(_selections(doc)) == 0), "detection must include at least one selection block"),
-        (id_kind.isNotNull() & (id_kind != "STRING"), "id must be a string"),
-        ((id_kind == "STRING") & bad_id, F.concat(F.lit("id should be a UUID format: "), rule_id)),
+        (log_kind.isNotNull() & ~is_object(log_kind), SAY["logsource_not_map"]),
+        (is_object(log_kind) & no_key, SAY["logsource_no_key"]),
+        (det_kind.isNotNull() & ~is_object(det_kind), SAY["detection_not_map"]),
+        (is_object(det_kind) & ~_has(det_keys, "condition"), SAY["no_condition_key"]),
+        (is_object(det_kind) & (F.size(_selections(doc)) == 0), SAY["no_selection"]),
+        (id_kind.isNotNull() & (id_kind != "STRING"), SAY["id_not_text"]),
+        ((id_kind == "STRING") & bad_id, F.concat(F.lit(SAY["id_not_uuid"]), rule_id)),
     )
     return (
-        F.when(error.isNotNull(), F.array(F.concat(F.lit("YAML parsing error: "), error)))
-        .when(~truthy(doc), F.array(F.lit("Rule file is empty")))
-        .when(~is_object(root), F.array(F.lit("Rule file must deserialize to a YAML mapping/object")))
+        F.when(error.isNotNull(), F.array(F.concat(F.lit(SAY["yaml"]), error)))
+        .when(~truthy(doc), F.array(F.lit(SAY["empty"])))
+        .when(~is_object(root), F.array(F.lit(SAY["not_map"])))
         .otherwise(found)
     )
 
@@ -157,7 +189,7 @@ def structure_errors(doc: Column, error: Column) -> Column:
 def metadata_errors(doc: Column) -> Column:
     """Required keys by presence, then values of keys that are not empty."""
     missing = F.array_except(F.array(*[F.lit(n) for n in REQUIRED]), F.coalesce(keys(doc), F.array().cast("array<string>")))
-    missing = F.transform(missing, lambda n: F.concat(F.lit("Missing required metadata field: "), n))
+    missing = F.transform(missing, lambda n: F.concat(F.lit(SAY["missing"]), n))
     filled = lambda n: truthy(part(doc, n))
     given = lambda n: kind(doc, n).isNotNull() & (kind(doc, n) != "VOID")
     items = lambda n: F.try_variant_get(doc, f"$.{n}", "array<string>")
@@ -168,17 +200,17 @@ def metadata_errors(doc: Column) -> Column:
     found = collect_errors(
         (filled("status") & ~text(doc, "status").isin(*STATUSES), f"status must be one of: {', '.join(STATUSES)}"),
         (filled("level") & ~text(doc, "level").isin(*LEVELS), f"level must be one of: {', '.join(LEVELS)}"),
-        (filled("date") & ~text(doc, "date").rlike(DATE_PATTERN), "date must be in YYYY/MM/DD or YYYY-MM-DD format"),
-        (given("references") & ~is_list(kind(doc, "references")), "references must be a list"),
-        (given("tags") & ~is_list(kind(doc, "tags")), "tags must be a list"),
-        (is_list(kind(doc, "tags")) & ~has_tactic, "tags must include at least one attack.* tag"),
-        (is_list(kind(doc, "tags")) & ~has_technique, "tags must include at least one ATT&CK technique tag (attack.t####)"),
-        (given("falsepositives") & ~is_list(kind(doc, "falsepositives")), "falsepositives must be a list"),
-        (filled("version") & ~text(doc, "version").rlike(VERSION_PATTERN), "version must follow semantic versioning (e.g., 1.2.3)"),
-        (given("conversion_targets") & ~is_list(kind(doc, "conversion_targets")), "conversion_targets must be a list"),
+        (filled("date") & ~text(doc, "date").rlike(DATE_PATTERN), SAY["date"]),
+        (given("references") & ~is_list(kind(doc, "references")), SAY["references_not_list"]),
+        (given("tags") & ~is_list(kind(doc, "tags")), SAY["tags_not_list"]),
+        (is_list(kind(doc, "tags")) & ~has_tactic, SAY["no_tactic"]),
+        (is_list(kind(doc, "tags")) & ~has_technique, SAY["no_technique"]),
+        (given("falsepositives") & ~is_list(kind(doc, "falsepositives")), SAY["falsepositives_not_list"]),
+        (filled("version") & ~text(doc, "version").rlike(VERSION_PATTERN), SAY["version"]),
+        (given("conversion_targets") & ~is_list(kind(doc, "conversion_targets")), SAY["targets_not_list"]),
         (
             is_list(kind(doc, "conversion_targets")) & ~F.forall(items("conversion_targets"), known),
-            "conversion_targets entries must be 'kql', 'splunk', and/or 'elasticsearch'",
+            SAY["targets_unknown"],
         ),
     )
     return F.concat(missing, found)
@@ -190,13 +222,13 @@ def quality_errors(doc: Column) -> Column:
     log_ok, det_ok = is_object(kind(doc, "logsource")), is_object(kind(doc, "detection"))
     any_source = filled("logsource", "product") | filled("logsource", "category") | filled("logsource", "service")
     return collect_errors(
-        (~log_ok, "logsource must be a dictionary"),
-        (log_ok & ~any_source, "logsource must include product, category, or service"),
-        (~det_ok, "detection must be a dictionary"),
-        (det_ok & (F.size(_selections(doc)) == 0), "detection must include at least one selection block"),
-        (det_ok & ~filled("detection", "condition"), "detection must include a condition"),
-        (~truthy(part(doc, "falsepositives")), "falsepositives must be populated with known benign scenarios"),
-        (~truthy(part(doc, "tags")), "tags must include ATT&CK mappings and detection context"),
+        (~log_ok, SAY["logsource_not_map"]),
+        (log_ok & ~any_source, SAY["no_source"]),
+        (~det_ok, SAY["detection_not_map"]),
+        (det_ok & (F.size(_selections(doc)) == 0), SAY["no_selection"]),
+        (det_ok & ~filled("detection", "condition"), SAY["no_condition"]),
+        (~truthy(part(doc, "falsepositives")), SAY["no_falsepositives"]),
+        (~truthy(part(doc, "tags")), SAY["no_tags"]),
     )
 
 

@@ -7,7 +7,7 @@ from nightglass.operators import catalog, forms, report, validate
 from nightglass.operators.conversion import any_target, rule_id
 
 GOOD = {
-    "title": "Odd Query", "id": "1cbbeaaf-3c8c-4e4c-9d72-49485b6a176b", "status": "test", "description": "Finds an odd query",
+    "title": "Odd Query", "id": "7d0f2b1c-55aa-4c1e-8f6e-2a9b3c4d5e6f", "status": "test", "description": "Finds an odd query",
     "author": "me", "date": "2024-01-05", "references": ["https://a.example"], "tags": ["attack.exfiltration", "attack.T1567.002"],
     "logsource": {"product": "windows", "category": "dns_query"}, "detection": {"selection": {"a": "b"}, "condition": "selection"},
     "level": "low", "falsepositives": ["known"], "version": "1.0.0",
