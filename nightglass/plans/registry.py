@@ -26,6 +26,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A driver table. All times here are UTC, so the session is set to it."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

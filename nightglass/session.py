@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -108,7 +108,9 @@ def salted_join(big: DataFrame, side: DataFrame, keys: list[str], how: str, spre
         return big.join(side, keys, how)
     fields = [big.schema[k] for k in keys]
     marked = big.sparkSession.createDataFrame(hot, StructType(fields)).withColumn("_hot", F.lit(True))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")).otherwise(0)
+    # A NULL key meets no row of the side, so such rows may go anywhere.
+    loose = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.coalesce("_hot", F.lit(False)))
+    salt = F.when(loose, F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")).otherwise(0)
     salted = big.join(F.broadcast(marked), keys, "left").withColumn("_salt", salt).drop("_hot")
     every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     copies = side.join(F.broadcast(marked), keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")

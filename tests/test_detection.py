@@ -233,10 +233,13 @@ def test_equal_with_a_hot_value(spark, rows, monkeypatch):
 def test_salted_left_join_keeps_unmatched_rows(spark, rows, monkeypatch):
     monkeypatch.setattr(session, "fits", lambda df: False)
     monkeypatch.setattr(session, "HOT_ROWS", 5)
-    big = spark.createDataFrame([(i, "h" if i < 10 else None if i == 10 else "c") for i in range(12)], "id int, k string")
-    side = spark.createDataFrame([("h", 1)], "k string, v int")
+    big = spark.createDataFrame([(i, "h" if i < 10 else None if i < 20 else "c") for i in range(22)], "id int, k string")
+    side = spark.createDataFrame([("h", 1), ("h", 2), (None, 3)], "k string, v int")
     got = rows(session.salted_join(big, side, ["k"], "left", ["id"]).select("id", "v"))
-    assert got == sorted([(i, 1 if i < 10 else None) for i in range(12)], key=repr)
+    assert got == sorted([(i, v) for i in range(10) for v in (1, 2)] + [(i, None) for i in range(10, 22)], key=repr)
+    kept = rows(session.salted_join(big, side, ["k"], "left_anti", ["id"]).select("id"))
+    assert kept == sorted([(i,) for i in range(10, 22)], key=repr)
+    assert session.salted_join(big, side, ["k"], "left_semi", ["id"]).count() == 10
 
 
 def test_size_check(spark):
