@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from nightglass.functions.text import file_name, present
+from nightglass.functions.text import file_name, is_blank
 from nightglass.operators.detect import count_matches, row_counts
 from nightglass.operators.rules import CompiledRule
 from nightglass.session import CONFIG_ROWS, fits, local_table
@@ -35,8 +35,13 @@ def expectation_error(expected: Column, row_count: Column) -> Column:
     return F.when(expected.isNotNull(), missed)
 
 
-def check(results: DataFrame, expectations: DataFrame) -> DataFrame:
-    """results(query_path, total_hits, ..) with `error` and `passed`."""
+def check(results: DataFrame, expectations: DataFrame, backend: str | None = None) -> DataFrame:
+    """results(query_path, total_hits, ..) with `error` and `passed`, by the expectations of one back end.
+
+    A key may stand once per back end, so name the back end when the table holds several.
+    """
+    if backend is not None:
+        expectations = expectations.where(F.col("backend") == backend)
     found = find_expectation(results, expectations)
     error = expectation_error(F.col("expected"), F.col("total_hits"))
     return found.withColumn("error", error).withColumn("passed", F.col("error").isNull()).drop("expected")
@@ -92,8 +97,7 @@ def run_summary(checks: DataFrame, *by: str) -> DataFrame:
 
 def refuse_empty(queries: DataFrame, text: str = "query_text") -> DataFrame:
     """Adds `error` to a query without text, so that it counts as a failure."""
-    empty = ~present(F.regexp_replace(text, r"\s", ""))
-    return queries.withColumn("error", F.when(empty, "Query file is empty"))
+    return queries.withColumn("error", F.when(is_blank(F.col(text)), "Query file is empty"))
 
 
 def stage_record(stages: DataFrame) -> DataFrame:

@@ -285,7 +285,7 @@ def checked(spark, folder) -> DataFrame:
     counts = d.count_matches(*many(spark, folder))
     results = counts.select(F.concat(F.lit("output/spark/"), "rule_id", F.lit(".sql")).alias("query_path"), "total_hits")
     expected = local_table(spark, EXPECTED, "backend string, query_key string, min_rows bigint, max_rows bigint")
-    return expect.check(results, expected)
+    return expect.check(results, expected, "spark")
 
 
 @query("expectation_check", SQL_CHECK)
