@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nightglass.llm import chat, decontam, quality
+from nightglass.llm import chat, decontam, pii, quality, secrets
 from nightglass.llm.common import table
 from nightglass.llm.oracle import ORACLE  # noqa: F401
 
@@ -38,3 +38,13 @@ def op7(spark, folder):
 @query("op8_chat")
 def op8(spark, folder):
     return chat.chat_digest(chat.format_chats(chat.with_conflict(spark, table(spark, folder, "conversations"))))
+
+
+@query("op9_secrets")
+def op9(spark, folder):
+    return secrets.find_secrets(table(spark, folder, "documents"))
+
+
+@query("op4_pii")
+def op4(spark, folder):
+    return pii.report(table(spark, folder, "documents"))
