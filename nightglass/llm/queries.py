@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nightglass.llm import chat, decontam, pii, quality, secrets
+from nightglass.llm import bagminhash, chat, decontam, mixing, pii, quality, secrets, sharding
 from nightglass.llm.common import table
 from nightglass.llm.oracle import ORACLE  # noqa: F401
 
@@ -48,3 +48,18 @@ def op9(spark, folder):
 @query("op4_pii")
 def op4(spark, folder):
     return pii.report(table(spark, folder, "documents"))
+
+
+@query("op3_sharding")
+def op3(spark, folder):
+    return sharding.assign(table(spark, folder, "documents"))
+
+
+@query("op5_mixing")
+def op5(spark, folder):
+    return mixing.schedule(table(spark, folder, "documents"))
+
+
+@query("op10_bagminhash")
+def op10(spark, folder):
+    return bagminhash.near_duplicates(table(spark, folder, "documents"))
