@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nightglass.llm import bagminhash, chat, decontam, mixing, pii, quality, secrets, sharding
+from nightglass.llm import bagminhash, chat, decontam, mixing, pii, quality, secrets, sharding, suffix
 from nightglass.llm.common import table
 from nightglass.llm.oracle import ORACLE  # noqa: F401
 
@@ -63,3 +63,8 @@ def op5(spark, folder):
 @query("op10_bagminhash")
 def op10(spark, folder):
     return bagminhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op6_suffix")
+def op6(spark, folder):
+    return suffix.remove_repeats(table(spark, folder, "documents"))
