@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nightglass.llm import bagminhash, chat, decontam, mixing, pii, quality, secrets, sharding, suffix
+from nightglass.llm import bagminhash, chat, decontam, license, mixing, pii, quality, secrets, sharding, suffix
 from nightglass.llm.common import table
 from nightglass.llm.oracle import ORACLE  # noqa: F401
 
@@ -68,3 +68,8 @@ def op10(spark, folder):
 @query("op6_suffix")
 def op6(spark, folder):
     return suffix.remove_repeats(table(spark, folder, "documents"))
+
+
+@query("op1_license")
+def op1(spark, folder):
+    return license.scan(table(spark, folder, "documents"))
