@@ -25,9 +25,10 @@ def keyed_texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def same_row(a: DataFrame, b: DataFrame) -> Column:
-    """Join condition on (doc_id, key) that also matches null ids."""
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["key"] == b["key"])
+def join_rows(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
+    """left joined with right on (doc_id, key), null ids matching each other; right's copies of both are dropped."""
+    named = right.withColumnsRenamed({"doc_id": "_doc_id", "key": "_key"})
+    return left.join(named, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("key") == F.col("_key")), how).drop("_doc_id", "_key")
 
 
 def write_out(df: DataFrame, name: str) -> DataFrame:
@@ -61,3 +62,23 @@ def ranked(df: DataFrame, groups: list[str], block: Column, order: list[Column],
         on = same if on is None else on & same
     joined = numbered.join(starts.alias("b"), on)
     return joined.select(*[F.col(f"a.{c}") for c in df.columns], (F.col("b._start") + F.col("a._in")).cast("long").alias(name))
+
+
+def attach(docs: DataFrame, values: DataFrame, names: list[str]) -> DataFrame:
+    """(row, names) for every row of docs, from values(doc_id, key, names), which has one row per row of docs.
+
+    Rows that repeat each other share doc_id and key and take their values in turn. The texts are shuffled once: the
+    join and the numbering of repeats use the same partitioning.
+    """
+    same = ["_key", "_id", "_none"]
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.withColumn("_key", F.col("key")).withColumn("_id", F.coalesce("doc_id", F.lit(0))).withColumn("_none", F.col("doc_id").isNull()).drop("doc_id", "key")
+
+    text = F.coalesce("row.text", F.lit(""))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = named(rows.select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64(text, F.octet_length(text)).alias("key")))
+    lists = named(values).groupBy(*same).agg(F.sort_array(F.collect_list(F.struct(*names))).alias("_list"))
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0)))
+    joined = rows.join(lists, same).withColumn("_value", F.element_at("_list", nth))
+    return joined.select("row", *[F.col(f"_value.{n}").alias(n) for n in names])

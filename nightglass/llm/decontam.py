@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from nightglass.llm.common import keyed_texts, same_row
+from nightglass.llm.common import join_rows, keyed_texts
 
 WIDTH = 13
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -83,8 +83,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     all_docs = texts.select("doc_id", "key", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"))
     ids = F.array_sort(F.transform(F.coalesce("items", F.array().cast("array<bigint>")), lambda x: x.cast("string")))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return all_docs.join(hits, same_row(all_docs, hits), "left").select(
-        all_docs["doc_id"],
+    return join_rows(all_docs, hits).select(
+        "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
         F.size(ids).cast("long").alias("n_items"),
@@ -102,7 +102,7 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "row", F.col("row.doc_id").cast("long").alias("doc_id"), F.coalesce("row.text", F.lit("")).alias("text")
     ).withColumn("key", F.xxhash64("text", F.octet_length("text")))
     bad = hits.select("doc_id", "key", hit_words(F.col("spans")).alias("n_hit"))
-    joined = marked.join(bad, same_row(marked, bad), "left")
+    joined = join_rows(marked, bad)
     dirty = F.coalesce("n_hit", F.lit(0)) * 20 >= F.regexp_count("text", F.lit(WORD))
     return joined.where(F.col("n_hit").isNull() | ~dirty).select("row.*")
 
@@ -111,9 +111,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, text) of every row with all hit words, and what separates them from the next word, cut out."""
     texts = keyed_texts(docs)
     hits = document_hits(texts, benchmark)
-    joined = texts.join(hits, same_row(texts, hits), "left")
+    joined = join_rows(texts, hits)
     covered = lambda i: F.exists("spans", lambda s: (s["pos"] <= i + 1) & (i + 1 < s["pos"] + s["len"]))
     pieces = F.regexp_extract_all("text", F.lit(f"{WORD}{GAP}*"), F.lit(0))
     kept = F.array_join(F.filter(pieces, lambda _, i: ~covered(i)), "")
     cut = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.concat(F.regexp_extract("text", f"^{GAP}*", 0), kept))
-    return joined.select(texts["doc_id"], cut.alias("text"))
+    return joined.select("doc_id", cut.alias("text"))

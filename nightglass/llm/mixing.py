@@ -33,7 +33,7 @@ def shares(weights: dict, period: int) -> dict:
     for s in by_rest[: max(0, period - sum(slots.values()))]:
         slots[s] += 1
     while sum(slots.values()) > period:
-        slots[max(slots, key=lambda s: (slots[s] - exact[s], slots[s]))] -= 1
+        slots[max((s for s in slots if slots[s] > 1), key=lambda s: (slots[s] - exact[s], slots[s]))] -= 1
     return slots
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from nightglass.llm.common import keyed_texts, write_out
+from nightglass.llm.common import join_rows, keyed_texts, write_out
 from nightglass.llm.spans import SPAN, Kind, listed, with_spans
 
 DIGITS = r"[^0-9]"
@@ -110,9 +110,7 @@ def find_personal(docs: DataFrame) -> DataFrame:
     action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
     span = F.struct("start", F.lit(len(BASE)).alias("rank"), "end", F.lit("term").alias("kind"), action.alias("value"))
     extra = terms.join(revealing, ["entity", "term"]).groupBy("doc_id", "key").agg(F.collect_set(span).cast(SPAN).alias("s_term"))
-    a, b = scanned.drop("near").alias("a"), extra.alias("b")
-    on = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.key") == F.col("b.key"))
-    return a.join(b, on, "left").select("a.*", F.coalesce("b.s_term", F.array().cast(SPAN)).alias("s_term"))
+    return join_rows(scanned.drop("near"), extra).withColumn("s_term", F.coalesce("s_term", F.array().cast(SPAN)))
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -133,16 +131,14 @@ def sanitise(docs: DataFrame) -> DataFrame:
 
     Of overlapping spans the one that starts first goes whole, the rest of the others goes with it.
     """
-    texts, found = keyed_texts(docs).alias("t"), find_personal(docs).dropDuplicates(["doc_id", "key"])
-    spans = found.select("doc_id", "key", F.sort_array(F.concat(*[F.col(f"s_{k.name}") for k in BASE], F.col("s_term"))).alias("all")).alias("f")
-    on = F.col("t.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("t.key") == F.col("f.key"))
+    texts, found = keyed_texts(docs), find_personal(docs).dropDuplicates(["doc_id", "key"])
+    spans = found.select("doc_id", "key", F.sort_array(F.concat(*[F.col(f"s_{k.name}") for k in BASE], F.col("s_term"))).alias("all"))
     label = lambda s: F.when(s["value"] == "remove", "").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        piece = F.when(s["start"] >= acc["at"], F.concat(F.substring(F.col("t.text"), acc["at"] + 1, s["start"] - acc["at"]), label(s))).otherwise("")
+        piece = F.when(s["start"] >= acc["at"], F.concat(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), label(s))).otherwise("")
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(piece)).alias("out"))
 
-    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("t.text"), acc["at"] + 1, F.char_length(F.col("t.text"))))
-    joined = texts.join(spans, on, "left")
-    return joined.select("t.doc_id", F.when(F.size("f.all") > 0, F.aggregate("f.all", start, step, rest)).otherwise(F.col("t.text")).alias("text"))
+    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("text"), acc["at"] + 1, F.char_length(F.col("text"))))
+    return join_rows(texts, spans).select("doc_id", F.when(F.size("all") > 0, F.aggregate("all", start, step, rest)).otherwise(F.col("text")).alias("text"))

@@ -52,7 +52,7 @@ def op4(spark, folder):
 
 @query("op3_sharding")
 def op3(spark, folder):
-    return sharding.assign(table(spark, folder, "documents"))
+    return sharding.assign(table(spark, folder, "documents")).drop("key")
 
 
 @query("op5_mixing")

@@ -10,17 +10,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from nightglass.llm.common import blocks_for, ranked, write_out
+from nightglass.llm.common import attach, blocks_for, keyed_texts, ranked, write_out
 
 SHARDS = 16
-ROUNDS = 4
-# A shard may hold this much more than its share between rounds; the last step brings it back.
-SLACK = 1.05
+ROUNDS = 6
 
 
-def documents_state(docs: DataFrame, keep: list[Column]) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(*keep, F.col("doc_id").alias("_id"), F.octet_length(text).cast("long").alias("_bytes"), F.crc32(text.cast("binary")).alias("_crc"), F.xxhash64(text, F.crc32(text.cast("binary"))).alias("_link"))
+def documents_state(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, bytes, crc, linked) per row; key names the text, so rows with equal texts share it."""
+    texts = keyed_texts(docs).select("doc_id", "key", F.octet_length("text").cast("long").alias("bytes"), F.crc32(F.col("text").cast("binary")).alias("crc"))
+    links = texts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("linked"))
+    return texts.join(links, "key", "left").select("doc_id", "key", "bytes", "crc", F.coalesce("linked", F.lit(False)).alias("linked"))
 
 
 def fair_shares(rows: int, held: list[int]) -> list[int]:
@@ -37,27 +37,31 @@ def by_shard(state: DataFrame, shards: int) -> list[int]:
     return held
 
 
-def propagate(state: DataFrame, shards: int, rounds: int) -> DataFrame:
-    """Labels after `rounds` rounds of moves within quotas. Groups larger than a shard settle on several."""
+def propagate(state: DataFrame, quota: int, shards: int, rounds: int) -> DataFrame:
+    """Labels of linked rows after `rounds` rounds of moves within quotas.
+
+    Unlinked rows can be displaced later, so a shard has room for as many linked rows as its share of all rows.
+    A group larger than that settles on several shards.
+    """
     for turn in range(rounds):
-        held = by_shard(state, shards)
-        quota = -(-sum(held) // shards)
-        counts = state.groupBy("_link", "shard").agg(F.count("*").alias("n"))
-        homes = counts.groupBy("_link").agg(F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("n", F.xxhash64("_link", "shard").alias("tie"), "shard")), asc=False).alias("places")).where(F.col("total") > 1)
-        wanted = F.ceil(F.col("total") / F.lit(max(quota, 1))).cast("int")
-        mains = homes.select("_link", F.transform(F.slice("places", 1, wanted), lambda p: p["shard"]).alias("mains"))
-        choice = F.element_at("mains", (F.pmod(F.xxhash64("_id", "_crc", F.lit(turn)), F.size("mains")) + 1).cast("int"))
-        target = F.when(F.col("mains").isNull() | F.array_contains("mains", F.col("shard")), F.col("shard")).otherwise(choice)
-        asked = state.join(mains, "_link", "left").withColumn("target", target).drop("mains")
+        counts = state.groupBy("key", "shard").agg(F.count("*").alias("n"))
+        places = F.sort_array(F.collect_list(F.struct("n", F.xxhash64("key", "shard").alias("tie"), "shard")), asc=False)
+        homes = counts.groupBy("key").agg(F.sum("n").alias("total"), places.alias("places"))
+        whole = F.ceil(F.col("total") / F.lit(max(quota, 1))).cast("int")
+        wanted = F.when(whole > 1, whole + 1).otherwise(1)
+        mains = homes.select("key", F.transform(F.slice("places", 1, wanted), lambda p: p["shard"]).alias("mains"))
+        choice = F.element_at("mains", (F.pmod(F.xxhash64("doc_id", "key", F.lit(turn)), F.size("mains")) + 1).cast("int"))
+        target = F.when(F.array_contains("mains", F.col("shard")), F.col("shard")).otherwise(choice)
+        asked = state.join(mains, "key").withColumn("target", target).drop("mains")
         # At most shards * shards counts reach the driver, where the quotas are set.
-        moves = {(r["shard"], r["target"]): r["n"] for r in asked.where("shard <> target").groupBy("shard", "target").agg(F.count("*").alias("n")).collect()}
+        flows = {(r["shard"], r["target"]): r["n"] for r in asked.groupBy("shard", "target").agg(F.count("*").alias("n")).collect()}
+        moves = {k: n for k, n in flows.items() if k[0] != k[1]}
         if not moves:
             break
-        leaving = [sum(n for (a, _), n in moves.items() if a == s) for s in range(shards)]
+        staying = [flows.get((s, s), 0) for s in range(shards)]
         coming = [sum(n for (_, b), n in moves.items() if b == s) for s in range(shards)]
-        room = [max(0.0, quota * SLACK - held[s] + leaving[s]) for s in range(shards)]
-        rate = [min(1.0, room[s] / coming[s]) if coming[s] else 0.0 for s in range(shards)]
-        luck = F.pmod(F.xxhash64("_id", "_crc", F.lit(turn + 1000)), F.lit(1_000_000)) / 1_000_000
+        rate = [min(1.0, max(0, quota - staying[s]) / coming[s]) if coming[s] else 0.0 for s in range(shards)]
+        luck = F.pmod(F.xxhash64("doc_id", "key", F.lit(turn + 1000)), F.lit(1_000_000)) / 1_000_000
         allowed = F.element_at(F.array(*[F.lit(float(x)) for x in rate]), F.col("target") + 1)
         state = write_out(asked.withColumn("shard", F.when(luck < allowed, F.col("target")).otherwise(F.col("shard"))).drop("target"), "shard-round")
     return state
@@ -82,31 +86,34 @@ def even_out(state: DataFrame, shards: int) -> DataFrame:
     if not any(excess):
         return state
     count = blocks_for(max(held))
-    linked = state.groupBy("_link").agg(F.count("*").alias("_n")).where("_n > 1").select("_link", F.lit(count).alias("_far"))
-    marked = state.join(linked, "_link", "left")
-    block = F.coalesce("_far", F.lit(0)) + F.pmod(F.xxhash64("_id", "_crc"), F.lit(count))
-    order = ranked(marked, ["shard"], block, [F.col("_id"), F.col("_crc"), F.col("_bytes")], "_at").drop("_far")
+    block = F.when(F.col("linked"), count).otherwise(0) + F.pmod(F.xxhash64("doc_id", "key"), F.lit(count))
+    order = ranked(state, ["shard"], block, [F.col("doc_id"), F.col("key")], "_at")
     before = [sum(excess[:s]) for s in range(shards)]
     leaves = F.col("_at") < F.element_at(F.array(*[F.lit(x) for x in excess]), F.col("shard") + 1)
     index = F.col("_at") + F.element_at(F.array(*[F.lit(x) for x in before]), F.col("shard") + 1)
     return order.withColumn("shard", F.when(leaves, starting_at(index, lacking)).otherwise(F.col("shard")).cast("int")).drop("_at")
 
 
-def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, keep: list[Column] | None = None) -> DataFrame:
-    """Per row of docs: doc_id (or kept columns), size, text_crc32, law, shard, slot, grown_shard.
+def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+    """(doc_id, key, size, text_crc32, law, shard, slot, grown_shard) per row of docs.
 
     Law `rows`: any two shards differ by one row at most. Null texts count as empty, and link like equal texts do.
-    Null ids and repeated rows are rows like any other. A group of equal texts larger than a shard fills
-    several.
+    Null ids and repeated rows are rows like any other. A group of equal texts larger than a shard fills several.
     """
-    keep = [F.col("doc_id")] if keep is None else keep
-    start = documents_state(docs, keep)
-    first = F.pmod(F.xxhash64("_id", "_crc", "_bytes"), F.lit(shards)).cast("int")
-    state = write_out(start.withColumn("shard", first), "shard-start")
-    even = write_out(even_out(propagate(state, shards, rounds), shards), "shard-even")
-    block = F.pmod(F.xxhash64("_id"), F.lit(blocks_for(max(by_shard(even, shards)))))
-    slotted = ranked(even, ["shard"], block, [F.col("_id"), F.col("_crc"), F.col("_bytes")], "slot")
-    own = [c for c in even.columns if c not in ("_id", "_bytes", "_crc", "_link", "shard")]
+    first = F.pmod(F.xxhash64("doc_id", "key"), F.lit(shards)).cast("int")
+    start = write_out(documents_state(docs).withColumn("shard", first), "shard-start")
+    quota = -(-start.count() // shards)
+    moved = propagate(start.where("linked"), quota, shards, rounds)
+    even = write_out(even_out(start.where("NOT linked").unionByName(moved), shards), "shard-even")
+    block = F.pmod(F.xxhash64("doc_id", "key"), F.lit(blocks_for(max(by_shard(even, shards)))))
+    slotted = ranked(even, ["shard"], block, [F.col("doc_id"), F.col("key")], "slot")
     return slotted.select(
-        *own, (F.col("_bytes") + 1).alias("size"), F.col("_crc").alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+        "doc_id", "key", (F.col("bytes") + 1).alias("size"), F.col("crc").alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """The rows of docs with all their columns, and size, text_crc32, shard and slot; these win over columns of docs of the same name."""
+    added = ["shard", "slot", "size", "text_crc32"]
+    placed = attach(docs, assign(docs, shards).select("doc_id", "key", *added), added)
+    return placed.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in added], *added)
