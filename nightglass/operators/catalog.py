@@ -64,16 +64,22 @@ def manifest_warnings(manifests: DataFrame) -> DataFrame:
     return bad.select("path", F.concat(F.lit("Skipping manifest "), "path").alias("warning"))
 
 
-def _columns(rows: DataFrame, object_name: str, column_kind: str, columns: Column) -> DataFrame:
-    spread = rows.select(F.col(object_name).alias("object_name"), "object_kind", F.posexplode(columns).alias("ordinal", "c"))
+def _columns(rows: DataFrame, object_name: Column, *kinds: tuple[str, Column]) -> DataFrame:
+    """Columns of each kind, unfolded in one pass over the manifests."""
+
+    def listed(kind: str, columns: Column) -> Column:
+        entries = F.transform(columns, lambda c, i: F.struct(F.lit(kind).alias("kind"), i.alias("ordinal"), c.alias("c")))
+        return F.coalesce(entries, F.array().cast("array<struct<kind:string,ordinal:int,c:struct<name:string,type:string,description:string>>>"))
+
+    spread = rows.select(object_name.alias("object_name"), "object_kind", F.explode(F.concat(*[listed(k, c) for k, c in kinds])).alias("e"))
     return spread.select(
         "object_name",
         "object_kind",
-        F.lit(column_kind).alias("column_kind"),
-        "ordinal",
-        F.col("c.name").alias("col_name"),
-        type_symbol(F.col("c.type")).alias("col_type"),
-        F.col("c.description").alias("description"),
+        F.col("e.kind").alias("column_kind"),
+        F.col("e.ordinal").alias("ordinal"),
+        F.col("e.c.name").alias("col_name"),
+        type_symbol(F.col("e.c.type")).alias("col_type"),
+        F.col("e.c.description").alias("description"),
     )
 
 
@@ -81,20 +87,22 @@ def _text_column(name: str) -> Column:
     return F.struct(F.lit(name).alias("name"), F.lit("String").alias("type"), F.lit(None).cast("string").alias("description"))
 
 
-def table_columns(manifests: DataFrame) -> DataFrame:
-    """Columns of table manifests, with Type added, and _ResourceId where resource centric and absent."""
+def _full_columns() -> Column:
+    """Columns of a table manifest, with Type added, and _ResourceId where resource centric and absent."""
     props = F.concat("properties", F.array(_text_column("Type")))
     has_id = F.exists(props, lambda p: p["name"] == "_ResourceId")
     wanted = F.coalesce("isresourcecentric", F.lit(False)) & ~has_id
-    full = F.when(wanted, F.concat(props, F.array(_text_column("_ResourceId")))).otherwise(props)
-    return _columns(manifests.where("object_kind = 'table'"), "name", "column", full)
+    return F.when(wanted, F.concat(props, F.array(_text_column("_ResourceId")))).otherwise(props)
+
+
+def table_columns(manifests: DataFrame) -> DataFrame:
+    return _columns(manifests.where("object_kind = 'table'"), F.col("name"), ("column", _full_columns()))
 
 
 def function_columns(manifests: DataFrame) -> DataFrame:
     """Parameters and result columns of function manifests."""
     functions = manifests.where("object_kind = 'function'")
-    parameters = _columns(functions, "functionname", "parameter", F.col("functionparameters"))
-    return parameters.unionByName(_columns(functions, "functionname", "result", F.col("functionresultcolumns")))
+    return _columns(functions, F.col("functionname"), ("parameter", F.col("functionparameters")), ("result", F.col("functionresultcolumns")))
 
 
 def function_bodies(manifests: DataFrame) -> DataFrame:
@@ -105,7 +113,14 @@ def function_bodies(manifests: DataFrame) -> DataFrame:
 
 
 def schema_columns(manifests: DataFrame) -> DataFrame:
-    return table_columns(manifests).unionByName(function_columns(manifests))
+    """Columns of tables and functions. The manifests are read and parsed once."""
+    is_table, is_function = F.col("object_kind") == "table", F.col("object_kind") == "function"
+    known = manifests.where(is_table | is_function)
+    name = F.when(is_table, F.col("name")).otherwise(F.col("functionname"))
+    return _columns(
+        known, name, ("column", F.when(is_table, _full_columns())),
+        ("parameter", F.when(is_function, F.col("functionparameters"))), ("result", F.when(is_function, F.col("functionresultcolumns"))),
+    )
 
 
 def diagnostic_lines(diagnostics: DataFrame) -> DataFrame:
@@ -139,7 +154,8 @@ def diagnostic_totals(files: DataFrame, lines: DataFrame) -> DataFrame:
 def primary_rows(answers: DataFrame) -> DataFrame:
     """answers(tables array<{name, columns[{name}], rows[[..]]}>) to one map per row of PrimaryResult.
 
-    Names and values are paired up to the shorter of the two; an answer without that table has no row.
+    Names and values are paired up to the shorter of the two, and the last of equal names counts; an answer without
+    that table has no row.
     """
     table = F.get(F.filter("tables", lambda t: t["name"] == "PrimaryResult"), F.lit(0))
     others = [c for c in answers.columns if c != "tables"]
@@ -147,5 +163,7 @@ def primary_rows(answers: DataFrame) -> DataFrame:
         *others, F.transform(table["columns"], lambda c: c["name"]).alias("names"), F.posexplode(table["rows"]).alias("row_no", "cells")
     )
     width = F.least(F.size("names"), F.size("cells"))
-    pairs = F.map_from_arrays(F.slice("names", F.lit(1), width), F.slice("cells", F.lit(1), width))
+    names = F.slice("names", F.lit(1), width)
+    cells = F.zip_with(names, F.slice("cells", F.lit(1), width), lambda k, v: F.struct(k, v))
+    pairs = F.map_from_entries(F.filter(cells, lambda _, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), F.get(names, i))))
     return rows.select(*others, "row_no", pairs.alias("row"))

@@ -77,11 +77,11 @@ def is_move(old: Column, new: Column) -> Column:
     return (file_name(old) == file_name(new)) & (parent_path(old) != parent_path(new))
 
 
-def change_rows(commits: DataFrame, files: DataFrame) -> DataFrame:
+def change_rows(commits: DataFrame, files: DataFrame, salts: int = 1) -> DataFrame:
     """One row per (commit, file, change): commits(commit, author, datetime, message) joined with
     files(commit, code, file, new_file, diff). A file without a change text has one row with ''.
 
-    A commit that touches very many files is spread over tasks by the file path.
+    With `salts` a commit that touches very many files is spread over tasks by the file path.
     """
     label, old, new = status_label(F.col("code")), F.col("file"), F.col("new_file")
     renamed = (label == "Renamed") & new.isNotNull()
@@ -100,7 +100,7 @@ def change_rows(commits: DataFrame, files: DataFrame) -> DataFrame:
         F.when(moved, "Moved").otherwise(label).alias("status"),
         F.posexplode(changes).alias("position", "change"),
     )
-    joined = salted_join(labelled, commits, ["commit"], "inner", ["file", "position"])
+    joined = salted_join(labelled, commits, ["commit"], "inner", ["file", "position"], salts)
     return joined.select(
         "datetime", "commit", "message", "author", "file", "filename", "filepath", "status", "change", "position"
     )

@@ -52,13 +52,22 @@ def status_counts(outcomes: DataFrame) -> DataFrame:
     return counts.withColumn("status", F.when(F.col("failed_count") > 0, "failure").otherwise("success"))
 
 
+def last_entries(entries: Column) -> Column:
+    """Sorted (key, value) entries as a map; the last entry of a key counts."""
+    keys = F.transform(entries, lambda e: e["backend"])
+    return F.map_from_entries(F.filter(entries, lambda e, i: F.coalesce(F.get(keys, i + 1) != e["backend"], F.lit(True))))
+
+
 def rule_manifests(outcomes: DataFrame) -> DataFrame:
-    """One manifest row per rule. A rule has one outcome per back end, so its lists are short."""
+    """One manifest row per rule. A rule has few outcomes, so its lists are short.
+
+    Two files with one rule id are one manifest; of two outputs for a back end the last by path counts.
+    """
     made = F.col("status") == "success"
     names = lambda s: F.sort_array(F.collect_list(F.when(F.col("status") == s, F.col("backend"))))
     failure = F.when(F.col("status") == "failed", F.when(present(F.col("message")), F.col("message")).otherwise("conversion failed"))
     return outcomes.groupBy("rule_id").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.when(made, F.struct("backend", "query_path"))))).alias("outputs"),
+        last_entries(F.sort_array(F.collect_list(F.when(made, F.struct("backend", "query_path"))))).alias("outputs"),
         names("success").alias("generated"),
         names("skipped").alias("skipped"),
         F.sort_array(F.collect_list(failure)).alias("errors"),
@@ -84,12 +93,20 @@ def document_lines(head: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """One JSON document as ordered lines (section, key, line), for sinks.write_lines.
 
     `head` is one row; its fields open the document and `rows` become its `rules` array, one line
-    each, so that a run of any size is written in parallel instead of gathered into one value.
+    each, so that a run of any size is written in parallel instead of gathered into one value. The order of
+    writing is section, key, line with the line that has no comma first.
     """
     opening = F.regexp_replace(F.to_json(F.struct(*sorted(head.columns))), r"\}\z", "")
-    least = rows.select(F.min(key)).scalar()
-    comma = F.when(F.col(key) == least, "").otherwise(",")
-    body = rows.select(F.lit(1).alias("section"), F.col(key).alias("key"), F.concat(comma, F.to_json(F.struct(*sorted(rows.columns)))).alias("line"))
+    lines = rows.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"), F.to_json(F.struct(*sorted(rows.columns))).alias("json"))
+    least = lines.select(F.min("key")).scalar()
+    # Of the rows with the least key, equal ones together, the first by text has no comma before it.
+    opener = lines.where(F.col("key") == least).groupBy("key", "json").agg(F.count("*").alias("n"))
+    leading = lines.where(F.col("key") == least).select(F.min("json")).scalar()
+    numbered = opener.select("key", "json", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("no"))
+    bare = (F.col("json") == leading) & (F.col("no") == 1)
+    start = numbered.select("key", F.concat(F.when(bare, "").otherwise(","), "json").alias("line"))
+    rest = lines.where(F.col("key") != least).select("key", F.concat(F.lit(","), "json").alias("line"))
+    body = start.unionByName(rest).select(F.lit(1).alias("section"), "key", "line")
     first = head.select(F.lit(0).alias("section"), F.lit("").alias("key"), F.concat(opening, F.lit(',"rules":[')).alias("line"))
     last = head.select(F.lit(2).alias("section"), F.lit("").alias("key"), F.lit("]}").alias("line"))
     return first.unionByName(body).unionByName(last)

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from nightglass.operators.rules import LOWERED, CompiledRule, all_text_sql, column
+from nightglass.operators.rules import LOWERED, CompiledRule, all_text_sql, resolve
 from nightglass.session import local_table
 
 # Up to this many rules on this few columns, "any rule matches" also goes to the scan as a filter of
@@ -14,6 +14,7 @@ from nightglass.session import local_table
 # filter over many columns costs more to plan than it saves.
 PREFILTER_RULES = 64
 PREFILTER_COLUMNS = 6
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 # Rules per generated array; larger sets are cut so that the generated code stays small.
 RULES_PER_ARRAY = 100
 
@@ -39,7 +40,7 @@ def detect(events: DataFrame, rules: list[CompiledRule], keep: list[str]) -> Dat
     chunks = [usable[i : i + RULES_PER_ARRAY] for i in range(0, len(usable), RULES_PER_ARRAY)]
     schema = events.schema
     shared = {f for r in usable for f in r.lowered}
-    lower = {LOWERED + f: F.lower(F.col(column(f)).cast("string")) if f else F.expr(all_text_sql(schema)) for f in sorted(shared)}
+    lower = {LOWERED + f: F.lower(F.expr(resolve(schema, f)[0]).cast("string")) if f else F.expr(all_text_sql(schema)) for f in sorted(shared)}
     events = events.withColumns(lower) if lower else events
     test = lambda r: F.expr(r.scan_sql or r.sql)
     arrays = [F.array_compact(F.array(*[F.when(test(r), F.lit(r.rule_id)) for r in chunk])) for chunk in chunks]
@@ -61,11 +62,15 @@ def count_matches(matches: DataFrame, rules: list[CompiledRule]) -> DataFrame:
 def first_matches(matches: DataFrame, limit: int, order: list[str], salts: int = 64) -> DataFrame:
     """The first `limit` matches of each rule in the given order, numbered by row_no.
 
-    A negative limit keeps all and numbers none. Rows are first cut per (rule, salt), so a rule that
-    matches a third of all events never meets in one task; `order` must be unique per rule.
+    A negative limit keeps all and numbers none. The rank is cut per (rule, salt) first and Spark cuts that rank per
+    task before the shuffle, so a rule that matches a third of all events never meets in one task. Spark does so up to
+    a threshold, which is raised to the limit where needed. `order` must be unique per rule.
     """
     if limit < 0:
         return matches.withColumn("row_no", F.lit(None).cast("int"))
+    conf = matches.sparkSession.conf
+    if int(conf.get(GROUP_LIMIT)) < limit:
+        conf.set(GROUP_LIMIT, str(limit))
     salted = matches.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
     part = Window.partitionBy("rule_id", "_salt").orderBy(*order)
     whole = Window.partitionBy("rule_id").orderBy(*order)

@@ -7,22 +7,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from nightglass.functions.text import file_name, is_blank
 from nightglass.operators.detect import count_matches, row_counts
 from nightglass.operators.rules import CompiledRule
-from nightglass.session import CONFIG_ROWS, fits, local_table
+from nightglass.session import local_table
 
 MODES = ("compile", "execute", "both")
 
 
-def _small(side: DataFrame) -> DataFrame:
-    return F.broadcast(side) if fits(side, CONFIG_ROWS) else side
-
-
 def find_expectation(results: DataFrame, expectations: DataFrame) -> DataFrame:
     """Adds `expected` {min_rows, max_rows} by query_path, else by its file name; NULL without one."""
     entry = F.struct("min_rows", "max_rows")
     by_path = expectations.select(F.col("query_key").alias("query_path"), entry.alias("_by_path"))
     by_name = expectations.select(F.col("query_key").alias("_name"), entry.alias("_by_name"))
     named = results.withColumn("_name", file_name(F.col("query_path")))
-    joined = named.join(_small(by_path), "query_path", "left").join(_small(by_name), "_name", "left")
+    joined = named.join(by_path, "query_path", "left").join(by_name, "_name", "left")
     return joined.select(*results.columns, F.coalesce("_by_path", "_by_name").alias("expected"))
 
 
@@ -78,9 +74,9 @@ def run_rules(events: DataFrame, rules: list[CompiledRule], keep: list[str], mod
 
 
 def run_summary(checks: DataFrame, *by: str) -> DataFrame:
-    """files_checked, passed, failed, compile_failures, execution_failures and the status of a run.
+    """files_checked, passed, failed, compile_failures, execution_failures, duration_ms and the status of a run.
 
-    `checks` holds passed, and compile_ok / exec_ok where those stages ran.
+    `checks` holds passed, compile_ok / exec_ok where those stages ran, and duration_ms where it was measured.
     """
     has = set(checks.columns)
     compile_bad = F.count_if(~F.col("compile_ok")) if "compile_ok" in has else F.lit(0).cast("bigint")
@@ -91,6 +87,7 @@ def run_summary(checks: DataFrame, *by: str) -> DataFrame:
         F.count_if(~F.col("passed")).alias("failed"),
         compile_bad.alias("compile_failures"),
         exec_bad.alias("execution_failures"),
+        *([F.coalesce(F.sum("duration_ms"), F.lit(0)).cast("bigint").alias("duration_ms")] if "duration_ms" in has else []),
     )
     return summary.withColumn("status", F.when(F.col("failed") > 0, "failure").otherwise("success"))
 
@@ -103,10 +100,11 @@ def refuse_empty(queries: DataFrame, text: str = "query_text") -> DataFrame:
 def stage_record(stages: DataFrame) -> DataFrame:
     """(query_file, stage, status, row_count, duration_ms, errors) to one map of stages per query.
 
-    A query has at most one row per stage, so a group holds a handful of rows.
+    A stage listed more than once keeps its greatest entry, so a group holds a handful of rows.
     """
-    entry = F.struct("stage", F.struct("status", "row_count", "duration_ms", "errors").alias("summary"))
-    return stages.groupBy("query_file").agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("stages"))
+    entry = F.struct("status", "row_count", "duration_ms", "errors")
+    last = stages.groupBy("query_file", "stage").agg(F.max(entry).alias("summary"))
+    return last.groupBy("query_file").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("stage", "summary")))).alias("stages"))
 
 
 def compact_summary(results: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from nightglass.functions.text import present, slug, text_lines
+from nightglass.functions.text import is_blank, present, slug, text_lines
 from nightglass.operators.validate import CATEGORIES
 
 # What a submission gets for fields left empty.
@@ -63,7 +63,7 @@ def submissions(forms: DataFrame, today: Column | None = None) -> tuple[DataFram
         text_lines(c("tags")).alias("tags"),
         targets(c("conversion_kql"), c("conversion_splunk"), c("conversion_elasticsearch")).alias("conversion_targets"),
         logsource(c("logsource_product"), c("logsource_category"), c("logsource_service")).alias("logsource"),
-        or_default(c("detection"), F.lit(DEFAULT_DETECTION)).alias("detection"),
+        F.when(is_blank(c("detection")), DEFAULT_DETECTION).otherwise(c("detection")).alias("detection"),
         text_lines(c("falsepositives")).alias("falsepositives"),
         "level",
         F.lit(DEFAULT_VERSION).alias("version"),

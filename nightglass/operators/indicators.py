@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from nightglass.session import fits, salted_join
+from nightglass.session import salted_join
 
 # Patterns without an inner word are looked up by pieces of this many characters.
 PIECE = 4
@@ -17,12 +17,12 @@ def field_values(events: DataFrame, key: list[str], fields: list[str]) -> DataFr
     return long.select(*key, "p.field", "p.value").where("value is not null")
 
 
-def match_equal(values: DataFrame, indicators: DataFrame, key: list[str]) -> DataFrame:
+def match_equal(values: DataFrame, indicators: DataFrame, key: list[str], salts: int = 1) -> DataFrame:
     """(key.., field, value, indicator_id) where an indicator (indicator_id, field, value) is equal.
 
-    A small indicator table is broadcast; otherwise a hot event value is spread by the event key.
+    With `salts` a hot event value is spread by the event key.
     """
-    return salted_join(values, indicators.select("indicator_id", "field", "value"), ["field", "value"], "inner", key)
+    return salted_join(values, indicators.select("indicator_id", "field", "value"), ["field", "value"], "inner", key, salts)
 
 
 # Span 0 stands for whole words, other spans for pieces of that many characters.
@@ -47,6 +47,8 @@ def _listed(text, span: int):
 def anchored(indicators: DataFrame) -> DataFrame:
     """Adds to (indicator_id, field, pattern) the piece of the pattern that the fewest patterns hold, and its span.
 
+    Of pieces held by equally few the longest is taken, as texts hold it least.
+
     A pattern with an inner word is found by that word, others by PIECE characters, and one shorter
     than that is its own piece. Empty patterns never match and drop out.
     """
@@ -56,33 +58,26 @@ def anchored(indicators: DataFrame) -> DataFrame:
     pieces = F.when(F.size(inner) > 0, inner).when(size >= PIECE, _pieces(pattern, PIECE)).otherwise(F.array(pattern))
     held = indicators.where(size > 0).select("*", span.alias("span"), F.explode(F.array_distinct(pieces)).alias("piece"))
     holders = held.groupBy("field", "span", "piece").agg(F.count("*").alias("holders"))
-    ranked = salted_join(held, holders, ["field", "span", "piece"], "inner", ["indicator_id"])
-    best = F.min_by("piece", F.struct("holders", "piece")).alias("piece")
+    ranked = held.join(holders, ["field", "span", "piece"])
+    best = F.min_by("piece", F.struct("holders", -F.length("piece"), "piece")).alias("piece")
     return ranked.groupBy("indicator_id", "field", "pattern", "span").agg(best)
 
 
 def match_contained(values: DataFrame, indicators: DataFrame, key: list[str], case: str = "insensitive") -> DataFrame:
     """(key.., field, indicator_id) where the value of an event field contains the pattern.
 
-    Each pattern is found through one of its pieces by an equi-join and then tested in full, so no
-    event meets a pattern with which it shares no piece, and nothing is left out.
+    Each pattern is found through one of its pieces by an equi-join and then tested in full, so no event meets a
+    pattern with which it shares no piece, and nothing is left out. Pieces that no pattern is found by drop out before the
+    candidates meet their texts again.
     """
     fold = F.lower if case == "insensitive" else (lambda c: c)
     side = anchored(indicators.select("indicator_id", "field", fold(F.col("pattern")).alias("pattern")))
-    small = fits(side)
-    spans = [r[0] for r in side.select("span").distinct().collect()]  # at most PIECE + 1 rows
     folded = values.select(*key, "field", fold(F.col("value")).alias("value"))
-    if not spans:
-        return folded.join(side, ["field"], "inner").where(F.lit(False)).select(*key, "field", "indicator_id")
-    # Words and pieces of a text are told apart by their span; each is listed once per text.
-    found = F.explode(F.concat(*[_listed(F.col("value"), span) for span in sorted(spans)])).alias("p")
-    on = ["field", "span", "piece"]
-    if small:
-        pieces = folded.select(*key, "field", "value", found).select(*key, "field", "value", "p.span", "p.piece")
-        hits = pieces.join(F.broadcast(side), on)
-    else:
-        # The text itself is not repeated per piece: pieces find candidates, then each text is joined once.
-        pieces = folded.select(*key, "field", found).select(*key, "field", "p.span", "p.piece")
-        candidates = salted_join(pieces, side, on, "inner", key).drop("span", "piece")
-        hits = candidates.join(folded, [*key, "field"])
-    return hits.where(F.contains("value", "pattern")).select(*key, "field", "indicator_id")
+    # Words and pieces of a text are told apart by their span; each is listed once per text, and only if a pattern needs its span.
+    needed = side.select(F.collect_set("span")).scalar()
+    none = F.array().cast("array<struct<span:int,piece:string>>")
+    listed = [F.when(F.array_contains(needed, span), _listed(F.col("value"), span)).otherwise(none) for span in range(PIECE + 1)]
+    found = F.explode(F.concat(*listed)).alias("p")
+    pieces = folded.select(*key, "field", found).select(*key, "field", "p.span", "p.piece")
+    candidates = pieces.join(side, ["field", "span", "piece"]).drop("span", "piece").distinct()
+    return candidates.join(folded, [*key, "field"]).where(F.contains("value", "pattern")).select(*key, "field", "indicator_id").distinct()

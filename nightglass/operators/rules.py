@@ -10,20 +10,26 @@ from __future__ import annotations
 import ipaddress
 import json
 import re
+from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, IllegalArgumentException, ParseException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NumericType, StringType, StructType
 
-from nightglass.session import CONFIG_ROWS, collect_config, fits, local_table
+from nightglass.session import local_table
 
 # Keys of a detection map that are not selections.
 RESERVED = ("condition", "timeframe")
 TEXT_MATCHES = ("contains", "startswith", "endswith")
 NUMBER_MATCHES = {"gt": ">", "gte": ">=", "lt": "<", "lte": "<="}
-KNOWN_MODIFIERS = {*TEXT_MATCHES, *NUMBER_MATCHES, "all", "re", "cidr", "cased"}
+REGEX_FLAGS = ("i", "m", "s")
+DASHES = ("-", "/", "\u2013", "\u2014", "\u2015")
+KNOWN_MODIFIERS = {*TEXT_MATCHES, *NUMBER_MATCHES, *REGEX_FLAGS, "all", "re", "cidr", "cased", "exists", "fieldref", "windash"}
+# Rules analysed in one go; a chunk that fails is analysed rule by rule.
+RULES_PER_ANALYSIS = 200
 
 
 @dataclass(frozen=True)
@@ -114,10 +120,12 @@ def rule_predicates(rules: DataFrame) -> DataFrame:
 
 
 def map_fields(predicates: DataFrame, field_map: DataFrame, profile: str) -> DataFrame:
-    """Rename rule fields by field_map(profile, rule_field, event_field); others keep their name."""
-    wanted = field_map.where(F.col("profile") == profile).select(F.col("rule_field").alias("field"), "event_field")
-    side = F.broadcast(wanted) if fits(wanted, CONFIG_ROWS) else wanted
-    joined = predicates.join(side, "field", "left")
+    """Rename rule fields by field_map(profile, rule_field, event_field); others keep their name.
+
+    A rule field with several event fields gives a row of the same item for each; any of them may match.
+    """
+    wanted = field_map.where(F.col("profile") == profile).select(F.col("rule_field").alias("field"), "event_field").distinct()
+    joined = predicates.join(wanted, "field", "left")
     return joined.withColumn("field", F.coalesce("event_field", "field")).drop("event_field").select(*predicates.columns)
 
 
@@ -129,6 +137,21 @@ def column(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def resolve(schema: StructType, name: str):
+    """(SQL, type) of a field: a column of that name, or a path into structs; None if there is neither."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+    if name in kinds:
+        return column(name), kinds[name]
+    parts = name.split(".")
+    for cut in range(len(parts) - 1, 0, -1):
+        head = kinds.get(".".join(parts[:cut]))
+        if isinstance(head, StructType):
+            below = resolve(head, ".".join(parts[cut:]))
+            if below:
+                return f"{column('.'.join(parts[:cut]))}.{below[0]}", below[1]
+    return None
+
+
 def has_wildcard(value: str) -> bool:
     return any(part in ("*", "?") for part in _pieces(value))
 
@@ -147,10 +170,17 @@ def like_pattern(value: str) -> str:
     return "".join(marks.get(p) or re.sub(r"([!%_])", r"!\1", plain(p)) for p in _pieces(value))
 
 
-def _value_sql(name: str, kind, modifiers: list[str], value, profile: Profile) -> str:
-    """One value test. `kind` is the Spark type of the event column, or None when it is absent."""
-    text = value["text"]
-    source = column(name) if kind is not None else "cast(null as string)"
+def _regex(text: str, modifiers: list[str]) -> str:
+    flags = "".join(m for m in REGEX_FLAGS if m in modifiers)
+    return quote(f"(?{flags}){text}" if flags else text)
+
+
+def _value_sql(name: str, schema: StructType, modifiers: list[str], value, profile: Profile) -> str:
+    """One value test of a field; an absent one is null."""
+    text, found = value["text"], resolve(schema, name)
+    source, kind = found or ("cast(null as string)", None)
+    if "exists" in modifiers:
+        return f"{source} is {'null' if str(text).lower() == 'false' else 'not null'}"
     if value["kind"] == "VOID" or text is None:
         return f"{source} is null"
     numeric = isinstance(kind, NumericType)
@@ -159,14 +189,20 @@ def _value_sql(name: str, kind, modifiers: list[str], value, profile: Profile) -
             return f"try_cast({source} as double) {sign} {float(text)!r}D"
     if "cidr" in modifiers:
         return _cidr_sql(source, text)
+    exact = profile.case == "exact" or "cased" in modifiers
+    if "fieldref" in modifiers:
+        other = (resolve(schema, text) or ("cast(null as string)", None))[0]
+        sides = [f"cast({x} as string)" for x in (source, other)]
+        left, right = sides if exact else [f"lower({x})" for x in sides]
+        match = next((m for m in TEXT_MATCHES if m in modifiers), None)
+        return f"{match}({left}, {right})" if match else f"{left} = {right}"
     if numeric or kind is not None and not isinstance(kind, StringType):
         exact_number = re.fullmatch(r"-?[0-9]{1,18}", text)
         if numeric and exact_number and not set(modifiers) & {*TEXT_MATCHES, "re"}:
             return f"{source} = {text}"
         source = f"cast({source} as string)"
     if "re" in modifiers:
-        return f"{source} rlike {quote(text)}"
-    exact = profile.case == "exact" or "cased" in modifiers
+        return f"{source} rlike {_regex(text, modifiers)}"
     if not exact:
         text = text.lower()
         if profile.case != "lowered":
@@ -181,35 +217,76 @@ def _value_sql(name: str, kind, modifiers: list[str], value, profile: Profile) -
     return f"{match}({source}, {quote(plain(text))})"
 
 
+# An IPv4 address with octets up to 255.
+OCTET = "(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
+
+
 def _cidr_sql(source: str, text: str) -> str:
     net = ipaddress.ip_network(text, strict=False)
     if net.version != 4:
         raise ValueError(f"only IPv4 networks are supported: {text}")
     octets = " + ".join(f"try_cast(split_part({source}, '.', {i + 1}) as bigint) * {256 ** (3 - i)}" for i in range(4))
-    shape = f"{source} rlike '^[0-9]{{1,3}}([.][0-9]{{1,3}}){{3}}$'"
+    shape = f"{source} rlike '^{OCTET}([.]{OCTET}){{3}}$'"
     return f"({shape} and {octets} between {int(net.network_address)} and {int(net.broadcast_address)})"
 
 
-def all_text_sql(schema: StructType) -> str:
-    """All text columns of an event in lower case, kept apart by a character that no keyword holds."""
-    texts = ", ".join(f"coalesce({column(f.name)}, '')" for f in schema.fields if isinstance(f.dataType, StringType))
-    return f"lower(concat_ws('\\u0001', {texts}))"
+def _text_columns(schema: StructType) -> list[str]:
+    return [column(f.name) for f in schema.fields if isinstance(f.dataType, StringType)]
+
+
+def all_text_sql(schema: StructType, lower: bool = True) -> str:
+    """All text columns of an event, kept apart by a character that no keyword holds; in lower case if asked."""
+    joined = f"concat_ws('\\u0001', {', '.join(f"coalesce({c}, '')" for c in _text_columns(schema))})"
+    return f"lower({joined})" if lower else joined
+
+
+def _keyword_sql(schema: StructType, modifiers: list[str], value, profile: Profile) -> str:
+    """A keyword is looked for in every text column; patterns are tested column by column."""
+    text = value["text"]
+    if value["kind"] == "VOID" or text is None:
+        raise ValueError("keyword must not be null")
+    odd = [m for m in modifiers if m in (*NUMBER_MATCHES, "cidr", "exists", "fieldref")]
+    if odd:
+        raise ValueError(f"not for keywords: {', '.join(odd)}")
+    columns = _text_columns(schema) or ["cast(null as string)"]
+    if "re" in modifiers:
+        return "(" + " or ".join(f"coalesce({c} rlike {_regex(text, modifiers)}, false)" for c in columns) + ")"
+    exact = profile.case == "exact" or "cased" in modifiers
+    text = text if exact else text.lower()
+    if has_wildcard(text):
+        pattern = quote(f"%{like_pattern(text)}%")
+        sides = columns if exact else [f"lower({c})" for c in columns]
+        return "(" + " or ".join(f"coalesce({c} like {pattern} escape '!', false)" for c in sides) + ")"
+    haystack = all_text_sql(schema, False) if exact else column(LOWERED) if profile.shared else all_text_sql(schema)
+    return f"contains({haystack}, {quote(plain(text))})"
+
+
+def _dash_variants(values: list) -> list:
+    """Each value with every dash or slash before a word in each of the ways to write it."""
+    found = {}
+    for v in values:
+        for dash in DASHES:
+            text = None if v["text"] is None else re.sub(r"(?<!\w)[-/\u2013\u2014\u2015](?=\w)", lambda _, d=dash: d, v["text"])
+            found[text] = {"kind": v["kind"], "text": text}
+    return list(found.values())
 
 
 def _item_sql(row, schema: StructType, profile: Profile) -> str:
     modifiers = [m.lower() for m in row["modifiers"]]
-    unknown = [m for m in modifiers if m not in KNOWN_MODIFIERS]
+    unknown = [m for m in modifiers if m not in KNOWN_MODIFIERS or m in REGEX_FLAGS and "re" not in modifiers]
     if unknown:
         raise ValueError(f"unsupported modifier: {', '.join(unknown)}")
-    kinds = {f.name: f.dataType for f in schema.fields}
-    if row["field"] == "":
-        haystack = column(LOWERED) if profile.shared else all_text_sql(schema)
-        tests = [f"contains({haystack}, {quote(plain(v['text'] or '').lower())})" for v in row["values"]]
-    else:
-        kind = kinds.get(row["field"])
-        if kind is None and profile.missing == "error":
-            raise ValueError(f"unknown field: {row['field']}")
-        tests = [_value_sql(row["field"], kind, modifiers, v, profile) for v in row["values"]]
+    if row["field"] and resolve(schema, row["field"]) is None and profile.missing == "error" and "exists" not in modifiers:
+        raise ValueError(f"unknown field: {row['field']}")
+
+    def test(value) -> str:
+        if row["field"] == "":
+            return _keyword_sql(schema, modifiers, value, profile)
+        return _value_sql(row["field"], schema, modifiers, value, profile)
+
+    tests = [test(v) for v in row["values"]]
+    if "windash" in modifiers:
+        tests = ["(" + " or ".join(test(x) for x in _dash_variants([v])) + ")" for v in row["values"]]
     if not tests:
         raise ValueError(f"no value for field: {row['field']}")
     return "(" + (" and " if "all" in modifiers else " or ").join(tests) + ")"
@@ -223,12 +300,12 @@ def _expand_counts(condition: str, names: list[str]) -> str:
         if pattern.lower() == "them":
             chosen = [n for n in names if not n.startswith("_")]
         else:
-            chosen = [n for n in names if re.fullmatch(pattern.replace("*", r".*"), n)]
+            chosen = [n for n in names if re.fullmatch(re.escape(pattern).replace(r"\*", ".*"), n)]
         if not chosen:
             raise ValueError(f"no selection matches: {found.group(0)}")
         return "(" + (" and " if word == "all" else " or ").join(chosen) + ")"
 
-    return re.sub(r"(?i)\b(1|any|all)\s+of\s+([\w*]+)", listed, condition)
+    return re.sub(r"(?i)\b(1|any|all)\s+of\s+([^\s()]+)", listed, condition)
 
 
 def condition_sql(condition: str, selections: dict[str, str]) -> str:
@@ -273,8 +350,16 @@ def _rule_sql(rule: dict, rows: list, schema: StructType, profile: Profile) -> s
     for row in rows:
         alternatives = selections.setdefault(row["selection"], {})
         alternatives.setdefault(row["alternative"], []).append((row["item"], _item_sql(row, schema, profile)))
+
+    def joined(items: list) -> str:
+        """Items by AND; the event fields that one rule field is mapped to by OR."""
+        by_item: dict[int, list] = {}
+        for item, sql in sorted(items):
+            by_item.setdefault(item, []).append(sql)
+        return " and ".join(sqls[0] if len(sqls) == 1 else "(" + " or ".join(sqls) + ")" for sqls in by_item.values())
+
     texts = {
-        name: " or ".join("(" + " and ".join(sql for _, sql in sorted(items)) + ")" for _, items in sorted(alternatives.items()))
+        name: " or ".join("(" + joined(items) + ")" for _, items in sorted(alternatives.items()))
         for name, alternatives in selections.items()
     }
     condition = detection["condition"]
@@ -293,39 +378,79 @@ def _targets(value) -> tuple | None:
     return tuple(str(t).strip().lower() for t in value if str(t).strip())
 
 
+def _bad_patterns(spark: SparkSession, rows: list) -> str:
+    """The first pattern of a rule that is no regular expression for the JVM, which runs them."""
+    for row in rows:
+        if "re" in [m.lower() for m in row["modifiers"]]:
+            for value in row["values"]:
+                try:
+                    spark._jvm.java.util.regex.Pattern.compile(value["text"] or "")
+                except (IllegalArgumentException, Py4JJavaError):
+                    return f"bad regular expression: {value['text']}"
+    return ""
+
+
+def _analysis_errors(empty: DataFrame, texts: list[str]) -> list[str]:
+    """What the analyser says of each predicate; '' if it binds. Good ones cost one analysis per chunk."""
+    try:
+        empty.select(*[F.expr(t).cast("boolean").alias(f"r{i}") for i, t in enumerate(texts)]).schema
+        return [""] * len(texts)
+    except (AnalysisException, ParseException) as exc:
+        if len(texts) == 1:
+            return [str(exc).strip().split("\n")[0]]
+        return [_analysis_errors(empty, [t])[0] for t in texts]
+
+
 def compile_rules(rules: DataFrame, events: DataFrame, profile: Profile = Profile(), field_map: DataFrame | None = None) -> list[CompiledRule]:
     """Every rule as one predicate over the event columns, in rule_id order.
 
-    A rule that cannot be bound has an `error` and no SQL. Binding analyses the predicate against
-    the event schema; no job reads events.
+    A rule that cannot be bound has an `error` and no SQL, and harms no other: a missing document (with the rule
+    table's own `error` if it has one), a bad pattern, an unknown modifier, an id that other rules have too. Rules
+    are configuration and are brought to the driver whole; no job reads events.
     """
-    predicates = rule_predicates(rules)
+    spark = events.sparkSession
+    said = F.col("error") if "error" in rules.columns else F.lit(None).cast("string")
+    given = sorted((tuple(r) for r in rules.select("rule_id", "rule_json", said).collect()), key=lambda r: (r[0] or "", r[1] or ""))
+    times = Counter(r[0] for r in given)
+    # Rows are told apart by their number, so that rules with one id never mix.
+    numbered = local_table(spark, [(str(i), r[1]) for i, r in enumerate(given)], "rule_id string, rule_json string")
+    predicates = rule_predicates(numbered)
     if field_map is not None:
         predicates = map_fields(predicates, field_map, profile.name)
-    by_rule: dict[str, list] = {}
-    for row in collect_config(predicates, "rule predicates", CONFIG_ROWS * 10):
-        by_rule.setdefault(row["rule_id"], []).append(row)
-    spark = events.sparkSession
-    empty = spark.createDataFrame([], events.schema)
+    by_rule: dict[int, list] = {}
+    for row in predicates.collect():
+        by_rule.setdefault(int(row["rule_id"]), []).append(row)
     compiled = []
-    for rule_id, text in sorted(tuple(r) for r in collect_config(rules.select("rule_id", "rule_json"), "rules")):
-        rows = by_rule.get(rule_id, [])
+    for i, (rule_id, text, problem) in enumerate(given):
+        rows = by_rule.get(i, [])
         sql, scan_sql, error, targets, timeframe = "", "", "", None, ""
         try:
+            if text is None:
+                raise ValueError(problem or "rule document is missing")
+            if times[rule_id] > 1:
+                raise ValueError(f"rule id is used {times[rule_id]} times: {rule_id}")
             rule = json.loads(text) or {}
+            if not isinstance(rule, dict):
+                raise ValueError("rule must be a mapping")
             targets = _targets(rule.get("conversion_targets"))
-            timeframe = str((rule.get("detection") or {}).get("timeframe") or "")
-            sql = _rule_sql(rule, rows, events.schema, profile)
-            scan_sql = _rule_sql(rule, rows, events.schema, replace(profile, shared=True))
-            empty.where(F.expr(sql)).schema
-        except AnalysisException as exc:
-            sql, error = "", str(exc).strip().split("\n")[0]
-        except (ValueError, AttributeError) as exc:
-            sql, error = "", str(exc)
+            detection = rule.get("detection")
+            timeframe = str(detection.get("timeframe") or "") if isinstance(detection, dict) else ""
+            error = _bad_patterns(spark, rows)
+            sql = "" if error else _rule_sql(rule, rows, events.schema, profile)
+            scan_sql = sql and _rule_sql(rule, rows, events.schema, replace(profile, shared=True))
+        except (ValueError, AttributeError, TypeError) as exc:
+            sql, scan_sql, error = "", "", str(exc)
         named = {r["field"] for r in rows}
-        used = tuple(c for c in events.columns if c in named or "" in named)
-        lowered = tuple(c for c in ("", *events.columns) if column(LOWERED + c) in scan_sql)
-        compiled.append(CompiledRule(rule_id, sql, error, used, scan_sql if sql else "", lowered, timeframe, targets))
+        used = tuple(c for c in events.columns if c in named or "" in named or any(n.startswith(f"{c}.") for n in named))
+        lowered = tuple(c for c in sorted({"", *named}) if column(LOWERED + c) in scan_sql)
+        compiled.append(CompiledRule(rule_id, sql, error, used, scan_sql, lowered, timeframe, targets))
+    empty = spark.createDataFrame([], events.schema)
+    usable = [i for i, r in enumerate(compiled) if r.sql]
+    for start in range(0, len(usable), RULES_PER_ANALYSIS):
+        chunk = usable[start : start + RULES_PER_ANALYSIS]
+        for i, error in zip(chunk, _analysis_errors(empty, [compiled[i].sql for i in chunk]), strict=True):
+            if error:
+                compiled[i] = replace(compiled[i], sql="", scan_sql="", error=error)
     return compiled
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from nightglass.functions.text import collect_errors, file_name, parent_name
 from nightglass.functions.versions import is_bumped
-from nightglass.session import salted_join
 
 # Vocabulary and patterns that the checks report against.
 CATEGORIES = ("endpoint", "cloud", "macos", "network", "web")
@@ -269,8 +268,8 @@ def contract_errors(doc: Column, contract=RULE_CONTRACT) -> Column:
     return F.when(is_object(F.schema_of_variant(doc)), F.concat(*groups)).otherwise(F.array(F.concat(F.coalesce(_shown(doc), F.lit("None")), F.lit(" is not of type 'object'"))))
 
 
-def validate(rules: DataFrame) -> DataFrame:
-    """Every check over rules(path, rule_json, error): one row per (path, check) with its errors.
+def checked(rules: DataFrame) -> DataFrame:
+    """(path, checks): every check of a rule by itself over rules(path, rule_json, error), in one row per rule.
 
     The corpus is read once and the document parsed once.
     """
@@ -287,7 +286,12 @@ def validate(rules: DataFrame) -> DataFrame:
             )
         ]
     )
-    return with_document(rules).select("path", F.explode(checks).alias("c")).select("path", "c.check", "c.errors")
+    return with_document(rules).select("path", checks.alias("checks"))
+
+
+def validate(rules: DataFrame) -> DataFrame:
+    """Every check over rules(path, rule_json, error): one row per (path, check) with its errors."""
+    return checked(rules).select("path", F.explode("checks").alias("c")).select("path", "c.check", "c.errors")
 
 
 def gate(results: DataFrame) -> DataFrame:
@@ -304,8 +308,12 @@ def gate(results: DataFrame) -> DataFrame:
 
 
 def gate_matrix(results: DataFrame, checks: list[str]) -> DataFrame:
-    """One row per rule, one column per check with its number of errors."""
-    return results.groupBy("path").pivot("check", checks).agg(F.first(F.size("errors")))
+    """One row per rule of `checked` rows, one column per check with its number of errors. No row is moved."""
+
+    def errors(name: str) -> Column:
+        return F.size(F.filter("checks", lambda c: c["check"] == name)[0]["errors"]).alias(name)
+
+    return results.select("path", *[errors(name) for name in checks])
 
 
 def is_changed_rule(path: Column, root: str = "sigma-rules/") -> Column:
@@ -374,6 +382,6 @@ def misspellings(texts: DataFrame, dictionary: DataFrame, allowed: DataFrame) ->
     lower = lambda df: df.withColumn("word", F.lower("word"))
     listed = lower(dictionary).join(lower(allowed).select("word").distinct(), "word", "left_anti").dropDuplicates(["word"])
     words = texts.select("path", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD_PATTERN), F.lit(0))).alias("word"))
-    found = salted_join(words, listed, ["word"], "inner", ["path"])
+    found = words.join(listed, "word")
     counted = found.groupBy("path", "word").agg(F.min("correction").alias("correction"), F.count("*").alias("times"))
     return counted.select("path", "word", "correction", "times")

@@ -300,7 +300,7 @@ def rule_gate(spark, folder):
 )
 def rule_gate_matrix(spark, folder):
     names = ["naming", "structure", "metadata", "quality", "schema"]
-    matrix = validate.gate_matrix(validate.validate(st.rule_rows(documents(spark, folder))), names)
+    matrix = validate.gate_matrix(validate.checked(st.rule_rows(documents(spark, folder))), names)
     return matrix.select("path", *[(F.col(n) > 0).alias(n) for n in names])
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from nightglass.functions.text import unescape, with_once
@@ -58,6 +60,14 @@ RULES = [
     (rule("absent_field", "not selection", selection={"process.name": "x"}), "TRUE"),
     (rule("null_value", selection={"process.name": None}), "TRUE"),
     (rule("keyword", "words", words=["lick", "10.42."]), "contains(event_type, 'lick') OR contains(ip, '10.42.')"),
+    (rule("keyword_wild", "words", words=["*ur?hase*", "no*such*thing"]), "event_type LIKE '%ur_hase%'"),
+    (rule("keyword_pattern", "words", words={"|re": "^s[a-z]+p$"}), "regexp_matches(event_type, '^s[a-z]+p$')"),
+    (rule("keyword_cased", "words", words={"|cased": ["PURCHASE", "GNU", "ick"]}), "contains(event_type, 'ick')"),
+    (rule("has_field", selection={"destination.port|exists": True, "process.name|exists": False}), "port IS NOT NULL"),
+    (rule("pattern_flags", selection={"event.action|re|i": "^S[A-Z]+P$"}), "regexp_matches(event_type, '^s[a-z]+p$')"),
+    (rule("same_field", selection={"event.action|fieldref": "event.action"}), "event_type IS NOT NULL"),
+    (rule("other_field", selection={"user.id|fieldref": "destination.port"}), "user_id = port"),
+    (rule("dashed", "1 of sel-*", **{"sel-a": {"event.action|windash|contains": ["x -click"]}, "sel-b": {"destination.port": 8}}), "port = 8"),
     (rule("never", selection={"event.action": "no such action"}), "FALSE"),
 ]
 DOCS = [doc for doc, _ in RULES]
@@ -65,6 +75,8 @@ DOCS = [doc for doc, _ in RULES]
 UNUSABLE = [
     (rule("bad_modifier", selection={"event.action|base64": "x"}), "unsupported modifier: base64"),
     (rule("bad_word", "selection and other", selection={"event.action": "click"}), "unknown word in condition: other"),
+    (rule("null_keyword", "words", words=["lick", None]), "keyword must not be null"),
+    (rule("bad_pattern", selection={"event.action|re": "["}), "bad regular expression: ["),
     (rule("no_selection", "1 of other*", selection={"event.action": "click"}), "no selection matches: 1 of other*"),
 ]
 
@@ -170,18 +182,23 @@ def detect_table_rules(spark, folder):
     return d.count_matches(d.detect(events, usable, ["event_id"]), usable)
 
 
-FIELD_MAP = [("named", "EventAction", "event.action"), ("named", "DstPort", "destination.port")]
+FIELD_MAP = [
+    ("named", "EventAction", "event.action"), ("named", "DstPort", "destination.port"),
+    ("named", "AnyNumber", "destination.port"), ("named", "AnyNumber", "user.id"),
+]
 
 
 @query(
     "detect_field_map",
     f"""SELECT 'named' AS profile, 'mapped' AS rule_id, count(*) AS total_hits FROM {EV} WHERE event_type = 'view' AND port = 12
-        UNION ALL SELECT 'none', 'mapped', 0 AS total_hits FROM (SELECT count(*) FROM events)""",
+        UNION ALL SELECT 'named', 'either', count(*) FROM {EV} WHERE event_type = 'view' AND (port = 7 OR user_id = 7)
+        UNION ALL SELECT 'none', 'mapped', count(*) FROM {EV} WHERE event_type IS NULL AND port = 12
+        UNION ALL SELECT 'none', 'either', count(*) FROM {EV} WHERE event_type IS NULL AND port = 7""",
 )
 def detect_field_map(spark, folder):
     events = event_view(spark, folder)
     field_map = local_table(spark, FIELD_MAP, "profile string, rule_field string, event_field string")
-    docs = [rule("mapped", selection={"EventAction": "view", "DstPort": 12})]
+    docs = [rule("mapped", selection={"EventAction": "view", "DstPort": 12}), rule("either", selection={"EventAction": "view", "AnyNumber": 7})]
     parts = []
     for profile in (Profile("named"), Profile("none")):
         rules = compiled(spark, events, docs, profile, field_map)
@@ -248,6 +265,12 @@ def limit_per_rule(spark, folder):
     return d.first_matches(matches, 1000, ["ts", "event_id"]).select("rule_id", "event_id", "row_no")
 
 
+@query("limit_large", f"{FIRST} WHERE row_no <= 5000")
+def limit_large(spark, folder):
+    matches, _ = many(spark, folder)
+    return d.first_matches(matches, 5000, ["ts", "event_id"]).select("rule_id", "event_id", "row_no")
+
+
 @query("sample_rows", f"{FIRST} WHERE row_no <= 5")
 def sample_rows(spark, folder):
     matches, _ = many(spark, folder)
@@ -337,6 +360,35 @@ def compile_check(spark, folder):
     return expect.run_rules(events, rules, ["event_id"], "both", 1000).drop("stage_error", "warning")
 
 
+FAULTS = [
+    ("no_document", None, "rule document is missing"),
+    ("not_json", "{", None),
+    ("not_a_rule", "[1]", "rule must be a mapping"),
+    ("bad_regex", json.dumps(rule("bad_regex", selection={"event.action|re": "["})), "bad regular expression: ["),
+    ("twice", json.dumps(rule("twice", selection={"event.action": "click"})), "rule id is used 2 times: twice"),
+    ("twice", json.dumps(rule("twice", selection={"destination.port": 3})), "rule id is used 2 times: twice"),
+    ("good", json.dumps(rule("good", selection={"event.action": "click"})), ""),
+    ("also_good", json.dumps(rule("also_good", "not s", s={"destination.port|lt": 50})), ""),
+]
+
+
+@query(
+    "compile_faults",
+    """SELECT * FROM (VALUES ('no_document', 'rule document is missing', 0), ('not_a_rule', 'rule must be a mapping', 0), ('not_json', 'no JSON', 0),
+         ('bad_regex', 'bad regular expression: [', 0), ('twice', 'rule id is used 2 times: twice', 0), ('twice', 'rule id is used 2 times: twice', 0)) v(rule_id, error, total_hits)
+       UNION ALL SELECT 'good', '', count(*) FILTER (event_type = 'click') FROM events
+       UNION ALL SELECT 'also_good', '', count(*) FILTER (CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50) FROM events""",
+)
+def compile_faults(spark, folder):
+    """Rules that cannot be compiled stand beside good ones and harm none of them."""
+    events = event_view(spark, folder)
+    listed = local_table(spark, [f[:2] for f in FAULTS], "rule_id string, rule_json string")
+    rules = compile_rules(listed, events)
+    outcome = conversion_results(spark, rules).select("rule_id", F.when(F.col("rule_id") == "not_json", "no JSON").otherwise(F.col("error")).alias("error"))
+    hits = d.detect(events, rules, ["event_id"]).groupBy("rule_id").agg(F.count("*").alias("hits"))
+    return outcome.join(hits, "rule_id", "left").select("rule_id", "error", F.coalesce("hits", F.lit(0).cast("bigint")).alias("total_hits"))
+
+
 SKIPPED = rule("other_target", targets=[" KQL ", ""], selection={"event.action": "view"})
 TARGETED = rule("own_target", targets=["Spark"], selection={"event.action": "view"})
 MISSING = rule("missing_field", selection={"process.name": "x"})

@@ -93,8 +93,11 @@ OUTCOME = """SELECT 'rule-' || doc_id AS rule_id, 'sigma-rules/' || source || '/
   FROM (SELECT d.doc_id, d.source, d.lang, d.text, b.backend,
     CASE WHEN l.quality IS NULL THEN 'skipped' WHEN l.quality = 1 AND (d.doc_id + b.n) % 4 <> 0 THEN 'success' ELSE 'failed' END AS status
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
-    JOIN (VALUES (0, 'splunk'), (1, 'kql'), (2, 'elasticsearch')) AS b(n, backend) ON d.doc_id >= 0) o"""
-SQL_OUTCOMES = f"({OUTCOME}) o"
+    {BACKENDS}) o"""
+# Three rows per document: a list unfolded, which each engine writes in its own way.
+OUTCOME_SQL = OUTCOME.replace("{BACKENDS}", ", (VALUES (0, 'splunk'), (1, 'kql'), (2, 'elasticsearch')) AS b(n, backend)")
+OUTCOME = OUTCOME.replace("{BACKENDS}", "LATERAL VIEW posexplode(array('splunk', 'kql', 'elasticsearch')) b AS n, backend")
+SQL_OUTCOMES = f"({OUTCOME_SQL}) o"
 
 
 # ---- commits from `orders`, changed files from `lineitem` ----------------------------------------

@@ -51,23 +51,37 @@ def stream_window(spark, folder):
     return shown(s.run_updated(spark, counts, "window", "window_start", "window_end", "rule_id"), "rule_id", "matches")
 
 
-@query(
-    "stream_threshold",
-    f"""SELECT strftime(time_bucket(INTERVAL 12 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, rule_id, user_id, count(*) AS matches
-        FROM ({SQL_MATCHES}) GROUP BY ALL HAVING count(*) >= 2""",
+def framed(frame: str, doc: dict) -> dict:
+    return {**doc, "detection": {**doc["detection"], "timeframe": frame}}
+
+
+FRAMES = {"errors": ("12h", "INTERVAL 12 HOUR"), "high_value": ("1d", "INTERVAL 1 DAY"), "signups": ("6h", "INTERVAL 6 HOUR")}
+SQL_FRAMES = " UNION ALL ".join(
+    f"""SELECT strftime(time_bucket({step}, ts), '%Y-%m-%d %H:%M:%S') AS window_start, rule_id, user_id, count(*) AS matches
+        FROM ({SQL_MATCHES}) WHERE rule_id = '{name}' GROUP BY ALL HAVING count(*) >= 2"""
+    for name, (_, step) in FRAMES.items()
 )
+
+
+@query("stream_threshold", SQL_FRAMES)
 def stream_threshold(spark, folder):
-    """Two or more matches of a rule by one user within the rule's timeframe."""
-    busy = s.threshold(matches(spark, folder, "1 day"), "ts", s.timeframe_text("12h"), 2, "rule_id", "user_id")
-    found = s.run_updated(spark, busy, "threshold", "window_start", "window_end", "rule_id", "user_id")
-    return shown(found, "rule_id", "user_id", "matches")
+    """Two or more matches of a rule by one user within that rule's own timeframe."""
+    events = event_stream(spark, folder, "1 day")
+    rules = compile_rules(rules_table(spark, [framed(FRAMES[doc["id"]][0], doc) for doc, _ in RULES]), events)
+    found = s.detect_stream(events, rules, ["event_id", "ts", "user_id"])
+    busy = s.run_thresholds(spark, found, rules, "threshold", "ts", 2, "user_id")
+    return shown(busy, "rule_id", "user_id", "matches")
 
 
-@query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+@query(
+    "stream_dedup",
+    "SELECT DISTINCT user_id, event_type, CASE WHEN user_id % 3 > 0 THEN 9007199254740993 + user_id END AS big FROM events",
+)
 def stream_dedup(spark, folder):
-    """First event per user and type; the watermark spans the table, so each pair is kept once."""
-    events = event_stream(spark, folder, "3650 days").select("ts", "user_id", "event_type")
-    return s.run_appended(spark, s.drop_repeats(events, ["user_id", "event_type"]), "dedup").select("user_id", "event_type")
+    """First event per user and type; the watermark spans the table, so each pair is kept once. Big integers beside NULLs stay exact."""
+    big = F.when(F.col("user_id") % 3 > 0, F.lit(9007199254740993) + F.col("user_id")).alias("big")
+    events = event_stream(spark, folder, "3650 days").select("ts", "user_id", "event_type", big)
+    return s.run_appended(spark, s.drop_repeats(events, ["user_id", "event_type"]), "dedup").select("user_id", "event_type", "big")
 
 
 @query(

@@ -1,27 +1,16 @@
-"""Session set-up, the shared folder, and size checks before anything is broadcast or collected."""
+"""Session set-up, the shared folder, local tables and joins on hot keys."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-# Rules and expectations are configuration. Beyond this many rows they are data and stay distributed.
-CONFIG_ROWS = 20_000
-# A join side is broadcast only when measured to be at most this many rows and bytes.
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-# A join key with more rows than HOT_ROWS is spread over SALTS tasks; at most HOT_KEYS keys are.
-HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
-SALTS = 64
-
 _local_folders: dict[str, str] = {}
 
 
@@ -57,15 +46,6 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/nightglass/{name}-{uuid.uuid4().hex}"
 
 
-def fits(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """True if df is measured to hold at most `rows` rows and `size` bytes of JSON text.
-
-    Only row lengths come to the driver, and a large table is read no further than the bound.
-    """
-    lengths = df.select(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).alias("n")).take(rows + 1)
-    return len(lengths) <= rows and sum(r.n or 0 for r in lengths) <= size
-
-
 def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small table of driver rows. Sent as Arrow it is a local relation whose size Spark knows."""
     names = [f.name for f in _parsed(schema).fields]
@@ -80,44 +60,20 @@ def _parsed(schema: str) -> StructType:
     return StructType.fromDDL(schema)
 
 
-def collect_config(df: DataFrame, what: str, bound: int = CONFIG_ROWS) -> list:
-    """Collect a configuration table, refusing when it is larger than the bound."""
-    rows = df.take(bound + 1)
-    if len(rows) > bound:
-        raise ValueError(f"more than {bound} {what}; join them as data instead (see operators.indicators)")
-    return rows
-
-
-def hot_keys(big: DataFrame, keys: list[str]) -> list:
-    """The hottest keys that hold more rows than one task should take. Rows are counted map-side."""
-    counts = big.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS)
-    return counts.orderBy(F.col("_n").desc()).select(*keys).take(HOT_KEYS)
-
-
-def salted_join(big: DataFrame, side: DataFrame, keys: list[str], how: str, spread: list[str]) -> DataFrame:
-    """Equi-join for a side that is small, or else large and met by hot keys of `big`.
+def salted_join(big: DataFrame, side: DataFrame, keys: list[str], how: str, spread: list[str], salts: int = 1) -> DataFrame:
+    """Equi-join of `big` with `side`; inner, left, left_semi or left_anti.
 
-    A side measured to be small is broadcast. Otherwise the rows of each hot key are spread over SALTS
-    tasks by the `spread` columns, and the side's rows of those keys are repeated per salt; all
-    other keys join as they are. Right for inner, left, left_semi and left_anti joins.
+    As it stands Spark plans it, and adaptive execution splits skewed partitions. A caller who knows that keys are hot beyond
+    that asks for `salts`: rows of a key are spread over so many tasks by the `spread` columns, and the side is
+    repeated as often. No job runs to find out.
     """
-    if fits(side):
-        return big.join(F.broadcast(side), keys, how)
-    hot = hot_keys(big, keys)
-    if not hot:
+    if salts <= 1:
         return big.join(side, keys, how)
-    fields = [big.schema[k] for k in keys]
-    marked = big.sparkSession.createDataFrame(hot, StructType(fields)).withColumn("_hot", F.lit(True))
-    # A NULL key meets no row of the side, so such rows may go anywhere.
-    loose = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.coalesce("_hot", F.lit(False)))
-    salt = F.when(loose, F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")).otherwise(0)
-    salted = big.join(F.broadcast(marked), keys, "left").withColumn("_salt", salt).drop("_hot")
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copies = side.join(F.broadcast(marked), keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    copies = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
 def spread_out(df: DataFrame) -> DataFrame:
-    """Rows dealt over all cores when the input has fewer splits than that; large inputs are left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Rows dealt over the cores if the input is a single split; more than one split's bytes are never shuffled."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if df.rdd.getNumPartitions() == 1 else df

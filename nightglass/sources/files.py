@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from nightglass.functions.text import file_name, is_blank
-from nightglass.session import collect_config, local_table
+from nightglass.session import local_table
 
 try:
     import yaml
@@ -27,21 +27,10 @@ def read_texts(spark: SparkSession, path: str, glob: str) -> DataFrame:
     """Whole files below a path whose names match a glob, as (path, text). Empty files have the text ''."""
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
     found = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-    empty = _empty_files(spark, path, glob)
-    return found.unionByName(local_table(spark, empty, "path string, text string")) if empty else found
-
-
-def _empty_files(spark: SparkSession, path: str, glob: str) -> list[tuple]:
-    """Files of length 0, which Spark's file scans leave out, from the same kind of listing."""
-    fs_package = spark._jvm.org.apache.hadoop.fs
-    root, wanted = fs_package.Path(path), fs_package.GlobFilter(glob)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
-    empty = []
-    while files.hasNext():
-        status = files.next()
-        if status.getLen() == 0 and wanted.accept(status.getPath()):
-            empty.append((status.getPath().toString(), ""))
-    return empty
+    # The scan lists empty files but gives no row for them.
+    listed = local_table(spark, [(f,) for f in reader.text(path, wholetext=True).inputFiles()], "path string")
+    empty = listed.join(found.select("path"), "path", "left_anti").select("path", F.lit("").alias("text"))
+    return found.unionByName(empty)
 
 
 def relative_to(df: DataFrame, anchor: str) -> DataFrame:
@@ -144,8 +133,12 @@ def read_expectations(spark: SparkSession, path: str) -> DataFrame:
         parsed = parse_yaml(spark.read.text(path, wholetext=True).withColumnRenamed("value", "text"))
     except AnalysisException:
         return local_table(spark, [], EXPECTATION_SCHEMA)
-    found = collect_config(parsed.select("rule_json"), "expectation files", 1)
-    return expectations_table(spark, json.loads(found[0][0] or "null") if found else None)
+    merged: dict = {}
+    for row in parsed.select("rule_json").collect():
+        document = json.loads(row[0] or "null")
+        for backend, entries in (document if isinstance(document, dict) else {}).items():
+            merged.setdefault(backend, {}).update(entries if isinstance(entries, dict) else {})
+    return expectations_table(spark, merged)
 
 
 def read_change_lines(spark: SparkSession, path: str) -> DataFrame:

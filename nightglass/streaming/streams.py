@@ -6,9 +6,6 @@ checkpoint after a lost executor or driver. Checkpoints and outputs live in the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from nightglass.operators.detect import detect
@@ -61,31 +58,48 @@ def timeframe_text(timeframe: str) -> str:
     return f"{number} {UNITS[unit]}"
 
 
-def drop_repeats(events: DataFrame, key: list[str]) -> DataFrame:
-    """One event per key within the watermark.
+def run_thresholds(spark: SparkSession, matches: DataFrame, rules: list[CompiledRule], name: str, time: str, least: int, *by: str) -> DataFrame:
+    """Windows in which a key has at least `least` matches of a rule, each rule by its own timeframe.
 
-    Copies inside one Arrow batch are dropped first, without state, so that a key that makes up a
-    third of the stream reaches its state partition as one row per batch.
+    Rules with the same timeframe share one stream and its state; rules without one have no threshold.
     """
+    frames = sorted({r.timeframe for r in rules if r.timeframe})
+    found = None
+    for i, frame in enumerate(frames):
+        own = matches.where(F.col("rule_id").isin([r.rule_id for r in rules if r.timeframe == frame]))
+        counted = threshold(own, time, timeframe_text(frame), least, "rule_id", *by)
+        part = run_updated(spark, counted, f"{name}-{i}", "window_start", "window_end", "rule_id", *by)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        raise ValueError("no rule has a timeframe")
+    return found
 
-    def firsts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            yield part.drop_duplicates(key)
 
-    return events.mapInPandas(firsts, events.schema).dropDuplicatesWithinWatermark(key)
+def drop_repeats(events: DataFrame, key: list[str]) -> DataFrame:
+    """One event per key within the watermark."""
+    return events.dropDuplicatesWithinWatermark(key)
+
 
+def late_rows(query) -> int:
+    """Rows that a finished or running query dropped because they came behind the watermark, from its progress."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
 
-def append_to(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Run an append-mode stream into Parquet, exactly once per file."""
+
+def append_to(stream: DataFrame, path: str, checkpoint: str) -> int:
+    """Run an append-mode stream into Parquet, exactly once per file. Returns the number of late rows dropped."""
     query = (
         stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start(path)
     )
     query.awaitTermination()
+    return late_rows(query)
+
 
+def updates_to(stream: DataFrame, path: str, checkpoint: str) -> int:
+    """Run an update-mode stream. Each batch overwrites its own folder, so a retried batch stays single.
 
-def updates_to(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Run an update-mode stream. Each batch overwrites its own folder, so a retried batch stays single."""
+    Returns the number of late rows dropped.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
@@ -95,6 +109,7 @@ def updates_to(stream: DataFrame, path: str, checkpoint: str) -> None:
         .foreachBatch(write).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return late_rows(query)
 
 
 def latest(updates: DataFrame, *key: str) -> DataFrame:

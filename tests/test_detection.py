@@ -209,42 +209,26 @@ TEXTS = ["the Quick brown fox", "http://a.example/12?x=the quick", "a", "ab\ncd
 PATTERNS = ["quick brown", "/1", "a", "b\nc", "ÉCL", "abcd", "brown fox", "zzz", "the quick", " quick ", "", "e", "42", "q", "quick-brown", "cabca"]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_contained_equals_brute_force(spark, rows, monkeypatch, small):
-    if not small:
-        monkeypatch.setattr(indicators, "fits", lambda df: False)
-        monkeypatch.setattr(session, "fits", lambda df: False)
-        monkeypatch.setattr(session, "HOT_ROWS", 1)
+def test_contained_equals_brute_force(spark, rows):
     values = spark.createDataFrame([(i, "t", t) for i, t in enumerate(TEXTS)], "id int, field string, value string")
     listed = spark.createDataFrame([(i, "t", p) for i, p in enumerate(PATTERNS)], "indicator_id int, field string, pattern string")
     want = sorted(((i, "t", j) for i, t in enumerate(TEXTS) for j, p in enumerate(PATTERNS) if p and p.lower() in t.lower()), key=repr)
     assert rows(indicators.match_contained(values, listed, ["id"])) == want
 
 
-def test_equal_with_a_hot_value(spark, rows, monkeypatch):
-    monkeypatch.setattr(session, "fits", lambda df: False)
-    monkeypatch.setattr(session, "HOT_ROWS", 50)
+def test_equal_with_a_hot_value(spark, rows):
     wide = spark.range(300).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("u"))
     values = indicators.field_values(wide, ["id"], ["u"])
     listed = spark.createDataFrame([(1, "u", "hot"), (2, "u", "hot"), (3, "u", "7"), (4, "v", "8")], "indicator_id int, field string, value string")
-    got = rows(indicators.match_equal(values, listed, ["id"]).select("id", "indicator_id"))
+    got = rows(indicators.match_equal(values, listed, ["id"], salts=8).select("id", "indicator_id"))
     assert got == sorted([(i, j) for i in range(0, 300, 3) for j in (1, 2)] + [(7, 3)], key=repr)
 
 
-def test_salted_left_join_keeps_unmatched_rows(spark, rows, monkeypatch):
-    monkeypatch.setattr(session, "fits", lambda df: False)
-    monkeypatch.setattr(session, "HOT_ROWS", 5)
+def test_salted_left_join_keeps_unmatched_rows(spark, rows):
     big = spark.createDataFrame([(i, "h" if i < 10 else None if i < 20 else "c") for i in range(22)], "id int, k string")
     side = spark.createDataFrame([("h", 1), ("h", 2), (None, 3)], "k string, v int")
-    got = rows(session.salted_join(big, side, ["k"], "left", ["id"]).select("id", "v"))
+    got = rows(session.salted_join(big, side, ["k"], "left", ["id"], 8).select("id", "v"))
     assert got == sorted([(i, v) for i in range(10) for v in (1, 2)] + [(i, None) for i in range(10, 22)], key=repr)
-    kept = rows(session.salted_join(big, side, ["k"], "left_anti", ["id"]).select("id"))
+    kept = rows(session.salted_join(big, side, ["k"], "left_anti", ["id"], 8).select("id"))
     assert kept == sorted([(i,) for i in range(10, 22)], key=repr)
-    assert session.salted_join(big, side, ["k"], "left_semi", ["id"]).count() == 10
-
-
-def test_size_check(spark):
-    assert session.fits(spark.range(5), 5) and not session.fits(spark.range(6), 5)
-    assert not session.fits(spark.createDataFrame([("x" * 100,)], "t string"), 5, 50)
-    with pytest.raises(ValueError):
-        session.collect_config(spark.range(4), "rows", 3)
+    assert session.salted_join(big, side, ["k"], "left_semi", ["id"], 8).count() == 10
