@@ -207,6 +207,22 @@ def detect_field_map(spark, folder):
     return parts[0].unionByName(parts[1])
 
 
+@query(
+    "detect_nested",
+    f"""SELECT event_id, 'path' AS rule_id FROM {EV} WHERE event_type = 'view' AND user_id % 100 IN (7, 8)
+        UNION ALL SELECT event_id, 'absent' FROM {EV} WHERE user_id % 100 = 9""",
+)
+def detect_nested(spark, folder):
+    """Rules on fields inside structs, as an unwrapped envelope holds them; a path that is not there is an absent field."""
+    identity = F.struct(F.concat(F.lit("User"), F.col("`user.id`") % 100).alias("userName"), F.col("`event.action`").alias("kind"))
+    events = event_view(spark, folder).select("event_id", F.struct(identity.alias("userIdentity")).alias("detail"), identity.alias("userIdentity"))
+    docs = [
+        rule("path", selection={"userIdentity.userName": ["user7", "USER8"], "detail.userIdentity.kind|startswith": "vi"}),
+        rule("absent", "selection and not other", selection={"userIdentity.userName": "user9"}, other={"userIdentity.nothing": "x"}),
+    ]
+    return d.detect(events, compiled(spark, events, docs), ["event_id"])
+
+
 @query("detect_routed", f"SELECT event_id, 'r' AS rule_id FROM {EV} WHERE event_type = 'error' AND port < 50")
 def detect_routed(spark, folder):
     events = event_view(spark, folder)

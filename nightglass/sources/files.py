@@ -117,28 +117,28 @@ def choose_queries(spark, *, query=None, manifests=None, folder=None, backend: s
     return listing if manifests is None else queries_of_run(manifests, listing, backend)
 
 
+def expectations_of(documents: DataFrame) -> DataFrame:
+    """Expectation documents in `rule_json`, {backend: {key: {min, max, description}}}, to rows. Anything else, and empty entries, give none."""
+    doc = F.try_parse_json("rule_json")
+    backends = documents.select(F.explode(F.try_variant_get(doc, "$", "map<string,variant>")).alias("backend", "entries"))
+    keys = backends.select("backend", F.explode(F.try_variant_get("entries", "$", "map<string,variant>")).alias("query_key", "e"))
+    filled = keys.where(F.schema_of_variant("e").startswith("OBJECT<") & (F.schema_of_variant("e") != "OBJECT<>"))
+    entry = lambda name, kind: F.try_variant_get("e", f"$.{name}", kind)
+    return filled.select("backend", "query_key", entry("min", "bigint").alias("min_rows"), entry("max", "bigint").alias("max_rows"), entry("description", "string").alias("description"))
+
+
 def expectations_table(spark: SparkSession, document: object) -> DataFrame:
-    """{backend: {key: {min, max, description}}} to rows. Anything else, and empty entries, give none."""
-    rows = []
-    for backend, entries in (document if isinstance(document, dict) else {}).items():
-        for key, entry in (entries if isinstance(entries, dict) else {}).items():
-            if entry:
-                rows.append((backend, key, entry.get("min"), entry.get("max"), entry.get("description")))
-    return local_table(spark, rows, EXPECTATION_SCHEMA)
+    """The rows of one expectation document given as a mapping."""
+    return expectations_of(local_table(spark, [(json.dumps(document),)], "rule_json string"))
 
 
 def read_expectations(spark: SparkSession, path: str) -> DataFrame:
-    """Expectations of a YAML file; a file that is not there gives none."""
+    """Expectations of a YAML file or of all files of a folder; a path that is not there gives none."""
     try:
         parsed = parse_yaml(spark.read.text(path, wholetext=True).withColumnRenamed("value", "text"))
     except AnalysisException:
         return local_table(spark, [], EXPECTATION_SCHEMA)
-    merged: dict = {}
-    for row in parsed.select("rule_json").collect():
-        document = json.loads(row[0] or "null")
-        for backend, entries in (document if isinstance(document, dict) else {}).items():
-            merged.setdefault(backend, {}).update(entries if isinstance(entries, dict) else {})
-    return expectations_table(spark, merged)
+    return expectations_of(parsed)
 
 
 def read_change_lines(spark: SparkSession, path: str) -> DataFrame:
