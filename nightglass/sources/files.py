@@ -29,7 +29,9 @@ def read_texts(spark: SparkSession, path: str, glob: str) -> DataFrame:
     found = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     # The scan lists empty files but gives no row for them.
     listed = local_table(spark, [(f,) for f in reader.text(path, wholetext=True).inputFiles()], "path string")
-    empty = listed.join(found.select("path"), "path", "left_anti").select("path", F.lit("").alias("text"))
+    # The list and the rows differ in the slashes after the scheme.
+    plain = F.regexp_replace("path", "^([A-Za-z0-9]+):/+", "$1:/").alias("plain")
+    empty = listed.select("path", plain).join(found.select(plain), "plain", "left_anti").select("path", F.lit("").alias("text"))
     return found.unionByName(empty)
 
 
