@@ -1,8 +1,8 @@
 """Benchmark decontamination: a hash set of benchmark word windows scanned over whole documents.
 
 Words are maximal runs of digits, letters and non-ASCII characters with A-Z lower-cased. A window is 13
-consecutive words of a benchmark item; an item of fewer words is one window. Window hashes found in a
-document are verified word by word before they count.
+consecutive words of a benchmark item; an item of fewer words is one window. Windows are found through their rarest
+word and the hash of all their words, and verified word by word before they count.
 """
 
 from __future__ import annotations
@@ -33,24 +33,30 @@ def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     return grams.groupBy("gram").agg(F.collect_set("item_id").alias("items")).select(F.xxhash64("gram").alias("hash"), "gram", "items")
 
 
+def anchored(windows: DataFrame) -> DataFrame:
+    """Adds to each window the hash of the word that the fewest windows hold, and where it stands in the window."""
+    parts = windows.select("gram", F.posexplode("gram").alias("at", "word"))
+    held = parts.groupBy("word").agg(F.count("*").alias("n"))
+    rarest = parts.join(held, "word").groupBy("gram").agg(F.min(F.struct("n", -F.char_length("word"), "word", "at")).alias("m"))
+    return windows.join(rarest, "gram").select(F.xxhash64("m.word").alias("word_hash"), "m.at", "hash", "gram", "items")
+
+
 def find_hits(texts: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, key, pos, len, items): every verified occurrence of a window; pos counts words from 1."""
-    measured = windows.agg(
-        F.count("*").alias("n"), F.sum(F.octet_length(F.concat_ws(" ", "gram")) + 8 * F.size("items")).alias("b"), F.collect_set(F.size("gram")).alias("lens")
-    ).first()
-    lens = sorted(measured["lens"])
+    """(doc_id, key, pos, len, items): every verified occurrence of a window; pos counts words from 1.
+
+    Every word of every text is looked up among the windows' rarest words; where one is met, the hash of the text's
+    window around it is compared with the window's, and then the words themselves.
+    """
+    measured = windows.agg(F.count("*").alias("n"), F.sum(F.octet_length(F.concat_ws(" ", "gram")) + 8 * F.size("items")).alias("b")).first()
     small = measured["n"] <= BROADCAST_WINDOWS and (measured["b"] or 0) <= BROADCAST_BYTES
+    table = anchored(windows)
     words = texts.select("doc_id", "key", words_of(F.col("text")).alias("w"))
-
-    def starts(n: int) -> Column:
-        one = lambda i: F.struct(i.alias("pos"), F.lit(n).alias("len"), F.xxhash64(F.slice("w", i, n)).alias("hash"))
-        none = F.array().cast("array<struct<pos:int,len:int,hash:bigint>>")
-        return F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), one)).otherwise(none)
-
-    each = F.concat(*[starts(n) for n in lens]) if lens else F.array().cast("array<struct<pos:int,len:int,hash:bigint>>")
-    seen = words.select("doc_id", "key", "w", F.explode(each).alias("s")).select("doc_id", "key", "w", "s.pos", "s.len", "s.hash")
-    found = seen.join(F.broadcast(windows) if small else windows, "hash")
-    return found.where(F.slice("w", F.col("pos"), F.col("len")) == F.col("gram")).select("doc_id", "key", "pos", "len", "items")
+    seen = words.select("doc_id", "key", "w", F.posexplode("w").alias("i", "word")).select("doc_id", "key", "w", "i", F.xxhash64("word").alias("word_hash"))
+    met = seen.join(F.broadcast(table) if small else table, "word_hash")
+    start, n = F.col("i") - F.col("at") + 1, F.size("gram")
+    window = F.slice("w", F.greatest(start, F.lit(1)), n)
+    found = met.where((start >= 1) & (start + n - 1 <= F.size("w"))).where((F.xxhash64(window) == F.col("hash")) & (window == F.col("gram")))
+    return found.select("doc_id", "key", start.alias("pos"), n.alias("len"), "items")
 
 
 def hit_words(spans: Column) -> Column:
