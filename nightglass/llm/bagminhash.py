@@ -35,6 +35,7 @@ FINE_BANDS, FINE_ROWS = 140, 12
 AGREEING = 84
 # Members of a fine bucket that lead from its second round on, and how much more do in each round after it.
 LEADERS, GROWTH = 8, 8
+PAIRS_PER_TASK = 2_000
 CHUNK_WORDS = 200_000
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -221,13 +222,14 @@ def nodes_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("node"), text.alias("text"))
 
 
-def connected(edges: DataFrame) -> DataFrame:
-    """(node, comp): each node of the edges (a, b) with the least node of its component.
+def connected(edges: DataFrame, rows: int | None = None) -> DataFrame:
+    """(node, comp): each node of the edges (a, b), at most `rows` of them, with the least node of its component.
 
     Large-star and small-star steps in turn, each written out; rounds grow with the logarithm of the longest chain. A hub
     is no group in memory: minima are pre-aggregated, and Spark may split the join on a hub's edges.
     """
-    now = write_out(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "stars")
+    links = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
+    now = write_out(links, "stars", rows)
 
     def size(e: DataFrame):
         r = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -241,7 +243,7 @@ def connected(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        now = write_out(small, "stars")
+        now = write_out(small, "stars", rows)
         after = size(now)
         if after == state:
             break
@@ -249,11 +251,11 @@ def connected(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(now.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
-def relabel(comps: DataFrame, links: DataFrame) -> DataFrame:
+def relabel(comps: DataFrame, links: DataFrame, rows: int) -> DataFrame:
     """Labels after joining the components at both ends of each link."""
     a, b = comps.select(F.col("node").alias("a"), F.col("comp").alias("ca")), comps.select(F.col("node").alias("b"), F.col("comp").alias("cb"))
     edges = links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    merged = connected(edges).select(F.col("node").alias("comp"), F.col("comp").alias("joined"))
+    merged = connected(edges, rows).select(F.col("node").alias("comp"), F.col("comp").alias("joined"))
     return comps.join(merged, "comp", "left").select("node", F.coalesce("joined", "comp").alias("comp"))
 
 
@@ -264,6 +266,11 @@ def weighed(buckets: DataFrame) -> DataFrame:
     return members.join(members.groupBy("node").agg(F.sum("n").alias("weight")), "node").drop("n")
 
 
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """Fewer tasks for few pairs: PAIRS_PER_TASK each, or as many as there are."""
+    return df.coalesce(max(1, -(-rows // PAIRS_PER_TASK)))
+
+
 def join_bucket_mates(members: DataFrame, comps: DataFrame, sketches: DataFrame, texts: DataFrame, judged: list[DataFrame], rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(labels, open members) after comparing the members of each bucket (bucket, node, weight), but for needless pairs.
 
@@ -274,11 +281,13 @@ def join_bucket_mates(members: DataFrame, comps: DataFrame, sketches: DataFrame,
     `judged` and are not judged again.
     """
     state, leaders, turn = members.withColumn("led", F.lit(False)), 0, 0
+    nodes = comps.count()
     while True:
-        at = write_out(state.join(comps, "node"), "buckets")
+        n_state = state.count()
+        at = write_out(state.join(comps, "node"), "buckets", n_state)
         order = F.struct("weight", F.xxhash64("node"), "node")
         waiting = at.where(~F.col("led")).groupBy("bucket").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.max(order)["node"].alias("head"))
-        open_ = write_out(waiting.where("low <> high").select("bucket", "n", "head"), "open-buckets")
+        open_ = write_out(waiting.where("low <> high").select("bucket", "n", "head"), "open-buckets", n_state)
         if turn == rounds or open_.isEmpty():
             return comps, at.join(open_.select("bucket"), "bucket", "left_semi").select("bucket", "node")
         chosen = (F.col("node") == F.col("head")) | (F.pmod(F.xxhash64("node", "bucket"), F.col("n")) < leaders)
@@ -288,15 +297,17 @@ def join_bucket_mates(members: DataFrame, comps: DataFrame, sketches: DataFrame,
         pairs = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
         for before in judged:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
-        pairs = write_out(pairs, "pairs")
+        pairs = write_out(pairs, "pairs", n_state * (1 + leaders))
         judged.append(pairs)
         side = lambda n, table, what: table.select(F.col("node").alias(n), F.col(what).alias(f"{what}_{n}"))
         sketched = pairs.join(side("b", sketches, "sketch"), "b").join(side("a", sketches, "sketch"), "a").select("a", "b", "sketch_a", "sketch_b")
-        likely = write_out(sketched.mapInArrow(likely_batches, "a binary, b binary"), "likely")
+        likely = write_out(few(sketched, pairs.count()).mapInArrow(likely_batches, "a binary, b binary"), "likely")
         whole = likely.join(side("b", texts, "text"), "b").join(side("a", texts, "text"), "a").select("a", "b", "text_a", "text_b")
+        whole = few(whole, likely.count())
         links = write_out(whole.mapInArrow(compare_batches, "a binary, b binary, sim double").where(F.col("sim") >= SIMILARITY).select("a", "b"), "links")
-        if not links.isEmpty():
-            comps = write_out(relabel(comps, links), "labels")
+        n_links = links.count()
+        if n_links:
+            comps = write_out(relabel(comps, links, n_links), "labels", nodes)
         state = marked.select("bucket", "node", "weight", (F.col("led") | F.col("leads")).alias("led"))
         turn += 1
         leaders = 0 if rounds else max(LEADERS, leaders * GROWTH)
@@ -324,8 +335,9 @@ def classes(docs: DataFrame) -> DataFrame:
         comps, open_ = join_bucket_mates(group, comps, sketches, texts, judged, STAR_ROUNDS)
         left = open_.select("node") if left is None else left.union(open_.select("node"))
     # Open buckets were of several components when their stars had led; later links may have closed some.
-    left = write_out(left.distinct(), "open-nodes")
-    fine = write_out(weighed(texts.join(left, "node", "left_semi").select("node", "text").mapInArrow(fine_batches, "node binary, bucket bigint")), "fine-members")
+    left = write_out(left.distinct(), "open-nodes", comps.count())
+    opened = few(texts.join(left, "node", "left_semi").select("node", "text"), left.count())
+    fine = write_out(weighed(opened.mapInArrow(fine_batches, "node binary, bucket bigint")), "fine-members")
     comps, _ = join_bucket_mates(fine, comps, sketches, texts, judged)
     found = signed.select("doc_id", "node").join(comps, "node", "left")
     return found.select("doc_id", "node", F.coalesce("comp", "node").alias("comp"))

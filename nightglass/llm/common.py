@@ -31,9 +31,19 @@ def join_rows(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame
     return left.join(named, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("key") == F.col("_key")), how).drop("_doc_id", "_key")
 
 
-def write_out(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read back: later jobs do not depend on its lineage."""
+# Rows that one task writes of a table of short rows whose size is known beforehand.
+ROWS_PER_TASK = 50_000
+
+
+def write_out(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """df written to the shared folder and read back: later jobs do not depend on its lineage.
+
+    `rows`, an upper bound of its rows where one is known, keeps small tables from being made by as many tasks as a shuffle
+    has partitions; large ones keep all.
+    """
     path = run_folder(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
