@@ -10,6 +10,7 @@ from nightglass.operators import changelog as ch
 from nightglass.operators.pages import release_notes
 from nightglass.plans import standins as st
 from nightglass.plans.registry import query, spread_table, table
+from nightglass.session import run_folder
 
 COMMIT_SHA = st.SHA.format("o_orderkey")
 SQL_AT = f"o_orderdate + CASE {st.OFFSET} WHEN '-04:00' THEN INTERVAL 240 MINUTE WHEN '+05:30' THEN INTERVAL (-330) MINUTE ELSE INTERVAL 0 MINUTE END"
@@ -160,7 +161,10 @@ SQL_HEADING = "CASE WHEN status IN ('Created', 'Modified', 'Deleted', 'Moved', '
           || ']({URL}/commit/' || commit || '), ' || author || ': ' || message || ')' FROM r""",
 )
 def change_render(spark, folder):
-    lines = ch.in_line_order(ch.changelog_lines(changes(spark, folder), "month", URL))
+    # Headings and entries read the same rows, so these are joined once and written first.
+    path, joined = run_folder(spark, "changes"), changes(spark, folder)
+    joined.write.parquet(path)
+    lines = ch.in_line_order(ch.changelog_lines(spark.read.schema(joined.schema).parquet(path), "month", URL))
     return lines.select(F.date_format("bucket_start", "yyyy-MM-dd").alias("bucket"), "file", "line")
 
 
