@@ -103,11 +103,11 @@ def test_envelope_with_broken_escapes(spark):
 
 def test_index_pattern_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "events")
-    frame = spark.createDataFrame([(1, "dfir_json-a"), (2, "dfir_json-b"), (3, "dfirxjson-c"), (4, "security")], "id int, index string")
+    frame = spark.createDataFrame([(1, "lake_rows-a"), (2, "lake_rows-b"), (3, "lakexrows-c"), (4, "security")], "id int, index string")
     artifacts.write_events(frame, path, "index")
-    assert sorted(r.id for r in ev.read_index(spark, path, "dfir_json-*").collect()) == [1, 2]
+    assert sorted(r.id for r in ev.read_index(spark, path, "lake_rows-*").collect()) == [1, 2]
     assert [r.id for r in ev.read_index(spark, path, "security").collect()] == [4]
-    plan = ev.read_index(spark, path, "dfir_json-*")._jdf.queryExecution().executedPlan().toString()
+    plan = ev.read_index(spark, path, "lake_rows-*")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(index" in plan
     artifacts.write_events(frame.limit(1), path, "index", append=True)
     assert spark.read.parquet(path).count() == 5
