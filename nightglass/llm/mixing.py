@@ -2,24 +2,28 @@
 
 The documents of a source are cut into blocks. With weight w, block j (from 1) of a source may not run before slot
 floor((j - 1) / w) (its release) and must be done by slot ceil(j / w) (its deadline). In every slot the released block
-with the earliest deadline runs, so after any number of slots each source is less than one block away from
-its weight's share. Weights are multiples of 1 / period, hence the order repeats: it is worked out
-for one period, and every block finds its slot by its number.
+with the earliest deadline runs, so after any number of slots each source that has not run out is less than one block away
+from its weight's share. Weights are taken as given, as exact fractions: nothing is rounded, however long the run.
+The driver goes through the blocks, not the rows, and keeps one block per source at a time.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
+from collections.abc import Iterator
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from nightglass.llm.common import blocks_for, ranked
+from nightglass.session import run_folder
 
-# Documents in a block; slots in a period, raised to SLOTS_PER_SOURCE for each source where there are many.
+# Documents in a block.
 BLOCK = 64
-PERIOD = 1024
-SLOTS_PER_SOURCE = 8
+# Blocks that the driver writes at a time; up to so many are broadcast to the rows, more are joined by a shuffle.
+BLOCKS_AT_ONCE, BLOCKS_BROADCAST = 20_000, 200_000
 # Without given weights, a source's weight is its number of documents to this power, which lifts small sources.
 TEMPERATURE = 0.7
 
@@ -37,27 +41,49 @@ def shares(weights: dict, period: int) -> dict:
     return slots
 
 
-def one_period(slots: dict, period: int) -> list[tuple]:
-    """(source, block in period, slot, release, deadline): earliest deadline first among the released blocks."""
-    blocks = sorted(
-        ((j * period // a, -(-(j + 1) * period // a), i, j) for i, a in enumerate(slots.values()) for j in range(a)),
-    )
-    names, ready, out, at = list(slots), [], [], 0
-    for slot in range(period):
-        while at < len(blocks) and blocks[at][0] <= slot:
-            release, deadline, i, j = blocks[at]
-            heapq.heappush(ready, (deadline, i, j, release))
-            at += 1
+def pfair(weights: dict, blocks: dict) -> Iterator[tuple]:
+    """(source, block from 0, slot, release, deadline) of all blocks, by slot: earliest deadline first among the released ones.
+
+    blocks has how many each source has. Those that a source would have beyond them leave their slots empty, or to blocks
+    that are released by then.
+    """
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    total = sum(exact.values())
+    pace = [total / w for w in exact.values()]
+    steps = [(p.numerator, p.denominator) for p in pace]
+    names, ready, slot = list(weights), [], 0
+    # Of each source at most one block is in either heap.
+    waiting = [(0, i, 0) for i, s in enumerate(names) if blocks[s]]
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
+        while waiting and waiting[0][0] <= slot:
+            release, i, j = heapq.heappop(waiting)
+            n, d = steps[i]
+            heapq.heappush(ready, (-(-(j + 1) * n // d), i, j, release))
         deadline, i, j, release = heapq.heappop(ready)
-        out.append((names[i], j, slot, release, deadline))
-    return out
+        yield names[i], j, slot, release, deadline
+        if j + 1 < blocks[names[i]]:
+            n, d = steps[i]
+            heapq.heappush(waiting, ((j + 1) * n // d, i, j + 1))
+        slot += 1
+
 
+def one_period(slots: dict, period: int) -> list[tuple]:
+    """(source, block in period, slot, release, deadline) of a period with whole slots per source."""
+    return list(pfair(slots, slots))
 
-def pattern_table(spark: SparkSession, slots: dict, period: int) -> DataFrame:
-    """The period as a table of `period` rows, with each source's slots per period."""
-    rows = [{"source": s, "j": j, "s": slot, "r": r, "d": d, "a": slots[s]} for s, j, slot, r, d in one_period(slots, period)]
-    kind = "array<struct<source:string,j:bigint,s:bigint,r:bigint,d:bigint,a:bigint>>"
-    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
+
+def slot_table(spark: SparkSession, weights: dict, blocks: dict) -> DataFrame:
+    """(source, j, s, r, d): slot, release and deadline of each block, written in parts as they are worked out."""
+    kind, path = "array<struct<source:string,j:bigint,s:bigint,r:bigint,d:bigint>>", run_folder(spark, "mix-slots")
+    order = pfair(weights, blocks)
+    while part := list(itertools.islice(order, BLOCKS_AT_ONCE)):
+        if max(p[4] for p in part) >= 1 << 63:
+            raise ValueError("a weight is so small that its blocks need slots of more than 63 bits")
+        rows = json.dumps([{"source": s, "j": j, "s": slot, "r": r, "d": d} for s, j, slot, r, d in part])
+        spark.range(1).select(F.inline(F.from_json(F.lit(rows), kind))).coalesce(1).write.mode("append").parquet(path)
+    return spark.read.schema("source string, j bigint, s bigint, r bigint, d bigint").parquet(path)
 
 
 def source_weights(docs: DataFrame) -> dict:
@@ -65,7 +91,29 @@ def source_weights(docs: DataFrame) -> dict:
     return {r["source"]: r["n"] ** TEMPERATURE for r in docs.groupBy("source").agg(F.count("*").alias("n")).collect()}
 
 
-def schedule(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, period: int = PERIOD, keep: list[Column] | None = None) -> DataFrame:
+def target_weights(sizes: dict, weights: dict | None) -> dict:
+    """Weight of each source that has rows, in a fixed order. Sources without a given one get the least given one."""
+    least = min((weights or {}).values(), default=1.0)
+    order = sorted(sizes, key=lambda s: (s is not None, s or ""))
+    return {s: sizes[s] ** TEMPERATURE if weights is None else weights.get(s, least) for s in order}
+
+
+def in_turn(numbered: DataFrame, weights: dict, blocks: dict, block: int) -> DataFrame:
+    """numbered with (block, place, release, deadline, slot) in place of _rank, a row's number from 0 within its source."""
+    if not weights:
+        extra = ("block", "place", "release", "deadline", "slot")
+        return numbered.drop("_rank").select("*", *[F.lit(0).cast("long").alias(c) for c in extra])
+    slots = slot_table(numbered.sparkSession, weights, blocks)
+    if sum(blocks.values()) <= BLOCKS_BROADCAST:
+        slots = F.broadcast(slots)
+    turns = numbered.withColumn("block", F.floor(F.col("_rank") / block).cast("long")).withColumn("place", F.col("_rank") % block).alias("t")
+    joined = turns.join(slots.alias("p"), F.col("t.source").eqNullSafe(F.col("p.source")) & (F.col("t.block") == F.col("p.j")))
+    return joined.select(
+        *[F.col(f"t.`{c}`") for c in numbered.columns if c != "_rank"], "t.block", "t.place", F.col("p.r").alias("release"), F.col("p.d").alias("deadline"), F.col("p.s").alias("slot")
+    )
+
+
+def schedule(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, keep: list[Column] | None = None) -> DataFrame:
     """(kept columns, source, block, place, release, deadline, slot) of every row of docs.
 
     Read in order of (slot, place). A block belongs to one slot; slots of a source that has run out stay empty,
@@ -77,34 +125,9 @@ def schedule(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, p
     keep = [F.col("doc_id")] if keep is None else keep
     rows = docs.select(*keep, F.col("source").cast("string").alias("source"), F.xxhash64("doc_id").alias("_h"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_t"))
     sizes = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
-    if weights is None:
-        given = {s: n**TEMPERATURE for s, n in sizes.items()}
-    else:
-        least = min(weights.values(), default=1.0)
-        given = {s: weights.get(s, least) for s in sizes}
-    order = sorted(given, key=lambda s: (s is not None, s or ""))
-    period = max(period, SLOTS_PER_SOURCE * len(order))
-    slots = shares({s: given[s] for s in order}, period) if order else {}
     count = blocks_for(sum(sizes.values()))
     numbered = ranked(rows, ["source"], F.pmod("_h", F.lit(count)), [F.col("_h"), F.col("_id"), F.col("_t")], "_rank").drop("_h", "_id", "_t")
-    if not slots:
-        extra = ("block", "place", "release", "deadline", "slot")
-        return numbered.drop("_rank").select("*", *[F.lit(0).cast("long").alias(c) for c in extra])
-    # One row per slot of the period: at most max(PERIOD, SLOTS_PER_SOURCE * sources) rows.
-    period_rows = F.broadcast(pattern_table(docs.sparkSession, slots, period)).alias("p")
-    per = pattern_counts(slots)
-    blocks = numbered.withColumn("block", F.floor(F.col("_rank") / block).cast("long")).withColumn("place", F.col("_rank") % block)
-    with_a = blocks.join(F.broadcast(docs.sparkSession.range(1).select(F.inline(F.from_json(F.lit(per), "array<struct<source:string,a:bigint>>")))).alias("w"), blocks["source"].eqNullSafe(F.col("w.source")))
-    turns = with_a.withColumn("_turn", F.floor(F.col("block") / F.col("w.a")).cast("long")).withColumn("_j", F.col("block") % F.col("w.a")).drop(F.col("w.source")).drop("a")
-    joined = turns.join(period_rows, turns["source"].eqNullSafe(F.col("p.source")) & (turns["_j"] == F.col("p.j")))
-    shift = F.col("_turn") * period
-    return joined.select(
-        *[turns[c] for c in numbered.columns if c != "_rank"], turns["block"], turns["place"], (F.col("p.r") + shift).alias("release"), (F.col("p.d") + shift).alias("deadline"), (F.col("p.s") + shift).alias("slot")
-    )
-
-
-def pattern_counts(slots: dict) -> str:
-    return json.dumps([{"source": s, "a": a} for s, a in slots.items()])
+    return in_turn(numbered, target_weights(sizes, weights), {s: -(-n // block) for s, n in sizes.items()}, block)
 
 
 def mixed(docs: DataFrame, weights: dict | None = None) -> DataFrame:

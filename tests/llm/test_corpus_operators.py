@@ -205,3 +205,25 @@ def test_licences(spark, docs, no_docs):
     got = {r.doc_id: r.families for r in license.scan(df, c).collect()}
     assert sum(got[i] == f for i, (f, _) in enumerate(held)) >= 7
     assert license.scan(no_docs, c).collect() == []
+
+
+@pytest.mark.parametrize("weights", [{"a": 1.0, "b": 1.0, "c": 1.0}, {"a": 0.7, "b": 0.29985, "c": 0.00015}])
+def test_pfair_order_keeps_to_the_given_weights(weights):
+    """Over a run of many thousand slots, no source strays a block from its weight as given."""
+    total, done = sum(weights.values()), collections.Counter()
+    blocks = {s: int(100_000 * w / total) for s, w in weights.items()}
+    for source, j, slot, release, deadline in mixing.pfair(weights, blocks):
+        assert release <= slot < deadline and done[source] == j
+        done[source] += 1
+        if slot % 97 == 0 and slot < 99_000:
+            assert all(abs(done[s] - (slot + 1) * w / total) < 1 for s, w in weights.items())
+    assert done == blocks
+
+
+def test_mixing_keeps_to_the_given_weights_over_many_blocks(spark):
+    df = spark.range(30_000).selectExpr("id AS doc_id", "'t' AS text", "element_at(array('x', 'y', 'z'), int(id % 3) + 1) AS source")
+    order = sorted((r.slot, r.source) for r in mixing.schedule(df, {"x": 1.0, "y": 1.0, "z": 1.0}, block=1).collect())
+    done = collections.Counter()
+    for n, (slot, source) in enumerate(order, 1):
+        done[source] += 1
+        assert slot == n - 1 and all(abs(done[s] - n / 3) < 1 for s in "xyz")
