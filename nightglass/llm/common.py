@@ -14,13 +14,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def keyed_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, text) of every row; a null text is empty.
+def keyed_texts(docs: DataFrame, keep: list[Column] | None = None) -> DataFrame:
+    """(doc_id, key, text) of every row, and the kept columns; a null text is empty.
 
     (doc_id, key) names a row's content: rows that share both are repeats of each other and get
     equal results. All other columns are left behind, so their names cannot clash.
     """
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *(keep or [])).withColumn(
         "key", F.xxhash64("text", F.octet_length("text"))
     )
 
@@ -74,20 +74,24 @@ def ranked(df: DataFrame, groups: list[str], block: Column, order: list[Column],
     return joined.select(*[F.col(f"a.{c}") for c in df.columns], (F.col("b._start") + F.col("a._in")).cast("long").alias(name))
 
 
-def attach(docs: DataFrame, values: DataFrame, names: list[str]) -> DataFrame:
+def attach(docs: DataFrame, values: DataFrame, names: list[str], also: str | None = None) -> DataFrame:
     """(row, names) for every row of docs, from values(doc_id, key, names), which has one row per row of docs.
 
-    Rows that repeat each other share doc_id and key and take their values in turn. The texts are shuffled once: the
-    join and the numbering of repeats use the same partitioning.
+    Rows that repeat each other share doc_id and key and take their values in turn; with `also`, a string column that
+    values has too, only if they share that as well. The texts are shuffled once: the join and the numbering of repeats
+    use the same partitioning.
     """
-    same = ["_key", "_id", "_none"]
+    same = ["_key", "_id", "_none"] + (["_also", "_blank"] if also else [])
 
     def named(df: DataFrame) -> DataFrame:
+        if also:
+            df = df.withColumn("_also", F.coalesce(also, F.lit(""))).withColumn("_blank", F.col(also).isNull()).drop(also)
         return df.withColumn("_key", F.col("key")).withColumn("_id", F.coalesce("doc_id", F.lit(0))).withColumn("_none", F.col("doc_id").isNull()).drop("doc_id", "key")
 
     text = F.coalesce("row.text", F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = named(rows.select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64(text, F.octet_length(text)).alias("key")))
+    carried = [F.col(f"row.`{also}`").cast("string").alias(also)] if also else []
+    rows = named(rows.select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64(text, F.octet_length(text)).alias("key"), *carried))
     lists = named(values).groupBy(*same).agg(F.sort_array(F.collect_list(F.struct(*names))).alias("_list"))
     nth = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0)))
     joined = rows.join(lists, same).withColumn("_value", F.element_at("_list", nth))

@@ -4,23 +4,29 @@ Documents with equal texts are linked. Every round counts, by joins and pre-aggr
 of each group are; members elsewhere ask to move to the group's main shard, and quotas on what a shard may take
 decide how many do. A last exact step moves the excess of overfull shards, unlinked documents first, so
 that the row counts of any two shards differ by one at most.
+
+In the pipeline the slots of each shard follow the Pfair order of mixing.py, so that any stretch from a shard's
+first slot holds the sources by weight.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from nightglass.llm.common import attach, blocks_for, keyed_texts, ranked, write_out
+from nightglass.llm import mixing
+from nightglass.llm.common import BLOCK_ROWS, attach, blocks_for, keyed_texts, ranked, write_out
 
 SHARDS = 16
 ROUNDS = 6
 
 
-def documents_state(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, bytes, crc, linked) per row; key names the text, so rows with equal texts share it."""
-    texts = keyed_texts(docs).select("doc_id", "key", F.octet_length("text").cast("long").alias("bytes"), F.crc32(F.col("text").cast("binary")).alias("crc"))
+def documents_state(docs: DataFrame, keep: list[Column] | None = None) -> DataFrame:
+    """(doc_id, key, kept columns, bytes, crc, linked) per row; key names the text, so rows with equal texts share it."""
+    keyed = keyed_texts(docs, keep)
+    kept = [c for c in keyed.columns if c not in ("doc_id", "key", "text")]
+    texts = keyed.select("doc_id", "key", *kept, F.octet_length("text").cast("long").alias("bytes"), F.crc32(F.col("text").cast("binary")).alias("crc"))
     links = texts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("linked"))
-    return texts.join(links, "key", "left").select("doc_id", "key", "bytes", "crc", F.coalesce("linked", F.lit(False)).alias("linked"))
+    return texts.join(links, "key", "left").select("doc_id", "key", *kept, "bytes", "crc", F.coalesce("linked", F.lit(False)).alias("linked"))
 
 
 def fair_shares(rows: int, held: list[int]) -> list[int]:
@@ -94,17 +100,22 @@ def even_out(state: DataFrame, shards: int) -> DataFrame:
     return order.withColumn("shard", F.when(leaves, starting_at(index, lacking)).otherwise(F.col("shard")).cast("int")).drop("_at")
 
 
+def settled(docs: DataFrame, shards: int, rounds: int, keep: list[Column] | None = None) -> DataFrame:
+    """The state of every row of docs with its shard at the end, written out."""
+    first = F.pmod(F.xxhash64("doc_id", "key"), F.lit(shards)).cast("int")
+    start = write_out(documents_state(docs, keep).withColumn("shard", first), "shard-start")
+    quota = -(-start.count() // shards)
+    moved = propagate(start.where("linked"), quota, shards, rounds)
+    return write_out(even_out(start.where("NOT linked").unionByName(moved), shards), "shard-even")
+
+
 def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, key, size, text_crc32, law, shard, slot, grown_shard) per row of docs.
 
     Law `rows`: any two shards differ by one row at most. Null texts count as empty, and link like equal texts do.
     Null ids and repeated rows are rows like any other. A group of equal texts larger than a shard fills several.
     """
-    first = F.pmod(F.xxhash64("doc_id", "key"), F.lit(shards)).cast("int")
-    start = write_out(documents_state(docs).withColumn("shard", first), "shard-start")
-    quota = -(-start.count() // shards)
-    moved = propagate(start.where("linked"), quota, shards, rounds)
-    even = write_out(even_out(start.where("NOT linked").unionByName(moved), shards), "shard-even")
+    even = settled(docs, shards, rounds)
     block = F.pmod(F.xxhash64("doc_id", "key"), F.lit(blocks_for(max(by_shard(even, shards)))))
     slotted = ranked(even, ["shard"], block, [F.col("doc_id"), F.col("key")], "slot")
     return slotted.select(
@@ -112,8 +123,34 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     )
 
 
-def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The rows of docs with all their columns, and size, text_crc32, shard and slot; these win over columns of docs of the same name."""
+def mixed_slots(even: DataFrame, weights: dict | None = None, block: int = mixing.BLOCK) -> DataFrame:
+    """even(doc_id, key, source, shard, ...) with column `slot`: in every shard the rows are numbered in Pfair order.
+
+    Weights are those of the whole table. A shard's first rows hold each source to within a block of its weight's
+    share, until a source has no more rows in that shard.
+    """
+    counts = even.groupBy("shard", "source").agg(F.count("*").alias("n")).collect()
+    sizes, longest = {}, {}
+    for r in counts:
+        sizes[r["source"]] = sizes.get(r["source"], 0) + r["n"]
+        longest[r["source"]] = max(longest.get(r["source"], 0), -(-r["n"] // block))
+    hashed = even.withColumn("_h", F.xxhash64("doc_id", "key"))
+    by_hash = F.pmod("_h", F.lit(blocks_for(max((r["n"] for r in counts), default=0))))
+    numbered = ranked(hashed, ["shard", "source"], by_hash, [F.col("_h"), F.col("doc_id"), F.col("key")], "_rank").drop("_h")
+    turns = mixing.in_turn(numbered, mixing.target_weights(sizes, weights), longest, block).withColumnRenamed("slot", "_turn")
+    # Rank blocks follow the turns, of which each holds a block's rows at most.
+    run = sum(longest.values())
+    stretch = F.floor(F.col("_turn") / max(1, min(BLOCK_ROWS // block, run // 16)))
+    return ranked(turns, ["shard"], stretch, [F.col("_turn"), F.col("place")], "slot").select(*even.columns, "slot")
+
+
+def sharded(docs: DataFrame, shards: int = SHARDS, weights: dict | None = None) -> DataFrame:
+    """The rows of docs with all their columns, and size, text_crc32, shard and slot; these win over columns of docs of the same name.
+
+    A shard's slots follow the mix of the sources (mixed_slots).
+    """
     added = ["shard", "slot", "size", "text_crc32"]
-    placed = attach(docs, assign(docs, shards).select("doc_id", "key", *added), added)
+    even = settled(docs, shards, ROUNDS, [F.col("source").cast("string").alias("source")])
+    values = mixed_slots(even, weights).select("doc_id", "key", "source", "shard", "slot", (F.col("bytes") + 1).alias("size"), F.col("crc").alias("text_crc32"))
+    placed = attach(docs, values, added, "source")
     return placed.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in added], *added)

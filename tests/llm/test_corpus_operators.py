@@ -227,3 +227,27 @@ def test_mixing_keeps_to_the_given_weights_over_many_blocks(spark):
     for n, (slot, source) in enumerate(order, 1):
         done[source] += 1
         assert slot == n - 1 and all(abs(done[s] - n / 3) < 1 for s in "xyz")
+
+
+@pytest.mark.parametrize("weights", [None, {"x": 1.0, "y": 2.0, None: 1.0}])
+def test_slots_of_every_shard_hold_the_mix(spark, weights):
+    """Any first slots of a shard hold each source to within a block of its weight, until one runs out there."""
+    source = lambda i: "x" if i % 10 < 7 else "y" if i % 10 < 9 else None
+    rows = [(i, "copy" if i % 9 == 0 else f"text {i}", source(i)) for i in range(12_000)] + [(5, "twin", "x"), (5, "twin", "y"), (5, "twin", "y")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = sharding.sharded(df, 4, weights).collect()
+    assert sorted(key((r.doc_id, r.text, r.source)) for r in got) == sorted(map(key, rows))
+    sizes = collections.Counter(s for _, _, s in rows)
+    target = weights or {s: n**mixing.TEMPERATURE for s, n in sizes.items()}
+    share = {s: w / sum(target.values()) for s, w in target.items()}
+    for shard in range(4):
+        order = [s for _, s in sorted((r.slot, r.source) for r in got if r.shard == shard)]
+        left, done = collections.Counter(order), collections.Counter()
+        for n, s in enumerate(order, 1):
+            left[s] -= 1
+            done[s] += 1
+            # The last block of a source may be a part of one.
+            if min(left.values()) < mixing.BLOCK:
+                break
+            assert all(abs(done[x] - n * share[x]) < 2 * mixing.BLOCK for x in share)
+        assert n > 400
