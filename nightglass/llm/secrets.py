@@ -3,7 +3,8 @@
 A token's encoding is inferred from its characters. Three statistics compare it with uniform random draws from that alphabet: chi-squared of the
 symbol counts, runs above and below the middle, and serial correlation. Tokens that look random are then tested
 against the alternative that they are ordinary text, whose symbol counts are uneven: this p-value falls with length.
-Benjamini-Hochberg per length class bounds the share of false discoveries over the whole corpus.
+Benjamini-Hochberg per length class bounds the share of false discoveries among the different tokens of the whole corpus:
+copies of a token are one test.
 """
 
 from __future__ import annotations
@@ -26,14 +27,18 @@ BASE = [
 TOKEN = Kind("random", r"[A-Za-z0-9+/_=-]{20,}")
 
 HEX, BASE32, BASE62 = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-BASE64 = BASE62 + "+/"
-# (alphabet, pattern of its tokens, unevenness of ordinary text in it: size * sum of squared symbol shares - 1)
+UPPER_HEX, BASE64 = HEX.upper(), BASE62 + "+/"
+# (alphabet, pattern of its tokens, what - and _ are read as, unevenness of ordinary text in it: size * sum of squared symbol
+# shares - 1). Hex may come in parts, like a UUID; it is tested without what separates them,
+# if it has LEAST_HEX digits.
 ENCODINGS = [
-    (HEX, r"^[0-9a-f]+$", 0.6),
-    (BASE32, r"^[A-Z2-7]+$", 1.1),
-    (BASE62, r"^[A-Za-z0-9]+$", 2.6),
-    (BASE64, r".", 2.8),
+    (HEX, r"^[0-9a-f][0-9a-f_-]*$", "", 0.6),
+    (UPPER_HEX, r"^[0-9A-F][0-9A-F_-]*$", "", 0.6),
+    (BASE32, r"^[A-Z2-7]+$", "+/", 1.1),
+    (BASE62, r"^[A-Za-z0-9]+$", "+/", 2.6),
+    (BASE64, r".", "+/", 2.8),
 ]
+LEAST_HEX = 16
 Z_LIMIT = 4.0
 FALSE_SHARE = 0.05
 LENGTHS = (20, 32, 48, 96)
@@ -50,9 +55,9 @@ def normal_below(z: Column) -> Column:
 
 def battery(value: Column) -> Column:
     """struct<z_chi, z_runs, z_serial, log_p> of a token in its inferred encoding."""
-    plain = F.regexp_replace(F.translate(value, "-_", "+/"), "=", "")
+    bare = F.regexp_replace(value, "=", "")
 
-    def tests(alphabet: str, unevenness: float) -> Column:
+    def tests(alphabet: str, plain: Column, unevenness: float) -> Column:
         k = len(alphabet)
         n = F.greatest(F.char_length(plain), F.lit(2)).cast("double")
         squares = F.aggregate(
@@ -73,9 +78,11 @@ def battery(value: Column) -> Column:
         )
 
     out = None
-    for alphabet, pattern, unevenness in ENCODINGS:
-        result = tests(alphabet, unevenness)
-        fits = plain.rlike(pattern)
+    for alphabet, pattern, instead, unevenness in ENCODINGS:
+        plain = F.translate(bare, "-_", instead)
+        result, fits = tests(alphabet, plain, unevenness), bare.rlike(pattern)
+        if not instead:
+            fits = fits & (F.char_length(plain) >= LEAST_HEX)
         out = F.when(fits, result) if out is None else out.when(fits, result)
     return out
 
@@ -108,11 +115,12 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def cutoffs(scanned: DataFrame, share: float = FALSE_SHARE) -> dict[int, int]:
-    """Per length class the lowest bin that Benjamini-Hochberg accepts, over all tokens of the corpus.
+    """Per length class the lowest bin that Benjamini-Hochberg accepts, over all different tokens of the corpus.
 
-    What reaches the driver is one count per class and bin, at most len(LENGTHS) * (BINS + 1) rows.
+    Equal tokens share class and bin, so the cutoff holds for all their copies. What reaches the driver is one count per class and bin, at most len(LENGTHS) * (BINS + 1) rows.
     """
-    counts = scanned.select(F.explode("tokens").alias("t")).groupBy("t.class", "t.bin").agg(F.count("*").alias("n")).collect()
+    different = scanned.select(F.explode("tokens").alias("t")).select("t.class", "t.bin", F.sha2("t.value", 256).alias("value")).distinct()
+    counts = different.groupBy("class", "bin").agg(F.count("*").alias("n")).collect()
     lowest = {}
     for c in range(len(LENGTHS)):
         bins = sorted(((r["bin"], r["n"]) for r in counts if r["class"] == c), reverse=True)

@@ -179,3 +179,31 @@ def test_chat_round_trip(spark):
     seven = {r.conv_id: r for r in chat.chat_digest(chat.format_chats(chat.with_conflict(spark, turns))).collect()}[-7]
     text = r"\### Assistant: </turn> ok"
     assert (seven.n_turns, seven.loss_sha256) == (2, sha(text))
+
+
+def test_copies_of_a_token_are_one_test(spark):
+    """Copies of a token that is not random cost no secret, and copies of one that looks random lower no bar."""
+    import random
+
+    rng = random.Random(5)
+    keys = ["".join(rng.choices(secrets.BASE62, k=31)) for _ in range(8)]
+    few = spark.createDataFrame([(i, f"k {k} end") for i, k in enumerate(keys)], "doc_id bigint, text string")
+    many = spark.range(100, 20_100).selectExpr("id AS doc_id", "'the antidisestablishmentarianism here' AS text")
+    alone = {r.doc_id: r.n_random for r in secrets.find_secrets(few.union(many.limit(1))).collect()}
+    got = {r.doc_id: r.n_random for r in secrets.find_secrets(few.union(many)).where("doc_id < 101").collect()}
+    assert got == alone and sum(got.values()) >= 6 and got[100] == 0
+    copied = few.union(spark.range(200, 5_200).selectExpr("id AS doc_id", f"'k {keys[0]} end' AS text"))
+    assert secrets.cutoffs(secrets.scan(copied)) == secrets.cutoffs(secrets.scan(few))
+
+
+def test_hex_of_either_case_and_in_parts(spark):
+    digits = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(60)]
+    parts = [f"{d[:8]}-{d[8:12]}-{d[12:16]}-{d[16:20]}-{d[20:32]}" for d in digits]
+    rows = [(i, f"see {d.upper()} here") for i, d in enumerate(digits)]
+    rows += [(100 + i, f"see {p} here") for i, p in enumerate(parts)] + [(200 + i, f"see {p.upper()} here") for i, p in enumerate(parts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    calm = {r.doc_id: r.n for r in secrets.scan(df).select("doc_id", F.size(F.filter("tokens", lambda t: t["bin"] >= 0)).alias("n")).collect()}
+    for kind in (0, 100, 200):
+        assert sum(calm[kind + i] == 1 for i in range(60)) >= 57
+    found = {r.doc_id: r.n_random for r in secrets.find_secrets(df.where("doc_id < 100")).collect()}
+    assert sum(found.values()) >= 50
