@@ -1,14 +1,14 @@
 """Personal data: four fixed patterns, and terms whose co-occurrence gives a protected value away.
 
-Information-theoretic sanitisation. A protected entity is a value that a pattern found, its context the words
-within REACH code points on either side. Over the whole corpus, how much a term t tells of an entity e is their
-pointwise mutual information relative to the information content of e:
+Information-theoretic sanitisation. A protected entity is a value that a pattern found. Over the whole corpus, how
+much a term t tells of an entity e is their pointwise mutual information relative to the information content of e:
 
     disclosure(t, e) = log(p(e | t) / p(e)) / -log p(e) = 1 - log p(e | t) / log p(e)
 
-with p(e | t) the share of the documents holding t in which t stands in a context of e. A term at or above GENERALISE
-is generalised, at or above REMOVE it is removed, where it stands in such a context. Terms seen with
-an entity in fewer than SUPPORT different contexts are no evidence and stay.
+with p(e | t) the share of the documents holding t that hold e, anywhere in them. A term at or above GENERALISE
+for some entity is generalised, at or above REMOVE it is removed, wherever it stands in any document. Terms seen with
+an entity in fewer than SUPPORT different contexts of the entity are no evidence and stay; a context is
+what stands within REACH code points on either side of the value.
 """
 
 from __future__ import annotations
@@ -54,47 +54,93 @@ REACH = 80
 WORD = r"[\p{L}\p{N}_]{3,}+"
 SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
+# Up to so many disclosing terms are broadcast to the texts, more are joined by a shuffle.
+TERMS_BROADCAST = 100_000
+
+
+def blanked(text: Column, spans: Column) -> Column:
+    """text with a space for each code point of the spans, so that positions stay."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        before = F.when(s["start"] > acc["at"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"])).otherwise("")
+        blank = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0)))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(before, blank)).alias("out"))
+
+    return F.aggregate(F.sort_array(spans), start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.char_length(text))))
 
 
 def scan(texts: DataFrame) -> DataFrame:
-    """(doc_id, key, spans per kind, near) per row; near holds the words before and after each span."""
+    """(doc_id, key, spans per kind, near, rest) per row.
+
+    near holds entity and context of each span, rest the text without the spans; both are null without spans.
+    """
     found = with_spans(texts, BASE)
     every = found.withColumn("base", F.concat(*[F.col(f"s_{k.name}") for k in BASE]))
     from_ = lambda s: F.greatest(s["start"] - REACH, F.lit(0))
     near = F.transform(
         "base",
         lambda s: F.struct(
-            s["kind"].alias("kind"), s["value"].alias("value"),
-            from_(s).alias("left_at"), F.substring("text", from_(s) + 1, s["start"] - from_(s)).alias("left"),
-            s["end"].alias("right_at"), F.substring("text", s["end"] + 1, F.lit(REACH)).alias("right"),
+            F.concat_ws(":", s["kind"], F.lower(s["value"])).alias("entity"),
+            F.xxhash64(F.substring("text", from_(s) + 1, s["start"] - from_(s)), F.substring("text", s["end"] + 1, F.lit(REACH))).alias("context"),
         ),
     )
-    return every.select("doc_id", "key", *[f"s_{k.name}" for k in BASE], F.when(F.size("base") > 0, near).alias("near"))
+    some = F.size("base") > 0
+    return every.select("doc_id", "key", *[f"s_{k.name}" for k in BASE], F.when(some, near).alias("near"), F.when(some, blanked(F.col("text"), F.col("base"))).alias("rest"))
+
 
+def terms_in(text: Column) -> Column:
+    """The different terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.lower(w)))
 
-def context_terms(scanned: DataFrame) -> DataFrame:
-    """(doc_id, key, entity, term, context, start, end): every word beside a base span."""
-    near = scanned.select("doc_id", "key", F.explode("near").alias("n"))
-    sides = near.select(
-        "doc_id", "key", F.concat_ws(":", "n.kind", F.lower("n.value")).alias("entity"), F.xxhash64("n.left", "n.right").alias("context"),
-        F.explode(F.array(F.struct(F.col("n.left_at").alias("at"), F.col("n.left").alias("text")), F.struct(F.col("n.right_at").alias("at"), F.col("n.right").alias("text")))).alias("side"),
-    ).select("doc_id", "key", "entity", "context", "side.at", "side.text")
-    words = with_spans(sides, [Kind("term", WORD)]).select("doc_id", "key", "entity", "context", "at", F.explode("s_term").alias("w"))
-    return words.select("doc_id", "key", "entity", F.lower("w.value").alias("term"), "context", (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"))
 
+def entity_rows(scanned: DataFrame) -> DataFrame:
+    """(doc_id, key, entity, contexts, copies): the entities with enough contexts, once for all copies of a row.
 
-def disclosures(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the terms at or above GENERALISE, with documents counted over the whole corpus."""
+    A term's contexts are some of its entity's, so an entity with fewer than SUPPORT has no disclosing term.
+    """
+    near = scanned.select("doc_id", "key", F.explode("near").alias("n")).select("doc_id", "key", "n.entity", "n.context")
+    enough = near.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n")).where(F.col("n") >= SUPPORT).select("entity")
+    rows = near.join(enough, "entity", "left_semi").groupBy("doc_id", "key", "entity").agg(F.collect_set("context").alias("contexts"))
+    copies = scanned.where("near IS NOT NULL").groupBy("doc_id", "key").agg(F.count("*").alias("copies"))
+    return join_rows(rows, copies, "inner")
+
+
+def disclosures(texts: DataFrame, entities: DataFrame, terms: DataFrame) -> DataFrame:
+    """(entity, term, disclosure) of the terms at or above GENERALISE, counted in whole documents over the whole corpus.
+
+    entities is that of entity_rows, terms has (doc_id, key, term) of the rows that hold an entity.
+    """
     docs = texts.count()
-    pairs = terms.groupBy("entity", "term", "doc_id", "key").agg(F.min("context").alias("context"))
-    together = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.countDistinct("context").alias("support")).where(F.col("support") >= SUPPORT)
-    entities = terms.select("entity", "doc_id", "key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-    candidates = together.select("term").distinct()
-    counts = words.groupBy("term").agg(F.count("*").alias("n_term")).join(candidates, "term", "left_semi")
+    pairs = join_rows(entities, terms, "inner")
+    together = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_both"))
+    per_entity = entities.groupBy("entity").agg(F.sum("copies").alias("n_entity"))
+    counts = texts.select(F.explode(terms_in(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     score = F.when(F.col("n_entity") < docs, 1 - F.log(F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))) / F.log(F.col("n_entity") / F.lit(float(docs))))
-    scored = together.join(counts, "term").join(entities, "entity").select("entity", "term", score.alias("disclosure"))
-    return scored.where(F.col("disclosure") >= GENERALISE)
+    # A term that is cut by a span's end may stand nowhere else as a word of its own.
+    scored = together.join(counts, "term", "left").withColumn("n_term", F.greatest("n_term", "n_both")).join(per_entity, "entity").select("entity", "term", score.alias("disclosure"))
+    high = write_out(scored.where(F.col("disclosure") >= GENERALISE), "pii-scores")
+    seen = pairs.join(high, ["entity", "term"]).select("entity", "term", "disclosure", F.explode("contexts").alias("context")).distinct()
+    return seen.groupBy("entity", "term", "disclosure").agg(F.count("*").alias("support")).where(F.col("support") >= SUPPORT).drop("support")
+
+
+def term_spans(texts: DataFrame, scanned: DataFrame, terms: DataFrame, revealing: DataFrame) -> DataFrame:
+    """(doc_id, key, s_term): every place where a disclosing term stands outside the base spans, once per (doc_id, key)."""
+    worst = write_out(revealing.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "pii-worst")
+    if worst.count() <= TERMS_BROADCAST:
+        worst = F.broadcast(worst)
+    words = texts.select("doc_id", "key", F.explode(terms_in(F.col("text"))).alias("term")).unionByName(terms)
+    action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
+    hits = words.join(worst, "term").groupBy("doc_id", "key").agg(F.map_from_entries(F.collect_set(F.struct("term", action))).alias("hits"))
+    rest = scanned.where("rest IS NOT NULL").select("doc_id", "key", "rest").dropDuplicates(["doc_id", "key"])
+    held = join_rows(join_rows(texts, hits, "inner").dropDuplicates(["doc_id", "key"]), rest).withColumn("text", F.coalesce("rest", "text")).drop("rest")
+    placed = with_spans(held, [Kind("term", WORD)])
+    of = lambda s: F.element_at(F.col("hits"), F.lower(s["value"]))
+    span = F.transform(
+        F.filter("s_term", lambda s: F.map_contains_key(F.col("hits"), F.lower(s["value"]))),
+        lambda s: F.struct(s["start"].alias("start"), F.lit(len(BASE)).alias("rank"), s["end"].alias("end"), F.lit("term").alias("kind"), of(s).alias("value")),
+    )
+    return placed.select("doc_id", "key", span.cast(SPAN).alias("s_term"))
 
 
 def find_personal(docs: DataFrame) -> DataFrame:
@@ -105,12 +151,13 @@ def find_personal(docs: DataFrame) -> DataFrame:
     """
     texts = keyed_texts(docs)
     scanned = write_out(scan(texts), "pii-scan")
-    terms = write_out(context_terms(scanned), "pii-terms")
-    revealing = write_out(disclosures(texts, terms), "pii-disclosures")
-    action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
-    span = F.struct("start", F.lit(len(BASE)).alias("rank"), "end", F.lit("term").alias("kind"), action.alias("value"))
-    extra = terms.join(revealing, ["entity", "term"]).groupBy("doc_id", "key").agg(F.collect_set(span).cast(SPAN).alias("s_term"))
-    return join_rows(scanned.drop("near"), extra).withColumn("s_term", F.coalesce("s_term", F.array().cast(SPAN)))
+    entities = write_out(entity_rows(scanned), "pii-entities")
+    holders = entities.select("doc_id", "key").distinct()
+    terms = join_rows(scanned.where("rest IS NOT NULL").select("doc_id", "key", F.explode(terms_in(F.col("rest"))).alias("term")), holders, "left_semi").distinct()
+    revealing = write_out(disclosures(texts, entities, terms), "pii-disclosures")
+    every = scanned.where("rest IS NOT NULL").select("doc_id", "key", F.explode(terms_in(F.col("rest"))).alias("term"))
+    extra = term_spans(texts, scanned, every, revealing)
+    return join_rows(scanned.drop("near", "rest"), extra).withColumn("s_term", F.coalesce("s_term", F.array().cast(SPAN)))
 
 
 def report(docs: DataFrame) -> DataFrame:

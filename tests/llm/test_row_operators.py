@@ -207,3 +207,19 @@ def test_hex_of_either_case_and_in_parts(spark):
         assert sum(calm[kind + i] == 1 for i in range(60)) >= 57
     found = {r.doc_id: r.n_random for r in secrets.find_secrets(df.where("doc_id < 100")).collect()}
     assert sum(found.values()) >= 50
+
+
+def test_disclosing_terms_anywhere(spark):
+    """Terms far from the value count, terms found go from every document, and contexts in one document add up."""
+    mail, far = "zoe@corp.example", "filler words " * 20
+    rows = [(i, f"Quaxolotl came {far} alpha{i} writes {mail} delta{i} {far} and quaxolotl left") for i in range(6)]
+    rows += [(10, f"a note about QUAXOLOTL without the address {far}")]
+    rows += [(11, f"Zyrphon one max@corp.example two {far} three max@corp.example four {far} five max@corp.example six")]
+    rows += [(100 + i, f"writes about day {i} and nothing else, came and left, one two three four five six note about without address {far}") for i in range(400)]
+    texts = dict(rows)
+    got = {r.doc_id: r.spans for r in pii.report(spark.createDataFrame([*rows, rows[0]], "doc_id bigint, text string")).collect()}
+    for i in (*range(6), 10, 11):
+        want = {f"term:{m.start()}:{m.end()}" for m in re.finditer("quaxolotl|zyrphon", texts[i], re.I)}
+        assert want and want <= set(got[i].split(","))
+        assert not any(s in got[i] for s in [f"term:{m.start()}:" for m in re.finditer("filler|writes|corp|example", texts[i])])
+    assert all(got[100 + i] == "" for i in range(400))
