@@ -58,3 +58,32 @@ SELECT conv_id, count(*) AS n_turns,
                 + length(regexp_replace(text, '{_CONTROL}', '\\\1\2', 'g')) + 9) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+ORACLE["op11_negatives"] = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.other_id ORDER BY s.score DESC, s.other_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+ORACLE["op12_subtrees"] = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACE}') AS w FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, w FROM d WHERE len(w) >= 20),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(w[i:i + 19], ' ') ORDER BY doc_id, i) AS n FROM s),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS k FROM f WHERE n > 1),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t FROM x ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id),
+spans AS (SELECT doc_id, count(*) AS n FROM gone g ANTI JOIN (SELECT doc_id, k + 1 AS k FROM gone) b USING (doc_id, k) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(counts.n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256, coalesce(spans.n, 0) AS n_spans
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN spans USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nightglass.llm import bagminhash, chat, decontam, license, mixing, pii, quality, secrets, sharding, suffix
+from nightglass.llm import bagminhash, chat, decontam, license, mixing, negatives, periodic, pii, quality, secrets, sharding, subtrees, suffix
 from nightglass.llm.common import table
 from nightglass.llm.oracle import ORACLE  # noqa: F401
 
@@ -73,3 +73,20 @@ def op6(spark, folder):
 @query("op1_license")
 def op1(spark, folder):
     return license.scan(table(spark, folder, "documents"))
+
+
+@query("op11_negatives")
+def op11(spark, folder):
+    rows = negatives.usable(table(spark, folder, "embeddings"), "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+@query("op12_subtrees")
+def op12(spark, folder):
+    return subtrees.passage_digest(subtrees.remove_passages(table(spark, folder, "documents")))
+
+
+@query("op13_periodic")
+def op13(spark, folder):
+    return periodic.run_digest(periodic.find_runs(table(spark, folder, "documents"), periodic.planted))
