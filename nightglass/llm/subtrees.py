@@ -12,7 +12,7 @@ those that are equal below one at depth WINDOW. The tree is never held whole:
 4. In each group suffixes are sorted, and the common prefixes of neighbours give the inner nodes of its subtree. Below a node at
    depth WINDOW all leaves but the first one are repeats. Sorting spills; the walk holds one row.
 
-Blocks, marks and texts are compared by hashes: 64 bits for each of the four blocks of a window, 128 for a text.
+Blocks, marks and texts are compared by hashes: 32 bits for each of the four blocks of a window, 64 for a mark, 96 for a text.
 """
 
 from __future__ import annotations
@@ -23,14 +23,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from nightglass.llm.common import write_out
 
 WINDOW = 20
 BLOCK = 5
 BLOCKS = WINDOW // BLOCK
-GRAM = 9
+GRAM = 6
 SPAN = WINDOW - GRAM + 1  # positions of a window at which its mark can stand
 # Suffixes of one group, and the greatest number of groups that may be over it: what is broadcast has at most so many rows.
 GROUP = 1 << 20
@@ -39,9 +39,10 @@ CELLS = 1 << 18
 CHUNK_WORDS = 200_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
-PREFIX = [f"p{k}" for k in range(1, BLOCKS + 1)]
-# A text's place in the corpus: rows without an id come last, texts of one id in the order of their digests.
-PLACE = ["none", "first_id", "node"]
+# The blocks of a window, two in a column.
+WHOLE = ["high", "low"]
+# A text's place in the corpus: rows without an id come last, texts of one id in the order of their hashes.
+PLACE = ["none", "first_id", "th"]
 
 
 def words_of(text: str | None) -> list[str]:
@@ -120,128 +121,118 @@ def in_parts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatc
         yield batch.slice(at), words
 
 
-MARKED = "doc_id bigint, node binary, marks array<struct<gram:bigint,at:bigint,first:bigint,last:bigint>>"
-MARK = pa.struct([(n, pa.int64()) for n in ("gram", "at", "first", "last")])
+MARKS = "gram bigint, th bigint, at int"
 
 
 def mark_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     numbers = Numbers()
     for batch in batches:
-        for part, texts in in_parts(batch, 2):
+        for part, texts in in_parts(batch, 1):
             for first, flat, ends in chunks(texts, numbers):
-                gram, at, low, high = marks(flat, ends)
+                gram, at, _, _ = marks(flat, ends)
                 owner = np.searchsorted(ends, at, side="right")
-                shift = np.concatenate(([0], ends[:-1]))[owner]
-                values = [gram.view(np.int64), at - shift, low - shift, high - shift]
-                found = pa.StructArray.from_arrays([pa.array(v) for v in values], fields=list(MARK))
-                offsets = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(ends))))).astype(np.int32)
-                rows = part.slice(first, len(ends))
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.ListArray.from_arrays(pa.array(offsets), found)], ["doc_id", "node", "marks"])
+                at = (at - np.concatenate(([0], ends[:-1]))[owner]).astype(np.int32)
+                th = part.column(0).slice(first, len(ends)).take(pa.array(owner))
+                yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), th, pa.array(at)], ["gram", "th", "at"])
 
 
-SUFFIXES = "p1 bigint, p2 bigint, p3 bigint, p4 bigint, none boolean, first_id bigint, node binary, start bigint"
+SUFFIXES = "high bigint, low bigint, none boolean, first_id bigint, th bigint, start int"
 
 
 def suffix_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per window that may be repeated: its four blocks, its text's place in the corpus and where it starts."""
+    """One row per window whose mark does not stand alone: its four blocks, its text's place in the corpus and where it starts."""
     numbers = Numbers()
     for batch in batches:
         for part, texts in in_parts(batch, 3):
-            for i, words in enumerate(texts):
-                lows, highs = (np.array(part.column(c)[i].as_py(), dtype=np.int64) for c in (4, 5))
-                blocks = hashed(np.fromiter(map(numbers.__getitem__, words), dtype=np.uint64, count=len(words)), BLOCK).view(np.int64)
-                sizes = highs - lows + 1
-                start = np.repeat(lows - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-                same = pa.array(np.zeros(len(start), dtype=np.int32))
-                place = [part.column(c).slice(i, 1).take(same) for c in range(3)]
-                yield pa.RecordBatch.from_arrays([*[pa.array(blocks[start + BLOCK * k]) for k in range(BLOCKS)], *place, pa.array(start)], [c.split()[0] for c in SUFFIXES.split(", ")])
+            for first, flat, ends in chunks(texts, numbers):
+                _, at, low, high = marks(flat, ends)
+                owner = np.searchsorted(ends, at, side="right")
+                starts = np.concatenate(([0], ends[:-1]))
+                # Marks that stand alone, as positions of the texts laid end to end.
+                alone = [np.asarray(a.values) + s for a, s in zip(part.column(4).slice(first, len(ends)), starts, strict=True) if a.is_valid]
+                open_ = ~np.isin(at, np.concatenate(alone)) if alone else np.ones(len(at), dtype=bool)
+                low, sizes, owner = low[open_], (high - low + 1)[open_], owner[open_]
+                window = np.repeat(low - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+                owner = np.repeat(owner, sizes)
+                h = hashed(flat, BLOCK) >> np.uint64(32)
+                two = lambda k: ((h[window + BLOCK * k] << np.uint64(32)) | h[window + BLOCK * (k + 1)]).view(np.int64)  # noqa: B023, E731
+                row = pa.array(owner + first)
+                place = [part.column(c).take(row) for c in range(3)]
+                yield pa.RecordBatch.from_arrays([pa.array(two(0)), pa.array(two(2)), *place, pa.array((window - starts[owner]).astype(np.int32))], [c.split()[0] for c in SUFFIXES.split(", ")])
 
 
-REPEATS = "none boolean, first_id bigint, node binary, start bigint"
+REPEATS = "none boolean, first_id bigint, th bigint, start int"
 
 
 def walk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Leaves that are not the first below their node at depth WINDOW, from leaves in sorted order.
 
-    The common prefix of neighbours in blocks is BLOCKS exactly where both hang below one such node.
+    Neighbours that share all blocks hang below one such node. A leaf that stands twice, from repeated rows, is one leaf.
     """
     last = None
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        blocks = np.stack([np.asarray(batch.column(k)) for k in range(BLOCKS)])
-        shared = np.concatenate(([last is not None and np.array_equal(blocks[:, 0], last)], (blocks[:, 1:] == blocks[:, :-1]).all(axis=0)))
-        last = blocks[:, -1].copy()
-        again = pa.array(shared)
-        yield pa.RecordBatch.from_arrays([batch.column(k).filter(again) for k in range(BLOCKS, BLOCKS + 4)], [c.split()[0] for c in REPEATS.split(", ")])
+        rows = np.stack([np.asarray(batch.column(k)).astype(np.int64) for k in range(6)])
+        before = np.concatenate((rows[:, :1] if last is None else last, rows[:, :-1]), axis=1)
+        again = (rows[:2] == before[:2]).all(axis=0) & (rows[2:] != before[2:]).any(axis=0)
+        last = rows[:, -1:].copy()
+        yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(again)) for k in range(2, 6)], [c.split()[0] for c in REPEATS.split(", ")])
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, text); node is the text's 128-bit digest, a null text is empty."""
+    """(none, first_id, th, crc, text): (th, crc) names a text's content, a null text is empty."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("node"), text.alias("text"))
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(doc_id.isNull().alias("none"), F.coalesce(doc_id, F.lit(0)).alias("first_id"), F.xxhash64(text).alias("th"), F.crc32(text.cast("binary")).alias("crc"), text.alias("text"))
 
 
-def shared_marks(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(texts, open): the place of each different text; and of those with marks that another position has too, the
-    stretches of windows (lows, highs) round these.
+def lonely_marks(rows: DataFrame) -> DataFrame:
+    """(th, alone): per text the positions of marks that no other position of a different text holds.
 
-    Marks that stand alone go back to their texts as lists: no join is on a mark, so one that many texts share is never
-    gathered; it is one row in the pre-aggregated counts.
+    Marks go back to their texts as lists of those that stand alone: no join is on a mark, so one that many texts share is
+    never gathered; it is one row in the pre-aggregated counts. Copies of a text hold the same marks in the same places.
     """
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("first_id"))
-    texts = write_out(marked.groupBy("node").agg(F.min(place).alias("place"), F.first("marks").alias("marks")).select("place.*", "node", "marks"), "marked-texts")
-    each = texts.select("node", F.explode("marks").alias("m")).select("node", "m.gram", "m.at")
-    alone = each.groupBy("gram").agg(F.count("*").alias("n"), F.first(F.struct("node", "at")).alias("one")).where("n = 1")
-    singles = alone.groupBy("one.node").agg(F.collect_list("one.at").alias("singles"))
-    # Both lists are ordered by position, which bounds neither but by the text's length; sets keep the test cheap.
-    left = texts.join(singles, "node", "left").withColumn("singles", F.coalesce("singles", F.array().cast("array<bigint>")))
-    some = left.where(F.size("marks") > F.size("singles"))
-    open_ = some.mapInArrow(open_batches, "none boolean, first_id bigint, node binary, lows array<bigint>, highs array<bigint>")
-    return texts.drop("marks"), open_
-
-
-def open_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        named = {n: batch.column(n) for n in batch.schema.names}
-        lows, highs = [], []
-        for m, singles in zip(named["marks"], named["singles"], strict=True):
-            flat = m.values.flatten()
-            keep = ~np.isin(np.asarray(flat[1]), np.asarray(singles.values))
-            lows.append(np.asarray(flat[2])[keep])
-            highs.append(np.asarray(flat[3])[keep])
-        kind = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays([*[named[n] for n in PLACE], pa.array(lows, kind), pa.array(highs, kind)], [*PLACE, "lows", "highs"])
+    found = rows.select("th", "text").mapInArrow(mark_batches, MARKS)
+    ends = found.groupBy("gram").agg(F.min("th").alias("th"), F.max("th").alias("th2"), F.min("at").alias("at"), F.max("at").alias("at2"))
+    return ends.where("th = th2 AND at = at2").groupBy("th").agg(F.collect_list("at").alias("alone"))
 
 
 def group_limit(n: int) -> int:
     return max(GROUP, -(-n // LARGE_GROUPS))
 
 
+def prefix(k: int) -> Column:
+    """A hash of the first k blocks of a suffix."""
+    first, third = F.shiftrightunsigned("high", 32), F.shiftrightunsigned("low", 32)
+    return F.xxhash64(*[[first], ["high"], ["high", third], WHOLE][k - 1])
+
+
 def grouped(suffixes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
     """(suffixes with a group, the rest): groups hold whole prefixes and at most `limit` suffixes.
 
     Prefixes are counted by cells of their hashes. Cells over the limit, fewer than one in `limit` suffixes, are broadcast, and their
     suffixes go on with one block more. The rest shares whole windows more than `limit` times over.
     """
-    cell = lambda k: F.pmod(F.xxhash64(*PREFIX[:k]), F.lit(CELLS))
     done, rest = None, suffixes
     for k in range(1, BLOCKS + 1):
-        rest = rest.withColumn("cell", cell(k) if k < BLOCKS else F.xxhash64(*PREFIX))
+        rest = rest.withColumn("cell", F.pmod(prefix(k), F.lit(CELLS)) if k < BLOCKS else prefix(k))
         over = write_out(rest.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("cell"), "large-groups")
         small = rest.join(F.broadcast(over), "cell", "left_anti").withColumn("level", F.lit(k))
         done = small if done is None else done.unionByName(small)
         rest = rest.join(F.broadcast(over), "cell", "left_semi")
+        if over.isEmpty():
+            break
     return done, rest.drop("cell")
 
 
 def later_windows(suffixes: DataFrame, limit: int | None = None) -> DataFrame:
-    """(none, first_id, node, start) of each window whose words start earlier too."""
+    """(none, first_id, th, start) of each window whose words start earlier too."""
     done, same = grouped(suffixes, limit or group_limit(suffixes.count()))
     order = [*PLACE, "start"]
-    leaves = done.repartition("level", "cell").sortWithinPartitions("level", "cell", *PREFIX, *order)
-    found = leaves.select(*PREFIX, *order).mapInArrow(walk_batches, REPEATS)
-    first = same.groupBy(*PREFIX).agg(F.min(F.struct(*order)).alias("one")).select("one.*")
+    leaves = done.repartition("level", "cell").sortWithinPartitions("level", "cell", *WHOLE, *order)
+    found = leaves.select(*WHOLE, *order).mapInArrow(walk_batches, REPEATS)
+    first = same.groupBy(*WHOLE).agg(F.min(F.struct(*order)).alias("one")).select("one.*")
     return found.unionByName(same.select(*order).join(first, order, "left_anti"))
 
 
@@ -249,18 +240,17 @@ def repeats_of(docs: DataFrame, limit: int | None = None) -> DataFrame:
     """(doc_id, text, first, starts) per row of docs: whether it is the first with its text, and its repeated windows, as starts.
 
     A null text is empty, a null doc_id comes after all others. Rows that share id and text are one document and get equal
-    results. Texts of one id are ordered by their digests.
+    results. Texts of one id are ordered by their hashes.
     """
     rows = texts_of(docs)
-    marked = write_out(rows.mapInArrow(mark_batches, MARKED), "marks")
-    texts, open_ = shared_marks(marked)
-    held = rows.select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("first_id"), "node", "text")
-    # Repeats of one row are one document; they share id and text.
-    distinct = held.join(open_, PLACE).groupBy(*PLACE).agg(*[F.first(c).alias(c) for c in ("text", "lows", "highs")])
-    suffixes = write_out(distinct.select(*PLACE, "text", "lows", "highs").mapInArrow(suffix_batches, SUFFIXES), "suffixes")
-    later = later_windows(suffixes, limit).groupBy(*PLACE).agg(F.collect_list("start").alias("starts"))
-    fates = write_out(texts.join(later, PLACE, "left").select(*PLACE, F.lit(True).alias("first"), "starts"), "fates")
-    joined = held.join(fates, PLACE, "left")
+    place = F.min(F.struct("none", "first_id")).alias("place")
+    firsts = rows.groupBy("th", "crc").agg(place).select("place.*", "th", "crc")
+    texts = write_out(firsts.join(lonely_marks(rows), "th", "left").select(*PLACE, "crc", "alone"), "marked-texts")
+    held = rows.join(texts, [*PLACE, "crc"]).select(*PLACE, "text", "alone")
+    suffixes = write_out(held.mapInArrow(suffix_batches, SUFFIXES), "suffixes")
+    later = later_windows(suffixes, limit).groupBy(*PLACE).agg(F.collect_set("start").alias("starts"))
+    fates = write_out(texts.join(later, PLACE, "left").select(*PLACE, "crc", F.lit(True).alias("first"), "starts"), "fates")
+    joined = rows.join(fates, [*PLACE, "crc"], "left")
     return joined.select(F.when(~F.col("none"), F.col("first_id")).alias("doc_id"), "text", F.coalesce("first", F.lit(False)).alias("first"), "starts")
 
 
