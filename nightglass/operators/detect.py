@@ -5,8 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import BooleanType, NumericType
 
-from nightglass.operators.rules import LOWERED, CompiledRule, all_text_sql, resolve
+from nightglass.operators.fields import column, quote
+from nightglass.operators.rules import NAMED, CompiledRule
+from nightglass.operators.values import LOWERED, Test, lowered_sql
 from nightglass.session import local_table
 
 # Up to this many rules on this few columns, "any rule matches" also goes to the scan as a filter of
@@ -14,9 +17,9 @@ from nightglass.session import local_table
 # filter over many columns costs more to plan than it saves.
 PREFILTER_RULES = 64
 PREFILTER_COLUMNS = 6
-GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
-# Rules per generated array; larger sets are cut so that the generated code stays small.
-RULES_PER_ARRAY = 100
+# Columns that hold the results of an event's tests and of the rules as bits, WIDTH in each.
+BITS, MET = "_bits:", "_met:"
+WIDTH = 32
 
 
 def any_of(tests: list[Column]) -> Column:
@@ -26,26 +29,54 @@ def any_of(tests: list[Column]) -> Column:
     return tests[0]
 
 
+def bit(k: int) -> int:
+    """The 32-bit number with bit k alone."""
+    return 1 << k if k < WIDTH - 1 else -(1 << k)
+
+
+def packed(tests: list[str]) -> list[Column]:
+    """The results of tests as bits of 32-bit numbers. A test that is NULL is not met."""
+    words = [tests[i : i + WIDTH] for i in range(0, len(tests), WIDTH)]
+    return [F.expr(" | ".join(f"if({t}, {bit(j)}, 0)" for j, t in enumerate(word))) for word in words]
+
+
+def with_tests(events: DataFrame, tests: dict[str, Test]) -> tuple[DataFrame, dict[str, str]]:
+    """(events with the result of every test as one bit, {name: SQL that reads it}).
+
+    Fields are lowered once for all tests, and a test is evaluated once however many rules name it.
+    """
+    lower = {LOWERED + f: F.expr(lowered_sql(events.schema, f)) for f in sorted({t.lowered for t in tests.values() if t.lowered is not None})}
+    events = events.withColumns(lower) if lower else events
+    bits = {f"{BITS}{k}": c for k, c in enumerate(packed([t.scan_sql for t in tests.values()]))}
+    reads = {n: f"({column(f'{BITS}{i // WIDTH}')} & {bit(i % WIDTH)}) <> 0" for i, n in enumerate(tests)}
+    return (events.withColumns(bits) if bits else events), reads
+
+
 def detect(events: DataFrame, rules: list[CompiledRule], keep: list[str]) -> DataFrame:
     """One row per (event, matching rule): the `keep` columns and rule_id. Works on streams as well.
 
-    Rules that failed to compile match nothing. Events are read once and never shuffled.
+    Rules that failed to compile match nothing. Events are read once and never shuffled. Every different test of all rules is
+    evaluated once per event; conditions read the results, and of what they give only numbers with a bit set become rows.
     """
     usable = [r for r in rules if r.sql]
     kept = [F.col(f"`{c}`") for c in keep]
     if not usable:
         return events.where(F.lit(False)).select(*kept, F.lit("").alias("rule_id"))
-    if len(usable) <= PREFILTER_RULES and len({f for r in usable for f in r.fields}) <= PREFILTER_COLUMNS:
+    few = len(usable) <= PREFILTER_RULES and len({f for r in usable for f in r.fields}) <= PREFILTER_COLUMNS
+    if few and all(r.tests and all(t.pushable for _, t in r.tests) for r in usable):
         events = events.where(any_of([F.expr(r.sql) for r in usable]))
-    chunks = [usable[i : i + RULES_PER_ARRAY] for i in range(0, len(usable), RULES_PER_ARRAY)]
-    schema = events.schema
-    shared = {f for r in usable for f in r.lowered}
-    lower = {LOWERED + f: F.lower(F.expr(resolve(schema, f)[0]).cast("string")) if f else F.expr(all_text_sql(schema)) for f in sorted(shared)}
-    events = events.withColumns(lower) if lower else events
-    test = lambda r: F.expr(r.scan_sql or r.sql)
-    arrays = [F.array_compact(F.array(*[F.when(test(r), F.lit(r.rule_id)) for r in chunk])) for chunk in chunks]
-    hits = arrays[0] if len(arrays) == 1 else F.concat(*arrays)
-    return events.select(*kept, F.explode(hits).alias("rule_id"))
+    tested, reads = with_tests(events, {n: t for r in usable for n, t in r.tests})
+    conditions = [NAMED.sub(lambda m: reads[m[1]], r.condition) if r.condition else r.sql for r in usable]
+    # As columns of their own the conditions are compiled; inside a generator or a lambda they would be interpreted.
+    results = {f"{MET}{k}": c for k, c in enumerate(packed(conditions))}
+    judged = tested.select(*kept, *[c.alias(n) for n, c in results.items()])
+    # The outer form: for the plain one Spark would put the conditions, written out, into a filter on the array's size.
+    met = judged.select(*kept, F.posexplode_outer(F.array(*[column(n) for n in results])).alias("_word", "_met")).where("_met <> 0")
+    # Rule ids by word and bit; empty ones fill up the last word.
+    ids = [quote(r.rule_id) for r in usable] + ["''"] * (-len(usable) % WIDTH)
+    words = ", ".join(f"array({', '.join(ids[i : i + WIDTH])})" for i in range(0, len(ids), WIDTH))
+    named = F.expr(f"filter(get(array({words}), _word), (id, i) -> (_met & shiftleft(1, i)) <> 0)")
+    return met.select(*kept, F.explode(named).alias("rule_id"))
 
 
 def rule_names(matches: DataFrame, rules: list[CompiledRule]) -> DataFrame:
@@ -59,25 +90,47 @@ def count_matches(matches: DataFrame, rules: list[CompiledRule]) -> DataFrame:
     return named.select("rule_id", F.coalesce("hits", F.lit(0).cast("bigint")).alias("total_hits"))
 
 
+# Ranges of the order key that are counted per rule.
+RANGES = 4096
+NUMBERS = {"timestamp": F.unix_micros, "date": F.unix_date, "string": lambda c: F.conv(F.rpad(F.left(F.hex(c), F.lit(14)), 14, "0"), 16, 10)}
+
+
+def order_number(matches: DataFrame, name: str) -> Column:
+    """A number that never falls where the column rises; NULL for NULL, 0 for types without one."""
+    kind = matches.schema[name].dataType
+    if isinstance(kind, (NumericType, BooleanType)):
+        # Infinities and NaN, which sorts last, share the outermost numbers.
+        number = F.nanvl(F.col(f"`{name}`").cast("double"), F.lit(1e300))
+        return F.when(number.isNotNull(), F.greatest(F.least(number, F.lit(1e300)), F.lit(-1e300)))
+    made = NUMBERS.get(kind.simpleString())
+    return made(F.col(f"`{name}`")).cast("double") if made else F.lit(0.0)
+
+
 def first_matches(matches: DataFrame, limit: int, order: list[str], salts: int = 64) -> DataFrame:
-    """The first `limit` matches of each rule in the given order, numbered by row_no.
+    """The first `limit` matches of each rule in the given order, numbered by row_no; `order` must be unique per rule.
 
-    A negative limit keeps all and numbers none. The rank is cut per (rule, salt) first and Spark cuts that rank per
-    task before the shuffle, so a rule that matches a third of all events never meets in one task. Spark does so up to
-    a threshold, which is raised to the limit where needed. `order` must be unique per rule.
+    A negative limit keeps all and numbers none. Counts per range of the first order column, at most RANGES a rule, say in which
+    range a rule's limit falls; only rows up to it are shuffled, and they are numbered range by range, so no rule is sorted
+    whole or meets in one task. In the last range rows are cut per salt first, as many rows may share one value.
     """
     if limit < 0:
         return matches.withColumn("row_no", F.lit(None).cast("int"))
-    conf = matches.sparkSession.conf
-    if int(conf.get(GROUP_LIMIT)) < limit:
-        conf.set(GROUP_LIMIT, str(limit))
-    salted = matches.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
-    part = Window.partitionBy("rule_id", "_salt").orderBy(*order)
-    whole = Window.partitionBy("rule_id").orderBy(*order)
-    cut = salted.withColumn("_no", F.row_number().over(part)).where(F.col("_no") <= limit)
-    return (
-        cut.drop("_salt", "_no").withColumn("row_no", F.row_number().over(whole)).where(F.col("row_no") <= limit)
-    )
+    numbered = matches.withColumn("_at", order_number(matches, order[0]))
+    ends = numbered.groupBy("rule_id").agg(F.min("_at").alias("_low"), F.max("_at").alias("_high"))
+    share = F.try_divide(F.col("_at") - F.col("_low"), F.col("_high") - F.col("_low"))
+    # NULL comes first; a rule whose rows share one value has one range.
+    place = F.when(F.col("_at").isNull(), -1).otherwise(F.floor(F.coalesce(share, F.lit(0.0)) * (RANGES - 1)).cast("int"))
+    ranged = numbered.join(F.broadcast(ends), "rule_id").withColumn("_range", place)
+    counts = ranged.groupBy("rule_id", "_range").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("rule_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where(F.col("_before") < limit)
+    kept = ranged.join(F.broadcast(wanted), ["rule_id", "_range"]).drop("_at", "_low", "_high")
+    spread = kept.withColumn("_salt", F.when(F.col("_before") + F.col("_n") <= limit, 0).otherwise(F.pmod(F.xxhash64(*order), F.lit(salts))))
+    part = Window.partitionBy("rule_id", "_range", "_salt").orderBy(*order)
+    whole = Window.partitionBy("rule_id", "_range").orderBy(*order)
+    cut = spread.withColumn("_no", F.row_number().over(part)).where(F.col("_no") + F.col("_before") <= limit)
+    ranked = cut.withColumn("row_no", (F.row_number().over(whole) + F.col("_before")).cast("int")).where(F.col("row_no") <= limit)
+    return ranked.select(*matches.columns, "row_no")
 
 
 def sample_matches(matches: DataFrame, size: int, order: list[str]) -> DataFrame:

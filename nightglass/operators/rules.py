@@ -1,70 +1,48 @@
-"""Detection rules as tables, and each rule as one Spark SQL predicate.
+"""Detection rules as tables, compiled into one dictionary of tests and a condition per rule.
 
-A rule row is (rule_id, rule_json). `rule_predicates` flattens the detection blocks with VARIANT
-functions, `map_fields` renames fields for a profile, and `compile_rules` turns the flattened rows
-into predicate texts that Spark parses and optimises. Only rules are ever brought to the driver.
+A rule row is (rule_id, rule_json). Rules are taken apart by columns (VARIANT and array functions): every value
+test gets a name, the digest of its field, modifiers and value, and every condition becomes a Boolean text over these names. Equal tests of
+different rules share a name, so each is made once and, in `detect`, evaluated once per event. Only rules are ever
+brought to the driver.
 """
 
 from __future__ import annotations
 
-import ipaddress
 import json
 import re
-from collections import Counter
 from collections.abc import Iterable
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass
+from functools import lru_cache
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, IllegalArgumentException, ParseException
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import NumericType, StringType, StructType
+from pyspark.errors import AnalysisException, ParseException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from nightglass.functions.text import once
+from nightglass.operators.fields import column
+from nightglass.operators.values import Profile, Test, make_test
 from nightglass.session import local_table
 
 # Keys of a detection map that are not selections.
 RESERVED = ("condition", "timeframe")
-TEXT_MATCHES = ("contains", "startswith", "endswith")
-NUMBER_MATCHES = {"gt": ">", "gte": ">=", "lt": "<", "lte": "<="}
-REGEX_FLAGS = ("i", "m", "s")
-DASHES = ("-", "/", "\u2013", "\u2014", "\u2015")
-KNOWN_MODIFIERS = {*TEXT_MATCHES, *NUMBER_MATCHES, *REGEX_FLAGS, "all", "re", "cidr", "cased", "exists", "fieldref", "windash"}
-# Rules analysed in one go; a chunk that fails is analysed rule by rule.
-RULES_PER_ANALYSIS = 200
-
-
-@dataclass(frozen=True)
-class Profile:
-    """How rules meet events.
-
-    case: `insensitive` lowers both sides; `exact` compares as is; `lowered` says the event columns
-    already hold lower-case text, so only the rule value is lowered and the test reaches the file scan.
-    missing: `null` makes an absent field never match; `error` fails the rule.
-    route: logsource part to (event column, {rule value: column value}); empty means no routing.
-    shared: set while compiling, to test helper columns instead of lowering each field in each rule.
-    """
-
-    name: str = "none"
-    case: str = "insensitive"
-    missing: str = "null"
-    route: dict = field(default_factory=dict)
-    shared: bool = False
-
-
-# Prefix of the helper columns that hold an event field in lower case; the bare prefix holds all text.
-LOWERED = "_lower:"
+# Tests analysed in one go; a chunk that fails is halved.
+TESTS_PER_ANALYSIS = 256
+# A test's name inside a condition.
+NAMED = re.compile(r"\{([0-9a-f]{32})\}")
+# Keeps the parts of `2 of sel*` together as one word of a condition.
+GLUE = "\u0001"
 
 
 @dataclass(frozen=True)
 class CompiledRule:
-    """`sql` stands alone. `scan_sql` is the same test over helper columns that `lowered` names, so
-    that many rules share one lower-cased copy of a field."""
+    """`sql` stands alone. `condition` is the same over the names of `tests`, which rules share; it is empty for a rule
+    that is given by its SQL."""
 
     rule_id: str
     sql: str
     error: str = ""
     fields: tuple = ()
-    scan_sql: str = ""
-    lowered: tuple = ()
+    condition: str = ""
+    tests: tuple = ()
     timeframe: str = ""
     targets: tuple | None = None
 
@@ -75,48 +53,50 @@ def rules_table(spark: SparkSession, rules: Iterable[dict]) -> DataFrame:
     return local_table(spark, rows, "rule_id string, rule_json string")
 
 
-def rule_predicates(rules: DataFrame) -> DataFrame:
-    """(rule_id, selection, alternative, item, field, modifiers, values[{kind, text}]).
+def _list_of(value: Column) -> Column:
+    """The elements of a VARIANT list, or the value alone."""
+    return F.coalesce(value.try_cast("array<variant>"), F.array(value))
 
-    Items of an alternative are joined by AND, alternatives of a selection by OR. A bare value or
-    a list of them (keywords) has an empty field.
-    """
-    doc = F.try_parse_json("rule_json")
-    blocks = rules.select("rule_id", F.try_variant_get(doc, "$.detection", "map<string,variant>").alias("d"))
-    bodies = blocks.select("rule_id", F.explode("d").alias("selection", "body")).where(~F.col("selection").isin(*RESERVED))
-    parts = bodies.select(
-        "rule_id",
-        "selection",
-        F.posexplode(
-            F.when(F.schema_of_variant("body").startswith("ARRAY"), F.col("body").try_cast("array<variant>"))
-            .otherwise(F.array("body"))
-        ).alias("alternative", "part"),
-    )
-    entries = parts.select(
-        "rule_id",
-        "selection",
-        "alternative",
-        F.posexplode(
-            F.when(
-                F.schema_of_variant("part").startswith("OBJECT"),
-                F.map_entries(F.col("part").try_cast("map<string,variant>")),
-            ).otherwise(F.array(F.struct(F.lit("").alias("key"), F.col("part").alias("value"))))
-        ).alias("item", "entry"),
+
+def _values(value: Column) -> Column:
+    listed = F.transform(_list_of(value), lambda v: F.struct(F.schema_of_variant(v).alias("kind"), v.try_cast("string").alias("text")))
+    return F.when(F.size(listed) > 0, listed).otherwise(F.array(F.struct(F.lit("EMPTY").alias("kind"), F.lit(None).cast("string").alias("text"))))
+
+
+def _items(part: Column) -> Column:
+    """Entries {field, modifiers, values} of one alternative; a bare value or list of them (keywords) has an empty field."""
+    entries = F.coalesce(F.map_entries(part.try_cast("map<string,variant>")), F.array(F.struct(F.lit("").alias("key"), part.alias("value"))))
+    words = lambda e: F.split(e["key"], r"\|")
+    return F.transform(
+        entries,
+        lambda e: F.struct(
+            F.get(words(e), F.lit(0)).alias("field"),
+            F.transform(F.slice(words(e), 2, F.size(words(e))), F.lower).alias("modifiers"),
+            _values(e["value"]).alias("values"),
+        ),
     )
-    value = F.col("entry.value")
-    values = F.when(F.schema_of_variant(value).startswith("ARRAY"), value.try_cast("array<variant>")).otherwise(F.array(value))
-    words = F.split("entry.key", r"\|")
-    return entries.select(
-        "rule_id",
-        "selection",
-        "alternative",
-        "item",
-        F.get(words, F.lit(0)).alias("field"),
-        F.slice(words, 2, F.size(words)).alias("modifiers"),
-        F.transform(
-            values, lambda v: F.struct(F.schema_of_variant(v).alias("kind"), v.try_cast("string").alias("text"))
-        ).alias("values"),
+
+
+def _selections(detection: Column) -> Column:
+    """Selections {name, alternatives}: items of an alternative are joined by AND, alternatives by OR. Empty ones drop out."""
+    entries = F.filter(F.map_entries(detection), lambda e: ~e["key"].isin(*RESERVED))
+    made = F.transform(
+        entries,
+        lambda e: F.struct(e["key"].alias("name"), F.filter(F.transform(_list_of(e["value"]), _items), lambda a: F.size(a) > 0).alias("alternatives")),
     )
+    return F.filter(made, lambda s: F.size(s["alternatives"]) > 0)
+
+
+def rule_parts(rules: DataFrame) -> DataFrame:
+    """The rows of rules with `doc`, the document as VARIANT, and its `selections`."""
+    parsed = rules.withColumn("doc", F.try_parse_json("rule_json"))
+    return parsed.withColumn("selections", _selections(F.try_variant_get("doc", "$.detection", "map<string,variant>")))
+
+
+def rule_predicates(rules: DataFrame) -> DataFrame:
+    """(rule_id, selection, alternative, item, field, modifiers, values[{kind, text}]), one row per entry of a rule."""
+    selections = rule_parts(rules).select("rule_id", F.explode("selections").alias("s")).select("rule_id", F.col("s.name").alias("selection"), F.posexplode("s.alternatives").alias("alternative", "a"))
+    return selections.select("rule_id", "selection", "alternative", F.posexplode("a").alias("item", "i")).select("rule_id", "selection", "alternative", "item", "i.*")
 
 
 def map_fields(predicates: DataFrame, field_map: DataFrame, profile: str) -> DataFrame:
@@ -129,276 +109,251 @@ def map_fields(predicates: DataFrame, field_map: DataFrame, profile: str) -> Dat
     return joined.withColumn("field", F.coalesce("event_field", "field")).drop("event_field").select(*predicates.columns)
 
 
-def quote(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def column(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def resolve(schema: StructType, name: str):
-    """(SQL, type) of a field: a column of that name, or a path into structs; None if there is neither."""
-    kinds = {f.name: f.dataType for f in schema.fields}
-    if name in kinds:
-        return column(name), kinds[name]
-    parts = name.split(".")
-    for cut in range(len(parts) - 1, 0, -1):
-        head = kinds.get(".".join(parts[:cut]))
-        if isinstance(head, StructType):
-            below = resolve(head, ".".join(parts[cut:]))
-            if below:
-                return f"{column('.'.join(parts[:cut]))}.{below[0]}", below[1]
-    return None
-
-
-def has_wildcard(value: str) -> bool:
-    return any(part in ("*", "?") for part in _pieces(value))
-
-
-def _pieces(value: str) -> list[str]:
-    return [p for p in re.split(r"(\\[\\*?]|[*?])", value) if p]
-
-
-def plain(value: str) -> str:
-    return re.sub(r"\\([\\*?])", r"\1", value)
-
-
-def like_pattern(value: str) -> str:
-    """Rule wildcards as a LIKE pattern with escape character `!`."""
-    marks = {"*": "%", "?": "_"}
-    return "".join(marks.get(p) or re.sub(r"([!%_])", r"!\1", plain(p)) for p in _pieces(value))
-
-
-def _regex(text: str, modifiers: list[str]) -> str:
-    flags = "".join(m for m in REGEX_FLAGS if m in modifiers)
-    return quote(f"(?{flags}){text}" if flags else text)
-
-
-def _value_sql(name: str, schema: StructType, modifiers: list[str], value, profile: Profile) -> str:
-    """One value test of a field; an absent one is null."""
-    text, found = value["text"], resolve(schema, name)
-    source, kind = found or ("cast(null as string)", None)
-    if "exists" in modifiers:
-        return f"{source} is {'null' if str(text).lower() == 'false' else 'not null'}"
-    if value["kind"] == "VOID" or text is None:
-        return f"{source} is null"
-    numeric = isinstance(kind, NumericType)
-    for modifier, sign in NUMBER_MATCHES.items():
-        if modifier in modifiers:
-            return f"try_cast({source} as double) {sign} {float(text)!r}D"
-    if "cidr" in modifiers:
-        return _cidr_sql(source, text)
-    exact = profile.case == "exact" or "cased" in modifiers
-    if "fieldref" in modifiers:
-        other = (resolve(schema, text) or ("cast(null as string)", None))[0]
-        sides = [f"cast({x} as string)" for x in (source, other)]
-        left, right = sides if exact else [f"lower({x})" for x in sides]
-        match = next((m for m in TEXT_MATCHES if m in modifiers), None)
-        return f"{match}({left}, {right})" if match else f"{left} = {right}"
-    if numeric or kind is not None and not isinstance(kind, StringType):
-        exact_number = re.fullmatch(r"-?[0-9]{1,18}", text)
-        if numeric and exact_number and not set(modifiers) & {*TEXT_MATCHES, "re"}:
-            return f"{source} = {text}"
-        source = f"cast({source} as string)"
-    if "re" in modifiers:
-        return f"{source} rlike {_regex(text, modifiers)}"
-    if not exact:
-        text = text.lower()
-        if profile.case != "lowered":
-            source = column(LOWERED + name) if profile.shared and kind is not None else f"lower({source})"
-    match = next((m for m in TEXT_MATCHES if m in modifiers), "equals")
-    if has_wildcard(text):
-        pattern = like_pattern(text)
-        pattern = {"contains": f"%{pattern}%", "startswith": f"{pattern}%", "endswith": f"%{pattern}"}.get(match, pattern)
-        return f"{source} like {quote(pattern)} escape '!'"
-    if match == "equals":
-        return f"{source} = {quote(plain(text))}"
-    return f"{match}({source}, {quote(plain(text))})"
-
-
-# An IPv4 address with octets up to 255.
-OCTET = "(25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
-
-
-def _cidr_sql(source: str, text: str) -> str:
-    net = ipaddress.ip_network(text, strict=False)
-    if net.version != 4:
-        raise ValueError(f"only IPv4 networks are supported: {text}")
-    octets = " + ".join(f"try_cast(split_part({source}, '.', {i + 1}) as bigint) * {256 ** (3 - i)}" for i in range(4))
-    shape = f"{source} rlike '^{OCTET}([.]{OCTET}){{3}}$'"
-    return f"({shape} and {octets} between {int(net.network_address)} and {int(net.broadcast_address)})"
-
-
-def _text_columns(schema: StructType) -> list[str]:
-    return [column(f.name) for f in schema.fields if isinstance(f.dataType, StringType)]
-
-
-def all_text_sql(schema: StructType, lower: bool = True) -> str:
-    """All text columns of an event, kept apart by a character that no keyword holds; in lower case if asked."""
-    joined = f"concat_ws('\\u0001', {', '.join(f"coalesce({c}, '')" for c in _text_columns(schema))})"
-    return f"lower({joined})" if lower else joined
-
-
-def _keyword_sql(schema: StructType, modifiers: list[str], value, profile: Profile) -> str:
-    """A keyword is looked for in every text column; patterns are tested column by column."""
-    text = value["text"]
-    if value["kind"] == "VOID" or text is None:
-        raise ValueError("keyword must not be null")
-    odd = [m for m in modifiers if m in (*NUMBER_MATCHES, "cidr", "exists", "fieldref")]
-    if odd:
-        raise ValueError(f"not for keywords: {', '.join(odd)}")
-    columns = _text_columns(schema) or ["cast(null as string)"]
-    if "re" in modifiers:
-        return "(" + " or ".join(f"coalesce({c} rlike {_regex(text, modifiers)}, false)" for c in columns) + ")"
-    exact = profile.case == "exact" or "cased" in modifiers
-    text = text if exact else text.lower()
-    if has_wildcard(text):
-        pattern = quote(f"%{like_pattern(text)}%")
-        sides = columns if exact else [f"lower({c})" for c in columns]
-        return "(" + " or ".join(f"coalesce({c} like {pattern} escape '!', false)" for c in sides) + ")"
-    haystack = all_text_sql(schema, False) if exact else column(LOWERED) if profile.shared else all_text_sql(schema)
-    return f"contains({haystack}, {quote(plain(text))})"
-
-
-def _dash_variants(values: list) -> list:
-    """Each value with every dash or slash before a word in each of the ways to write it."""
-    found = {}
-    for v in values:
-        for dash in DASHES:
-            text = None if v["text"] is None else re.sub(r"(?<!\w)[-/\u2013\u2014\u2015](?=\w)", lambda _, d=dash: d, v["text"])
-            found[text] = {"kind": v["kind"], "text": text}
-    return list(found.values())
-
-
-def _item_sql(row, schema: StructType, profile: Profile) -> str:
-    modifiers = [m.lower() for m in row["modifiers"]]
-    unknown = [m for m in modifiers if m not in KNOWN_MODIFIERS or m in REGEX_FLAGS and "re" not in modifiers]
-    if unknown:
-        raise ValueError(f"unsupported modifier: {', '.join(unknown)}")
-    if row["field"] and resolve(schema, row["field"]) is None and profile.missing == "error" and "exists" not in modifiers:
-        raise ValueError(f"unknown field: {row['field']}")
-
-    def test(value) -> str:
-        if row["field"] == "":
-            return _keyword_sql(schema, modifiers, value, profile)
-        return _value_sql(row["field"], schema, modifiers, value, profile)
-
-    tests = [test(v) for v in row["values"]]
-    if "windash" in modifiers:
-        tests = ["(" + " or ".join(test(x) for x in _dash_variants([v])) + ")" for v in row["values"]]
-    if not tests:
-        raise ValueError(f"no value for field: {row['field']}")
-    return "(" + (" and " if "all" in modifiers else " or ").join(tests) + ")"
-
-
-def _expand_counts(condition: str, names: list[str]) -> str:
-    """`1 of x*`, `any of them`, `all of x*` to a bracketed list of names."""
-
-    def listed(found: re.Match) -> str:
-        word, pattern = found.group(1).lower(), found.group(2)
-        if pattern.lower() == "them":
-            chosen = [n for n in names if not n.startswith("_")]
-        else:
-            chosen = [n for n in names if re.fullmatch(re.escape(pattern).replace(r"\*", ".*"), n)]
-        if not chosen:
-            raise ValueError(f"no selection matches: {found.group(0)}")
-        return "(" + (" and " if word == "all" else " or ").join(chosen) + ")"
+# ---- tests and selections by columns -------------------------------------------------------------
 
-    return re.sub(r"(?i)\b(1|any|all)\s+of\s+([^\s()]+)", listed, condition)
 
+def _test_name(field: Column, modifiers: Column, value: Column) -> Column:
+    return F.md5(F.to_json(F.struct(field.alias("f"), modifiers.alias("m"), value["kind"].alias("k"), value["text"].alias("t"))))
+
+
+def _mapped(field: Column, names: dict[str, list[str]]) -> Column:
+    """The event fields of a rule field."""
+    if not names:
+        return F.array(field)
+    table = F.from_json(F.lit(json.dumps(names)), "map<string,array<string>>")
+    return F.coalesce(F.element_at(table, field), F.array(field))
+
+
+def _all_tests(names: dict[str, list[str]]) -> Column:
+    """Every test {name, field, modifiers, kind, text} of a rule's selections."""
+    tests = lambda i, f: F.transform(i["values"], lambda v: F.struct(_test_name(f, i["modifiers"], v).alias("name"), f.alias("field"), i["modifiers"].alias("modifiers"), v["kind"].alias("kind"), v["text"].alias("text")))
+    items = lambda i: F.flatten(F.transform(_mapped(i["field"], names), lambda f: tests(i, f)))
+    return F.flatten(F.transform("selections", lambda s: F.flatten(F.transform(s["alternatives"], lambda a: F.flatten(F.transform(a, items))))))
+
+
+def _joined(parts: Column, sign: str | Column) -> Column:
+    """The parts in brackets, joined by a word."""
+    sign = F.lit(sign) if isinstance(sign, str) else sign
+    # Without array_join's constant delimiter: the word may differ by row.
+    inner = F.aggregate(F.transform(parts, lambda p, i: F.concat(F.when(i > 0, F.concat(F.lit(") "), sign, F.lit(" ("))).otherwise(""), p)), F.lit(""), lambda a, p: F.concat(a, p))
+    return F.concat(F.lit("("), inner, F.lit(")"))
+
+
+def _selection_texts(names: dict[str, list[str]]) -> Column:
+    """Map of selection name to its text over test names."""
+    named = lambda i, f: F.transform(i["values"], lambda v: F.concat(F.lit("{"), _test_name(f, i["modifiers"], v), F.lit("}")))
+    sign = lambda i: F.when(F.array_contains(i["modifiers"], "all"), F.lit("and")).otherwise(F.lit("or"))
+    item = lambda i: _joined(F.transform(_mapped(i["field"], names), lambda f: _joined(named(i, f), sign(i))), "or")
+    alternative = lambda a: _joined(F.transform(a, item), "and")
+    return F.map_from_entries(F.transform("selections", lambda s: F.struct(s["name"].alias("k"), _joined(F.transform(s["alternatives"], alternative), "or").alias("v"))))
+
+
+# ---- conditions by columns -----------------------------------------------------------------------
+
+COUNTED = rf"(?i)^(\d+|any|all){GLUE}of{GLUE}(.+)$"
+
+
+def _words(condition: Column) -> Column:
+    """Brackets, words and counts of a condition; a count such as `1 of sel*` is one word."""
+    glued = F.regexp_replace(condition, r"(?i)\b(\d+|any|all)\s+of\s+([^\s()]+)", f"$1{GLUE}of{GLUE}$2")
+    return F.regexp_extract_all(glued, F.lit(r"[()]|[^\s()]+"), F.lit(0))
 
-def condition_sql(condition: str, selections: dict[str, str]) -> str:
-    """Put the selections into the condition text. Any other word is refused.
 
-    A negated selection is wrapped so that an event without the field satisfies the negation; others
-    stay bare so that the scan can use them.
+def _chosen(word: Column, texts: Column) -> Column:
+    """The selections that a count speaks of."""
+    pattern = F.regexp_extract(word, COUNTED, 2)
+    names = F.map_keys(texts)
+    like = F.concat(F.lit("^\\Q"), F.replace(pattern, F.lit("*"), F.lit("\\E.*\\Q")), F.lit("\\E$"))
+    return F.when(F.lower(pattern) == "them", F.filter(names, lambda n: ~n.startswith("_"))).otherwise(F.filter(names, lambda n: F.rlike(n, like)))
+
+
+def _word_kind(word: Column, texts: Column) -> Column:
+    """s selection, c count, b and/or, n not, brackets as they are, ? anything else."""
+    return (
+        F.when(F.map_contains_key(texts, word), "s").when(word.rlike(COUNTED), "c").when(F.lower(word).isin("and", "or"), "b")
+        .when(F.lower(word) == "not", "n").when(word.isin("(", ")"), word).otherwise("?")
+    )
+
+
+def _word_sql(word: Column, kind: Column, wrap: Column, texts: Column) -> Column:
+    held = lambda name: F.when(wrap, F.concat(F.lit("coalesce("), F.element_at(texts, name), F.lit(", false)"))).otherwise(F.concat(F.lit("("), F.element_at(texts, name), F.lit(")")))
+    number = F.lower(F.regexp_extract(word, COUNTED, 1))
+    listed = lambda sign: F.concat(F.lit("("), F.array_join(F.transform(_chosen(word, texts), held), sign), F.lit(")"))
+    ones = F.transform(_chosen(word, texts), lambda n: F.concat(F.lit("if("), F.element_at(texts, n), F.lit(", 1, 0)")))
+    least = F.concat(F.lit("("), F.array_join(ones, " + "), F.lit(" >= "), number, F.lit(")"))
+    counted = F.when(number == "all", listed(" and ")).when(number.isin("any", "1"), listed(" or ")).otherwise(least)
+    return F.when(kind == "s", held(word)).when(kind == "c", counted).otherwise(F.lower(word))
+
+
+def _syntax_ok(kinds: Column) -> Column:
+    """True if operands and signs take turns and brackets match."""
+    start = F.struct(F.lit(True).alias("operand"), F.lit(0).alias("depth"), F.lit(True).alias("ok"))
+
+    def step(a: Column, k: Column) -> Column:
+        fits = F.when(a["operand"], k.isin("s", "c", "n", "(")).otherwise(k.isin("b", ")"))
+        depth = a["depth"] + F.when(k == "(", 1).when(k == ")", -1).otherwise(0)
+        return F.struct(k.isin("b", "n", "(").alias("operand"), depth.alias("depth"), (a["ok"] & fits & (depth >= 0)).alias("ok"))
+
+    return F.aggregate(kinds, start, step, lambda a: a["ok"] & ~a["operand"] & (a["depth"] == 0))
+
+
+def condition_result(condition: Column, texts: Column) -> Column:
+    """{sql, error} of one condition over a map of selection texts.
+
+    A negated selection is wrapped so that an event without the field satisfies the negation; others stay bare so that the
+    scan can use them. Any word that is no selection, count, sign or bracket is refused.
     """
-    words = re.findall(r"[()]|[^\s()]+", _expand_counts(condition, list(selections)))
-    lowered = [w if w in selections else w.lower() for w in words]
-    wrap_all = any(a == "not" and b == "(" for a, b in zip(lowered, lowered[1:]))
-    out = []
-    for i, word in enumerate(lowered):
-        if word in selections:
-            negated = wrap_all or (i > 0 and lowered[i - 1] == "not")
-            out.append(f"coalesce({selections[word]}, false)" if negated else f"({selections[word]})")
-        elif word in ("and", "or", "not", "(", ")"):
-            out.append(word)
-        else:
-            raise ValueError(f"unknown word in condition: {word}")
-    if not out:
-        raise ValueError("condition is empty")
-    return " ".join(out)
-
-
-def _route_sql(logsource: dict, schema: StructType, profile: Profile) -> str:
-    tests = []
-    for part, (name, values) in profile.route.items():
-        wanted = logsource.get(part)
-        if wanted:
-            if name not in schema.names:
-                raise ValueError(f"unknown routing column: {name}")
-            tests.append(f"{column(name)} = {quote(str(values.get(wanted, wanted)))}")
-    return " and ".join(tests)
-
-
-def _rule_sql(rule: dict, rows: list, schema: StructType, profile: Profile) -> str:
-    detection = rule.get("detection")
-    if not isinstance(detection, dict) or not detection.get("condition"):
-        raise ValueError("detection must have a condition")
-    selections: dict[str, dict] = {}
-    for row in rows:
-        alternatives = selections.setdefault(row["selection"], {})
-        alternatives.setdefault(row["alternative"], []).append((row["item"], _item_sql(row, schema, profile)))
-
-    def joined(items: list) -> str:
-        """Items by AND; the event fields that one rule field is mapped to by OR."""
-        by_item: dict[int, list] = {}
-        for item, sql in sorted(items):
-            by_item.setdefault(item, []).append(sql)
-        return " and ".join(sqls[0] if len(sqls) == 1 else "(" + " or ".join(sqls) + ")" for sqls in by_item.values())
-
-    texts = {
-        name: " or ".join("(" + joined(items) + ")" for _, items in sorted(alternatives.items()))
-        for name, alternatives in selections.items()
-    }
-    condition = detection["condition"]
-    conditions = condition if isinstance(condition, list) else [condition]
-    body = " or ".join(f"({condition_sql(str(c), texts)})" for c in conditions)
-    route = _route_sql(rule.get("logsource") or {}, schema, profile)
-    return f"{route} and ({body})" if route else body
-
-
-def _targets(value) -> tuple | None:
-    """Lower-cased conversion targets; None means all back ends."""
-    if value is None:
-        return None
-    if not isinstance(value, list):
-        raise ValueError("conversion_targets must be a list")
-    return tuple(str(t).strip().lower() for t in value if str(t).strip())
-
-
-def _bad_patterns(spark: SparkSession, rows: list) -> str:
-    """The first pattern of a rule that is no regular expression for the JVM, which runs them."""
-    for row in rows:
-        if "re" in [m.lower() for m in row["modifiers"]]:
-            for value in row["values"]:
-                try:
-                    spark._jvm.java.util.regex.Pattern.compile(value["text"] or "")
-                except (IllegalArgumentException, Py4JJavaError):
-                    return f"bad regular expression: {value['text']}"
-    return ""
-
-
-def _analysis_errors(empty: DataFrame, texts: list[str]) -> list[str]:
-    """What the analyser says of each predicate; '' if it binds. Good ones cost one analysis per chunk."""
-    try:
-        empty.select(*[F.expr(t).cast("boolean").alias(f"r{i}") for i, t in enumerate(texts)]).schema
-        return [""] * len(texts)
-    except (AnalysisException, ParseException) as exc:
-        if len(texts) == 1:
-            return [str(exc).strip().split("\n")[0]]
-        return [_analysis_errors(empty, [t])[0] for t in texts]
+
+    def judged(words: Column, kinds: Column) -> Column:
+        # A count is a bracket: what is negated may be any selection in it.
+        wrap_all = F.exists(F.arrays_zip(kinds.alias("k"), F.slice(kinds, 2, F.size(kinds)).alias("l")), lambda p: (p["k"] == "n") & p["l"].isin("(", "c"))
+        wrap = lambda i: F.coalesce(wrap_all, F.lit(False)) | F.coalesce(F.get(kinds, i - 1) == "n", F.lit(False))
+        sql = F.array_join(F.transform(words, lambda w, i: _word_sql(w, F.get(kinds, i), wrap(i), texts)), " ")
+        lonely = F.get(F.filter(words, lambda w: w.rlike(COUNTED) & (F.size(_chosen(w, texts)) == 0)), F.lit(0))
+        odd = F.get(F.filter(words, lambda w, i: F.get(kinds, i) == "?"), F.lit(0))
+        error = (
+            F.when(F.size(words) == 0, "condition is empty")
+            .when(lonely.isNotNull(), F.concat(F.lit("no selection matches: "), F.replace(lonely, F.lit(GLUE), F.lit(" "))))
+            .when(odd.isNotNull(), F.concat(F.lit("unknown word in condition: "), odd))
+            .when(~_syntax_ok(kinds), F.concat(F.lit("[PARSE_SYNTAX_ERROR] condition is not well formed: "), condition))
+        )
+        return F.struct(sql.alias("sql"), error.alias("error"))
+
+    return once(_words(condition), lambda words: once(F.transform(words, lambda w: _word_kind(w, texts)), lambda kinds: judged(words, kinds)))
+
+
+def condition_sql(condition: str, selections: dict[str, str]) -> str:
+    """Put the selections into the condition text. A ValueError says what is wrong with it."""
+    spark = SparkSession.active()
+    texts = F.from_json(F.lit(json.dumps(selections)), "map<string,string>")
+    found = spark.range(1).select(condition_result(F.lit(condition), texts).alias("r")).first().r
+    if found.error:
+        raise ValueError(found.error)
+    return found.sql
+
+
+def _route(known_columns: Iterable[str], routes: dict) -> tuple[Column, Column]:
+    """(SQL or NULL, error or NULL) of the routing condition of a rule's log source."""
+    tests, errors = [], []
+    for part, (name, values) in routes.items():
+        wanted = F.try_variant_get("doc", f"$.logsource.{part}", "string")
+        given = F.coalesce(wanted, F.lit("")) != ""
+        known = F.coalesce(F.element_at(F.from_json(F.lit(json.dumps(values)), "map<string,string>"), wanted), wanted)
+        quoted = F.concat(F.lit("'"), F.replace(F.replace(known, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'")), F.lit("'"))
+        tests.append(F.when(given, F.concat(F.lit(f"{column(name)} = "), quoted)))
+        if name not in known_columns:
+            errors.append(F.when(given, F.lit(f"unknown routing column: {name}")))
+    none = F.lit(None).cast("string")
+    sql = F.array_join(F.array_compact(F.array(*tests)), " and ") if tests else F.lit("")
+    return F.when(sql != "", sql), F.coalesce(*errors, none) if errors else none
+
+
+@lru_cache(maxsize=64)
+def _facts(application: str, names: str, route: str, known: tuple[str, ...]) -> list[dict[str, Column]]:
+    """Steps of columns over rule_parts, the last of them (problem, unmet, tests, text, late, timeframe, targets) of each rule.
+
+    Of the errors `problem` comes first, then those of patterns, `unmet`, those of tests, and `late`. The columns name no table, so they are
+    made once per field map and routing.
+    """
+    mapped = json.loads(names)
+    condition = F.try_variant_get("doc", "$.detection.condition", "variant")
+    conditions = F.transform(_list_of(condition), lambda c: c.try_cast("string"))
+    whole = F.schema_of_variant("doc")
+    targets = F.try_variant_get("doc", "$.conversion_targets", "variant")
+    given = targets.isNotNull() & (F.schema_of_variant(targets) != "VOID")
+    listed = targets.try_cast("array<string>")
+    problem = (
+        F.when(F.col("doc").isNull(), "rule is not JSON")
+        .when((whole != "VOID") & ~whole.startswith("OBJECT") & ~F.col("rule_json").rlike(r'^\s*(\[\s*\]|""|0|false)\s*$'), "rule must be a mapping")
+        .when(given & listed.isNull(), "conversion_targets must be a list")
+    )
+    missing = F.col("selections").isNull() | condition.isNull() | F.coalesce(~F.exists("said", lambda c: ~c.isin("", "false", "0")), F.lit(True))
+    results = F.transform("said", lambda c: condition_result(c, F.col("texts")))
+    route_sql, route_error = _route(known, json.loads(route))
+    body = _joined(F.transform("results", lambda r: r["sql"]), "or")
+    late = F.coalesce(F.get(F.transform(F.filter("results", lambda r: r["error"].isNotNull()), lambda r: r["error"]), F.lit(0)), route_error)
+    clean = F.filter(F.transform(listed, lambda t: F.lower(F.trim(t))), lambda t: t != "")
+    return [
+        {"texts": _selection_texts(mapped), "tests": _all_tests(mapped), "said": F.array_compact(conditions), "problem": problem},
+        {"missing": missing},
+        {"results": F.when(~F.col("missing") & F.col("problem").isNull(), results), "route": route_sql},
+        {
+            "unmet": F.when(F.col("missing"), "detection must have a condition"),
+            "text": F.when(F.col("route").isNull(), body).otherwise(F.concat("route", F.lit(" and ("), body, F.lit(")"))),
+            "late": late,
+            "timeframe": F.coalesce(F.try_variant_get("doc", "$.detection.timeframe", "string"), F.lit("")),
+            "targets": F.when(given, clean),
+        },
+    ]
+
+
+FACTS = ["no", "problem", "unmet", "tests", "text", "late", "timeframe", "targets"]
+
+
+# ---- the dictionary ------------------------------------------------------------------------------
+
+
+def _halving(check, things: list) -> list[str]:
+    """What `check` says of each thing, '' if nothing; it is asked about many at once and halves those it refuses."""
+    said = check(things)
+    if not said:
+        return [""] * len(things)
+    if len(things) == 1:
+        return [said]
+    half = len(things) // 2
+    return _halving(check, things[:half]) + _halving(check, things[half:])
+
+
+def _bad_patterns(spark: SparkSession, patterns: list[str]) -> dict[str, str]:
+    """Patterns that are no regular expression for the engine that runs them."""
+
+    def check(some: list[str]) -> str:
+        try:
+            local_table(spark, [(p,) for p in some], "p string").select(F.rlike(F.lit(""), F.col("p"))).collect()
+        except PySparkException:
+            return f"bad regular expression: {some[0]}"
+        return ""
+
+    return {p: e for p, e in zip(patterns, _halving(check, patterns) if patterns else [], strict=True) if e}
+
+
+def _analysis_errors(events: DataFrame, texts: list[str]) -> list[str]:
+    """What the analyser says of each test; '' if it binds."""
+
+    def check(some: list[str]) -> str:
+        try:
+            events.select(*[F.expr(t).cast("boolean").alias(f"t{i}") for i, t in enumerate(some)]).schema
+        except (AnalysisException, ParseException) as exc:
+            return str(exc).strip().split("\n")[0]
+        return ""
+
+    chunks = [texts[i : i + TESTS_PER_ANALYSIS] for i in range(0, len(texts), TESTS_PER_ANALYSIS)]
+    return [e for chunk in chunks for e in _halving(check, chunk)]
+
+
+def _dictionary(events: DataFrame, rows: list, profile: Profile) -> tuple[dict[str, Test], dict[str, str], dict[str, str]]:
+    """(tests, errors of patterns, other errors) by name, from the different tests of a rule set."""
+    spark, schema = events.sparkSession, events.schema
+    bad = _bad_patterns(spark, sorted({r["text"] or "" for r in rows if "re" in r["modifiers"]}))
+    patterns = {r["name"]: bad[r["text"] or ""] for r in rows if "re" in r["modifiers"] and (r["text"] or "") in bad}
+    made, errors = {}, {}
+    for r in rows:
+        try:
+            made[r["name"]] = make_test(r["field"], r["modifiers"], r["kind"], r["text"], schema, profile)
+        except ValueError as exc:
+            errors[r["name"]] = str(exc)
+    names = [n for n in made if n not in patterns]
+    errors |= {n: e for n, e in zip(names, _analysis_errors(events, [made[n].sql for n in names]), strict=True) if e}
+    return made, patterns, errors
+
+
+def _first(names: Iterable[str], errors: dict[str, str]) -> str | None:
+    return next((errors[n] for n in names if n in errors), None) if errors else None
+
+
+def _spelled(texts: list[str], tests: dict[str, Test]) -> list[str]:
+    """The texts with every test name replaced by the test, in one pass over all of them."""
+    return NAMED.sub(lambda m: tests[m[1]].sql if m[1] in tests else "null", "\u0000".join(texts)).split("\u0000") if texts else []
 
 
 def compile_rules(rules: DataFrame, events: DataFrame, profile: Profile = Profile(), field_map: DataFrame | None = None) -> list[CompiledRule]:
@@ -411,46 +366,36 @@ def compile_rules(rules: DataFrame, events: DataFrame, profile: Profile = Profil
     spark = events.sparkSession
     said = F.col("error") if "error" in rules.columns else F.lit(None).cast("string")
     given = sorted((tuple(r) for r in rules.select("rule_id", "rule_json", said).collect()), key=lambda r: (r[0] or "", r[1] or ""))
-    times = Counter(r[0] for r in given)
-    # Rows are told apart by their number, so that rules with one id never mix.
-    numbered = local_table(spark, [(str(i), r[1]) for i, r in enumerate(given)], "rule_id string, rule_json string")
-    predicates = rule_predicates(numbered)
+    ids = [r[0] for r in given]
+    times = {i: ids.count(i) for i in {a for a, b in zip(ids, ids[1:], strict=False) if a == b}}
+    names: dict[str, list[str]] = {}
     if field_map is not None:
-        predicates = map_fields(predicates, field_map, profile.name)
-    by_rule: dict[int, list] = {}
-    for row in predicates.collect():
-        by_rule.setdefault(int(row["rule_id"]), []).append(row)
+        wanted = field_map.where(F.col("profile") == profile.name).select("rule_field", "event_field").distinct()
+        for rule_field, event_field in sorted(map(tuple, wanted.collect())):
+            names.setdefault(rule_field, []).append(event_field)
+    # Rows are told apart by their number, so that rules with one id never mix.
+    parts = rule_parts(local_table(spark, [(i, r[1]) for i, r in enumerate(given)], "no int, rule_json string"))
+    known = tuple(name for name, _ in profile.route.values() if name in events.columns)
+    for step in _facts(spark.sparkContext.applicationId, json.dumps(names), json.dumps(profile.route), known):
+        parts = parts.withColumns(step)
+    facts = sorted(parts.select(*FACTS).collect(), key=lambda r: r["no"])
+    rows = {t["name"]: t for r in facts for t in r["tests"] or ()}
+    tests, bad_patterns, bad_tests = _dictionary(events, list(rows.values()), profile)
+    columns = events.columns
+    under = {f: tuple(c for c in columns if f in ("", c) or f.startswith(f"{c}.")) for f in {t["field"] for t in rows.values()}}
     compiled = []
-    for i, (rule_id, text, problem) in enumerate(given):
-        rows = by_rule.get(i, [])
-        sql, scan_sql, error, targets, timeframe = "", "", "", None, ""
-        try:
-            if text is None:
-                raise ValueError(problem or "rule document is missing")
-            if times[rule_id] > 1:
-                raise ValueError(f"rule id is used {times[rule_id]} times: {rule_id}")
-            rule = json.loads(text) or {}
-            if not isinstance(rule, dict):
-                raise ValueError("rule must be a mapping")
-            targets = _targets(rule.get("conversion_targets"))
-            detection = rule.get("detection")
-            timeframe = str(detection.get("timeframe") or "") if isinstance(detection, dict) else ""
-            error = _bad_patterns(spark, rows)
-            sql = "" if error else _rule_sql(rule, rows, events.schema, profile)
-            scan_sql = sql and _rule_sql(rule, rows, events.schema, replace(profile, shared=True))
-        except (ValueError, AttributeError, TypeError) as exc:
-            sql, scan_sql, error = "", "", str(exc)
-        named = {r["field"] for r in rows}
-        used = tuple(c for c in events.columns if c in named or "" in named or any(n.startswith(f"{c}.") for n in named))
-        lowered = tuple(c for c in sorted({"", *named}) if column(LOWERED + c) in scan_sql)
-        compiled.append(CompiledRule(rule_id, sql, error, used, scan_sql, lowered, timeframe, targets))
-    empty = spark.createDataFrame([], events.schema)
-    usable = [i for i, r in enumerate(compiled) if r.sql]
-    for start in range(0, len(usable), RULES_PER_ANALYSIS):
-        chunk = usable[start : start + RULES_PER_ANALYSIS]
-        for i, error in zip(chunk, _analysis_errors(empty, [compiled[i].sql for i in chunk]), strict=True):
-            if error:
-                compiled[i] = replace(compiled[i], sql="", scan_sql="", error=error)
+    for (rule_id, text, problem), fact, sql in zip(given, facts, _spelled([r["text"] or "" for r in facts], tests), strict=True):
+        own = [t["name"] for t in fact["tests"] or ()]
+        if text is None:
+            error = problem or "rule document is missing"
+        elif rule_id in times:
+            error = f"rule id is used {times[rule_id]} times: {rule_id}"
+        else:
+            error = fact["problem"] or _first(own, bad_patterns) or fact["unmet"] or _first(own, bad_tests) or fact["late"] or ""
+        used = {c for n in own for c in under[rows[n]["field"]]}
+        kept = tuple(dict.fromkeys((n, tests[n]) for n in own)) if not error else ()
+        targets = None if fact["targets"] is None else tuple(fact["targets"])
+        compiled.append(CompiledRule(rule_id, "" if error else sql, error, tuple(c for c in columns if c in used), "" if error else fact["text"], kept, fact["timeframe"], targets))
     return compiled
 
 

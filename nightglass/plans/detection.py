@@ -10,8 +10,10 @@ from nightglass.functions.text import unescape, with_once
 from nightglass.operators import detect as d
 from nightglass.operators import expect, indicators
 from nightglass.operators.rules import Profile, compile_rules, conversion_results, rules_table
+from nightglass.plans import standins as st
 from nightglass.plans.registry import query, table
 from nightglass.session import local_table
+from nightglass.sources.events import parse_open_events
 
 
 def event_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,7 +75,7 @@ RULES = [
 DOCS = [doc for doc, _ in RULES]
 # Rules that do not become a query, with the reason.
 UNUSABLE = [
-    (rule("bad_modifier", selection={"event.action|base64": "x"}), "unsupported modifier: base64"),
+    (rule("bad_modifier", selection={"event.action|lookup": "x"}), "unsupported modifier: lookup"),
     (rule("bad_word", "selection and other", selection={"event.action": "click"}), "unknown word in condition: other"),
     (rule("null_keyword", "words", words=["lick", None]), "keyword must not be null"),
     (rule("bad_pattern", selection={"event.action|re": "["}), "bad regular expression: ["),
@@ -223,6 +225,126 @@ def detect_nested(spark, folder):
     return d.detect(events, compiled(spark, events, docs), ["event_id"])
 
 
+# An event as an open document: dotted keys, nested objects, lists of values and of objects, numbers of several kinds.
+OPEN = """'{"event.action":"' || event_type || '","net":{"ports":[' || user_id % 50 || ',' || event_id % 7 || '.0],"peer":{"name":"Host' || user_id % 9 || '"}},"users":[{"name":"u' || user_id % 20
+  || '"},{"name":"root","uid":' || event_id % 3 || '}],"level":' || CASE event_id % 4 WHEN 0 THEN 'null' WHEN 1 THEN '"7"' WHEN 2 THEN '7' ELSE 'true' END || '}'"""
+OPEN_RULES = [
+    (rule("dotted_key", selection={"doc.event.action": "ERROR"}), "event_type = 'error'"),
+    (rule("nested", selection={"doc.net.peer.name|endswith": ["t3", "T4"]}), "user_id % 9 IN (3, 4)"),
+    (rule("any_of_a_list", selection={"doc.net.ports": 5}), "user_id % 50 = 5 OR event_id % 7 = 5"),
+    (rule("all_of_a_list", selection={"doc.net.ports|all": [5, 6]}), "(user_id % 50 = 5 OR event_id % 7 = 5) AND (user_id % 50 = 6 OR event_id % 7 = 6)"),
+    (rule("number", selection={"doc.net.ports|gte": 48}), "user_id % 50 >= 48"),
+    (rule("objects_in_a_list", selection={"doc.users.name": ["u7", "U8"], "doc.users.uid": 2}), "user_id % 20 IN (7, 8) AND event_id % 3 = 2"),
+    (rule("text_and_number", selection={"doc.level": 7}), "event_id % 4 IN (1, 2)"),
+    (rule("null_or_absent", "a and b", a={"doc.level": None}, b={"doc.nothing": None}), "event_id % 4 = 0"),
+    (rule("exists", "a and not b", a={"doc.level|exists": True}, b={"doc.net.peer.no|exists": True}), "event_id % 4 <> 0"),
+    (rule("map_key", selection={"tags.Kind.Of": "Err*", "tags.user|startswith": "1"}), "event_type = 'error' AND starts_with(CAST(user_id AS VARCHAR), '1')"),
+    (rule("structs_in_an_array", selection={"peers.port|lt": 3, "peers.name|contains": "ick"}), "(user_id % 50 < 3 OR event_id % 7 < 3) AND event_type = 'click'"),
+    (rule("values_of_an_array", "not selection", selection={"names": "view"}), "event_type <> 'view'"),
+    (rule("negated", "not selection", selection={"doc.net.peer.name": "host1"}), "user_id % 9 <> 1"),
+    (rule("compared", selection={"doc.users.name|fieldref": "tags.user_name"}), "user_id % 20 = event_id % 20"),
+]
+
+
+@query("detect_variant", " UNION ALL ".join(f"SELECT event_id, '{doc['id']}' AS rule_id FROM events WHERE {sql}" for doc, sql in OPEN_RULES))
+def detect_variant(spark, folder):
+    """Rules on fields of open documents (VARIANT, as parsed without a schema), maps, and arrays of structs; strict about absent fields."""
+    lines = table(spark, folder, "events").selectExpr("event_id", "user_id", "event_type", f"{OPEN} AS line")
+    docs = parse_open_events(lines).where("ok")
+    tags = F.create_map(F.lit("kind.of"), F.lit("none"), F.lit("Kind.Of"), "event_type", F.lit("user"), F.col("user_id").cast("string"), F.lit("user_name"), F.concat(F.lit("u"), F.col("event_id") % 20))
+    peer = lambda port: F.struct(F.col("event_type").alias("name"), port.alias("port"))
+    peers = F.array(peer(F.col("user_id") % 50), peer(F.col("event_id") % 7))
+    events = docs.select("event_id", "doc", tags.alias("tags"), peers.alias("peers"), F.array(F.lit("x"), "event_type").alias("names"))
+    return d.detect(events, compiled(spark, events, [doc for doc, _ in OPEN_RULES], Profile(missing="error")), ["event_id"])
+
+
+# A command line in which a known text stands in base 64, behind text of 0 to 4 bytes.
+COMMAND = "repeat('x', CAST(event_id % 5 AS INTEGER)) || event_type || ' /c start ' || user_id"
+ENCODED_RULES = [
+    (rule("offsets", selection={"plain|base64offset|contains": "purchase /c start"}), "event_type = 'purchase'"),
+    (rule("offsets_cased", selection={"plain|cased|base64offset|contains": ["error /c", "Error /c"]}), "event_type = 'error'"),
+    (rule("wide", selection={"wide|wide|base64offset|contains": "view /c start 1"}), "event_type = 'view' AND starts_with(CAST(user_id AS VARCHAR), '1')"),
+    (rule("whole", selection={"plain|base64": "click /c start 7"}), "event_type = 'click' AND user_id = 7 AND event_id % 5 = 0"),
+    (rule("expanded", selection={"text|expand|endswith": "%command% 9"}), "event_type IN ('click', 'view') AND user_id = 9"),
+]
+
+
+@query("detect_encoded", " UNION ALL ".join(f"SELECT event_id, '{doc['id']}' AS rule_id FROM events WHERE {sql}" for doc, sql in ENCODED_RULES))
+def detect_encoded(spark, folder):
+    """Values that events hold in base 64, at any offset and as UTF-16, and values from placeholders."""
+    text = F.expr(COMMAND)
+    events = table(spark, folder, "events").select(
+        "event_id", text.alias("text"), F.base64(F.encode(text, "UTF-8")).alias("plain"),
+        F.base64(F.concat(F.lit("ab").cast("binary"), F.encode(text, "UTF-16LE"))).alias("wide"),
+    )
+    profile = Profile(placeholders={"command": ["click /c start", "view /c start"]})
+    return d.detect(events, compiled(spark, events, [doc for doc, _ in ENCODED_RULES], profile), ["event_id"])
+
+
+ADDRESS = """CASE event_id % 4 WHEN 0 THEN '2001:DB8:' || user_id % 100 || '::' || event_id % 10 WHEN 1 THEN '2001:db8:0:0:' || user_id % 100 || ':0:0:1'
+  WHEN 2 THEN '::ffff:10.0.' || user_id % 100 || '.1' ELSE '10.0.' || user_id % 100 || '.1' END"""
+ADDRESS_RULES = [
+    (rule("site", selection={"ip|cidr": "2001:db8::/32"}), "event_id % 4 IN (0, 1)"),
+    (rule("subnet", selection={"ip|cidr": ["2001:db8:0042::/48", "2001:db8:0:0:43::/80"]}), "(event_id % 4 = 0 AND user_id % 100 = 42) OR (event_id % 4 = 1 AND user_id % 100 = 43)"),
+    (rule("mapped", selection={"ip|cidr": "::ffff:10.0.64.0/115"}), "event_id % 4 = 2 AND user_id % 100 BETWEEN 64 AND 95"),
+    (rule("old", selection={"ip|cidr": "10.0.64.0/19"}), "event_id % 4 = 3 AND user_id % 100 BETWEEN 64 AND 95"),
+    (rule("none", "not selection", selection={"ip|cidr": ["::/0", "0.0.0.0/0"]}), "FALSE"),
+]
+
+
+@query("detect_networks", " UNION ALL ".join(f"SELECT event_id, '{doc['id']}' AS rule_id FROM events WHERE {sql}" for doc, sql in ADDRESS_RULES))
+def detect_networks(spark, folder):
+    """Networks of both address families, in any spelling of an address."""
+    events = table(spark, folder, "events").selectExpr("event_id", f"{ADDRESS} AS ip")
+    return d.detect(events, compiled(spark, events, [doc for doc, _ in ADDRESS_RULES]), ["event_id"])
+
+
+CASED = "CASE WHEN event_id % 2 = 0 THEN upper(event_type) ELSE event_type END"
+SQL_CASES = " UNION ALL ".join(
+    f"SELECT '{case}' AS profile, '{name}' AS rule_id, count(*) AS total_hits FROM events WHERE {sql}"
+    for case, name, sql in (
+        ("exact", "whole", "event_type = 'error' AND event_id % 2 = 0"), ("exact", "part", "contains(event_type, 'ick') AND event_id % 2 = 1"),
+        ("insensitive", "whole", "event_type = 'error'"), ("insensitive", "part", "contains(event_type, 'ick')"),
+        ("lowered", "whole", "event_type = 'error'"), ("lowered", "part", "contains(event_type, 'ick')"),
+    )
+)
+
+
+@query("detect_cases", SQL_CASES)
+def detect_cases(spark, folder):
+    """The same rules under every case policy; `lowered` reads a column that holds lower-case text."""
+    events = table(spark, folder, "events").selectExpr("event_id", f"{CASED} AS `event.action`", "event_type")
+    docs = [rule("whole", selection={"event.action": "ERROR"}), rule("part", selection={"event.action|contains": "ick"})]
+    lowered = events.select("event_id", F.col("event_type").alias("event.action"))
+    parts = []
+    for case, side in (("exact", events), ("insensitive", events), ("lowered", lowered)):
+        rules = compiled(spark, side, docs, Profile(case=case))
+        parts.append(d.count_matches(d.detect(side, rules, ["event_id"]), rules).select(F.lit(case).alias("profile"), "rule_id", "total_hits"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+SHARED_TYPES = st.texts("s_suppkey", ["purchase", "error", "view", "click", "signup"])
+
+
+@query(
+    "detect_shared_tests",
+    f"""SELECT 's' || s_suppkey AS rule_id, count(event_id) AS total_hits FROM (SELECT s_suppkey, s_suppkey % 100 AS p, {SHARED_TYPES} AS t FROM supplier) s
+        LEFT JOIN {EV} ON CASE s_suppkey % 3 WHEN 0 THEN port = p AND event_type <> t WHEN 1 THEN (port = p AND event_type = t) OR (event_type = t AND user_id < 50) OR (port = p AND user_id < 50)
+          ELSE port = p AND event_type = t AND user_id < 50 END GROUP BY s_suppkey""",
+)
+def detect_shared_tests(spark, folder):
+    """A rule per supplier, on a hundred ports, five actions and one bound: its tests are made and evaluated once for all rules."""
+    sel = F.struct(
+        F.struct((F.col("s_suppkey") % 100).alias("destination.port")).alias("port"), F.struct(F.expr(SHARED_TYPES).alias("event.action")).alias("action"),
+        F.struct(F.lit(50).alias("user.id|lt")).alias("user"),
+        F.when(F.col("s_suppkey") % 3 == 0, "port and not action").when(F.col("s_suppkey") % 3 == 1, "2 of them").otherwise("all of them").alias("condition"),
+    )
+    rules = table(spark, folder, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("rule_id"), F.to_json(F.struct(sel.alias("detection"))).alias("rule_json"))
+    events = event_view(spark, folder)
+    usable = compile_rules(rules, events)
+    return d.count_matches(d.detect(events, usable, ["event_id"]), usable)
+
+
 @query("detect_routed", f"SELECT event_id, 'r' AS rule_id FROM {EV} WHERE event_type = 'error' AND port < 50")
 def detect_routed(spark, folder):
     events = event_view(spark, folder)
@@ -281,10 +403,10 @@ def limit_per_rule(spark, folder):
     return d.first_matches(matches, 1000, ["ts", "event_id"]).select("rule_id", "event_id", "row_no")
 
 
-@query("limit_large", f"{FIRST} WHERE row_no <= 5000")
+@query("limit_large", f"{FIRST} WHERE row_no <= 50000")
 def limit_large(spark, folder):
     matches, _ = many(spark, folder)
-    return d.first_matches(matches, 5000, ["ts", "event_id"]).select("rule_id", "event_id", "row_no")
+    return d.first_matches(matches, 50_000, ["ts", "event_id"]).select("rule_id", "event_id", "row_no")
 
 
 @query("sample_rows", f"{FIRST} WHERE row_no <= 5")

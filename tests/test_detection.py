@@ -1,13 +1,18 @@
+import base64
+import datetime
 import json
 import pathlib
+import time
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from nightglass import session
 from nightglass.operators import detect as d
 from nightglass.operators import expect, indicators
-from nightglass.operators.rules import CompiledRule, Profile, compile_rules, condition_sql, conversion_results, like_pattern, rules_table
+from nightglass.operators.rules import CompiledRule, Profile, compile_rules, condition_sql, conversion_results, rules_table
+from nightglass.functions.addresses import in_network_sql
+from nightglass.operators.values import base64_forms, like_pattern
 from nightglass.sources.events import parse_events, read_event_lines, read_events
 
 FIXTURES = pathlib.Path(__file__).parent / "fixtures"
@@ -79,13 +84,19 @@ def test_selection_lists_and_keywords(spark, events):
 
 
 @pytest.mark.parametrize("doc, error", [
-    (rule("r", selection={"a|base64": "x"}), "unsupported modifier: base64"),
+    (rule("r", selection={"a|lookup": "x"}), "unsupported modifier: lookup"),
+    (rule("r", selection={"a|base64|contains": "x*"}), "wildcard in an encoded value: x*"),
+    (rule("r", selection={"a|wide": "x"}), "wide needs base64"),
+    (rule("r", selection={"a|expand": "%nobody%"}), "unknown placeholder: nobody"),
+    (rule("r", "selection or (selection", selection={"a": "x"}), "[PARSE_SYNTAX_ERROR]"),
+    (rule("r", "selection) or (selection", selection={"a": "x"}), "[PARSE_SYNTAX_ERROR]"),
+    (rule("r", "selection selection", selection={"a": "x"}), "[PARSE_SYNTAX_ERROR]"),
     (rule("r", "selection and 1=1", selection={"a": "x"}), "unknown word in condition: 1=1"),
     (rule("r", "selection or current_user()", selection={"a": "x"}), "unknown word in condition: current_user"),
     (rule("r", "1 of none*", selection={"a": "x"}), "no selection matches: 1 of none*"),
     (rule("r", "", selection={"a": "x"}), "detection must have a condition"),
     (rule("r", "selection and", selection={"a": "x"}), "[PARSE_SYNTAX_ERROR]"),
-    (rule("r", selection={"source.ip|cidr": "::/8"}), "only IPv4"),
+    (rule("r", selection={"source.ip|cidr": "fe80::/200"}), "'fe80::/200' does not appear to be"),
     ({"id": "r"}, "detection must have a condition"),
 ])
 def test_rules_that_fail_to_compile(spark, events, doc, error):
@@ -139,6 +150,98 @@ def test_limits_samples_and_counts(spark, events):
     assert d.row_counts(d.count_matches(matches, compiled), -1).collect()[0].returned_rows == 7
 
 
+@pytest.mark.parametrize("kind, make", [
+    ("double", lambda i: [float("nan"), float("inf"), -float("inf"), None, 1e308, -1e308][i] if i < 6 else i % 7 / 3), ("string", lambda i: None if i == 0 else "aé"[i % 2] * (i % 5)),
+    ("bigint", lambda i: 9007199254740993 + i % 3), ("date", lambda i: datetime.date(2024, 1, 1 + i % 9)), ("boolean", lambda i: [True, False, None][i % 3]), ("binary", lambda i: bytes([i % 4])),
+])
+@pytest.mark.parametrize("limit", [0, 1, 17, 150, 1000])
+def test_limit_by_ranges_of_any_type(spark, rows, kind, make, limit):
+    """Few ranges hold many rows, one value is shared by most, and the first column decides little."""
+    table = spark.createDataFrame([(f"r{i % 3}", make(i), i) for i in range(400)], f"rule_id string, k {kind}, id int")
+    got = rows(d.first_matches(table, limit, ["k", "id"], 3).select("rule_id", "id", "row_no"))
+    plain = table.withColumn("row_no", F.row_number().over(Window.partitionBy("rule_id").orderBy("k", "id"))).where(F.col("row_no") <= limit)
+    assert got == rows(plain.select("rule_id", "id", "row_no"))
+
+
+def test_limit_leaves_the_session_alone(spark):
+    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    d.first_matches(spark.range(10).selectExpr("'r' AS rule_id", "id"), 50_000, ["id"]).collect()
+    assert before == (dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+
+
+def test_many_rules_share_tests(spark, events):
+    """2000 rules over 30 tests: each test stands once in the plan, and compiling takes no job per rule."""
+    tests = [{"destination.port": i} if i % 2 else {"user.name|contains": f"a{i}"} for i in range(30)]
+    docs = [rule(f"r{i:04d}", ["a and not b", "a or b", "2 of them"][i % 3], a=tests[i % 30], b=tests[(i * 7 + 1) % 30], c=tests[i // 30 % 30]) for i in range(2000)]
+    start = time.perf_counter()
+    rules = compile_rules(rules_table(spark, docs), events)
+    assert time.perf_counter() - start < 10 and not any(r.error for r in rules)
+    assert len({n for r in rules for n, _ in r.tests}) == 30
+    found = d.detect(events, rules, ["@timestamp"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Contains(") == 15 and plan.count("lower(user.name") == 1
+    few = rules[:90]
+    alone = {r.rule_id: events.where(r.sql).count() for r in few[::15]}
+    counted = {r.rule_id: r.total_hits for r in d.count_matches(d.detect(events, few, ["@timestamp"]), few).collect()}
+    assert len(counted) == 90 and alone == {i: counted[i] for i in alone}
+
+
+@pytest.mark.parametrize("condition, want", [("2 of them", {2, 3}), ("3 of s_*", {3}), ("not 2 of s_*", {0, 1}), ("4 of them", set()), ("0 of them", {0, 1, 2, 3}), ("NOT (s_a or 2 of s_b*)", {0})])
+def test_counts_of_selections(spark, condition, want):
+    numbers = spark.range(4).withColumnRenamed("id", "n")
+    doc = rule("r", condition, s_a={"n|gte": 1}, s_b={"n|gte": 2}, s_c={"n|gte": 3})
+    compiled = compile_rules(rules_table(spark, [doc]), numbers)
+    assert {r.n for r in d.detect(numbers, compiled, ["n"]).collect()} == want == {r.n for r in numbers.where(compiled[0].sql).collect()}
+
+
+@pytest.mark.parametrize("text, network, want", [
+    ("2001:db8::1", "2001:db8::/32", True), ("2001:DB8:0:0:0:0:0:1", "2001:db8::1/128", True), ("::1", "::1/128", True), ("::", "::/128", True), ("1::", "1::/16", True),
+    ("::ffff:1.2.3.4", "::ffff:1.2.3.0/120", True), ("1:2:3:4:5:6:7:8", "1:2:3:4::/64", True), ("1:2:3:4:5:6:7:8", "1:2:3:5::/64", False), ("1:2:3:4:5:6:7", "::/0", None), ("1::2::3", "::/0", None),
+    (":1:2:3:4:5:6:7", "::/0", None), ("1:2:3:4:5:6:7:", "::/0", None), ("12345::", "::/0", None), ("1.2.3.4", "::/0", None), ("fe80::1%eth0", "::/0", None), ("1:2:3:4:5:6:7::", "1::/16", True), ("", "::/0", None), (None, "::/0", None),
+    ("::1:2:3:4:5:6:7:8", "::/0", None), ("64:ff9b::256.1.1.1", "::/0", None), ("10.1.2.3", "10.0.0.0/8", True), ("10.1.2", "10.0.0.0/8", False), ("::a00:1", "10.0.0.0/8", False),
+])
+def test_networks(spark, text, network, want):
+    got = spark.createDataFrame([(text,)], "ip string").selectExpr(in_network_sql("ip", network)).first()[0]
+    assert bool(got) == bool(want)
+
+
+def test_encoded_forms_stand_at_every_offset():
+    for data in (b"a", b"ab", b"abc", "wörter".encode(), b"x" * 20):
+        forms = base64_forms(data, 3)
+        for before in range(7):
+            for after in range(4):
+                assert forms[before % 3] in base64.b64encode(b"q" * before + data + b"z" * after).decode()
+
+
+DYNAMIC = "id int, v variant, m map<string,struct<x:int,y:array<string>>>, s array<struct<a:array<struct<b:string>>,k:string>>, `dot.ted` struct<in:int>"
+
+
+@pytest.mark.parametrize("selection, want", [
+    ({"v.a": 1}, {0, 1}), ({"v.a": "1"}, {0, 1}), ({"v.l": 2}, {1}), ({"v.a.b": "x"}, {2, 3, 4}), ({"v.a.b.c": None}, {0, 1, 2, 3, 4, 5, 6}), ({"v.a.b|contains": "X"}, {2, 3, 4}), ({"v.a.b|cased": "X"}, set()),
+    ({"v.l|gt": 2}, {1}), ({"v.l|re": "^[12]$"}, {1}), ({"v|exists": False}, {6}), ({"v.l": None}, {0, 2, 3, 4, 5, 6}), ({"m.k.x": 5}, {0}), ({"m.k.y|endswith": "b"}, {0}), ({"m.no.x": None}, {0, 1, 2, 3, 4, 5, 6}),
+    ({"s.k": "K1"}, {0}), ({"s.a.b|startswith": "d"}, {0}), ({"dot.ted.in": 3}, {1}), ({"v.a": True}, {5}), ({"v.l|all|gte": [1, 3]}, {1}),
+])
+def test_fields_in_open_types(spark, selection, want):
+    docs = ['{"a":1}', '{"a":"1","l":[1,2,3]}', '{"a":{"b":"x"}}', '{"a.b":"x"}', '{"a":[{"b":"y"},{"b":"x"},7]}', '{"a":true,"l":null}', None]
+    first = "map('k', named_struct('x', 5, 'y', array('a', 'ab')))", "array(named_struct('a', array(named_struct('b', 'deep')), 'k', 'k1'), named_struct('a', null, 'k', null))"
+    table = spark.createDataFrame(list(enumerate(docs)), "id int, t string").selectExpr(
+        "id", "try_parse_json(t) AS v", f"if(id = 0, {first[0]}, null) AS m", f"if(id = 0, {first[1]}, null) AS s", "named_struct('in', if(id = 1, 3, null)) AS `dot.ted`"
+    )
+    compiled = compile_rules(rules_table(spark, [rule("r", selection=selection), rule("not", "not selection", selection=selection)]), table, Profile(missing="error"))
+    assert [r.error for r in compiled] == ["", ""]
+    got = d.detect(table, compiled, ["id"]).collect()
+    by_rule = {i: {r.id for r in got if r.rule_id == i} for i in ("r", "not")}
+    assert by_rule["r"] == want == {r.id for r in table.where(compiled[1].sql).collect()}, by_rule
+    assert by_rule["not"] == set(range(7)) - want
+
+
+def test_only_what_no_event_can_have_is_refused(spark):
+    table = spark.createDataFrame([], DYNAMIC)
+    names = {"v.any.thing": "", "m.any.x": "", "m.any.z": "unknown field: m.any.z", "s.k": "", "s.z": "unknown field: s.z", "dot.ted.out": "unknown field: dot.ted.out", "dot.ted": "", "gone": "unknown field: gone"}
+    compiled = compile_rules(rules_table(spark, [rule(n, selection={n: "x"}) for n in names]), table, Profile(missing="error"))
+    assert {r.rule_id: r.error for r in compiled} == names
+
+
 def test_many_rules_are_chunked(spark, events):
     rules = [CompiledRule(f"r{i:03d}", f"`destination.port` = {i}", "", ("destination.port",)) for i in range(400, 720)]
     found = {r.rule_id for r in d.detect(events, rules, ["@timestamp"]).collect()}
