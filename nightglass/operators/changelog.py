@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from nightglass.functions.text import SPACE, file_name, once, parent_path
 from nightglass.functions.times import bucket_end, bucket_start
 from nightglass.session import salted_join
+from nightglass.sinks.artifacts import numbered
 
 # Status letters, changed keys with their label in reporting order, and heading order.
 STATUS_LABELS = {"A": "Created", "M": "Modified", "D": "Deleted", "R": "Renamed"}
@@ -171,6 +172,14 @@ def changelog_lines(changes: DataFrame, bucket: str, repo_url: str = "", time: s
     return start.unionByName(bucket_lines).unionByName(status_lines).unionByName(entries)
 
 
+LINE_ORDER = ("status_rank", "part", "file", "commit", "position", "line")
+
+
 def in_line_order(lines: DataFrame) -> DataFrame:
     """Changelog lines in document order, by a range-partitioned sort."""
-    return lines.orderBy(F.col("bucket_start").desc_nulls_first(), "status_rank", "part", "file", "commit", "position")
+    return lines.orderBy(F.col("bucket_start").desc_nulls_first(), *LINE_ORDER)
+
+
+def with_line_numbers(lines: DataFrame) -> DataFrame:
+    """Changelog lines with `line_no`, their place in the document from 0."""
+    return numbered(lines, F.col("bucket_start").desc_nulls_first(), *LINE_ORDER)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from nightglass.functions.text import present, stem, strip
+from nightglass.sinks.artifacts import numbered
 
 BACKENDS = ("splunk", "kql", "elasticsearch")
 NOT_SELECTED = "target not selected"
@@ -89,39 +90,45 @@ def bundle_rows(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def document_lines(head: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+def document_lines(rows: DataFrame, key: str, head, *facts: Column) -> DataFrame:
     """One JSON document as ordered lines (section, key, line), for sinks.write_lines.
 
-    `head` is one row; its fields open the document and `rows` become its `rules` array, one line
-    each, so that a run of any size is written in parallel instead of gathered into one value. The order of
-    writing is section, key, line with the line that has no comma first.
+    `rows` become its `rules` array, one line each, so that a run of any size is written in parallel instead of gathered into
+    one value. `head` makes the one row whose fields open the document from the rows' `facts`. The rows are made once; every line
+    but number 0 opens with a comma.
     """
-    opening = F.regexp_replace(F.to_json(F.struct(*sorted(head.columns))), r"\}\z", "")
-    lines = rows.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"), F.to_json(F.struct(*sorted(rows.columns))).alias("json"))
-    least = lines.select(F.min("key")).scalar()
-    # Of the rows with the least key, equal ones together, the first by text has no comma before it.
-    opener = lines.where(F.col("key") == least).groupBy("key", "json").agg(F.count("*").alias("n"))
-    leading = lines.where(F.col("key") == least).select(F.min("json")).scalar()
-    numbered = opener.select("key", "json", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("no"))
-    bare = (F.col("json") == leading) & (F.col("no") == 1)
-    start = numbered.select("key", F.concat(F.when(bare, "").otherwise(","), "json").alias("line"))
-    rest = lines.where(F.col("key") != least).select("key", F.concat(F.lit(","), "json").alias("line"))
-    body = start.unionByName(rest).select(F.lit(1).alias("section"), "key", "line")
-    first = head.select(F.lit(0).alias("section"), F.lit("").alias("key"), F.concat(opening, F.lit(',"rules":[')).alias("line"))
-    last = head.select(F.lit(2).alias("section"), F.lit("").alias("key"), F.lit("]}").alias("line"))
-    return first.unionByName(body).unionByName(last)
+    text = F.to_json(F.struct(*sorted(rows.columns)))
+    lines = numbered(rows.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"), text.alias("json"), *facts), "key", "json")
+    opened = head(lines)
+    opening = F.regexp_replace(F.to_json(F.struct(*sorted(opened.columns))), r"\}\z", "")
+    ends = F.array(
+        F.struct(F.lit(0).alias("section"), F.concat(opening, F.lit(',"rules":[')).alias("line")),
+        F.struct(F.lit(2).alias("section"), F.lit("]}").alias("line")),
+    )
+    around = opened.select(F.explode(ends).alias("e")).select("e.section", F.lit("").alias("key"), "e.line")
+    body = lines.select(F.lit(1).alias("section"), "key", F.concat(F.when(F.col("line_no") == 0, "").otherwise(","), "json").alias("line"))
+    return around.unionByName(body)
 
 
 def bundle_lines(outcomes: DataFrame, backend: str) -> DataFrame:
     """The bundle of one back end: status, metrics and every rule row."""
     own = outcomes.where(F.col("backend") == backend)
     metrics = F.struct("failed_count", "generated_count", "processed_rules", "skipped_count").alias("metrics")
-    head = status_counts(own).select("backend", metrics, "status")
-    return document_lines(head, bundle_rows(own), "rule_path")
+
+    def head(lines: DataFrame) -> DataFrame:
+        return status_counts(lines.select(F.lit(backend).alias("backend"), "status")).select("backend", metrics, "status")
+
+    return document_lines(bundle_rows(own), "rule_path", head, F.col("status"))
 
 
 def run_manifest_lines(outcomes: DataFrame, backend: str) -> DataFrame:
     """The run manifest of one back end: counts, status and every rule manifest."""
     own = outcomes.where(F.col("backend") == backend)
-    head = status_counts(own).drop("processed_rules")
-    return document_lines(head, rule_manifests(own), "rule_id")
+    failed = F.size("errors").cast("bigint").alias("failed")
+    sizes = [F.size("generated").cast("bigint").alias("made"), F.size("skipped").cast("bigint").alias("left"), failed]
+
+    def head(lines: DataFrame) -> DataFrame:
+        sums = lines.groupBy(F.lit(backend).alias("backend")).agg(F.sum("made").alias("generated_count"), F.sum("left").alias("skipped_count"), F.sum("failed").alias("failed_count"))
+        return sums.withColumn("status", F.when(F.col("failed_count") > 0, "failure").otherwise("success"))
+
+    return document_lines(rule_manifests(own), "rule_id", head, *sizes)

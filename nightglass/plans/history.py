@@ -94,9 +94,9 @@ def rename_move(spark, folder):
 
 
 SQL_CHANGES = f"""SELECT datetime, commit, message, author, file, {SQL_BASE.format('file')} AS filename, {SQL_DIR.format('file')} AS filepath, status,
-  change, happened FROM (SELECT f.*, c.datetime, c.message, c.author, c.happened, CASE WHEN label = 'Renamed' AND {SQL_MOVED} THEN 'Moved' ELSE label END AS status,
-    unnest(CASE WHEN label = 'Modified' THEN {sql_labels('diff')} WHEN label = 'Renamed' AND {SQL_MOVED} THEN ['Moved to ' || {SQL_DIR.format('new_file')}]
-      WHEN label = 'Renamed' THEN ['Renamed to ' || new_file] ELSE [''] END) AS change
+  unnest(listed) AS change, unnest(range(len(listed))) AS position, happened FROM (SELECT f.*, c.datetime, c.message, c.author, c.happened, CASE WHEN label = 'Renamed' AND {SQL_MOVED} THEN 'Moved' ELSE label END AS status,
+    CASE WHEN label = 'Modified' THEN {sql_labels('diff')} WHEN label = 'Renamed' AND {SQL_MOVED} THEN ['Moved to ' || {SQL_DIR.format('new_file')}]
+      WHEN label = 'Renamed' THEN ['Renamed to ' || new_file] ELSE [''] END AS listed
   FROM (SELECT *, {SQL_LABEL} AS label FROM ({SQL_FILES})) f JOIN ({SQL_COMMITS}) c USING (commit))"""
 
 
@@ -105,7 +105,7 @@ def changes(spark, folder):
     return ch.change_rows(meta, files(spark, folder)).withColumn("changed_at", parse_offset_time(F.col("datetime")))
 
 
-@query("change_flatten", f"SELECT * EXCLUDE (happened) FROM ({SQL_CHANGES})")
+@query("change_flatten", f"SELECT * EXCLUDE (happened, position) FROM ({SQL_CHANGES})")
 def change_flatten(spark, folder):
     return changes(spark, folder).drop("position", "changed_at")
 
@@ -148,24 +148,26 @@ def history_range(spark, folder):
 
 URL = "https://git.example.org/rules"
 SQL_HEADING = "CASE WHEN status IN ('Created', 'Modified', 'Deleted', 'Moved', 'Renamed') THEN status ELSE 'Other' END"
+SQL_RANK = "list_position(['Created', 'Modified', 'Deleted', 'Moved', 'Renamed', 'Other'], h) - 1"
 
 
 @query(
     "change_render",
-    f"""WITH r AS (SELECT *, date_trunc('month', happened) AS b, {SQL_HEADING} AS h FROM ({SQL_CHANGES}))
-        SELECT NULL AS bucket, '' AS file, '# Rule Changelog' AS line UNION ALL SELECT NULL, '', ''
-        UNION ALL SELECT strftime(b, '%Y-%m-%d'), '', unnest(['## ' || strftime(b, '%Y-%m-%d') || ' to ' || strftime(b + INTERVAL 1 MONTH, '%Y-%m-%d'), ''])
+    f"""WITH r AS (SELECT *, date_trunc('month', happened) AS b, {SQL_HEADING} AS h FROM ({SQL_CHANGES})),
+        l AS (SELECT NULL AS b, -1 AS rank, 0 AS part, '' AS file, '' AS commit, 0 AS position, '# Rule Changelog' AS line UNION ALL SELECT NULL, -1, 1, '', '', 0, ''
+        UNION ALL SELECT b, -1, unnest([0, 1]), '', '', 0, unnest(['## ' || strftime(b, '%Y-%m-%d') || ' to ' || strftime(b + INTERVAL 1 MONTH, '%Y-%m-%d'), ''])
           FROM (SELECT DISTINCT b FROM r)
-        UNION ALL SELECT strftime(b, '%Y-%m-%d'), '', unnest(['### ' || h, '']) FROM (SELECT DISTINCT b, h FROM r)
-        UNION ALL SELECT strftime(b, '%Y-%m-%d'), file, '- `' || file || '`' || CASE WHEN change <> '' THEN ' - ' || change ELSE '' END || ' ([' || left(commit, 7)
-          || ']({URL}/commit/' || commit || '), ' || author || ': ' || message || ')' FROM r""",
+        UNION ALL SELECT b, {SQL_RANK}, unnest([0, 2]), '', '', 0, unnest(['### ' || h, '']) FROM (SELECT DISTINCT b, h FROM r)
+        UNION ALL SELECT b, {SQL_RANK}, 1, file, commit, position, '- `' || file || '`' || CASE WHEN change <> '' THEN ' - ' || change ELSE '' END || ' ([' || left(commit, 7)
+          || ']({URL}/commit/' || commit || '), ' || author || ': ' || message || ')' FROM r)
+        SELECT row_number() OVER (ORDER BY b DESC NULLS FIRST, rank, part, file, commit, position, line) - 1 AS line_no, strftime(b, '%Y-%m-%d') AS bucket, file, line FROM l""",
 )
 def change_render(spark, folder):
-    # Headings and entries read the same rows, so these are joined once and written first.
-    path, joined = run_folder(spark, "changes"), changes(spark, folder)
+    # Headings and entries read the same rows, so these are joined once and written first, without what no line shows.
+    path, joined = run_folder(spark, "changes"), changes(spark, folder).drop("datetime", "filename", "filepath")
     joined.write.parquet(path)
-    lines = ch.in_line_order(ch.changelog_lines(spark.read.schema(joined.schema).parquet(path), "month", URL))
-    return lines.select(F.date_format("bucket_start", "yyyy-MM-dd").alias("bucket"), "file", "line")
+    lines = ch.with_line_numbers(ch.changelog_lines(spark.read.schema(joined.schema).parquet(path), "month", URL))
+    return lines.select("line_no", F.date_format("bucket_start", "yyyy-MM-dd").alias("bucket"), "file", "line")
 
 
 @query(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from nightglass.session import run_folder
 
 RESULT_FIELDS = ("artifacts", "backend", "context", "errors", "metrics", "rule_id", "stage", "status", "timestamp_utc", "warnings")
 
@@ -39,6 +41,27 @@ def write_lines(lines: DataFrame, path: str, *order: str) -> None:
     ordered.select(F.coalesce("line", F.lit(""))).write.mode("overwrite").text(path)
 
 
+# A row's place in its partition: the lower bits of Spark's increasing ids.
+PLACES = (1 << 33) - 1
+
+
+def numbered(rows: DataFrame, *order: str | Column) -> DataFrame:
+    """The rows with `line_no`, gapless from 0 in the given order.
+
+    They are written once, range-partitioned and sorted, with their partition and place in it; then only the partitions' sizes, a
+    row each, are added up. No task sees more than its range, and what reads the result does not sort again.
+    """
+    path, spark = run_folder(rows.sparkSession, "numbered"), rows.sparkSession
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = ranged.withColumn("_part", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(PLACES)))
+    placed.write.parquet(path)
+    written = spark.read.schema(placed.schema).parquet(path)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written.groupBy("_part").agg(F.count("*").alias("n")).select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start"))
+    joined = written.join(F.broadcast(starts), "_part")
+    return joined.withColumn("line_no", F.col("_start") + F.col("_place")).drop("_part", "_place", "_start")
+
+
 def write_events(events: DataFrame, path: str, *partitions: str, append: bool = False) -> None:
     """Drop and recreate the target, or append to it; partition columns such as date and index prune scans."""
     events.write.mode("append" if append else "overwrite").partitionBy(*partitions).parquet(path)

@@ -15,9 +15,12 @@ def read_event_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
 
 
-def stream_event_lines(spark: SparkSession, folder: str) -> DataFrame:
+def stream_event_lines(spark: SparkSession, folder: str, names: str = "*.ndjson", files_per_trigger: int | None = None) -> DataFrame:
     """The same folder as a stream: each file is read once, when it appears."""
-    lines = spark.readStream.option("pathGlobFilter", "*.ndjson").text(folder)
+    reader = spark.readStream.option("pathGlobFilter", names)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    lines = reader.text(folder)
     return lines.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
 
 

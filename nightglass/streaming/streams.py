@@ -6,7 +6,13 @@ checkpoint after a lost executor or driver. Checkpoints and outputs live in the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import bisect
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.streaming.state import GroupState
 
 from nightglass.operators.detect import detect
 from nightglass.operators.rules import CompiledRule
@@ -48,6 +54,7 @@ def threshold(matches: DataFrame, time: str, timeframe: str, least: int, *by: st
 
 # Units of a rule's timeframe.
 UNITS = {"s": "seconds", "m": "minutes", "h": "hours", "d": "days"}
+MICROS = {"s": 1_000_000, "m": 60_000_000, "h": 3_600_000_000, "d": 86_400_000_000}
 
 
 def timeframe_text(timeframe: str) -> str:
@@ -58,21 +65,64 @@ def timeframe_text(timeframe: str) -> str:
     return f"{number} {UNITS[unit]}"
 
 
-def run_thresholds(spark: SparkSession, matches: DataFrame, rules: list[CompiledRule], name: str, time: str, least: int, *by: str) -> DataFrame:
-    """Windows in which a key has at least `least` matches of a rule, each rule by its own timeframe.
+def timeframe_micros(timeframe: str) -> int:
+    timeframe_text(timeframe)
+    return int(timeframe[:-1]) * MICROS[timeframe[-1]]
+
+
+SPANS = "span_start timestamp, span_end timestamp"
+# Times that wait for the watermark, and the last ones it has passed, fewer than a threshold's number.
+WAITING = "waiting array<bigint>, passed array<bigint>"
+
 
-    Rules with the same timeframe share one stream and its state; rules without one have no threshold.
+def spans(matches: DataFrame, rules: list[CompiledRule], time: str, least: int, *by: str) -> DataFrame:
+    """(rule_id, by.., span_start, span_end) for every match that completes `least` matches of its rule and key within the rule's timeframe.
+
+    A span ends at a match and starts at the one `least - 1` before it; both may lie anywhere. Times are kept per (rule, key) until the
+    watermark passes them, and are then judged in order, so rows may come in any order within the delay; an event-time timer
+    judges keys that get no more rows, and clears those with nothing left to wait for. State holds the times inside the delay and
+    `least - 1` more. All timeframes share one stream; rules without one have no threshold. Rows without a time never count.
     """
-    frames = sorted({r.timeframe for r in rules if r.timeframe})
-    found = None
-    for i, frame in enumerate(frames):
-        own = matches.where(F.col("rule_id").isin([r.rule_id for r in rules if r.timeframe == frame]))
-        counted = threshold(own, time, timeframe_text(frame), least, "rule_id", *by)
-        part = run_updated(spark, counted, f"{name}-{i}", "window_start", "window_end", "rule_id", *by)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
+    frames = {r.rule_id: timeframe_micros(r.timeframe) for r in rules if r.timeframe and r.sql}
+    if not frames:
         raise ValueError("no rule has a timeframe")
-    return found
+    keys = ["rule_id", *by]
+    narrow = matches.where(F.col("rule_id").isin(list(frames)) & F.col(time).isNotNull()).select(*keys, F.col(time).alias("at"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.select(*keys).schema.fields)
+
+    def judge(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        waiting, passed = (list(map(int, x)) for x in state.get) if state.exists else ([], [])
+        for batch in batches:
+            waiting.extend(batch["at"].astype("datetime64[us]").astype("int64").tolist())
+        frame, mark = frames[key[0]], state.getCurrentWatermarkMs() * 1000
+        waiting.sort()
+        due = bisect.bisect_right(waiting, mark)
+        times = passed + waiting[:due]
+        found = [(a, b) for a, b in zip(times[max(0, len(passed) - least + 1) :], times[max(len(passed), least - 1) :], strict=False) if b - a <= frame]
+        waiting = waiting[due:]
+        passed = times[-(least - 1) :] if least > 1 else []
+        if not waiting and (not passed or passed[-1] + frame < mark):
+            state.remove()
+        else:
+            state.update((waiting, passed))
+            # The first waiting time, or when the last passed one is out of reach; a timer must lie behind the watermark.
+            state.setTimeoutTimestamp(max((waiting[0] if waiting else passed[-1] + frame) // 1000, mark // 1000) + 1)
+        if found:
+            starts, ends = (pd.to_datetime(pd.Series(x), unit="us") for x in zip(*found, strict=True))
+            yield pd.DataFrame({**{k: [v] * len(found) for k, v in zip(keys, key, strict=True)}, "span_start": starts, "span_end": ends})
+
+    grouped = narrow.groupBy(*keys)
+    return grouped.applyInPandasWithState(judge, f"{kinds}, {SPANS}", WAITING, "append", "EventTimeTimeout")
+
+
+def spans_in_batch(matches: DataFrame, rules: list[CompiledRule], time: str, least: int, *by: str) -> DataFrame:
+    """The same spans over a table that is there whole."""
+    frames = {r.rule_id: timeframe_micros(r.timeframe) for r in rules if r.timeframe and r.sql}
+    width = F.element_at(F.from_json(F.lit(json.dumps(frames)), "map<string,bigint>"), F.col("rule_id"))
+    before = F.lag(time, least - 1).over(Window.partitionBy("rule_id", *by).orderBy(time))
+    known = matches.where(F.col("rule_id").isin(list(frames)) & F.col(time).isNotNull())
+    found = known.select("rule_id", *by, before.alias("span_start"), F.col(time).alias("span_end"))
+    return found.where(F.unix_micros("span_end") - F.unix_micros("span_start") <= width)
 
 
 def drop_repeats(events: DataFrame, key: list[str]) -> DataFrame:
@@ -80,26 +130,17 @@ def drop_repeats(events: DataFrame, key: list[str]) -> DataFrame:
     return events.dropDuplicatesWithinWatermark(key)
 
 
-def late_rows(query) -> int:
-    """Rows that a finished or running query dropped because they came behind the watermark, from its progress."""
-    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
-
-
-def append_to(stream: DataFrame, path: str, checkpoint: str) -> int:
-    """Run an append-mode stream into Parquet, exactly once per file. Returns the number of late rows dropped."""
+def append_to(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Run an append-mode stream into Parquet, exactly once per file."""
     query = (
         stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start(path)
     )
     query.awaitTermination()
-    return late_rows(query)
 
 
-def updates_to(stream: DataFrame, path: str, checkpoint: str) -> int:
-    """Run an update-mode stream. Each batch overwrites its own folder, so a retried batch stays single.
-
-    Returns the number of late rows dropped.
-    """
+def updates_to(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Run an update-mode stream. Each batch overwrites its own folder, so a retried batch stays single."""
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
@@ -109,7 +150,53 @@ def updates_to(stream: DataFrame, path: str, checkpoint: str) -> int:
         .foreachBatch(write).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return late_rows(query)
+
+
+MARKS = "latest timestamp"
+
+
+def counts_and_late(events: DataFrame, time: str, delay: str, width: str, folder: str, *by: str) -> None:
+    """Counts per window of `width` and key, and the rows that came too late for them, as two tables.
+
+    A row is late if its window ended before the watermark that held when its batch began: the latest time of all earlier batches
+    less `delay`. Late rows, and rows without a time, go whole to folder/late; the others are counted into
+    folder/counts, partial counts per batch that `window_totals` adds up. The latest time stands in folder/marks, a row per
+    batch. Each batch overwrites its own folders and reads the mark of the one before it, so a retried batch and a
+    restarted stream give the same tables; no count is kept in a progress report.
+    """
+    spark = events.sparkSession
+
+    def write(batch: DataFrame, number: int) -> None:
+        mark = spark.read.schema(MARKS).parquet(f"{folder}/marks/batch={number - 1}").first().latest if number else None
+        end = F.timestamp_micros(F.floor(F.unix_micros(time) / F.lit(_micros(width))) * _micros(width) + _micros(width))
+        late = F.col(time).isNull() | (F.coalesce(end <= F.lit(mark) - F.expr(f"INTERVAL {delay}"), F.lit(False)) if mark is not None else F.lit(False))
+        windowed = batch.withColumn("_end", end).withColumn("_late", late)
+        windowed.persist()
+        windowed.where("_late").drop("_late", "_end").write.mode("overwrite").parquet(f"{folder}/late/batch={number}")
+        counted = windowed.where("not _late").groupBy((F.col("_end") - F.expr(f"INTERVAL {width}")).alias("window_start"), F.col("_end").alias("window_end"), *by).agg(F.count("*").alias("n"))
+        counted.write.mode("overwrite").parquet(f"{folder}/counts/batch={number}")
+        seen = windowed.agg(F.max(time).cast("timestamp").alias("latest"))
+        seen.select(F.greatest("latest", F.lit(mark).cast("timestamp")).alias("latest")).write.mode("overwrite").parquet(f"{folder}/marks/batch={number}")
+        windowed.unpersist()
+
+    query = events.writeStream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(write).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def _micros(width: str) -> int:
+    number, unit = width.split()
+    return int(number) * next(MICROS[k] for k, name in UNITS.items() if name.rstrip("s") == unit.rstrip("s"))
+
+
+def window_totals(spark: SparkSession, folder: str, schema: str, *by: str) -> DataFrame:
+    """(window_start, window_end, by.., matches) of counts_and_late so far; `schema` names the types of `by`."""
+    parts = spark.read.schema(f"window_start timestamp, window_end timestamp, {schema}, n bigint").parquet(f"{folder}/counts")
+    return parts.groupBy("window_start", "window_end", *by).agg(F.sum("n").alias("matches"))
+
+
+def late_table(spark: SparkSession, folder: str, schema) -> DataFrame:
+    """The late rows of counts_and_late so far, with the batch that met them."""
+    return spark.read.schema(schema).parquet(f"{folder}/late")
 
 
 def latest(updates: DataFrame, *key: str) -> DataFrame:
@@ -119,6 +206,18 @@ def latest(updates: DataFrame, *key: str) -> DataFrame:
     return newest.select(*key, "v.*")
 
 
+def arriving(parts: list[DataFrame], folder: str, run, kind: str = "parquet", stops: int = 2) -> None:
+    """Write each part as a file of folder/part=<n> and call `run()` at `stops` points: with some of the parts there, and then with all.
+
+    What `run` starts must stop by itself and go on from its checkpoint.
+    """
+    every = -(-len(parts) // stops)
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.mode("overwrite").format(kind).save(f"{folder}/part={i}")
+        if (i + 1) % every == 0 or i == len(parts) - 1:
+            run()
+
+
 def run_appended(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     folder = run_folder(spark, name)
     schema = stream.schema

@@ -1,10 +1,11 @@
+import datetime
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from nightglass.operators import detect as d
-from nightglass.operators.rules import compile_rules, rules_table
+from nightglass.operators.rules import CompiledRule, compile_rules, rules_table
 from nightglass.session import run_folder, shared_folder
 from nightglass.sources.events import parse_events, read_event_lines, stream_event_lines
 from nightglass.streaming import streams as s
@@ -75,6 +76,68 @@ def test_threshold(spark, table, rows):
     assert {r.key for r in got.collect()} == {"k"} and got.count() == 10
 
 
+FRAMED = [CompiledRule("fast", "true", timeframe="2m"), CompiledRule("slow", "true", timeframe="1h"), CompiledRule("none", "true")]
+
+
+def span_stream(spark, folder, least, delay="10 minutes"):
+    events = s.with_event_time(spark.readStream.schema("rule_id string, ts timestamp, user string").option("maxFilesPerTrigger", 1).parquet(f"{folder}/*"), "ts", delay)
+    return s.spans(events, FRAMED, "ts", least, "user")
+
+
+def at(minutes, seconds=0):
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minutes, seconds=seconds)
+
+
+def put_rows(spark, folder, name, listed):
+    spark.createDataFrame(listed, "rule_id string, ts timestamp, user string").coalesce(1).write.parquet(f"{folder}/{name}")
+
+
+def test_spans_across_window_borders(spark, tmp_path, rows):
+    """Two matches a minute apart on both sides of an hour are found, out of order and over a restart; the same rows in a batch give the same."""
+    folder, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    first = [("fast", at(59, 30), "a"), ("fast", at(50), "a"), ("slow", at(5), "a"), ("none", at(6), "a"), ("fast", None, "a")]
+    second = [("fast", at(60, 30), "a"), ("fast", at(59), "b"), ("slow", at(64), "a"), ("slow", at(65, 1), "a"), ("fast", at(49), "a"), ("fast", at(60, 30), "a")]
+    third = [("fast", at(61), "b"), ("fast", at(63), "b"), ("slow", at(500), None), ("slow", at(500), None)]
+    last = [("none", at(5000), "z"), ("slow", at(5000), "z")]
+    for name, listed in (("p=1", first), ("p=2", second)):
+        put_rows(spark, folder, name, listed)
+    s.append_to(span_stream(spark, folder, 2, "1 hour"), out, check)
+    for name, listed in (("p=3", third), ("p=4", last)):
+        put_rows(spark, folder, name, listed)
+    s.append_to(span_stream(spark, folder, 2, "1 hour"), out, check)
+    got = rows(spark.read.schema(f"rule_id string, user string, {s.SPANS}").parquet(out))
+    table = spark.createDataFrame(first + second + third + last, "rule_id string, ts timestamp, user string")
+    assert got == rows(s.spans_in_batch(table, FRAMED, "ts", 2, "user"))
+    assert ("fast", "a", at(59, 30), at(60, 30)) in got and ("slow", None, at(500), at(500)) in got and ("slow", "a", at(5), at(65, 1)) not in got
+
+
+@pytest.mark.parametrize("least", [1, 3])
+def test_spans_of_other_numbers(spark, tmp_path, rows, least):
+    folder = str(tmp_path / "in")
+    listed = [("fast", at(i * i % 37, i), "ab"[i % 2]) for i in range(40)]
+    put_rows(spark, folder, "p=1", listed)
+    put_rows(spark, folder, "p=2", [("slow", at(9000), "z")])
+    got = rows(s.run_appended(spark, span_stream(spark, folder, least, "1 day"), "spans").where("user <> 'z'"))
+    table = spark.createDataFrame(listed, "rule_id string, ts timestamp, user string")
+    assert got == rows(s.spans_in_batch(table, FRAMED, "ts", least, "user")) and len(got) > 3
+
+
+def test_late_rows_are_kept(spark, tmp_path, rows):
+    """Behind the watermark of earlier batches a row is late if its window has ended; rows without a time are late too. Over a restart, and over a batch that is done again."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "ts timestamp, key string"
+    batches = [[(at(300), "a"), (at(60), "a")], [(at(299), "a"), (at(100), "b"), (at(239), "b"), (None, "c")], [(at(600), "a"), (at(241), "d"), (at(200), "e")], [(at(301), "f"), (at(590), "a")]]
+
+    def run():
+        s.counts_and_late(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*"), "ts", "10 minutes", "1 hour", out, "key")
+
+    s.arriving([spark.createDataFrame(b, schema) for b in batches], folder, run)
+    late = rows(s.late_table(spark, out, schema).select("ts", "key", "batch"))
+    assert late == sorted([(at(100), "b", 1), (at(239), "b", 1), (None, "c", 1), (at(200), "e", 2), (at(301), "f", 3)], key=repr)
+    totals = {(r.window_start, r.key): r.matches for r in s.window_totals(spark, out, "key string", "key").collect()}
+    assert totals == {(at(300), "a"): 1, (at(60), "a"): 1, (at(240), "a"): 1, (at(240), "d"): 1, (at(600), "a"): 1, (at(540), "a"): 1}
+
+
 def test_late_rows_are_dropped_behind_the_watermark(spark, tmp_path):
     folder = tmp_path / "late"
     schema = "ts timestamp"
