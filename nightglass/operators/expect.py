@@ -43,10 +43,13 @@ def check(results: DataFrame, expectations: DataFrame, backend: str | None = Non
     return found.withColumn("error", error).withColumn("passed", F.col("error").isNull()).drop("expected")
 
 
-def run_rules(events: DataFrame, rules: list[CompiledRule], keep: list[str], mode: str = "execute", limit: int = 1000) -> DataFrame:
+def run_rules(
+    events: DataFrame, rules: list[CompiledRule], keep: list[str], mode: str = "execute", limit: int = 1000, expectations: DataFrame | None = None, folder: str = "output"
+) -> DataFrame:
     """Per rule: compile_ok, exec_ok, counts, stage errors, a warning, and passed.
 
-    A rule passes only if no stage that was asked for failed. In mode `compile` no event is read.
+    A rule passes only if no stage that was asked for failed. Execution fails where a rule did not compile, or where its count
+    misses the expectation of its query file, `folder`/<rule_id>.sql. In mode `compile` no event is read.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of: {', '.join(MODES)}")
@@ -58,18 +61,23 @@ def run_rules(events: DataFrame, rules: list[CompiledRule], keep: list[str], mod
         counts = compiled.select("rule_id", F.lit(0).cast("bigint").alias("total_hits"))
     else:
         counts = count_matches(detect(events, rules, keep), rules)
-    joined = compiled.join(row_counts(counts, limit), "rule_id")
-    ok = F.col("compile_error") == ""
+    joined = compiled.join(row_counts(counts, limit), "rule_id").withColumn("query_path", F.concat(F.lit(f"{folder}/"), "rule_id", F.lit(".sql")))
+    if expectations is None or mode == "compile":
+        joined = joined.withColumn("error", F.lit(None).cast("string"))
+    else:
+        joined = check(joined, expectations)
+    ok, missed = F.col("compile_error") == "", F.col("error")
+    ran = ok & missed.isNull()
     passed_only = F.concat("rule_id", F.lit(": compile passed; execution not requested"))
     return joined.select(
         "rule_id",
         (ok if mode != "execute" else F.lit(None).cast("boolean")).alias("compile_ok"),
-        (ok if mode != "compile" else F.lit(None).cast("boolean")).alias("exec_ok"),
+        (ran if mode != "compile" else F.lit(None).cast("boolean")).alias("exec_ok"),
         "total_hits",
         "returned_rows",
-        F.when(~ok, F.concat("rule_id", F.lit(": compile failed: "), "compile_error")).alias("stage_error"),
+        F.when(~ok, F.concat("rule_id", F.lit(": compile failed: "), "compile_error")).when(~ran, F.concat("rule_id", F.lit(": "), missed)).alias("stage_error"),
         F.when(ok & F.lit(mode == "compile"), passed_only).alias("warning"),
-        ok.alias("passed"),
+        ran.alias("passed"),
     )
 
 

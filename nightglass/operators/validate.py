@@ -297,6 +297,29 @@ def validate(rules: DataFrame) -> DataFrame:
     return checked(rules).select("path", F.explode_outer("checks").alias("c")).select("path", "c.check", "c.errors")
 
 
+def as_check(rows: DataFrame, name: str, error: str = "error") -> DataFrame:
+    """(path, check, errors) of rows(path, error) that have at most one error each, such as version changes."""
+    return rows.select("path", F.lit(name).alias("check"), F.array_compact(F.array(error)).alias("errors"))
+
+
+def link_errors(references: DataFrame, fetched: DataFrame) -> DataFrame:
+    """(path, check, errors) of references(path, refs array<string>): the http links whose fetch failed, in order.
+
+    Links meet their outcome as rows; a path without links stays and has no error.
+    """
+    links = references.select("path", F.explode_outer(F.array_distinct(F.filter("refs", lambda r: r.startswith("http")))).alias("link"))
+    bad = fetched.where(F.col("outcome") == "failed").select("link", F.concat(F.lit("Broken link: "), "link").alias("error")).distinct()
+    found = links.join(bad, "link", "left").groupBy("path").agg(F.sort_array(F.collect_list("error")).alias("errors"))
+    return found.select("path", F.lit("links").alias("check"), "errors")
+
+
+def spelling_errors(texts: DataFrame, dictionary: DataFrame, allowed: DataFrame) -> DataFrame:
+    """(path, check, errors) of texts(path, text): each misspelt word with its correction."""
+    said = misspellings(texts, dictionary, allowed).select("path", F.concat("word", F.lit(" ==> "), "correction").alias("error"))
+    every = texts.select("path", F.lit(None).cast("string").alias("error")).unionByName(said)
+    return every.groupBy("path").agg(F.sort_array(F.collect_list("error")).alias("errors")).select("path", F.lit("spelling").alias("check"), "errors")
+
+
 def gate(results: DataFrame) -> DataFrame:
     """Rules, failing rules and status per check, with the overall gate as check `all`."""
     counts = results.rollup("check").agg(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from nightglass.operators import conversion, expect, report, validate
 from nightglass.plans import standins as st
-from nightglass.plans.corpus import category_rows, converted_rows, documents, outcomes
+from nightglass.plans.corpus import SQL_ALL, category_rows, converted_rows, documents, link_status, outcomes, sql_words, version_bump
 from nightglass.plans.registry import ORACLE, query, table
 from nightglass.session import run_folder
 from nightglass.sinks import artifacts
@@ -171,3 +173,35 @@ META = """CASE doc_id % 5 WHEN 0 THEN '[]' WHEN 1 THEN '{"version":"1.0.0","owne
 def meta_contract(spark, folder):
     rows = validate.with_document(documents(spark, folder).selectExpr("doc_id", f"{META} AS rule_json"))
     return rows.select("doc_id", F.array_join(validate.contract_errors(F.col("doc"), validate.META_CONTRACT), " | ").alias("errors"))
+
+
+# ---- the whole gate ------------------------------------------------------------------------------
+
+SQL_GATE = f"""SELECT path, check_name, errors <> '' AS bad FROM ({SQL_ALL})
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), 'meta', errors <> '' FROM ({ORACLE['meta_contract']})
+  UNION ALL SELECT path, 'versions', state IN ('not bumped', 'unreadable') FROM ({ORACLE['version_bump']}) WHERE state <> 'deleted'
+  UNION ALL SELECT CAST(page_id AS VARCHAR), 'links', bool_or(outcome = 'failed') FROM (SELECT page_id, outcome FROM pages JOIN ({ORACLE['link_status']}) ON link = url) GROUP BY page_id
+  UNION ALL SELECT CAST(doc_id AS VARCHAR), 'spelling', coalesce(bool_or(word IN (SELECT {sql_words('text')} FROM benchmark) AND word NOT IN (SELECT {sql_words('url')} FROM pages)), FALSE)
+    FROM documents LEFT JOIN (SELECT doc_id, {sql_words('text')} AS word FROM documents) USING (doc_id) GROUP BY doc_id"""
+
+
+@query(
+    "rule_gate_all",
+    f"""SELECT coalesce(check_name, 'all') AS "check", count(*) AS checked, count(*) FILTER (bad) AS failing,
+        CASE WHEN count(*) FILTER (bad) > 0 THEN 'failure' ELSE 'success' END AS status FROM ({SQL_GATE}) GROUP BY ROLLUP (check_name)""",
+)
+def rule_gate_all(spark, folder):
+    """Every check in one gate: the five of a rule document, its side document, versions against the base, links and spelling."""
+    meta = validate.with_document(documents(spark, folder).selectExpr("CAST(doc_id AS STRING) AS path", f"{META} AS rule_json"))
+    words = lambda name, column: table(spark, folder, name).select(F.explode(F.regexp_extract_all(F.lower(column), F.lit(validate.WORD_PATTERN), F.lit(0))).alias("word")).distinct()
+    references = table(spark, folder, "pages").select(F.col("page_id").cast("string").alias("path"), F.array("url", F.lit("ftp://x")).alias("refs"))
+    parts = [
+        validate.validate(st.rule_rows(documents(spark, folder))),
+        meta.select("path", F.lit("meta").alias("check"), validate.contract_errors(F.col("doc"), validate.META_CONTRACT).alias("errors")),
+        validate.as_check(version_bump(spark, folder).where("state <> 'deleted'"), "versions"),
+        validate.link_errors(references, link_status(spark, folder)),
+        validate.spelling_errors(
+            documents(spark, folder).select(F.col("doc_id").cast("string").alias("path"), "text"), words("benchmark", "text").withColumn("correction", F.reverse("word")), words("pages", "url")
+        ),
+    ]
+    return validate.gate(reduce(DataFrame.unionByName, parts))

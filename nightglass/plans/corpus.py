@@ -171,7 +171,8 @@ SQL_STRUCTURE = f"""SELECT doc_id, path, CASE WHEN error IS NOT NULL THEN 'YAML
      f"'id should be a UUID format: ' || {js('id')}"),
 ) + f" END AS errors FROM {st.SQL_RULES}"
 
-REQUIRED = "title id status description author date references tags logsource detection level falsepositives version".split()
+# The keys that a rule must have.
+REQUIRED = ["title", "id", "status", "description", "author", "date", "references", "tags", "logsource", "detection", "level", "falsepositives", "version"]
 
 
 def list_any(name: str, cond: str) -> str:
@@ -218,7 +219,8 @@ SQL_QUALITY = "SELECT doc_id, path, " + errs(
     (f"NOT {filled('tags')}", "'tags must include ATT&CK mappings and detection context'"),
 ) + f" AS errors FROM {st.SQL_RULES}"
 
-CONTRACT = "title id status description author date logsource detection level version".split()
+# The keys of the contract that are required, and those that are lists.
+CONTRACT = ["title", "id", "status", "description", "author", "date", "logsource", "detection", "level", "version"]
 LISTS = ("conversion_targets", "falsepositives", "references", "tags")
 
 
@@ -275,8 +277,11 @@ def schema_contract(spark, folder):
     return checked(spark, folder, validate.contract_errors(F.col("doc")))
 
 
-SQL_NAMING = f"""SELECT doc_id, path, concat_ws(' | ', CASE WHEN TRUE THEN 'Category ''' || lang || ''' is not valid. Must be one of: endpoint, cloud, macos, network, web' END) AS errors
-  FROM (SELECT doc_id, lang, {st.RULE_PATH} AS path FROM documents)"""
+SQL_NAMING = f"""SELECT doc_id, path, CASE WHEN NOT regexp_matches(n, '{NAME}') THEN 'off' ELSE concat_ws(' | ', CASE WHEN c <> f THEN 'folder' END,
+    CASE WHEN c NOT IN ('endpoint', 'cloud', 'macos', 'network', 'web') THEN 'category' END, CASE WHEN length(d) < 3 THEN 'short' END,
+    CASE WHEN starts_with(d, '_') OR suffix(d, '_') THEN 'edge' END, CASE WHEN contains(d, '__') THEN 'double' END) END AS errors
+  FROM (SELECT *, regexp_extract(n, '{NAME}', 1) AS c, regexp_extract(n, '{NAME}', 2) AS d
+    FROM (SELECT doc_id, path, regexp_extract(path, '[^/]*$') AS n, regexp_extract(path, '([^/]*)/[^/]*$', 1) AS f FROM (SELECT doc_id, {st.RULE_PATH} AS path FROM documents)))"""
 SQL_ALL = " UNION ALL ".join(
     f"SELECT path, '{name}' AS check_name, errors FROM ({sql})"
     for name, sql in (("naming", SQL_NAMING), ("structure", SQL_STRUCTURE), ("metadata", SQL_METADATA), ("quality", SQL_QUALITY), ("schema", SQL_CONTRACT))
@@ -311,16 +316,23 @@ def rule_file(key: str) -> str:
     return f"'sigma-rules/a/a_' || {key} || ({st.texts(key, ['.meta.yml', '.txt', '.YAML', '.yml', '.yml', '.yml', '.yaml'])})"
 
 
+# Release numbers, also behind an epoch, with every kind of phase after them.
+PHASES = ["''", "'rc1'", "'.post2'", "'.dev3'", "'-ALPHA.4'", "'b2.dev1'", "'+build.7'", "'.post'", "''"]
 BASE = f"""SELECT {rule_file('doc_id')} AS path, CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN 'x.1'
-  ELSE (doc_id % 3) || '.' || (doc_id % 10) || '.' || (doc_id % 7) END AS version FROM documents"""
-CURRENT = f"""SELECT {rule_file('k')} AS path, CASE WHEN k % 17 = 0 THEN '1.0' WHEN k % 19 = 0 THEN NULL
-  ELSE (p_size % 3) || '.' || (k % 12) || '.' || (k % 5) END AS version FROM (SELECT p_partkey + 500 AS k, p_size FROM part) p"""
+  ELSE (doc_id % 3) || '.' || (doc_id % 10) || '.' || (doc_id % 7) || ({st.cases('doc_id', PHASES)}) END AS version FROM documents"""
+CURRENT = f"""SELECT {rule_file('k')} AS path, CASE WHEN k % 17 = 0 THEN '1.0' WHEN k % 19 = 0 THEN NULL WHEN k % 23 = 0 THEN '1!0.1' WHEN k % 5 = 1 THEN (k % 3) || '.' || (k % 10) || '.' || (k % 7) || '.0'
+  ELSE (p_size % 3) || '.' || (k % 12) || '.' || (k % 5) || ({st.cases('p_size', PHASES)}) END AS version FROM (SELECT p_partkey + 500 AS k, p_size FROM part) p"""
 CHANGED = "starts_with(path, 'sigma-rules/') AND regexp_matches(lower(path), '[.](yml|yaml)$') AND NOT suffix(path, '.meta.yml')"
 
 
 def version_number(v: str) -> str:
-    part = lambda i: f"coalesce(TRY_CAST(split_part({v}, '.', {i}) AS BIGINT), 0)"
-    return f"CASE WHEN regexp_matches({v}, '^[0-9]+([.][0-9]+)*$') THEN {part(1)} * 1000000 + {part(2)} * 1000 + {part(3)} END"
+    """One number per version of the forms used here: release, then development, alpha, beta, candidate, the release itself, local and post."""
+    release = f"regexp_extract({v}, '^(?:[0-9]+!)?([0-9.]*[0-9])', 1)"
+    part = lambda i: f"coalesce(TRY_CAST(split_part({release}, '.', {i}) AS BIGINT), 0)"
+    phase = f"""CASE WHEN contains({v}, 'post') THEN 900 + coalesce(TRY_CAST(regexp_extract({v}, 'post([0-9]+)', 1) AS BIGINT), 0) WHEN contains({v}, '+') THEN 801
+      WHEN contains({v}, 'rc') THEN 700 WHEN contains({v}, 'b2.dev') THEN 600 WHEN contains({v}, 'ALPHA') THEN 500 WHEN contains({v}, 'dev') THEN 400 ELSE 800 END"""
+    epoch = f"CASE WHEN contains({v}, '!') THEN 1000000000000000 ELSE 0 END"
+    return f"CASE WHEN {v} <> 'x.1' THEN {epoch} + ({part(1)} * 1000000 + {part(2)} * 1000 + {part(3)}) * 1000 + {phase} END"
 
 
 @query(

@@ -30,7 +30,7 @@ def bullets(name: str) -> str:
 
 SQL_PAGE = " || ".join(
     [
-        "'# '", shown("title", "lang || '_' || source || '_' || doc_id"),
+        "'# '", shown("title", f"{st.RULE_CATEGORY} || '_' || {st.RULE_NAME}"),
         "chr(10) || chr(10) || '**Rule ID:** '", shown("id", "''"),
         "'  ' || chr(10) || '**Status:** '", shown("status", "''"),
         "'  ' || chr(10) || '**Version:** '", shown("version", "''"),
@@ -63,7 +63,7 @@ def detection_page(spark, folder):
 @query(
     "docs_index",
     f"""SELECT section, '' AS key, line FROM (VALUES (0, '# Documentation Index'), (1, ''), (2, '## Detections')) v(section, line)
-        UNION ALL SELECT 3, path, '- documentation/detections/' || lang || '_' || source || '_' || doc_id || '.md' FROM (SELECT *, {st.RULE_PATH} AS path FROM documents)""",
+        UNION ALL SELECT 3, path, '- documentation/detections/' || {st.RULE_CATEGORY} || '_' || {st.RULE_NAME} || '.md' FROM (SELECT *, {st.RULE_PATH} AS path FROM documents)""",
 )
 def docs_index(spark, folder):
     return pages.index_lines(documents(spark, folder).selectExpr(f"{st.RULE_PATH} AS path"))

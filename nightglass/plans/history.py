@@ -66,13 +66,22 @@ def change_label(spark, folder):
     return labelled.groupBy("code", "label").agg(F.count("*").alias("files"))
 
 
+# The labels that the comparison expects, in reporting order.
+LABELS = [
+    ("title", "Title updated"), ("description", "Description updated"), ("status", "Status changed"), ("level", "Severity changed"), ("version", "Version updated"),
+    ("references", "References updated"), ("tags", "ATT&CK/context tags updated"), ("falsepositives", "False positive guidance updated"), ("logsource", "Logsource updated"),
+    ("detection", "Detection logic updated"), ("related", "Related rule mapping updated"),
+]
+NO_LABEL = "Misc rule metadata updated"
+
+
 def sql_labels(diff: str) -> str:
-    found = ", ".join(rf"CASE WHEN regexp_matches({diff}, '(?m)^\s*[+-]\s*{k}\s*:') THEN '{v}' END" for k, v in ch.KEY_LABELS)
+    found = ", ".join(rf"CASE WHEN regexp_matches({diff}, '(?m)^\s*[+-]\s*{k}\s*:') THEN '{v}' END" for k, v in LABELS)
     listed = f"[x FOR x IN [{found}] IF x IS NOT NULL]"
-    return f"CASE WHEN len({listed}) > 0 THEN {listed} ELSE ['{ch.UNLABELLED}'] END"
+    return f"CASE WHEN len({listed}) > 0 THEN {listed} ELSE ['{NO_LABEL}'] END"
 
 
-LINES = [f"chr(10) || '+{k}: x'" if i % 2 else f"chr(10) || '  -  {k} :'" for i, (k, _) in enumerate(ch.KEY_LABELS)]
+LINES = [f"chr(10) || '+{k}: x'" if i % 2 else f"chr(10) || '  -  {k} :'" for i, (k, _) in enumerate(LABELS)]
 DOC_DIFF = f"text || ({st.cases('doc_id', LINES + ['chr(10)'])}) || ({st.cases('doc_id', [*LINES[2:7], 'chr(10)'])})"
 
 

@@ -21,7 +21,11 @@ def texts(subject: str, options: list[str | None], otherwise: str = "NULL") -> s
 # ---- rule documents from `documents` -------------------------------------------------------------
 
 UUID = " || '-' || ".join(f"substr(md5(CAST(doc_id AS STRING)), {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
-RULE_PATH = "'sigma-rules/' || lang || '/' || lang || '_' || source || '_' || doc_id || '.yml'"
+# Known categories, languages in their place, names that are too short, end in a mark or lie in another folder.
+RULE_CATEGORY = f"({cases('doc_id', ["'endpoint'", "'cloud'", 'lang', "'network'"])})"
+RULE_NAME = f"({cases('doc_id', ["source || '_' || doc_id", "source || '_' || doc_id", "'x'", "source || '__' || doc_id", "source || '_' || doc_id", "source || '_' || doc_id || '_'", "source || '-' || doc_id"])})"
+RULE_FOLDER = f"CASE WHEN doc_id % 7 = 2 THEN doc_id || '/' ELSE '' END || CASE WHEN doc_id % 9 = 5 THEN 'other' ELSE {RULE_CATEGORY} END"
+RULE_PATH = f"'sigma-rules/' || {RULE_FOLDER} || '/' || {RULE_CATEGORY} || '_' || {RULE_NAME} || '.yml'"
 
 # Each part of a rule in good and bad shapes; the number of shapes differs per part so that the
 # combinations vary. NULL leaves the key out.

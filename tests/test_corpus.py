@@ -3,8 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from nightglass.operators import catalog, forms, report, validate
+from nightglass.operators import catalog, conversion, forms, report, validate
 from nightglass.operators.conversion import any_target, rule_id
+from nightglass.sinks import artifacts
 
 GOOD = {
     "title": "Odd Query", "id": "7d0f2b1c-55aa-4c1e-8f6e-2a9b3c4d5e6f", "status": "test", "description": "Finds an odd query",
@@ -221,3 +222,40 @@ def test_submissions(spark):
     assert first.date == "2024/02/03" and json.loads(first.detection)["condition"] == "selection" and first.version == "0.1.0"
     assert second.conversion_targets == ["elasticsearch"] and second.id == "i"
     assert sorted(r.reason for r in rejected.collect()) == ["Filename or title required", "Invalid category"]
+
+
+def test_gate_over_every_check(spark, rows):
+    now = spark.createDataFrame([("a", "1.0.0"), ("b", "1.0.0rc1"), ("c", "1.0.0.post1")], "path string, version string")
+    base = spark.createDataFrame([("a", "1.0.0rc1"), ("b", "1.0.0"), ("c", "1.0.0")], "path string, version string")
+    versions = validate.as_check(validate.version_changes(base, now), "versions")
+    assert rows(versions) == [("a", "versions", []), ("b", "versions", ["version not bumped (1.0.0 -> 1.0.0rc1)"]), ("c", "versions", [])]
+    refs = spark.createDataFrame([("a", ["http://x", "http://x", "http://y", "ftp://x"]), ("b", []), ("c", None), ("d", ["http://z", None])], "path string, refs array<string>")
+    fetched = spark.createDataFrame([("http://x", "failed"), ("http://x", "failed"), ("http://y", "ok"), ("http://z", "transient")], "link string, outcome string")
+    links = validate.link_errors(refs, fetched)
+    assert rows(links) == [("a", "links", ["Broken link: http://x"]), ("b", "links", []), ("c", "links", []), ("d", "links", [])]
+    texts = spark.createDataFrame([("a", "teh cat, Teh dog"), ("b", "fine"), ("c", None)], "path string, text string")
+    words = spark.createDataFrame([("teh", "the"), ("fine", "phine")], "word string, correction string")
+    spelling = validate.spelling_errors(texts, words, spark.createDataFrame([("FINE",)], "word string"))
+    assert rows(spelling) == [("a", "spelling", ["teh ==> the"]), ("b", "spelling", []), ("c", "spelling", [])]
+    counted = {r.check: (r.checked, r.failing, r.status) for r in validate.gate(versions.unionByName(links).unionByName(spelling)).collect()}
+    assert counted == {"versions": (3, 1, "failure"), "links": (4, 1, "failure"), "spelling": (3, 1, "failure"), "all": (10, 3, "failure")}
+
+
+def test_the_gate_writes_no_check_into_a_filter(spark):
+    """A filter on the list of checks would write all of them out again below the projection."""
+    rules = spark.createDataFrame([("a", "{}", None)], "path string, rule_json string, error string")
+    plan = validate.gate(validate.validate(rules))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 150_000 and "Filter" not in plan
+
+
+def test_documents_of_many_parts(spark, rows):
+    """Lines are numbered without gaps over several partitions, and only the first one lacks its comma."""
+    outcomes = spark.range(500).selectExpr("concat('r', id % 250) AS rule_id", "concat('p/', id % 250) AS rule_path", "'kql' AS backend", "if(id % 3 = 0, 'failed', 'success') AS status", "concat('q', id) AS query_path", "concat('text ', id) AS query", "'' AS message")
+    lines = conversion.bundle_lines(outcomes, "kql").orderBy("section", "key", F.regexp_replace("line", "^,", "")).collect()
+    document = json.loads("".join(r.line for r in lines))
+    assert len(document["rules"]) == 500 and document["metrics"] == {"failed_count": 167, "generated_count": 333, "processed_rules": 500, "skipped_count": 0}
+    manifest = conversion.run_manifest_lines(outcomes, "kql").orderBy("section", "key").collect()
+    assert len(json.loads("".join(r.line for r in manifest))["rules"]) == 250
+    given = spark.range(1000).selectExpr("cast(id * 7919 % 1000 AS int) AS n", "'x' AS line").repartition(7)
+    assert rows(artifacts.numbered(given, F.col("n").desc()).select("n", "line_no")) == sorted([(i, 999 - i) for i in range(1000)], key=repr)
+    assert artifacts.numbered(given.where("false"), "n").collect() == [] and conversion.bundle_lines(outcomes.where("false"), "kql").collect() == []

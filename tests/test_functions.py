@@ -93,3 +93,23 @@ def test_unknown_bucket():
 def test_types(value, raw, want, symbol):
     assert value(normalise_type(F.lit(raw))) == want
     assert value(type_symbol(F.lit(raw))) == symbol
+
+
+# In the order of versions; those of a line are equal.
+VERSIONS = [
+    ["0", "0.0"], ["0.9"], ["1.0.dev0", "1.0.dev", "1.0-DEV"], ["1.0.dev3"], ["1.0a1.dev2"], ["1.0a1", "1.0alpha1", "1.0-a.1", "v1.0_ALPHA-1"], ["1.0a2"], ["1.0b1", "1.0beta1"], ["1.0rc1", "1.0c1", "1.0pre1", "1.0-preview_1"], ["1.0rc10"],
+    ["1", "1.0", "1.0.0", " 1.0 ", "01.0"], ["1.0+abc"], ["1.0+abc.x"], ["1.0+abc.5"], ["1.0+5"], ["1.0+10"], ["1.0.post0.dev1", "1.0.post.dev1"], ["1.0.post0", "1.0.post", "1.0-0"], ["1.0.post2", "1.0-2", "1.0rev2", "1.0r2"],
+    ["1.0.1"], ["1.9"], ["1.10"], ["99999999999999999999999999999999999999999999.1"], ["1!0.1"],
+]
+
+
+def test_version_order(spark):
+    listed = [(i, v) for i, same in enumerate(VERSIONS) for v in same]
+    table = spark.createDataFrame(listed, "rank int, v string").select("rank", "v", versions.version_key(F.col("v")).alias("k"))
+    pairs = table.alias("a").join(table.alias("b"), F.col("a.rank") <= F.col("b.rank")).selectExpr("a.v AS v", "b.v AS w", "a.rank = b.rank AS same", "a.k < b.k AS less", "a.k = b.k AS equal").collect()
+    assert [r for r in pairs if (r.less, r.equal) != (not r.same, r.same)] == []
+
+
+@pytest.mark.parametrize("text_", ["", "x", "1..2", "1.0 0", "1.0+", "1.0+a..b", "1.0-", None, "a1", "1.0\n1"])
+def test_no_version(value, text_):
+    assert value(versions.version_key(F.lit(text_).cast("string"))) is None
