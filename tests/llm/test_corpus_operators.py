@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from nightglass.llm import bagminhash, license, mixing, sharding, suffix
 
@@ -189,7 +190,7 @@ def test_licences(spark, docs, no_docs):
     c = license.train(spark, docs)
     rows = {r.doc_id: r for r in license.scan(docs, c).collect()}
     assert len(license.scan(docs, c).collect()) == len(ROWS)
-    assert rows[13].families == "apache" and rows[13].n_confirmed == 1 and rows[13].probability >= c.threshold
+    assert rows[13].families == "apache" and rows[13].n_confirmed == 1 and rows[13].probability >= license.THRESHOLDS[0]
     assert all(r.families == "" for i, r in rows.items() if i != 13) and rows[5].n_units == 0
     held = [
         ("apache", "All sources here are Licensed under the Apache License, Version 2.0 (see NOTICE)"),
@@ -207,6 +208,84 @@ def test_licences(spark, docs, no_docs):
     assert license.scan(no_docs, c).collect() == []
 
 
+HEADERS = {
+    "gpl": """ * This program is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 2 of the License, or
+ * (at your option) any later version.
+ *
+ * You should have received a copy of the GNU General Public License along
+ * with this program; if not, write to the Free Software Foundation, Inc.,
+ */""",
+    "lgpl": """// This library is free software; you can redistribute it and/or modify it
+// under the terms of the GNU Lesser General Public License as published by
+// the Free Software Foundation; either version 2.1 of the License.
+//
+// You should have received a copy of the GNU Lesser General Public
+// License along with this library.""",
+    "mit": """# Permission is hereby granted, free of charge, to any person obtaining
+# a copy of this software and associated documentation files (the "Software"),
+# to deal in the Software without restriction.
+#
+# The above copyright notice and this permission notice shall be included in
+# all copies or substantial portions of the Software.""",
+    "bsd": """;; Redistribution and use in source and binary forms, with or without
+;; modification, are permitted provided that the following conditions are met:
+;;
+;; Redistributions of source code must retain the above copyright notice,
+;; this list of conditions and the following disclaimer.""",
+    "apache": """<!-- Licensed under the Apache License, Version 2.0 (the "License");
+  you may not use this file except in compliance with the License.
+  You may obtain a copy of the License at
+
+      http://www.apache.org/licenses/LICENSE-2.0 -->""",
+}
+
+
+def test_wrapped_headers(spark, docs):
+    """Notices as they stand in source files, wrapped and behind comment marks; between prose; and inside one very long paragraph."""
+    c = license.train(spark, docs)
+    prose = " ".join(f"word{i} of the old river" for i in range(2000))
+    rows = [(i, text) for i, text in enumerate(HEADERS.values())]
+    rows += [(10 + i, f"{passage(i, 40)}\n\n{text}\n\n{passage(50 + i, 40)}") for i, text in enumerate(HEADERS.values())]
+    rows += [(20 + i, f"{prose}\n{text}\n{prose}") for i, text in enumerate(HEADERS.values())]
+    rows += [(90, prose), (91, "The license of the driver and the permission of the version"), (92, "a copy of the terms was granted\n\nfree of charge to any person"), (93, None), (94, "")]
+    got = {r.doc_id: r for r in license.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), c).collect()}
+    assert len(got) == len(rows)
+    for start in (0, 10, 20):
+        assert [got[start + i].families for i in range(len(HEADERS))] == list(HEADERS)
+    assert all(got[i].families == "" and got[i].n_confirmed == 0 for i in range(90, 95))
+    assert (got[90].n_units, got[93].n_units, got[94].n_units, got[10].n_units) == (1, 0, 0, 4)
+
+
+def test_units_without_anchors_could_not_be_confirmed():
+    for template in (t for ts in license.TEMPLATES.values() for t in ts):
+        pairs, anchors = license.plain_pairs(template), license.anchor_words(template)
+        without = [p for p in pairs if not set(p.split()) & set(anchors)]
+        assert len(without) < license.CONFIRMED * len(pairs)
+
+
+def test_scores_by_hand(spark, docs):
+    """Calibrated probability, family and template share of every unit, from the model's coefficients in plain Python."""
+    c = license.train(spark, docs)
+    texts = [(i, t) for i, t in enumerate(HEADERS.values())]
+    frame = license.keyed_texts(spark.createDataFrame(texts, "doc_id bigint, text string"))
+    blocks = frame.select("doc_id", "key", F.posexplode(license.paragraphs_of(F.col("text"))).alias("pos", "block"))
+    units = license.units_of(blocks, "block").select("doc_id", "key", "pos", "words")
+    weights, bias = c.model.coefficientMatrix.toArray(), c.model.interceptVector.toArray()
+    features = {(r.doc_id, r.pos, tuple(r.words)): r.features for r in license.with_features(units).collect()}
+    want = set()
+    for (i, pos, words), v in features.items():
+        raw = weights @ v.toArray() + bias
+        p = np.exp((raw - raw.max()) / c.temperature)
+        k = int(raw[1:].argmax()) + 1
+        held = {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)}
+        shares = [len(held & set(license.plain_pairs(t))) / len(license.plain_pairs(t)) for t in license.TEMPLATES[license.FAMILIES[k]]]
+        want.add((i, pos, license.FAMILIES[k], round(float(p[k] / p.sum()), 9), round(max(shares), 9)))
+    got = {(r.doc_id, r.pos, r.family, round(r.probability, 9), round(r.share, 9)) for r in license.scored_units(units, c).collect()}
+    assert got == want and len(got) >= 8
+
+
 @pytest.mark.parametrize("weights", [{"a": 1.0, "b": 1.0, "c": 1.0}, {"a": 0.7, "b": 0.29985, "c": 0.00015}])
 def test_pfair_order_keeps_to_the_given_weights(weights):
     """Over a run of many thousand slots, no source strays a block from its weight as given."""
