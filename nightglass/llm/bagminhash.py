@@ -23,19 +23,14 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
 SIGNATURE = BANDS * ROWS
-# Bands are met in two groups: what the first has joined needs no comparison in the second.
-BAND_GROUPS = ((0, 4), (4, BANDS))
-# Rounds in which the most shared member of a bucket meets the others. What is open then, texts that share much but are
-# not all near, gets finer bands: they miss a pair of similarity 0.8 with a chance of 5 in 100,000, as the first ones do
-# with 3, but bring together one pair in ten of similarity 0.55, where those bring three in four.
+# Bands whose buckets meet by stars: the most shared member of a bucket meets all others, this many times.
+STAR_BANDS = 4
 STAR_ROUNDS = 2
-FINE_BANDS, FINE_ROWS = 140, 12
+# Bits of the filter that tells open buckets: 2 MB, whatever their number.
+OPEN_BITS = 1 << 24
 # Texts are compared whole if their signatures agree in this many components: two texts of similarity 0.8 agree in 104
 # on average, in fewer than 84 with a chance of 5 in a million.
 AGREEING = 84
-# Members of a fine bucket that lead from its second round on, and how much more do in each round after it.
-LEADERS, GROWTH = 8, 8
-PAIRS_PER_TASK = 2_000
 CHUNK_WORDS = 200_000
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -180,16 +175,28 @@ def likely_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], ["a", "b"])
 
 
-def fine_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, bucket) for each fine band of each text (node, text)."""
+TOKENS = "node binary, n int, tokens array<bigint>"
+
+
+def token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, n, tokens) of each text (node, text): its shingles with their occurrences numbered, so that its multiset is a set."""
     numbers = Numbers()
     for batch in batches:
-        for at in range(0, batch.num_rows, 64):
-            part = batch.slice(at, 64)
-            words = [words_of(t.as_py()) for t in part.column(1)]
-            keys = band_keys(signatures(len(words), *weighted_shingles(words, numbers), FINE_BANDS * FINE_ROWS), FINE_BANDS, FINE_ROWS)
-            nodes = part.column(0).take(pa.array(np.repeat(np.arange(len(words)), FINE_BANDS)))
-            yield pa.RecordBatch.from_arrays([nodes, pa.array(keys.ravel())], ["node", "bucket"])
+        at = 0
+        while at < batch.num_rows:
+            words, held, start = [], 0, at
+            while at < batch.num_rows and held < CHUNK_WORDS:
+                words.append(words_of(batch.column(1)[at].as_py()))
+                held += len(words[-1])
+                at += 1
+            doc, shingle, weight = weighted_shingles(words, numbers)
+            occurrence = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+            with np.errstate(over="ignore"):
+                token = mixed(np.repeat(shingle, weight) + GOLDEN * (occurrence + 1).astype(np.uint64))
+            size = np.bincount(np.repeat(doc, weight), minlength=len(words))
+            offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(token.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, at - start), pa.array(size.astype(np.int32)), tokens], ["node", "n", "tokens"])
 
 
 def similarity(a: Counter, b: Counter) -> float:
@@ -266,51 +273,87 @@ def weighed(buckets: DataFrame) -> DataFrame:
     return members.join(members.groupBy("node").agg(F.sum("n").alias("weight")), "node").drop("n")
 
 
-def few(df: DataFrame, rows: int) -> DataFrame:
-    """Fewer tasks for few pairs: PAIRS_PER_TASK each, or as many as there are."""
-    return df.coalesce(max(1, -(-rows // PAIRS_PER_TASK)))
+def links_of(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts are similar: by sketch, then by their whole multisets."""
+    side = lambda n, table, what: table.select(F.col("node").alias(n), F.col(what).alias(f"{what}_{n}"))
+    sketched = pairs.join(side("b", sketches, "sketch"), "b").join(side("a", sketches, "sketch"), "a").select("a", "b", "sketch_a", "sketch_b")
+    likely = write_out(sketched.mapInArrow(likely_batches, "a binary, b binary"), "likely")
+    whole = likely.join(side("b", texts, "text"), "b").join(side("a", texts, "text"), "a").select("a", "b", "text_a", "text_b")
+    return write_out(whole.mapInArrow(compare_batches, "a binary, b binary, sim double").where(F.col("sim") >= SIMILARITY).select("a", "b"), "links")
+
 
+def with_links(comps: DataFrame, links: DataFrame) -> DataFrame:
+    n = links.count()
+    return write_out(relabel(comps, links, n), "labels", comps.count()) if n else comps
 
-def join_bucket_mates(members: DataFrame, comps: DataFrame, sketches: DataFrame, texts: DataFrame, judged: list[DataFrame], rounds: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(labels, open members) after comparing the members of each bucket (bucket, node, weight), but for needless pairs.
 
-    In each round some members of a bucket lead: the one with most mates at first, and without a number of rounds LEADERS more in the
-    next and GROWTH times as many in each after it. A leader meets all members of other components. A bucket is
-    done when those that have not led are of one component: a pair left out then has both ends in it, so no link
-    is lost. A group of copies thus meets its first leader and is done. Pairs judged before, in any bucket, are in
-    `judged` and are not judged again.
+def meet_heads(members: DataFrame, comps: DataFrame, sketches: DataFrame, texts: DataFrame, judged: list[DataFrame]) -> DataFrame:
+    """Labels after the most shared member of each bucket (bucket, node, weight) that has not led yet met the others, STAR_ROUNDS times.
+
+    A bucket of one component meets no more, so a group of near copies is done with its first head. Pairs judged before, in any
+    bucket, are in `judged` and are not judged again.
     """
-    state, leaders, turn = members.withColumn("led", F.lit(False)), 0, 0
-    nodes = comps.count()
-    while True:
+    state = members.withColumn("led", F.lit(False))
+    for _ in range(STAR_ROUNDS):
         n_state = state.count()
         at = write_out(state.join(comps, "node"), "buckets", n_state)
         order = F.struct("weight", F.xxhash64("node"), "node")
-        waiting = at.where(~F.col("led")).groupBy("bucket").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.max(order)["node"].alias("head"))
-        open_ = write_out(waiting.where("low <> high").select("bucket", "n", "head"), "open-buckets", n_state)
-        if turn == rounds or open_.isEmpty():
-            return comps, at.join(open_.select("bucket"), "bucket", "left_semi").select("bucket", "node")
-        chosen = (F.col("node") == F.col("head")) | (F.pmod(F.xxhash64("node", "bucket"), F.col("n")) < leaders)
-        marked = at.join(open_, "bucket").withColumn("leads", ~F.col("led") & chosen).drop("n", "head")
-        lead = marked.where("leads").select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx"))
-        met = marked.join(lead, "bucket").where(F.col("comp") != F.col("cx"))
-        pairs = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+        waiting = at.where(~F.col("led")).groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max(order)["node"].alias("head"))
+        heads = write_out(waiting.where("low <> high").select("bucket", "head"), "heads", n_state)
+        if heads.isEmpty():
+            break
+        marked = at.join(heads, "bucket")
+        named = heads.join(comps.select(F.col("node").alias("head"), F.col("comp").alias("head_comp")), "head").select("bucket", "head_comp")
+        met = marked.join(named, "bucket").where(F.col("comp") != F.col("head_comp"))
+        pairs = met.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
         for before in judged:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
-        pairs = write_out(pairs, "pairs", n_state * (1 + leaders))
+        pairs = write_out(pairs, "pairs", n_state)
         judged.append(pairs)
-        side = lambda n, table, what: table.select(F.col("node").alias(n), F.col(what).alias(f"{what}_{n}"))
-        sketched = pairs.join(side("b", sketches, "sketch"), "b").join(side("a", sketches, "sketch"), "a").select("a", "b", "sketch_a", "sketch_b")
-        likely = write_out(few(sketched, pairs.count()).mapInArrow(likely_batches, "a binary, b binary"), "likely")
-        whole = likely.join(side("b", texts, "text"), "b").join(side("a", texts, "text"), "a").select("a", "b", "text_a", "text_b")
-        whole = few(whole, likely.count())
-        links = write_out(whole.mapInArrow(compare_batches, "a binary, b binary, sim double").where(F.col("sim") >= SIMILARITY).select("a", "b"), "links")
-        n_links = links.count()
-        if n_links:
-            comps = write_out(relabel(comps, links, n_links), "labels", nodes)
-        state = marked.select("bucket", "node", "weight", (F.col("led") | F.col("leads")).alias("led"))
-        turn += 1
-        leaders = 0 if rounds else max(LEADERS, leaders * GROWTH)
+        comps = with_links(comps, links_of(pairs, sketches, texts))
+        state = marked.select("bucket", "node", "weight", (F.col("led") | (F.col("node") == F.col("head"))).alias("led"))
+    return comps
+
+
+def open_nodes(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Nodes of buckets that hold several components, and a few more.
+
+    Open buckets set bits of a filter of fixed size, so members are not joined with them: a bucket that holds a third of all
+    nodes is one row here. A node of a closed bucket that shares a bit is looked at for nothing.
+    """
+    ends = members.join(comps, "node").groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    slots = ends.select(F.pmod("bucket", F.lit(OPEN_BITS)).alias("slot"))
+    words = slots.groupBy(F.expr("slot div 64").alias("id")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(slot, 64) as int))")).alias("bits"))
+    every = members.sparkSession.range(OPEN_BITS // 64).join(words, "id", "left")
+    listed = F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))))
+    bits = every.agg(F.transform(listed, lambda w: w["bits"]).alias("words")).scalar()
+    slot = F.pmod("bucket", F.lit(OPEN_BITS))
+    hit = F.getbit(F.get(bits, F.floor(slot / 64).cast("int")), F.pmod(slot, F.lit(64)).cast("int")) == 1
+    return write_out(members.where(hit).select("node").distinct(), "open-nodes")
+
+
+def prefix_pairs(opened: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts (node, text) in different components that may have a similarity of 0.8, none left out.
+
+    Tokens are ordered from the rarest on. Two texts of n and m tokens with that similarity share at least k = ceil(4 (n + m) / 9), so behind the first
+    token they share, it included, both hold k tokens or more; it lies among the first n - ceil(0.8 n) + 1 of each. Only
+    these tokens are joined, those of a single text take places but meet none. Texts that share much, but each with a
+    fifth of its own, do not meet.
+    """
+    tokens = write_out(opened.mapInArrow(token_batches, TOKENS).withColumn("id", F.xxhash64("node")), "open-tokens")
+    each = tokens.select("id", F.explode("tokens").alias("token"))
+    counts = write_out(each.groupBy("token").agg(F.count("*").alias("df"), F.min("id").alias("id")), "token-counts")
+    alone = counts.where("df = 1").groupBy("id").agg(F.count("*").alias("alone"))
+    listed = each.join(counts.where("df > 1").select("token", "df"), "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
+    known = tokens.select("id", "node", "n").join(listed, "id").join(alone, "id", "left").withColumn("alone", F.coalesce("alone", F.lit(0))).join(comps, "node")
+    places = F.greatest(F.expr("n - (4 * n + 4) div 5 + 1 - alone").cast("int"), F.lit(0))
+    first = known.select("node", "comp", "n", "alone", F.posexplode(F.slice("shared", F.lit(1), places)).alias("i", "s"))
+    rows = write_out(first.select("node", "comp", "n", (F.col("alone") + F.col("i")).alias("pos"), F.col("s.token").alias("token")), "prefixes")
+    other = rows.select("token", *[F.col(c).alias(f"{c}_2") for c in ("node", "comp", "n", "pos")])
+    least = F.expr("(4 * (n + n_2) + 8) div 9")
+    near = (F.col("comp") != F.col("comp_2")) & (F.col("n") - F.col("pos") >= least) & (F.col("n_2") - F.col("pos_2") >= least) & (F.col("node") < F.col("node_2"))
+    met = rows.join(other, (rows["token"] == other["token"]) & near)
+    return met.select(F.col("node").alias("a"), F.col("node_2").alias("b")).distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -329,16 +372,13 @@ def classes(docs: DataFrame) -> DataFrame:
     sketches = write_out(signed.groupBy("node").agg(F.first("sketch").alias("sketch")).join(nodes, "node", "left_semi"), "sketches")
     comps = write_out(nodes.select("node", F.col("node").alias("comp")), "labels")
     judged: list[DataFrame] = []
-    left = None
-    for low, high in BAND_GROUPS:
-        group = members.where((F.col("band") >= low) & (F.col("band") < high)).drop("band")
-        comps, open_ = join_bucket_mates(group, comps, sketches, texts, judged, STAR_ROUNDS)
-        left = open_.select("node") if left is None else left.union(open_.select("node"))
-    # Open buckets were of several components when their stars had led; later links may have closed some.
-    left = write_out(left.distinct(), "open-nodes", comps.count())
-    opened = few(texts.join(left, "node", "left_semi").select("node", "text"), left.count())
-    fine = write_out(weighed(opened.mapInArrow(fine_batches, "node binary, bucket bigint")), "fine-members")
-    comps, _ = join_bucket_mates(fine, comps, sketches, texts, judged)
+    comps = meet_heads(members.where(F.col("band") < STAR_BANDS).drop("band"), comps, sketches, texts, judged)
+    # Whatever shares a bucket of any band with another component is compared through its rarest shingles.
+    opened = texts.join(open_nodes(members, comps), "node", "left_semi").select("node", "text")
+    pairs = prefix_pairs(opened, comps)
+    for before in judged:
+        pairs = pairs.join(before, ["a", "b"], "left_anti")
+    comps = with_links(comps, links_of(write_out(pairs, "pairs"), sketches, texts))
     found = signed.select("doc_id", "node").join(comps, "node", "left")
     return found.select("doc_id", "node", F.coalesce("comp", "node").alias("comp"))
 

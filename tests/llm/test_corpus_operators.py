@@ -330,3 +330,45 @@ def test_slots_of_every_shard_hold_the_mix(spark, weights):
                 break
             assert all(abs(done[x] - n * share[x]) < 2 * mixing.BLOCK for x in share)
         assert n > 400
+
+
+def test_rare_shingles_lose_no_pair(spark):
+    """Every pair of similarity 0.8 or more is met through its rarest shingles, at the border too, with repeated shingles and sizes apart."""
+    base = [f"b{i}" for i in range(104)]
+    texts = [base, base[:84], base[:83], base[20:], ["new"] + base[1:], base[:50] + ["mid"] + base[51:], base + [f"c{i}" for i in range(25)], base + [f"d{i}" for i in range(26)]]
+    texts += [["r"] * k for k in (5, 6, 8, 9, 20, 24)] + [base[:10] + ["q"] * 40, base[:10] + ["q"] * 47, base[:10] + ["q"] * 52]
+    texts += [base[: 104 - 2 * k] + [f"e{k}y{i}" for i in range(2 * k)] for k in range(1, 14)]
+    rows = [" ".join(t) for t in texts]
+    counts = [bagminhash.shingle_counts(t) for t in rows]
+    want = {(i, j) for i in range(len(rows)) for j in range(i) if bagminhash.similarity(counts[i], counts[j]) >= 0.8}
+    nodes = bagminhash.nodes_of(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string"))
+    number = {bytes(r.node): r.doc_id for r in nodes.collect()}
+    pairs = bagminhash.prefix_pairs(nodes.select("node", "text"), nodes.select("node", F.col("node").alias("comp"))).collect()
+    got = {tuple(sorted((number[bytes(r.a)], number[bytes(r.b)]), reverse=True)) for r in pairs}
+    assert want <= got and len(want) > 40
+
+
+def test_texts_that_share_the_common_stuff_only_never_meet(spark):
+    """A thousand texts that share two thirds of their shingles make no pairs; a near copy of one of them meets that one."""
+    common = " ".join(f"c{i}" for i in range(80))
+    rows = [f"{common} " + " ".join(f"o{k}z{i}" for i in range(40)) for k in range(1000)]
+    rows.append(rows[500] + " end")
+    nodes = bagminhash.nodes_of(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string"))
+    number = {bytes(r.node): r.doc_id for r in nodes.collect()}
+    pairs = bagminhash.prefix_pairs(nodes.select("node", "text"), nodes.select("node", F.col("node").alias("comp"))).collect()
+    assert [{number[bytes(r.a)], number[bytes(r.b)]} for r in pairs] == [{500, 1000}]
+
+
+def test_recall_of_planted_pairs(spark):
+    """Pairs a little over 0.8, each in a group of its own: at least 99 in 100 share a class."""
+    rows, k = [], 0
+    for k in range(300):
+        words = passage(1000 + k, 124).split()
+        copy = words[:]
+        for at in (11, 47, 83, 110)[: 2 + k % 3]:
+            copy[at] = f"x{k}y{at}"
+        if bagminhash.similarity(bagminhash.shingle_counts(" ".join(words)), bagminhash.shingle_counts(" ".join(copy))) >= 0.8:
+            rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    found = {r.doc_id: r.class_id for r in bagminhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    planted = [i for i, _ in rows if i % 2]
+    assert len(planted) >= 200 and sum(found[i] == i - 1 for i in planted) >= 0.99 * len(planted)
