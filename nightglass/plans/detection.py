@@ -12,7 +12,8 @@ from nightglass.operators import expect, indicators
 from nightglass.operators.rules import Profile, compile_rules, conversion_results, rules_table
 from nightglass.plans import standins as st
 from nightglass.plans.registry import query, table
-from nightglass.session import local_table
+from nightglass.session import local_table, run_folder
+from nightglass.sinks.artifacts import write_layout
 from nightglass.sources.events import parse_open_events
 
 
@@ -347,9 +348,12 @@ def detect_shared_tests(spark, folder):
 
 @query("detect_routed", f"SELECT event_id, 'r' AS rule_id FROM {EV} WHERE event_type = 'error' AND port < 50")
 def detect_routed(spark, folder):
-    events = event_view(spark, folder)
-    profile = Profile(route={"category": ("event.action", {"failures": "error"})})
-    doc = rule("r", logsource={"category": "failures"}, selection={"destination.port|lt": 50})
+    """The events are laid out by the routing column first; the route of the rule prunes partitions."""
+    path = run_folder(spark, "routed")
+    write_layout(event_view(spark, folder).select("event_id", "ts", F.col("`event.action`").alias("action"), F.col("`destination.port`").alias("port")), path, ["action"], ["port", "ts"])
+    events = spark.read.parquet(path)
+    profile = Profile(route={"category": ("action", {"failures": "error"})})
+    doc = rule("r", logsource={"category": "failures"}, selection={"port|lt": 50})
     return d.detect(events, compiled(spark, events, [doc], profile), ["event_id"])
 
 

@@ -9,6 +9,8 @@ from nightglass.operators import catalog, forms, pages
 from nightglass.plans import standins as st
 from nightglass.plans.corpus import is_list, js, jt, rules, sql_lines, sql_strip
 from nightglass.plans.registry import query, spread_table, table
+from nightglass.session import run_folder
+from nightglass.sinks import artifacts
 from nightglass.sources import events as ev
 
 
@@ -352,5 +354,16 @@ INDEX = "CASE WHEN event_type IN ('click', 'view') THEN 'web-' || event_type ELS
 
 @query("index_scan", f"SELECT idx, count(*) AS events FROM (SELECT {INDEX} AS idx FROM events) WHERE starts_with(idx, 'security_') GROUP BY idx")
 def index_scan(spark, folder):
-    indexed = table(spark, folder, "events").selectExpr(f"{INDEX} AS idx")
-    return ev.in_index(indexed, "security_*", "idx").groupBy("idx").agg(F.count("*").alias("events"))
+    """The table is laid out by index and time first; the scan opens the matching partitions only."""
+    path = run_folder(spark, "indexed")
+    artifacts.write_layout(table(spark, folder, "events").selectExpr("event_id", "ts", f"{INDEX} AS idx"), path, ["idx"], ["ts"])
+    return ev.in_index(spark.read.parquet(path), "security_*", "idx").groupBy("idx").agg(F.count("*").alias("events"))
+
+
+@query("index_list_scan", f"SELECT idx, count(*) AS events, min(event_id) AS first FROM (SELECT event_id, {INDEX} AS idx FROM events) WHERE starts_with(idx, 'security_') OR idx IN (SELECT 'web-' || CASE n_nationkey WHEN 3 THEN 'view' ELSE 'none' END FROM nation) GROUP BY idx")
+def index_list_scan(spark, folder):
+    """Indexes named by a table: partitions are pruned while the query runs."""
+    path = run_folder(spark, "indexed")
+    artifacts.write_layout(table(spark, folder, "events").selectExpr("event_id", "ts", f"{INDEX} AS idx"), path, ["idx"], ["ts"])
+    wanted = table(spark, folder, "nation").selectExpr("'web-' || CASE n_nationkey WHEN 3 THEN 'view' ELSE 'none' END AS pattern").unionByName(spark.range(1).selectExpr("'security_*' AS pattern"))
+    return ev.read_indexes(spark, path, wanted, "idx").groupBy("idx").agg(F.count("*").alias("events"), F.min("event_id").alias("first"))

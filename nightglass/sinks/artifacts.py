@@ -67,6 +67,17 @@ def write_events(events: DataFrame, path: str, *partitions: str, append: bool =
     events.write.mode("append" if append else "overwrite").partitionBy(*partitions).parquet(path)
 
 
+def write_layout(events: DataFrame, path: str, partitions: list[str], order: list[str], tasks: int | None = None) -> None:
+    """Events as a layout for scans: a folder per value of `partitions`, files sorted by `order`.
+
+    Ranges cover the partitions and the order together, so a partition that holds a third of all events is several files, each a
+    range of its own; filters on the order then skip files and row groups by their statistics. Without a number of `tasks` adaptive
+    execution merges small ranges.
+    """
+    keys = [*partitions, *order]
+    events.repartitionByRange(*([tasks] if tasks else []), *keys).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(*partitions).parquet(path)
+
+
 def write_pages(pages: DataFrame, path: str) -> None:
     """pages(name, content) as JSON lines, one document per row."""
     pages.select("name", "content").write.mode("overwrite").json(path)

@@ -101,3 +101,19 @@ def in_index(events: DataFrame, pattern: str, column: str = "index") -> DataFram
 def read_index(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """Parquet events laid out as folder/index=<name>/..., limited to the indexes that match."""
     return in_index(spark.read.parquet(folder), pattern)
+
+
+def read_indexes(spark: SparkSession, folder: str, wanted: DataFrame, column: str = "index") -> DataFrame:
+    """Events of the indexes that a table names, such as those of a rule set: wanted(pattern), with `*` as wildcard.
+
+    The folder's own index names are listed from its partitions, which reads no event; the names that match are joined with the events, and
+    Spark prunes partitions by them while the query runs.
+    """
+    events = spark.read.parquet(folder)
+    names = events.select(column).distinct()
+    patterns = F.collect_set(F.concat(F.lit("^\\Q"), F.replace("pattern", F.lit("*"), F.lit("\\E.*\\Q")), F.lit("\\E$")))
+    # Patterns are configuration: one value for all of them.
+    listed = wanted.select(patterns).scalar()
+    joined_pattern = F.array_join(listed, "|")
+    matching = names.where(F.rlike(F.col(column).cast("string"), joined_pattern))
+    return events.join(F.broadcast(matching), column, "left_semi")

@@ -3,7 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from nightglass.operators import conversion, lint
+from nightglass.operators import conversion, detect as d, lint
+from nightglass.operators.rules import Profile, compile_rules, rules_table
 from nightglass.sinks import artifacts
 from nightglass.sources import events as ev
 from nightglass.sources import files
@@ -157,3 +158,22 @@ def test_manifest_rows(spark):
 def test_lint(spark, backend, text, errors):
     row = lint.lint(spark.createDataFrame([("p", backend, text)], "path string, backend string, query_text string")).collect()[0]
     assert row.errors == errors and row.is_valid == (not errors)
+
+
+def test_layout_prunes_by_table_and_route(spark, tmp_path, rows):
+    path = str(tmp_path / "layout")
+    events = spark.range(4000).selectExpr("id", "if(id % 3 = 0, 'hot', concat('i-', id % 7)) AS idx", "id % 100 AS port")
+    artifacts.write_layout(events.repartition(5), path, ["idx"], ["port"], 6)
+    # The index that holds a third of all rows is several files, sorted through.
+    hot = spark.read.parquet(path).where("idx = 'hot'").groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min("port").alias("a"), F.max("port").alias("b")).orderBy("a").collect()
+    assert len(hot) > 1 and all(x.b <= y.a for x, y in zip(hot, hot[1:], strict=False))
+    wanted = spark.createDataFrame([("i-1",), ("i-4*",), ("gone",), ("i.2",)], "pattern string")
+    found = ev.read_indexes(spark, path, wanted, "idx")
+    assert rows(found.select("id")) == rows(events.where("idx IN ('i-1', 'i-4')").select("id"))
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    doc = {"id": "r", "logsource": {"category": "c"}, "detection": {"s": {"port|lt": 10}, "condition": "s"}}
+    table = spark.read.parquet(path)
+    routed = d.detect(table, compile_rules(rules_table(spark, [doc]), table, Profile(route={"category": ("idx", {"c": "i-5"})})), ["id"])
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    assert rows(routed) == rows(events.where("idx = 'i-5' AND port < 10").selectExpr("id", "'r' AS rule_id"))
+    assert "PartitionFilters: [isnotnull(idx" in plan and "= i-5" in plan
