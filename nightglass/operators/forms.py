@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from nightglass.functions.text import is_blank, present, slug, text_lines
+from nightglass.sources.files import parse_yaml
 from nightglass.operators.validate import CATEGORIES
 
 # What a submission gets for fields left empty.
@@ -45,11 +46,21 @@ def reject_reason(category: Column, name: Column, title: Column) -> Column:
     return F.when(~allowed, "Invalid category").when(form_slug(name, title) == "", "Filename or title required")
 
 
+def with_detection(forms: DataFrame) -> DataFrame:
+    """Form rows with `detection` as a JSON text, from the YAML or JSON that was given or the default, and `bad_detection` where it is
+    neither or no mapping."""
+    given = F.when(~is_blank(F.col("detection")), F.col("detection"))
+    parsed = parse_yaml(forms.withColumn("text", F.coalesce(given, F.lit(DEFAULT_DETECTION))))
+    whole = F.coalesce(F.schema_of_variant(F.try_parse_json("rule_json")).startswith("OBJECT"), F.lit(False))
+    return parsed.withColumn("detection", F.when(given.isNull(), DEFAULT_DETECTION).otherwise(F.col("rule_json"))).withColumn("bad_detection", ~whole).drop("text", "rule_json", "error")
+
+
 def submissions(forms: DataFrame, today: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rules, rejects) of form rows. `today` defaults to the current date."""
+    """(rules, rejects) of form rows. `today` defaults to the current date. A rule's detection is JSON text, given or not."""
     day = F.date_format(F.current_date() if today is None else today, "yyyy/MM/dd")
     c = F.col
-    judged = forms.withColumn("reason", reject_reason(c("category"), c("filename"), c("title")))
+    reason = F.coalesce(reject_reason(c("category"), c("filename"), c("title")), F.when(c("bad_detection"), "Detection is not a mapping"))
+    judged = with_detection(forms).withColumn("reason", reason)
     rules = judged.where("reason is null").select(
         rule_path(c("category"), c("rule_path"), c("filename"), c("title")).alias("path"),
         "title",
@@ -63,7 +74,7 @@ def submissions(forms: DataFrame, today: Column | None = None) -> tuple[DataFram
         text_lines(c("tags")).alias("tags"),
         targets(c("conversion_kql"), c("conversion_splunk"), c("conversion_elasticsearch")).alias("conversion_targets"),
         logsource(c("logsource_product"), c("logsource_category"), c("logsource_service")).alias("logsource"),
-        F.when(is_blank(c("detection")), DEFAULT_DETECTION).otherwise(c("detection")).alias("detection"),
+        "detection",
         text_lines(c("falsepositives")).alias("falsepositives"),
         "level",
         F.lit(DEFAULT_VERSION).alias("version"),

@@ -231,7 +231,7 @@ FORM = {
     "date": st.texts("doc_id", ["2024/02/03", "", None]),
     "tags": "'attack.' || lang",
     "falsepositives": "''",
-    "detection": "''",
+    "detection": st.cases("doc_id", ["''", "'   '", "'pick:' || chr(10) || '  user: ' || lang || chr(10) || 'condition: pick'", "NULL", "'{\"pick\":{\"user\":\"' || lang || '\"},\"condition\":\"pick\"}'", "'- a list'", "'{ open'"]),
     "level": "'low'",
     "logsource_product": st.texts("doc_id", ["windows", "", None]),
     "logsource_category": st.texts("doc_id", ["", "proxy"]),
@@ -255,9 +255,10 @@ def form_rows(spark, folder):
     f"""SELECT CASE WHEN coalesce(rule_path, '') <> '' THEN rule_path ELSE 'sigma-rules/' || category || '/' || category || '_' || s || '.yml' END AS path,
         title, rule_id AS id, md5(description) AS description, array_to_string({sql_lines('"references"')}, ',') AS refs, CASE WHEN coalesce("date", '') <> '' THEN "date" ELSE '2024/05/06' END AS date,
         '2024/05/06' AS modified, tags, CASE WHEN t = '' THEN 'kql,splunk' ELSE t END AS targets, concat_ws(',', CASE WHEN logsource_product <> '' THEN 'product=' || logsource_product END,
-        CASE WHEN logsource_category <> '' THEN 'category=' || logsource_category END) AS logsource, '{forms.DEFAULT_DETECTION}' AS detection, 0 AS falsepositives, '0.1.0' AS version
+        CASE WHEN logsource_category <> '' THEN 'category=' || logsource_category END) AS logsource, CASE WHEN trim(coalesce(detection, '')) = '' THEN '{forms.DEFAULT_DETECTION}'
+          ELSE '{{"pick": {{"user": "' || author || '"}}, "condition": "pick"}}' END AS detection, 0 AS falsepositives, '0.1.0' AS version
         FROM (SELECT *, concat_ws(',', CASE WHEN conversion_kql <> '' THEN 'kql' END, CASE WHEN conversion_splunk <> '' THEN 'splunk' END,
-          CASE WHEN conversion_elasticsearch <> '' THEN 'elasticsearch' END) AS t FROM {SQL_NAMED}) WHERE known AND s <> ''""",
+          CASE WHEN conversion_elasticsearch <> '' THEN 'elasticsearch' END) AS t FROM {SQL_NAMED}) WHERE known AND s <> '' AND doc_id % 7 < 5""",
 )
 def form_rules(spark, folder):
     made, _ = form_rows(spark, folder)
@@ -272,7 +273,7 @@ def form_rules(spark, folder):
 
 @query(
     "form_rejects",
-    f"SELECT title, category, CASE WHEN NOT known THEN 'Invalid category' ELSE 'Filename or title required' END AS reason FROM {SQL_NAMED} WHERE NOT known OR s = ''",
+    f"SELECT title, category, CASE WHEN NOT known THEN 'Invalid category' WHEN s = '' THEN 'Filename or title required' ELSE 'Detection is not a mapping' END AS reason FROM {SQL_NAMED} WHERE NOT known OR s = '' OR doc_id % 7 >= 5",
 )
 def form_rejects(spark, folder):
     _, rejected = form_rows(spark, folder)
