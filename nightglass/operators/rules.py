@@ -386,7 +386,9 @@ def compile_rules(rules: DataFrame, events: DataFrame, profile: Profile = Profil
     compiled = []
     for (rule_id, text, problem), fact, sql in zip(given, facts, _spelled([r["text"] or "" for r in facts], tests), strict=True):
         own = [t["name"] for t in fact["tests"] or ()]
-        if text is None:
+        if rule_id is None:
+            error = "rule id is missing"
+        elif text is None:
             error = problem or "rule document is missing"
         elif rule_id in times:
             error = f"rule id is used {times[rule_id]} times: {rule_id}"

@@ -242,6 +242,17 @@ def test_only_what_no_event_can_have_is_refused(spark):
     assert {r.rule_id: r.error for r in compiled} == names
 
 
+def test_odd_rule_ids_and_documents(spark, events):
+    """A rule without an id or a document, ids with quotes, and an empty rule set."""
+    good = json.dumps(rule("x", selection={"event.category": "cloud"}))
+    table = spark.createDataFrame([(None, good), ("it's `a` \\ rule", good), ("none", None), ("null", "null"), ("list", "[]"), ("twice", good), ("twice", good)], "rule_id string, rule_json string")
+    compiled = compile_rules(table, events)
+    errors = {r.rule_id: r.error for r in compiled}
+    assert errors == {None: "rule id is missing", "it's `a` \\ rule": "", "none": "rule document is missing", "null": "detection must have a condition", "list": "detection must have a condition", "twice": "rule id is used 2 times: twice"}
+    assert {r.rule_id for r in d.detect(events, compiled, ["@timestamp"]).collect()} == {"it's `a` \\ rule"}
+    assert compile_rules(table.where("false"), events) == [] and d.detect(events, [], ["@timestamp"]).collect() == []
+
+
 def test_many_rules_are_chunked(spark, events):
     rules = [CompiledRule(f"r{i:03d}", f"`destination.port` = {i}", "", ("destination.port",)) for i in range(400, 720)]
     found = {r.rule_id for r in d.detect(events, rules, ["@timestamp"]).collect()}
