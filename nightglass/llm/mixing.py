@@ -94,6 +94,8 @@ def source_weights(docs: DataFrame) -> dict:
 def target_weights(sizes: dict, weights: dict | None) -> dict:
     """Weight of each source that has rows, in a fixed order. Sources without a given one get the least given one."""
     least = min((weights or {}).values(), default=1.0)
+    if not least > 0:
+        raise ValueError(f"weights must be positive: {weights}")
     order = sorted(sizes, key=lambda s: (s is not None, s or ""))
     return {s: sizes[s] ** TEMPERATURE if weights is None else weights.get(s, least) for s in order}
 
@@ -119,11 +121,11 @@ def schedule(docs: DataFrame, weights: dict | None = None, block: int = BLOCK, k
     Read in order of (slot, place). A block belongs to one slot; slots of a source that has run out stay empty,
     and the others keep their shares of the rest. Every row comes once: none is dropped or repeated. Rows with a
     null source are a source of their own. A source without a given weight gets the least given one; weights must
-    be positive. Within a source rows are in a fixed mixed order (by hash of the id, then id and text), ties being
-    repeats of one row.
+    be positive. Within a source rows are in a fixed mixed order (by hash of id and text, so that rows without an id are spread
+    too), ties being repeats of one row.
     """
     keep = [F.col("doc_id")] if keep is None else keep
-    rows = docs.select(*keep, F.col("source").cast("string").alias("source"), F.xxhash64("doc_id").alias("_h"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_t"))
+    rows = docs.select(*keep, F.col("source").cast("string").alias("source"), F.xxhash64("doc_id", "text").alias("_h"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_t"))
     sizes = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
     count = blocks_for(sum(sizes.values()))
     numbered = ranked(rows, ["source"], F.pmod("_h", F.lit(count)), [F.col("_h"), F.col("_id"), F.col("_t")], "_rank").drop("_h", "_id", "_t")

@@ -213,6 +213,14 @@ def test_mixing(spark, docs, no_docs):
     assert mixing.schedule(no_docs).collect() == [] and mixing.mixed(no_docs).collect() == []
 
 
+def test_rows_without_ids_are_spread_and_weights_are_positive(spark):
+    df = spark.range(4000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('t', id) AS text", "'s' AS source")
+    places = mixing.schedule(df, keep=[F.col("text")]).collect()
+    assert sorted((r.slot, r.place) for r in places) == [(i // mixing.BLOCK, i % mixing.BLOCK) for i in range(4000)]
+    with pytest.raises(ValueError, match="weights must be positive"):
+        mixing.schedule(df, {"s": 0})
+
+
 def test_mixing_follows_given_weights(spark):
     df = spark.range(3000).selectExpr("id AS doc_id", "'t' AS text", "CASE WHEN id % 10 < 7 THEN 'x' WHEN id % 10 < 9 THEN 'y' END AS source")
     rows = sorted(((r.slot, r.place, r.source) for r in mixing.schedule(df, {"x": 1.0, "y": 2.0, None: 1.0}, block=4).collect()), key=lambda r: r[:2])
