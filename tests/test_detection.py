@@ -330,6 +330,19 @@ def test_contained_equals_brute_force(spark, rows):
     assert rows(indicators.match_contained(values, listed, ["id"])) == want
 
 
+def test_anchor_filter_holds_every_anchor_and_little_else(spark):
+    listed = spark.createDataFrame([(i, "t", p) for i, p in enumerate(PATTERNS)], "indicator_id int, field string, pattern string")
+    side = indicators.anchored(listed.select("indicator_id", "field", F.lower("pattern").alias("pattern")))
+    slot = indicators._slot(F.col("field"), F.col("span"), F.col("piece"))
+    found = side.select("span", slot.alias("slot")).collect()
+    held = spark.range(1).select(indicators.anchor_filter(side).alias("f")).select("f.*").first()
+    bits = {64 * w + b for w, x in enumerate(held.words) for b in range(64) if x >> b & 1}
+    assert bits == {r.slot for r in found} and len(held.words) == indicators.FILTER_WORDS
+    assert set(held.spans) == {r.span for r in found}
+    none = indicators.match_contained(spark.createDataFrame([(1, "t", "a text")], "id int, field string, value string"), listed.where("false"), ["id"])
+    assert none.collect() == []
+
+
 def test_equal_with_a_hot_value(spark, rows):
     wide = spark.range(300).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("u"))
     values = indicators.field_values(wide, ["id"], ["u"])
