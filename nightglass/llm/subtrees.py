@@ -208,22 +208,44 @@ def prefix(k: int) -> Column:
     return F.xxhash64(*[[first], ["high"], ["high", third], WHOLE][k - 1])
 
 
-def grouped(suffixes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
-    """(suffixes with a group, the rest): groups hold whole prefixes and at most `limit` suffixes.
+def cell(k: int) -> Column:
+    return F.pmod(prefix(k), F.lit(CELLS)) if k < BLOCKS else prefix(k)
 
-    Prefixes are counted by cells of their hashes. Cells over the limit, fewer than one in `limit` suffixes, are broadcast, and their
-    suffixes go on with one block more. The rest shares whole windows more than `limit` times over.
+
+def large_cells(suffixes: DataFrame, limit: int) -> list[DataFrame]:
+    """Per prefix length the cells of more than `limit` suffixes, among those in a large cell of every shorter one.
+
+    Fewer than one cell in `limit` suffixes is large. Longer prefixes are counted over what large cells hold, written apart.
     """
-    done, rest = None, suffixes
+    found, rest = [], suffixes.select(*WHOLE)
     for k in range(1, BLOCKS + 1):
-        rest = rest.withColumn("cell", F.pmod(prefix(k), F.lit(CELLS)) if k < BLOCKS else prefix(k))
-        over = write_out(rest.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("cell"), "large-groups")
-        small = rest.join(F.broadcast(over), "cell", "left_anti").withColumn("level", F.lit(k))
-        done = small if done is None else done.unionByName(small)
-        rest = rest.join(F.broadcast(over), "cell", "left_semi")
+        over = write_out(rest.groupBy(cell(k).alias("cell")).agg(F.count("*").alias("n")).where(F.col("n") > limit).select("cell"), "large-cells")
         if over.isEmpty():
             break
-    return done, rest.drop("cell")
+        found.append(over)
+        if k < BLOCKS:
+            rest = write_out(rest.join(F.broadcast(over), cell(k) == over["cell"], "left_semi"), "in-large-cells")
+    return found
+
+
+def grouped(suffixes: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """(suffixes with a group (level, cell), the rest): groups hold whole prefixes and at most `limit` suffixes.
+
+    A suffix goes to the shortest of its prefixes whose cell is not large. The rest, None if there is none, shares whole windows more
+    than `limit` times over. Suffixes are dealt in one pass.
+    """
+    dealt, found = suffixes, large_cells(suffixes, limit)
+    for k, over in enumerate(found, 1):
+        side = F.broadcast(over.select(F.col("cell").alias(f"_cell{k}")))
+        dealt = dealt.join(side, cell(k) == F.col(f"_cell{k}"), "left")
+    level, place = F.lit(None).cast("int"), F.lit(None).cast("bigint")
+    for k in range(min(len(found) + 1, BLOCKS), 0, -1):
+        small = F.col(f"_cell{k}").isNull() if k <= len(found) else F.lit(True)
+        level, place = F.when(small, k).otherwise(level), F.when(small, cell(k)).otherwise(place)
+    dealt = dealt.select(*suffixes.columns, level.alias("level"), place.alias("cell"))
+    if len(found) < BLOCKS:
+        return dealt, None
+    return dealt.where("level IS NOT NULL"), dealt.where("level IS NULL").select(*suffixes.columns)
 
 
 def later_windows(suffixes: DataFrame, limit: int | None = None) -> DataFrame:
@@ -232,6 +254,8 @@ def later_windows(suffixes: DataFrame, limit: int | None = None) -> DataFrame:
     order = [*PLACE, "start"]
     leaves = done.repartition("level", "cell").sortWithinPartitions("level", "cell", *WHOLE, *order)
     found = leaves.select(*WHOLE, *order).mapInArrow(walk_batches, REPEATS)
+    if same is None:
+        return found
     first = same.groupBy(*WHOLE).agg(F.min(F.struct(*order)).alias("one")).select("one.*")
     return found.unionByName(same.select(*order).join(first, order, "left_anti"))
 
