@@ -21,6 +21,11 @@ SHARDS = 16
 ROUNDS = 10
 
 
+def spread_hash() -> Column:
+    """A hash of a row that says nothing of its first shard, which comes from another."""
+    return F.xxhash64("key", "doc_id")
+
+
 def documents_state(docs: DataFrame, keep: list[Column] | None = None) -> DataFrame:
     """(doc_id, key, kept columns, bytes, crc, linked) per row; key names the text, so rows with equal texts share it."""
     keyed = keyed_texts(docs, keep)
@@ -110,7 +115,7 @@ def even_out(state: DataFrame, shards: int) -> DataFrame:
     if not any(excess):
         return state
     count = blocks_for(max(held))
-    block = F.when(F.col("linked"), count).otherwise(0) + F.pmod(F.xxhash64("doc_id", "key"), F.lit(count))
+    block = F.when(F.col("linked"), count).otherwise(0) + F.pmod(spread_hash(), F.lit(count))
     order = ranked(state, ["shard"], block, [F.col("doc_id"), F.col("key")], "_at")
     before = [sum(excess[:s]) for s in range(shards)]
     leaves = F.col("_at") < F.element_at(F.array(*[F.lit(x) for x in excess]), F.col("shard") + 1)
@@ -134,7 +139,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     Null ids and repeated rows are rows like any other. A group of equal texts larger than a shard fills several.
     """
     even = settled(docs, shards, rounds)
-    block = F.pmod(F.xxhash64("doc_id", "key"), F.lit(blocks_for(max(by_shard(even, shards)))))
+    block = F.pmod(spread_hash(), F.lit(blocks_for(max(by_shard(even, shards)))))
     slotted = ranked(even, ["shard"], block, [F.col("doc_id"), F.col("key")], "slot")
     return slotted.select(
         "doc_id", "key", (F.col("bytes") + 1).alias("size"), F.col("crc").alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -152,7 +157,7 @@ def mixed_slots(even: DataFrame, weights: dict | None = None, block: int = mixin
     for r in counts:
         sizes[r["source"]] = sizes.get(r["source"], 0) + r["n"]
         longest[r["source"]] = max(longest.get(r["source"], 0), -(-r["n"] // block))
-    hashed = even.withColumn("_h", F.xxhash64("doc_id", "key"))
+    hashed = even.withColumn("_h", spread_hash())
     by_hash = F.pmod("_h", F.lit(blocks_for(max((r["n"] for r in counts), default=0))))
     numbered = ranked(hashed, ["shard", "source"], by_hash, [F.col("_h"), F.col("doc_id"), F.col("key")], "_rank").drop("_h")
     turns = mixing.in_turn(numbered, mixing.target_weights(sizes, weights), longest, block).withColumnRenamed("slot", "_turn")
