@@ -33,7 +33,7 @@ BLOCKS = WINDOW // BLOCK
 GRAM = 6
 SPAN = WINDOW - GRAM + 1  # positions of a window at which its mark can stand
 # Suffixes of one group, and the greatest number of groups that may be over it: what is broadcast has at most so many rows.
-GROUP = 1 << 15
+GROUP = 1 << 17
 LARGE_GROUPS = 1 << 16
 CELLS = 1 << 18
 CHUNK_WORDS = 200_000
