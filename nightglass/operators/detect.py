@@ -90,6 +90,18 @@ def count_matches(matches: DataFrame, rules: list[CompiledRule]) -> DataFrame:
     return named.select("rule_id", F.coalesce("hits", F.lit(0).cast("bigint")).alias("total_hits"))
 
 
+def count_members(counts: DataFrame, members: DataFrame) -> DataFrame:
+    """(rule_id, total_hits) for every row of members(rule_id, document), from the counts of the documents.
+
+    As in `compile_rules` a rule without an id, or with an id that other rows have too, matches nothing. Rows are counted before any shuffle.
+    """
+    rules = members.groupBy("rule_id", "document").agg(F.count("*").cast("int").alias("_rows"))
+    alone = F.col("rule_id").isNotNull() & (F.sum("_rows").over(Window.partitionBy("rule_id")) == 1)
+    found = rules.withColumn("_alone", alone).join(counts.withColumnRenamed("rule_id", "document"), "document", "left")
+    hits = F.when(F.col("_alone"), F.coalesce("total_hits", F.lit(0).cast("bigint"))).otherwise(0).cast("bigint").alias("total_hits")
+    return found.select("rule_id", hits, F.explode(F.sequence(F.lit(1), "_rows"))).select("rule_id", "total_hits")
+
+
 # Ranges of the order key that are counted per rule.
 RANGES = 4096
 NUMBERS = {"timestamp": F.unix_micros, "date": F.unix_date, "string": lambda c: F.conv(F.rpad(F.left(F.hex(c), F.lit(14)), 14, "0"), 16, 10)}

@@ -401,6 +401,18 @@ def compile_rules(rules: DataFrame, events: DataFrame, profile: Profile = Profil
     return compiled
 
 
+def shared_documents(rules: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(documents, members) of a rule table: the different documents as rules named by their digest, and (rule_id, document) per rule.
+
+    Rules of equal documents differ by their ids alone, so `compile_rules` needs each document once; only these reach the driver,
+    and `count_members` gives every rule its document's count.
+    """
+    said = ["error"] if "error" in rules.columns else []
+    named = rules.select("rule_id", "rule_json", *said, F.md5(F.to_json(F.struct("rule_json", *said))).alias("document"))
+    documents = named.select(F.col("document").alias("rule_id"), "rule_json", *said).distinct()
+    return documents, named.select("rule_id", "document")
+
+
 def conversion_results(spark: SparkSession, compiled: list[CompiledRule], backend: str = "spark") -> DataFrame:
     """(rule_id, backend, status, query, error, skipped_reason) of a compile run."""
     rows = []

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from nightglass.functions.text import unescape, with_once
 from nightglass.operators import detect as d
 from nightglass.operators import expect, indicators
-from nightglass.operators.rules import Profile, compile_rules, conversion_results, rules_table
+from nightglass.operators.rules import Profile, compile_rules, conversion_results, rules_table, shared_documents
 from nightglass.plans import standins as st
 from nightglass.plans.registry import query, table
 from nightglass.session import local_table, run_folder
@@ -334,7 +334,7 @@ SHARED_TYPES = st.texts("s_suppkey", ["purchase", "error", "view", "click", "sig
           ELSE port = p AND event_type = t AND user_id < 50 END GROUP BY s_suppkey""",
 )
 def detect_shared_tests(spark, folder):
-    """A rule per supplier, on a hundred ports, five actions and one bound: its tests are made and evaluated once for all rules."""
+    """A rule per supplier, on a hundred ports, five actions and one bound: its tests, and its documents, are made and evaluated once for all rules."""
     sel = F.struct(
         F.struct((F.col("s_suppkey") % 100).alias("destination.port")).alias("port"), F.struct(F.expr(SHARED_TYPES).alias("event.action")).alias("action"),
         F.struct(F.lit(50).alias("user.id|lt")).alias("user"),
@@ -342,8 +342,9 @@ def detect_shared_tests(spark, folder):
     )
     rules = table(spark, folder, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("rule_id"), F.to_json(F.struct(sel.alias("detection"))).alias("rule_json"))
     events = event_view(spark, folder)
-    usable = compile_rules(rules, events)
-    return d.count_matches(d.detect(events, usable, ["event_id"]), usable)
+    documents, members = shared_documents(rules)
+    usable = compile_rules(documents, events)
+    return d.count_members(d.count_matches(d.detect(events, usable, ["event_id"]), usable), members)
 
 
 @query("detect_routed", f"SELECT event_id, 'r' AS rule_id FROM {EV} WHERE event_type = 'error' AND port < 50")

@@ -10,7 +10,7 @@ from pyspark.sql import Window, functions as F
 from nightglass import session
 from nightglass.operators import detect as d
 from nightglass.operators import expect, indicators
-from nightglass.operators.rules import CompiledRule, Profile, compile_rules, condition_sql, conversion_results, rules_table
+from nightglass.operators.rules import CompiledRule, Profile, compile_rules, condition_sql, conversion_results, rules_table, shared_documents
 from nightglass.functions.addresses import in_network_sql
 from nightglass.operators.values import base64_forms, like_pattern
 from nightglass.sources.events import parse_events, read_event_lines, read_events
@@ -253,6 +253,26 @@ def test_odd_rule_ids_and_documents(spark, events):
     assert compile_rules(table.where("false"), events) == [] and d.detect(events, [], ["@timestamp"]).collect() == []
 
 
+def test_rules_of_equal_documents_are_compiled_once(spark, events, rows):
+    """Thousands of rules over two documents: both reach the driver once, and odd rules count as they do one by one."""
+    good, other = (json.dumps({"detection": {"s": {"event.category": c}, "condition": "s"}}) for c in ("cloud", "process"))
+    odd = [(None, good), (None, good), (None, other), ("none", None), ("list", "[]"), ("twice", good), ("twice", good), ("both", good), ("both", other), ("x", other)]
+    table = spark.createDataFrame(odd, "rule_id string, rule_json string")
+    count = lambda rules, usable: d.count_matches(d.detect(events, usable, ["@timestamp"]), usable)
+
+    def shared(rules):
+        documents, members = shared_documents(rules)
+        usable = compile_rules(documents, events)
+        return d.count_members(count(rules, usable), members), usable
+
+    assert rows(shared(table)[0]) == rows(count(table, compile_rules(table, events)))
+    many = table.unionByName(spark.range(5000).select(F.concat(F.lit("r"), "id").alias("rule_id"), F.when(F.col("id") % 2 == 0, good).otherwise(other).alias("rule_json")))
+    found, usable = shared(many)
+    assert len(usable) == 4
+    hits = {r.rule_id: r.total_hits for r in found.where("rule_id like 'r%'").collect()}
+    assert len(hits) == 5000 and all(hits[f"r{i}"] == events.where(F.lower("`event.category`") == ("process" if i % 2 else "cloud")).count() for i in (0, 1, 4998, 4999))
+
+
 def test_many_rules_are_chunked(spark, events):
     rules = [CompiledRule(f"r{i:03d}", f"`destination.port` = {i}", "", ("destination.port",)) for i in range(400, 720)]
     found = {r.rule_id for r in d.detect(events, rules, ["@timestamp"]).collect()}
