@@ -4,10 +4,7 @@ A paragraph is a block between blank lines; comment marks are taken off its line
 Long paragraphs are read in overlapping windows of WINDOW words. Features are hashed word 1- and 2-grams, the model is a multinomial
 logistic regression (Spark ML) over licence families and `unknown`. Its probabilities are calibrated on held-out rows by one
 temperature, and a family is named only above the threshold that units of the whole corpus which no template explains hardly ever
-reach. A named unit is confirmed if it holds most word pairs of one of the family's templates.
-
-A unit without an anchor word cannot hold most pairs of any template, so it could not be confirmed; it is not scored. Anchors
-are worked out from the templates.
+reach. A named unit is confirmed if it holds most word pairs of one of the family's templates. Every unit of every paragraph is scored.
 """
 
 from __future__ import annotations
@@ -128,8 +125,7 @@ def anchor_words(template: str) -> list[str]:
     return chosen
 
 
-ANCHORS = sorted({w for ts in TEMPLATES.values() for t in ts for w in anchor_words(t)})
-ANCHOR = r"(?i)(?<![\p{L}\p{N}])(?:" + "|".join(re.escape(w) for w in ANCHORS) + r")(?![\p{L}\p{N}])"
+ALL_PAIRS = sorted({p for ts in TEMPLATES.values() for t in ts for p in plain_pairs(t)})
 
 
 def paragraphs_of(text: Column) -> Column:
@@ -140,12 +136,11 @@ def paragraphs_of(text: Column) -> Column:
 
 
 def units_of(blocks: DataFrame, block: str) -> DataFrame:
-    """The rows with `words`, one per window of the block, of those windows that hold an anchor."""
-    worded = with_once(blocks.where(F.col(block).rlike(ANCHOR)), _w=words_of(F.col(block)))
+    """The rows with `words`, one per window of the block."""
+    worded = with_once(blocks, _w=words_of(F.col(block)))
     last = F.greatest(F.size("_w") - (WINDOW - STRIDE), F.lit(1))
     starts = worded.withColumn("_at", F.explode(F.sequence(F.lit(0), last - 1, F.lit(STRIDE))))
-    units = starts.withColumn("words", F.slice("_w", F.col("_at") + 1, F.lit(WINDOW))).drop("_w", "_at")
-    return units.where(F.arrays_overlap("words", F.array(*[F.lit(a) for a in ANCHORS])))
+    return starts.withColumn("words", F.slice("_w", F.col("_at") + 1, F.lit(WINDOW))).drop("_w", "_at")
 
 
 def with_features(units: DataFrame) -> DataFrame:
@@ -214,8 +209,10 @@ def scored_units(units: DataFrame, c: Classifier) -> DataFrame:
     `explained` is the greatest share of any template that the unit holds, `share` that of its family's templates. What the model gives is written
     out before anything is derived from it, so that no filter or lambda runs the model again.
     """
-    raw = c.model.transform(with_features(units)).select("doc_id", "key", "pos", "words", vector_to_array("rawPrediction").alias("raw"))
-    known = write_out(raw, "license-scores").withColumn("top", F.array_max(F.slice("raw", 2, len(FAMILIES)))).withColumn("pairs", F.array_distinct(pairs_of(F.col("words"))))
+    # Of a unit's pairs those of no template add to no share.
+    pairs = F.array_intersect(pairs_of(F.col("words")), F.array(*[F.lit(p) for p in ALL_PAIRS])).alias("pairs")
+    raw = c.model.transform(with_features(units)).select("doc_id", "key", "pos", pairs, vector_to_array("rawPrediction").alias("raw"))
+    known = write_out(raw, "license-scores").withColumn("top", F.array_max(F.slice("raw", 2, len(FAMILIES))))
     family = F.element_at(F.array(*[F.lit(f) for f in FAMILIES[1:]]), F.array_position(F.slice("raw", 2, len(FAMILIES)), F.col("top")).cast("int"))
     shares = F.create_map(*[x for f in TEMPLATES for x in (F.lit(f), template_share(F.col("words"), [f]))])
     judged = known.select("doc_id", "key", "pos", family.alias("family"), calibrated(F.col("raw"), F.col("top"), c.temperature).alias("probability"), shares.alias("shares"))

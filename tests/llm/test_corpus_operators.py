@@ -307,6 +307,20 @@ def test_units_without_anchors_could_not_be_confirmed():
         assert len(without) < license.CONFIRMED * len(pairs)
 
 
+def test_every_window_is_scored(spark, docs):
+    """Windows cover all words of all paragraphs, and the model judges those without a template's words too."""
+    prose = " ".join(f"river{i}" for i in range(150))
+    frame = license.keyed_texts(spark.createDataFrame([(1, f"{prose}\n\nshort one"), (2, "Released under the MIT License"), (3, ""), (4, None)], "doc_id bigint, text string"))
+    blocks = frame.select("doc_id", "key", F.posexplode(license.paragraphs_of(F.col("text"))).alias("pos", "block"))
+    units = license.units_of(blocks, "block").select("doc_id", "key", "pos", "words")
+    windows = collections.defaultdict(set)
+    for r in units.collect():
+        windows[r.doc_id, r.pos].update(r.words)
+    assert windows == {(1, 0): set(prose.split()), (1, 1): {"short", "one"}, (2, 0): {"released", "under", "the", "mit", "license"}}
+    scored = license.scored_units(units, license.train(spark, docs)).collect()
+    assert len(scored) == units.count() == 7 and {r.explained for r in scored if r.doc_id == 1} == {0.0}
+
+
 def test_scores_by_hand(spark, docs):
     """Calibrated probability, family and template share of every unit, from the model's coefficients in plain Python."""
     c = license.train(spark, docs)
