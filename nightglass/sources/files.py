@@ -41,8 +41,10 @@ def relative_to(df: DataFrame, anchor: str) -> DataFrame:
 
 
 def parse_yaml(texts: DataFrame) -> DataFrame:
-    """Adds `rule_json` (the YAML document as JSON) and `error`. Dates become text."""
-    fields = [*texts.schema.fields, StructField("rule_json", StringType()), StructField("error", StringType())]
+    """Adds `rule_json` (the YAML document as JSON) and `error`. Dates become text.
+
+    Only the text goes through Python; a parse is never made a second time for a filter on what it gives.
+    """
 
     def one(text):
         try:
@@ -50,12 +52,13 @@ def parse_yaml(texts: DataFrame) -> DataFrame:
         except (yaml.YAMLError, ValueError, TypeError) as exc:
             return None, str(exc)
 
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            done = [one(t) for t in part["text"]]
-            yield part.assign(rule_json=[d[0] for d in done], error=[d[1] for d in done])
+    @F.pandas_udf("rule_json string, error string")
+    def parsed(part: pd.Series) -> pd.DataFrame:
+        done = [one(t) for t in part]
+        return pd.DataFrame({"rule_json": [d[0] for d in done], "error": [d[1] for d in done]}, dtype=object)
 
-    return texts.mapInPandas(batches, StructType(fields))
+    made = texts.withColumn("_parsed", parsed.asNondeterministic()("text"))
+    return made.select(*[F.col(f"`{c}`") for c in texts.columns], "_parsed.rule_json", "_parsed.error")
 
 
 def read_rules(spark: SparkSession, path: str) -> DataFrame:

@@ -44,6 +44,18 @@ def test_rule_corpus_scan(spark, tmp_path):
         files.read_rules(spark, str(tmp_path / "sigma-rules" / "skip.txt"))
 
 
+def test_yaml_parse_takes_the_text_alone_through_python(spark, rows):
+    """Wide rows stay out of the Python workers, and a filter on the outcome parses no text again."""
+    texts = spark.createDataFrame([(1, "a: 1", "wide" * 1000), (2, "{", "wide"), (3, None, None), (None, "- x", "")], "id int, text string, other string")
+    parsed = files.parse_yaml(texts)
+    good = parsed.where("error is null")
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    evaluated = [line for line in plan.splitlines() if "EvalPython" in line]
+    assert len(evaluated) == 1 and "MapInPandas" not in plan
+    assert parsed.columns == ["id", "text", "other", "rule_json", "error"]
+    assert rows(good.select("id", "rule_json")) == [(1, '{"a": 1}'), (3, "null"), (None, '["x"]')]
+
+
 def test_query_scan_and_precedence(spark, tmp_path, rows):
     put(tmp_path, **{"kql__x__a_DOT_kql": "T | take 1\n", "kql__a_DOT_kql_DOT_meta": "m", "kql__b_DOT_kql_DOT_error": "e", "kql__b_DOT_kql": " ", "kql__c_DOT_txt": "no"})
     folder = str(tmp_path / "kql")
