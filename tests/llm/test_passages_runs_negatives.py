@@ -55,6 +55,14 @@ def kept_rows(spark, rows, limit=None):
     return sorted(((r.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), r.kept) for r in got), key=key)
 
 
+def test_words_are_cut_at_six_blanks_alone():
+    """Bytes are cut where the contract's words end: not at other white space, control characters or parts of a character."""
+    text = "a\tb\nc\x0bd\x0ce\rf  g\x1ch\x1fi\x85j\xa0k\u2003l\u3000m\u0085n\x00o é\u2028ü "
+    want = [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text)]
+    assert subtrees.words_of(text.encode()) == want and len(want) == 8
+    assert subtrees.words_of(None) == subtrees.words_of(b" \n") == []
+
+
 @pytest.mark.parametrize("limit", [None, 4])
 def test_passages(spark, docs, no_docs, limit):
     rows = [(r.doc_id, None if r.text is None else r.text) for r in docs.select("doc_id", "text").collect()]
