@@ -9,7 +9,7 @@ from pyspark.sql.types import BooleanType, NumericType
 
 from nightglass.operators.fields import column, quote
 from nightglass.operators.rules import NAMED, CompiledRule
-from nightglass.operators.values import LOWERED, Test, lowered_sql
+from nightglass.operators.values import LOWERED, VALUES, Test, lowered_sql, open_values_sql
 from nightglass.session import local_table
 
 # Up to this many rules on this few columns, "any rule matches" also goes to the scan as a filter of
@@ -43,9 +43,12 @@ def packed(tests: list[str]) -> list[Column]:
 def with_tests(events: DataFrame, tests: dict[str, Test]) -> tuple[DataFrame, dict[str, str]]:
     """(events with the result of every test as one bit, {name: SQL that reads it}).
 
-    Fields are lowered once for all tests, and a test is evaluated once however many rules name it.
+    Fields are looked up in VARIANT values and lowered once for all tests, and a test is evaluated once however many rules name it.
     """
-    lower = {LOWERED + f: F.expr(lowered_sql(events.schema, f)) for f in sorted({t.lowered for t in tests.values() if t.lowered is not None})}
+    schema = events.schema
+    values = {VALUES + f: F.expr(open_values_sql(schema, f)) for f in sorted({f for t in tests.values() for f in t.values})}
+    events = events.withColumns(values) if values else events
+    lower = {LOWERED + f: F.expr(lowered_sql(schema, f)) for f in sorted({t.lowered for t in tests.values() if t.lowered is not None})}
     events = events.withColumns(lower) if lower else events
     bits = {f"{BITS}{k}": c for k, c in enumerate(packed([t.scan_sql for t in tests.values()]))}
     reads = {n: f"({column(f'{BITS}{i // WIDTH}')} & {bit(i % WIDTH)}) <> 0" for i, n in enumerate(tests)}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType, VariantType
@@ -24,6 +25,10 @@ def column(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+# A column, also inside a struct, or the variable of a lambda.
+NAME = re.compile(r"(?:`(?:[^`]|``)*`|\w+)(?:\.(?:`(?:[^`]|``)*`|\w+))*")
+
+
 def resolve(schema: StructType, name: str) -> Field | None:
     """The field of that name; None if the schema rules out that any event has it.
 
@@ -89,15 +94,17 @@ def _in_map(kind: MapType, sql: str, parts: list[str], depth: int) -> Field | No
 
 
 def _variant_values(sql: str, parts: list[str], depth: int) -> str:
-    """All values of a path in a VARIANT value, as an array of VARIANT."""
-    whole = f"coalesce(try_variant_get({sql}, '$', 'array<variant>'), array({sql}))"
-    if not parts:
-        return whole
-    ways = []
-    for cut in range(len(parts), 0, -1):
-        x = f"x{depth}"
-        key = ".".join(parts[:cut]).replace("\\", "\\\\").replace("'", "\\'")
-        value = f"try_variant_get({x}, {quote(f"$['{key}']")}, 'variant')"
-        inner = _variant_values(value, parts[cut:], depth + 1)
-        ways.append(f"flatten(transform({whole}, {x} -> {inner}))")
-    return ways[0] if len(ways) == 1 else f"concat({', '.join(ways)})"
+    """All values of a path in a VARIANT value, as an array of VARIANT. A key that is not there gives one NULL, whatever follows it.
+
+    `sql` is named twice below, so anything but a name is bound to one first: else each key of a path would double the work.
+    """
+    y = sql if NAME.fullmatch(sql) else f"y{depth}"
+    found = f"coalesce(try_variant_get({y}, '$', 'array<variant>'), array({y}))"
+    if parts:
+        x, ways = f"x{depth}", []
+        for cut in range(len(parts), 0, -1):
+            key = ".".join(parts[:cut]).replace("\\", "\\\\").replace("'", "\\'")
+            value = f"try_variant_get({x}, {quote(f"$['{key}']")}, 'variant')"
+            ways.append(_variant_values(value, parts[cut:], depth + 1))
+        found = f"flatten(transform({found}, {x} -> {ways[0] if len(ways) == 1 else f"concat({', '.join(ways)})"}))"
+    return found if y == sql else f"flatten(transform(array({sql}), {y} -> if({y} is null, array({y}), {found})))"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import itertools
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql.types import NumericType, StringType, StructType, VariantType
 
@@ -22,6 +22,8 @@ ENCODINGS = ("base64", "base64offset")
 KNOWN_MODIFIERS = {*TEXT_MATCHES, *NUMBER_MATCHES, *REGEX_FLAGS, *CHARSETS, *ENCODINGS, "all", "re", "cidr", "cased", "exists", "fieldref", "windash", "expand"}
 # Prefix of the helper columns that hold an event field in lower case; the bare prefix holds all text.
 LOWERED = "_lower:"
+# Prefix of the helper columns that hold the values of a field inside VARIANT values.
+VALUES = "_values:"
 
 
 @dataclass(frozen=True)
@@ -122,21 +124,29 @@ def _text_sql(source: str, value: str, modifiers: list[str]) -> str:
 
 @dataclass(frozen=True)
 class Test:
-    """`sql` stands alone. `scan_sql` is the same test over the helper column `lowered`, which tests share; None if there is none.
-    `pushable`: a file scan can evaluate it on its statistics."""
+    """`sql` stands alone. `scan_sql` is the same test over helper columns, which tests share: the field `lowered`, None if there is none,
+    and the values of the fields `values`. `pushable`: a file scan can evaluate it on its statistics."""
 
     sql: str
     scan_sql: str
     lowered: str | None = None
     pushable: bool = False
+    values: tuple = ()
+
+
+def open_values_sql(schema: StructType, name: str) -> str | None:
+    """The values of a field inside VARIANT values, which cost more to look up than to test; None for any other field."""
+    found = resolve(schema, name) if name else None
+    return found.sql if found and found.many and isinstance(found.kind, VariantType) else None
 
 
 def lowered_sql(schema: StructType, name: str) -> str:
-    """The helper column of a field: its text, or texts, in lower case; all text of the event for the empty name."""
+    """The helper column of a field: its text, or texts, in lower case; all text of the event for the empty name. It reads the field's values."""
     if not name:
         return all_text_sql(schema)
     found = resolve(schema, name)
-    return f"transform({found.sql}, v -> lower(try_cast(v as string)))" if found.many else f"lower({_as_text(found.sql, found)})"
+    source = column(VALUES + name) if open_values_sql(schema, name) else found.sql
+    return f"transform({source}, v -> lower(try_cast(v as string)))" if found.many else f"lower({_as_text(found.sql, found)})"
 
 
 def _as_text(source: str, found: Field) -> str:
@@ -147,6 +157,15 @@ def _as_text(source: str, found: Field) -> str:
 
 def make_test(name: str, modifiers: list[str], kind: str, text: str | None, schema: StructType, profile: Profile) -> Test:
     """The test of one value; a ValueError says what is wrong with it."""
+    test = _test(name, modifiers, kind, text, schema, profile)
+    for read in dict.fromkeys([name, text] if "fieldref" in modifiers else [name]):
+        found = open_values_sql(schema, read)
+        if found and (found in test.scan_sql or test.lowered == read):
+            test = replace(test, scan_sql=test.scan_sql.replace(found, column(VALUES + read)), values=(*test.values, read))
+    return test
+
+
+def _test(name: str, modifiers: list[str], kind: str, text: str | None, schema: StructType, profile: Profile) -> Test:
     unknown = [m for m in modifiers if m not in KNOWN_MODIFIERS or m in REGEX_FLAGS and "re" not in modifiers]
     if unknown:
         raise ValueError(f"unsupported modifier: {', '.join(unknown)}")

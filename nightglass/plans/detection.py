@@ -11,7 +11,7 @@ from nightglass.operators import detect as d
 from nightglass.operators import expect, indicators
 from nightglass.operators.rules import Profile, compile_rules, conversion_results, rules_table, shared_documents
 from nightglass.plans import standins as st
-from nightglass.plans.registry import query, table
+from nightglass.plans.registry import query, spread_table, table
 from nightglass.session import local_table, run_folder
 from nightglass.sinks.artifacts import write_layout
 from nightglass.sources.events import parse_open_events
@@ -250,7 +250,7 @@ OPEN_RULES = [
 @query("detect_variant", " UNION ALL ".join(f"SELECT event_id, '{doc['id']}' AS rule_id FROM events WHERE {sql}" for doc, sql in OPEN_RULES))
 def detect_variant(spark, folder):
     """Rules on fields of open documents (VARIANT, as parsed without a schema), maps, and arrays of structs; strict about absent fields."""
-    lines = table(spark, folder, "events").selectExpr("event_id", "user_id", "event_type", f"{OPEN} AS line")
+    lines = spread_table(spark, folder, "events").selectExpr("event_id", "user_id", "event_type", f"{OPEN} AS line")
     docs = parse_open_events(lines).where("ok")
     tags = F.create_map(F.lit("kind.of"), F.lit("none"), F.lit("Kind.Of"), "event_type", F.lit("user"), F.col("user_id").cast("string"), F.lit("user_name"), F.concat(F.lit("u"), F.col("event_id") % 20))
     peer = lambda port: F.struct(F.col("event_type").alias("name"), port.alias("port"))

@@ -235,6 +235,17 @@ def test_fields_in_open_types(spark, selection, want):
     assert by_rule["not"] == set(range(7)) - want
 
 
+def test_open_fields_are_looked_up_once_for_all_tests(spark):
+    """A key of a path is looked up once however long the path, and a field once however many tests read it."""
+    table = spark.createDataFrame([(1, '{"a":{"b":{"c":[5,7]}}}')], "id int, t string").selectExpr("id", "try_parse_json(t) AS v")
+    docs = [rule("five", selection={"v.a.b.c": 5}), rule("both", selection={"v.a.b.c|all": [5, 7]}), rule("high", selection={"v.a.b.c|gte": 6}), rule("same", selection={"v.a.b.c|fieldref": "v.a.b.c"}), rule("no", selection={"v.a.b.c": None})]
+    found = d.detect(table, compile_rules(rules_table(spark, docs), table), ["id"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # Four ways to cut a.b.c into keys share their first ones: 7 keys, and an array or a value after each and at the root.
+    assert plan.count("try_variant_get(") <= 15
+    assert {r.rule_id for r in found.collect()} == {"five", "both", "high", "same"}
+
+
 def test_only_what_no_event_can_have_is_refused(spark):
     table = spark.createDataFrame([], DYNAMIC)
     names = {"v.any.thing": "", "m.any.x": "", "m.any.z": "unknown field: m.any.z", "s.k": "", "s.z": "unknown field: s.z", "dot.ted.out": "unknown field: dot.ted.out", "dot.ted": "", "gone": "unknown field: gone"}
