@@ -6,11 +6,12 @@ checkpoint after a lost executor or driver. Checkpoints and outputs live in the
 
 from __future__ import annotations
 
-import bisect
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming.state import GroupState
 
@@ -71,48 +72,70 @@ def timeframe_micros(timeframe: str) -> int:
 
 
 SPANS = "span_start timestamp, span_end timestamp"
-# Times that wait for the watermark, and the last ones it has passed, fewer than a threshold's number.
-WAITING = "waiting array<bigint>, passed array<bigint>"
+# The rows that a group of keys holds, as one Arrow table.
+HELD = "held binary"
+# Keys are dealt to so many groups, each with one call of Python and one state a batch. A checkpoint keeps its number.
+GROUPS = 512
 
 
-def spans(matches: DataFrame, rules: list[CompiledRule], time: str, least: int, *by: str) -> DataFrame:
+def spans(matches: DataFrame, rules: list[CompiledRule], time: str, least: int, *by: str, groups: int = GROUPS) -> DataFrame:
     """(rule_id, by.., span_start, span_end) for every match that completes `least` matches of its rule and key within the rule's timeframe.
 
     A span ends at a match and starts at the one `least - 1` before it; both may lie anywhere. Times are kept per (rule, key) until the
     watermark passes them, and are then judged in order, so rows may come in any order within the delay; an event-time timer
-    judges keys that get no more rows, and clears those with nothing left to wait for. State holds the times inside the delay and
-    `least - 1` more. All timeframes share one stream; rules without one have no threshold. Rows without a time never count.
+    judges groups that get no more rows, and clears those with nothing left to wait for. State holds the times inside the delay and up to
+    `least - 1` more of each key, those that a later match can still reach. Keys share a state with those of their hash, so that calls
+    do not grow with the keys; they go to Python as texts and come back in their types. All timeframes share one stream; rules
+    without one have no threshold. Rows without a time never count.
     """
     frames = {r.rule_id: timeframe_micros(r.timeframe) for r in rules if r.timeframe and r.sql}
     if not frames:
         raise ValueError("no rule has a timeframe")
     keys = ["rule_id", *by]
-    narrow = matches.where(F.col("rule_id").isin(list(frames)) & F.col(time).isNotNull()).select(*keys, F.col(time).alias("at"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.select(*keys).schema.fields)
+    known = matches.where(F.col("rule_id").isin(list(frames)) & F.col(time).isNotNull())
+    types = {f.name: f.dataType for f in known.select(*keys).schema.fields}
+    group = F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int").alias("_group")
+    narrow = known.select(group, *[F.col(k).cast("string").alias(k) for k in keys], F.col(time).alias("at"))
+    held_schema = pa.schema([*[(k, pa.string()) for k in keys], ("at", pa.int64()), ("passed", pa.bool_())])
 
     def judge(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        waiting, passed = (list(map(int, x)) for x in state.get) if state.exists else ([], [])
-        for batch in batches:
-            waiting.extend(batch["at"].astype("datetime64[us]").astype("int64").tolist())
-        frame, mark = frames[key[0]], state.getCurrentWatermarkMs() * 1000
-        waiting.sort()
-        due = bisect.bisect_right(waiting, mark)
-        times = passed + waiting[:due]
-        found = [(a, b) for a, b in zip(times[max(0, len(passed) - least + 1) :], times[max(len(passed), least - 1) :], strict=False) if b - a <= frame]
-        waiting = waiting[due:]
-        passed = times[-(least - 1) :] if least > 1 else []
-        if not waiting and (not passed or passed[-1] + frame < mark):
-            state.remove()
-        else:
-            state.update((waiting, passed))
+        # `passed` marks the times that the watermark had passed before this call.
+        parts = [b[keys].assign(at=b["at"].astype("datetime64[us]").astype("int64"), passed=False) for b in batches if len(b)]
+        if state.exists:
+            parts.insert(0, pa.ipc.open_stream(state.get[0]).read_pandas())
+        if not parts:
+            return
+        rows = pd.concat(parts, ignore_index=True)
+        mark = state.getCurrentWatermarkMs() * 1000
+        number = rows.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
+        order = np.lexsort((~rows["passed"].to_numpy(), rows["at"].to_numpy(), number))
+        rows, number = rows.iloc[order], number[order]
+        at, passed, frame = rows["at"].to_numpy(), rows["passed"].to_numpy(), rows["rule_id"].map(frames).to_numpy("int64")
+        due, gap = at <= mark, least - 1
+        # The time `gap` places before each, and whether it is of the same key.
+        here = np.arange(len(at))
+        before, after = np.maximum(here - gap, 0), np.minimum(here + gap, len(at) - 1)
+        found = due & ~passed & (here >= gap) & (number[before] == number) & (at - at[before] <= frame)
+        # Of the times passed each key's last ones are needed, if a later match can reach them.
+        followed = (here + gap < len(at)) & (number[after] == number) & due[after]
+        kept = ~due | (~followed & (at + frame >= mark))
+        if kept.any():
+            held = pa.Table.from_pandas(rows[kept].assign(passed=due[kept]), held_schema, preserve_index=False)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held_schema) as out:
+                out.write_table(held)
+            state.update((sink.getvalue().to_pybytes(),))
             # The first waiting time, or when the last passed one is out of reach; a timer must lie behind the watermark.
-            state.setTimeoutTimestamp(max((waiting[0] if waiting else passed[-1] + frame) // 1000, mark // 1000) + 1)
-        if found:
-            starts, ends = (pd.to_datetime(pd.Series(x), unit="us") for x in zip(*found, strict=True))
-            yield pd.DataFrame({**{k: [v] * len(found) for k, v in zip(keys, key, strict=True)}, "span_start": starts, "span_end": ends})
+            timer = at[~due].min() if not due.all() else (at + frame)[kept].max()
+            state.setTimeoutTimestamp(int(max(timer // 1000, mark // 1000)) + 1)
+        elif state.exists:
+            state.remove()
+        if found.any():
+            yield rows.loc[found, keys].assign(span_start=at[before][found], span_end=at[found]).reset_index(drop=True)
 
-    grouped = narrow.groupBy(*keys)
-    return grouped.applyInPandasWithState(judge, f"{kinds}, {SPANS}", WAITING, "append", "EventTimeTimeout")
+    kinds = ", ".join(f"`{k}` string" for k in keys)
+    judged = narrow.groupBy("_group").applyInPandasWithState(judge, f"{kinds}, span_start bigint, span_end bigint", HELD, "append", "EventTimeTimeout")
+    return judged.select(*[F.col(k).cast(types[k]).alias(k) for k in keys], *[F.timestamp_micros(c).alias(c) for c in ("span_start", "span_end")])
 
 
 def spans_in_batch(matches: DataFrame, rules: list[CompiledRule], time: str, least: int, *by: str) -> DataFrame:

@@ -122,6 +122,32 @@ def test_spans_of_other_numbers(spark, tmp_path, rows, least):
     assert got == rows(s.spans_in_batch(table, FRAMED, "ts", least, "user")) and len(got) > 3
 
 
+def test_spans_keep_a_state_per_group_of_keys(spark, tmp_path, rows):
+    """Many keys share few states, over a restart; integers beside a null key stay exact, and times out of reach are let go."""
+    folder, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    schema, big = "rule_id string, ts timestamp, user bigint, day date", 9007199254740993
+    day = lambda i: datetime.date(2024, 1, 1 + i % 2)
+    user = lambda i: None if i % 40 == 7 else big + i % 40
+    parts = [[("fast", at(i * 7 % 11, i * 13 % 60), user(i), day(i)) for i in range(n, 400, 2)] for n in (0, 1)]
+    parts += [[("slow", at(2000 + i), big, day(0)) for i in range(3)], [("none", at(9000), big, None), ("slow", at(9000), -1, None)]]
+
+    def run():
+        events = s.with_event_time(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/*"), "ts", "1 day")
+        found = s.spans(events, FRAMED, "ts", 3, "user", "day", groups=4)
+        query = found.writeStream.format("parquet").option("checkpointLocation", check).trigger(availableNow=True).start(out)
+        query.awaitTermination()
+        held.append(max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]))
+        left.append([p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]][-1])
+
+    held, left = [], []
+    s.arriving([spark.createDataFrame(p, schema) for p in parts], folder, run)
+    got = rows(spark.read.schema(f"rule_id string, user bigint, day date, {s.SPANS}").parquet(out))
+    table = spark.createDataFrame(sum(parts, []), schema)
+    assert got == rows(s.spans_in_batch(table, FRAMED, "ts", 3, "user", "day"))
+    assert {r[1] for r in got} >= {None, big, big + 1} and ("slow", big, day(0), at(2000), at(2002)) in got
+    assert max(held) <= 4 and left[-1] <= 1
+
+
 def test_late_rows_are_kept(spark, tmp_path, rows):
     """Behind the watermark of earlier batches a row is late if its window has ended; rows without a time are late too. Over a restart, and over a batch that is done again."""
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
