@@ -88,9 +88,9 @@ WORD = r"[\p{L}\p{N}]+(?:[.+-][\p{L}\p{N}]+)*"
 HELD_OUT = 4
 # Words of a window, and from one window to the next: every stretch of WINDOW - STRIDE words is whole in one of them.
 WINDOW, STRIDE = 56, 28
-# Marks at the start and the end of a comment's lines.
+# Marks at the start and the end of a comment's lines; the end's first two characters are looked at before its parts are tried.
 MARK_BEFORE = r"(?m)^[ \t]*(?:#+|//+!?|/\*+|\*+/?|--+|;+|%+|<!--+|\{#|@c\b|dnl\b|REM\b)?[ \t]*"
-MARK_AFTER = r"(?m)[ \t]*(?:\*+/|--+>|#\}|\*+)?[ \t\r]*$"
+MARK_AFTER = r"(?m)(?=[ \t\r*#-](?:[ \t\r\n\u0085\u2028\u2029*/>#}-]|\z))[ \t]*(?:\*+/|--+>|#\}|\*+)?[ \t\r]*$"
 # The least and the greatest threshold of a family's probability.
 THRESHOLDS = (0.5, 0.95)
 
@@ -100,7 +100,7 @@ def words_of(unit: Column) -> Column:
 
 
 def pairs_of(words: Column) -> Column:
-    both = F.transform(F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda w, i: F.concat_ws(" ", F.get(words, i), w))
+    both = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
     return F.when(F.size(words) > 1, both).otherwise(F.array().cast("array<string>"))
 
 
@@ -131,20 +131,26 @@ ALL_PAIRS = sorted({p for ts in TEMPLATES.values() for t in ts for p in plain_pa
 def paragraphs_of(text: Column) -> Column:
     """Blocks between blank lines that hold a word, without comment marks and with their lines joined."""
     bare = F.regexp_replace(F.regexp_replace(text, MARK_BEFORE, ""), MARK_AFTER, "")
-    blocks = F.transform(F.split(bare, r"\n(?:[ \t\r]*\n)+"), lambda b: F.regexp_replace(b, r"\s+", " "))
+    blocks = F.transform(F.split(bare, r"\n(?:[ \t\r]*\n)+"), lambda b: F.regexp_replace(b, r"[^\S ]\s*| \s+", " "))
     return F.filter(blocks, lambda b: b.rlike(r"[\p{L}\p{N}]"))
 
 
 def units_of(blocks: DataFrame, block: str) -> DataFrame:
-    """The rows with `words`, one per window of the block."""
-    worded = with_once(blocks, _w=words_of(F.col(block)))
+    """The rows with `words` and their `word_pairs`, one per window of the block. A block's words are paired once, not in each window."""
+    worded = with_once(with_once(blocks, _w=words_of(F.col(block))), _p=pairs_of(F.col("_w")))
     last = F.greatest(F.size("_w") - (WINDOW - STRIDE), F.lit(1))
     starts = worded.withColumn("_at", F.explode(F.sequence(F.lit(0), last - 1, F.lit(STRIDE))))
-    return starts.withColumn("words", F.slice("_w", F.col("_at") + 1, F.lit(WINDOW))).drop("_w", "_at")
+    window = lambda of, n: F.slice(of, F.col("_at") + 1, F.lit(n))
+    return starts.withColumns({"words": window("_w", WINDOW), "word_pairs": window("_p", WINDOW - 1)}).drop("_w", "_p", "_at")
+
+
+def paired(units: DataFrame) -> DataFrame:
+    """The rows with `word_pairs`, which units_of has made already."""
+    return units if "word_pairs" in units.columns else units.withColumn("word_pairs", pairs_of(F.col("words")))
 
 
 def with_features(units: DataFrame) -> DataFrame:
-    grams = units.withColumn("_g", F.concat("words", pairs_of(F.col("words"))))
+    grams = paired(units).withColumn("_g", F.concat("words", "word_pairs"))
     return HashingTF(numFeatures=FEATURES, inputCol="_g", outputCol="features").transform(grams).drop("_g")
 
 
@@ -195,7 +201,7 @@ def calibrated(raw: Column, of: Column, temperature: float) -> Column:
 
 def train(spark: SparkSession, docs: DataFrame) -> Classifier:
     # The sample is bounded, so one task holds it; it is written out for the passes of the fit.
-    rows = write_out(with_features(labelled_rows(spark, docs)).withColumn("fold", F.pmod(F.xxhash64("words"), F.lit(HELD_OUT))).drop("words").coalesce(1), "license-training")
+    rows = write_out(with_features(labelled_rows(spark, docs)).withColumn("fold", F.pmod(F.xxhash64("words"), F.lit(HELD_OUT))).drop("words", "word_pairs").coalesce(1), "license-training")
     model = LogisticRegression(maxIter=25, regParam=0.002, family="multinomial").fit(rows.where("fold > 0").select("features", "label"))
     held = model.transform(rows.where("fold = 0")).select("label", vector_to_array("rawPrediction").alias("raw"))
     losses = held.agg(*[F.avg(-F.log(calibrated(F.col("raw"), F.element_at("raw", F.col("label") + 1), t) + 1e-12)).alias(f"t{i}") for i, t in enumerate(TEMPERATURES)]).first()
@@ -210,7 +216,7 @@ def scored_units(units: DataFrame, c: Classifier) -> DataFrame:
     out before anything is derived from it, so that no filter or lambda runs the model again.
     """
     # Of a unit's pairs those of no template add to no share.
-    pairs = F.array_intersect(pairs_of(F.col("words")), F.array(*[F.lit(p) for p in ALL_PAIRS])).alias("pairs")
+    pairs = F.array_distinct(F.filter("word_pairs", lambda p: p.isin(ALL_PAIRS))).alias("pairs")
     raw = c.model.transform(with_features(units)).select("doc_id", "key", "pos", pairs, vector_to_array("rawPrediction").alias("raw"))
     known = write_out(raw, "license-scores").withColumn("top", F.array_max(F.slice("raw", 2, len(FAMILIES))))
     family = F.element_at(F.array(*[F.lit(f) for f in FAMILIES[1:]]), F.array_position(F.slice("raw", 2, len(FAMILIES)), F.col("top")).cast("int"))
@@ -229,15 +235,17 @@ def scan(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
     texts = keyed_texts(docs)
     c = classifier or train(docs.sparkSession, docs)
     blocks = texts.select("doc_id", "key", F.posexplode(paragraphs_of(F.col("text"))).alias("pos", "block"))
-    units = scored_units(units_of(blocks, "block").select("doc_id", "key", "pos", "words"), c)
+    units = scored_units(units_of(blocks, "block").select("doc_id", "key", "pos", "words", "word_pairs"), c)
     reached = units.where("explained < 0.5").agg(F.percentile_approx("probability", 0.99, 10_000).alias("p")).first().p
     threshold = max(THRESHOLDS[0], min(THRESHOLDS[1], reached or 0.0))
     named = units.where(F.col("probability") >= threshold)
     # A set by position: rows that repeat each other find the same units.
     hit = F.struct("pos", "family", (F.col("share") >= CONFIRMED).alias("sure"), "probability")
     found = named.groupBy("doc_id", "key").agg(F.collect_set(hit).alias("hits"))
-    rows = texts.select("doc_id", "key", F.size(paragraphs_of(F.col("text"))).cast("long").alias("n_units"))
-    joined = join_rows(rows, found).select("doc_id", "n_units", F.coalesce("hits", F.array()).alias("hits"))
+    # Every paragraph has a unit, so the last one's place tells their number; the texts are not cut up again.
+    counted = units.groupBy("doc_id", "key").agg((F.max("pos") + 1).cast("long").alias("n_units"))
+    rows = join_rows(texts.select("doc_id", "key"), counted)
+    joined = join_rows(rows, found).select("doc_id", F.coalesce("n_units", F.lit(0).cast("long")).alias("n_units"), F.coalesce("hits", F.array()).alias("hits"))
     sure = joined.withColumn("sure", F.filter("hits", lambda h: h["sure"]))
     places = lambda hits: F.size(F.array_distinct(F.transform(hits, lambda h: h["pos"]))).cast("long")
     return sure.select(

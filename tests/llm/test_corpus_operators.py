@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -428,3 +429,27 @@ def test_recall_of_planted_pairs(spark):
     found = {r.doc_id: r.class_id for r in bagminhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     planted = [i for i, _ in rows if i % 2]
     assert len(planted) >= 200 and sum(found[i] == i - 1 for i in planted) >= 0.99 * len(planted)
+
+
+def test_licence_units_are_cut_and_paired_once(spark, docs):
+    """Windows take their pairs from their paragraph's, and counted units stand for paragraphs."""
+    frame = license.keyed_texts(docs)
+    blocks = frame.select("doc_id", "key", F.posexplode(license.paragraphs_of(F.col("text"))).alias("pos", "block"))
+    units = license.units_of(blocks, "block").collect()
+    assert len(units) > len({(u.doc_id, u.key, u.pos) for u in units}) > 5
+    for u in units:
+        assert u.word_pairs == [f"{a} {b}" for a, b in zip(u.words, u.words[1:], strict=False)]
+    want = sorted(((r.doc_id, r.n) for r in frame.select("doc_id", F.size(license.paragraphs_of(F.col("text"))).cast("long").alias("n")).collect()), key=repr)
+    assert sorted(((r.doc_id, r.n_units) for r in license.scan(docs, license.train(spark, docs)).collect()), key=repr) == want
+
+
+def test_licence_paragraphs_of_odd_lines(spark):
+    """Only white space and comment marks at the ends of lines go, whatever ends the line."""
+    pieces = ["word", " ", "  ", "\t", "\r", "\n", "\r\n", "\u0085", "\u2028", "*/", "**", "-->", "-", "#}", "#", "/", "é"]
+    dice = random.Random(5)
+    texts = ["".join(dice.choice(pieces) for _ in range(n % 14)) for n in range(3000)]
+    after = r"(?m)[ \t]*(?:\*+/|--+>|#\}|\*+)?[ \t\r]*$"
+    bare = F.regexp_replace(F.regexp_replace("text", license.MARK_BEFORE, ""), after, "")
+    plain = F.filter(F.transform(F.split(bare, r"\n(?:[ \t\r]*\n)+"), lambda b: F.regexp_replace(b, r"\s+", " ")), lambda b: b.rlike(r"[\p{L}\p{N}]"))
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [r for r in frame.select("text", plain.alias("want"), license.paragraphs_of(F.col("text")).alias("got")).collect() if r.want != r.got] == []
