@@ -88,6 +88,8 @@ WORD = r"[\p{L}\p{N}]+(?:[.+-][\p{L}\p{N}]+)*"
 HELD_OUT = 4
 # Words of a window, and from one window to the next: every stretch of WINDOW - STRIDE words is whole in one of them.
 WINDOW, STRIDE = 56, 28
+# Windows that are scored from one row: two neighbours share STRIDE words, which are hashed once for both.
+ROW_WINDOWS = 4
 # Marks at the start and the end of a comment's lines; the end's first two characters are looked at before its parts are tried.
 MARK_BEFORE = r"(?m)^[ \t]*(?:#+|//+!?|/\*+|\*+/?|--+|;+|%+|<!--+|\{#|@c\b|dnl\b|REM\b)?[ \t]*"
 MARK_AFTER = r"(?m)(?=[ \t\r*#-](?:[ \t\r\n\u0085\u2028\u2029*/>#}-]|\z))[ \t]*(?:\*+/|--+>|#\}|\*+)?[ \t\r]*$"
@@ -131,7 +133,7 @@ ALL_PAIRS = sorted({p for ts in TEMPLATES.values() for t in ts for p in plain_pa
 def paragraphs_of(text: Column) -> Column:
     """Blocks between blank lines that hold a word, without comment marks and with their lines joined."""
     bare = F.regexp_replace(F.regexp_replace(text, MARK_BEFORE, ""), MARK_AFTER, "")
-    blocks = F.transform(F.split(bare, r"\n(?:[ \t\r]*\n)+"), lambda b: F.regexp_replace(b, r"[^\S ]\s*| \s+", " "))
+    blocks = F.transform(F.split(bare, r"\n(?:[ \t\r]*\n)+"), lambda b: F.regexp_replace(b, r"\s(?:(?<! )\s*|\s+)", " "))
     return F.filter(blocks, lambda b: b.rlike(r"[\p{L}\p{N}]"))
 
 
@@ -144,6 +146,29 @@ def units_of(blocks: DataFrame, block: str) -> DataFrame:
     return starts.withColumns({"words": window("_w", WINDOW), "word_pairs": window("_p", WINDOW - 1)}).drop("_w", "_p", "_at")
 
 
+def parts_of(blocks: DataFrame, block: str) -> tuple[DataFrame, list[list[str]]]:
+    """The rows with up to ROW_WINDOWS windows each, and for each of these the columns of grams that make it up together.
+
+    A window is two neighbouring strides and the word pair across them. A stride's grams stand in one column that both of its windows name, so that
+    what is linear in them is worked out once. `_n` is the number of the row's windows, `_pairs` the template pairs of each.
+    """
+    worded = with_once(with_once(blocks, _w=words_of(F.col(block))), _p=pairs_of(F.col("_w")))
+    # Pairs of no template add to no share: they are looked up once, not in each window.
+    marked = with_once(worded, _t=F.transform("_p", lambda p: F.when(p.isin(ALL_PAIRS), p)))
+    last = F.greatest(F.size("_w") - (WINDOW - STRIDE), F.lit(1))
+    rows = marked.withColumn("_at", F.explode(F.sequence(F.lit(0), last - 1, F.lit(STRIDE * ROW_WINDOWS))))
+    cut = lambda of, start, n: F.slice(of, F.col("_at") + (start + 1), F.lit(n))
+    parts = {f"_s{j}": F.concat(cut("_w", STRIDE * j, STRIDE), cut("_p", STRIDE * j, STRIDE - 1)) for j in range(1, ROW_WINDOWS)}
+    # The pairs across the first two and the last two strides are of one window only, as those outer strides are.
+    parts["_s0"] = F.concat(cut("_w", 0, STRIDE), cut("_p", 0, STRIDE))
+    parts[f"_s{ROW_WINDOWS}"] = F.concat(cut("_w", STRIDE * ROW_WINDOWS, STRIDE), cut("_p", STRIDE * ROW_WINDOWS - 1, STRIDE))
+    parts |= {f"_x{j}": cut("_p", STRIDE * j + STRIDE - 1, 1) for j in range(1, ROW_WINDOWS - 1)}
+    held = F.array(*[F.array_except(cut("_t", STRIDE * j, WINDOW - 1), F.array(F.lit(None).cast("string"))) for j in range(ROW_WINDOWS)])
+    n = F.least(F.lit(ROW_WINDOWS), F.floor((last - 1 - F.col("_at")) / STRIDE).cast("int") + 1)
+    uses = [[f"_s{j}", *[x for x in (f"_x{j}",) if x in parts], f"_s{j + 1}"] for j in range(ROW_WINDOWS)]
+    return rows.withColumns({**parts, "_pairs": held, "_n": n}).drop("_w", "_p", "_t", "_at"), uses
+
+
 def paired(units: DataFrame) -> DataFrame:
     """The rows with `word_pairs`, which units_of has made already."""
     return units if "word_pairs" in units.columns else units.withColumn("word_pairs", pairs_of(F.col("words")))
@@ -210,19 +235,46 @@ def train(spark: SparkSession, docs: DataFrame) -> Classifier:
 
 
 def scored_units(units: DataFrame, c: Classifier) -> DataFrame:
-    """(doc_id, key, pos, family, probability, explained, share): each unit's likeliest family, scored once.
+    """(doc_id, key, pos, family, probability, explained, share): each unit's likeliest family, scored once."""
+    # Of a unit's pairs those of no template add to no share.
+    pairs = F.array_distinct(F.filter("word_pairs", lambda p: p.isin(ALL_PAIRS))).alias("pairs")
+    return judged(c.model.transform(with_features(units)).select("doc_id", "key", "pos", pairs, vector_to_array("rawPrediction").alias("raw")), c)
+
+
+def scored_windows(blocks: DataFrame, block: str, c: Classifier) -> DataFrame:
+    """What scored_units gives for units_of(blocks), for doc_id, key and pos of the blocks; a stride is hashed and scored once for both of its windows.
+
+    The model's scores are linear in the grams: a window's are the sum of its parts', with the intercept counted once.
+    """
+    rows, uses = parts_of(blocks, block)
+    parts = list(dict.fromkeys(p for use in uses for p in use))
+    scored = rows.select("doc_id", "key", "pos", "_pairs", "_n", *parts)
+    off = {c.model.probabilityCol: "", c.model.predictionCol: ""}
+    for p in parts:
+        hashed = HashingTF(numFeatures=FEATURES, inputCol=p, outputCol=f"{p}f").transform(scored)
+        scored = c.model.transform(hashed, {**off, c.model.featuresCol: f"{p}f", c.model.rawPredictionCol: f"{p}r"}).drop(p, f"{p}f")
+    arrays = scored.select("doc_id", "key", "pos", "_pairs", "_n", *[vector_to_array(f"{p}r").alias(p) for p in parts])
+    bias = F.array(*[F.lit(float(b)) for b in c.model.interceptVector])
+
+    def window(i: int, first: str, others: list[str]) -> Column:
+        raw = F.transform(first, lambda x, k: sum((F.get(F.col(p), k) - F.get(bias, k) for p in others), x))
+        return F.struct(F.get(F.col("_pairs"), F.lit(i)).alias("pairs"), raw.alias("raw"))
+
+    windows = [window(i, first, others) for i, (first, *others) in enumerate(uses)]
+    return judged(arrays.select("doc_id", "key", "pos", F.inline(F.slice(F.array(*windows), F.lit(1), F.col("_n")))), c)
+
+
+def judged(scores: DataFrame, c: Classifier) -> DataFrame:
+    """(doc_id, key, pos, family, probability, explained, share) of (doc_id, key, pos, pairs, raw): raw scores and template pairs of each unit.
 
     `explained` is the greatest share of any template that the unit holds, `share` that of its family's templates. What the model gives is written
     out before anything is derived from it, so that no filter or lambda runs the model again.
     """
-    # Of a unit's pairs those of no template add to no share.
-    pairs = F.array_distinct(F.filter("word_pairs", lambda p: p.isin(ALL_PAIRS))).alias("pairs")
-    raw = c.model.transform(with_features(units)).select("doc_id", "key", "pos", pairs, vector_to_array("rawPrediction").alias("raw"))
-    known = write_out(raw, "license-scores").withColumn("top", F.array_max(F.slice("raw", 2, len(FAMILIES))))
+    known = write_out(scores, "license-scores").withColumn("top", F.array_max(F.slice("raw", 2, len(FAMILIES))))
     family = F.element_at(F.array(*[F.lit(f) for f in FAMILIES[1:]]), F.array_position(F.slice("raw", 2, len(FAMILIES)), F.col("top")).cast("int"))
     shares = F.create_map(*[x for f in TEMPLATES for x in (F.lit(f), template_share(F.col("words"), [f]))])
-    judged = known.select("doc_id", "key", "pos", family.alias("family"), calibrated(F.col("raw"), F.col("top"), c.temperature).alias("probability"), shares.alias("shares"))
-    return write_out(judged.select("doc_id", "key", "pos", "family", "probability", F.array_max(F.map_values("shares")).alias("explained"), F.element_at("shares", F.col("family")).alias("share")), "license-units")
+    found = known.select("doc_id", "key", "pos", family.alias("family"), calibrated(F.col("raw"), F.col("top"), c.temperature).alias("probability"), shares.alias("shares"))
+    return write_out(found.select("doc_id", "key", "pos", "family", "probability", F.array_max(F.map_values("shares")).alias("explained"), F.element_at("shares", F.col("family")).alias("share")), "license-units")
 
 
 def scan(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
@@ -235,7 +287,7 @@ def scan(docs: DataFrame, classifier: Classifier | None = None) -> DataFrame:
     texts = keyed_texts(docs)
     c = classifier or train(docs.sparkSession, docs)
     blocks = texts.select("doc_id", "key", F.posexplode(paragraphs_of(F.col("text"))).alias("pos", "block"))
-    units = scored_units(units_of(blocks, "block").select("doc_id", "key", "pos", "words", "word_pairs"), c)
+    units = scored_windows(blocks, "block", c)
     reached = units.where("explained < 0.5").agg(F.percentile_approx("probability", 0.99, 10_000).alias("p")).first().p
     threshold = max(THRESHOLDS[0], min(THRESHOLDS[1], reached or 0.0))
     named = units.where(F.col("probability") >= threshold)

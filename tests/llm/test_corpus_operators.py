@@ -453,3 +453,22 @@ def test_licence_paragraphs_of_odd_lines(spark):
     plain = F.filter(F.transform(F.split(bare, r"\n(?:[ \t\r]*\n)+"), lambda b: F.regexp_replace(b, r"\s+", " ")), lambda b: b.rlike(r"[\p{L}\p{N}]"))
     frame = spark.createDataFrame([(t,) for t in texts], "text string")
     assert [r for r in frame.select("text", plain.alias("want"), license.paragraphs_of(F.col("text")).alias("got")).collect() if r.want != r.got] == []
+
+
+def test_licence_strides_are_hashed_once(spark, docs):
+    """Windows scored from the strides that they share are those scored each by itself, whatever their number; few grams are hashed twice."""
+    c = license.train(spark, docs)
+    notice = HEADERS["gpl"]
+    lengths = [0, 1, 2, *(28 * k + d for k in range(1, 12) for d in (-1, 0, 1)), 400]
+    texts = [(i, passage(i, n)) for i, n in enumerate(lengths)] + [(100, f"{passage(1, 90)}\n{notice}\n{passage(2, 170)}"), (101, "the " * 300), (102, None), (None, passage(3, 130)), (None, passage(3, 130))]
+    frame = license.keyed_texts(spark.createDataFrame(texts, "doc_id bigint, text string"))
+    blocks = frame.select("doc_id", "key", F.posexplode(license.paragraphs_of(F.col("text"))).alias("pos", "block"))
+    units = license.units_of(blocks, "block").select("doc_id", "key", "pos", "words", "word_pairs")
+    rows = lambda df: sorted(((r.doc_id, r.key, r.pos, r.family, round(r.probability, 9), round(r.explained, 9), round(r.share, 9)) for r in df.collect()), key=repr)
+    got = rows(license.scored_windows(blocks, "block", c))
+    assert got == rows(license.scored_units(units, c)) and len(got) == units.count() > 150
+    assert any(r[0] == 100 and r[3] == "gpl" and r[6] >= license.CONFIRMED for r in got)
+    parts, uses = license.parts_of(blocks, "block")
+    grams = parts.select(F.sum(sum(F.size(p) for p in {p for use in uses for p in use})).alias("n")).first().n
+    alone = units.select(F.sum(F.size("words") + F.size("word_pairs")).alias("n")).first().n
+    assert grams < 0.75 * alone
